@@ -1,6 +1,6 @@
 """Import every query module so that the registry is complete."""
 
-from tidemark.plans import changes  # noqa: F401
+from tidemark.plans import cdc, changes  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
