@@ -102,8 +102,8 @@ def q_stream_cdc_scd2(spark, sf):
     return state.current(spark).select("user_id", *EV_COLS, "__START_AT", "__END_AT")
 
 
-DROP_RULES = {"event type present": F.col("event_type").isNotNull(), "value is a number": F.col("value").isNotNull()}
-FAIL_RULES = {"no rescued data": files.rescued_clean()}
+DROP_RULES = {"event type present": "event_type is not null", "value is a number": "value is not null"}
+FAIL_RULES = {"no rescued data": f"{files.RESCUE} is null"}
 
 
 @register("stream_medallion", f"""select event_id, ts, user_id, event_type, cast(value as double) as value,
