@@ -16,9 +16,9 @@ blocks of an integer sequence, ...):
    runs -- is ordered by chunk per key: that small table decides whether a
    chunk's first run continues the previous chunk's last run, and gives every
    chunk its run-number offset;
-3. local runs get global run ids and are aggregated per (key, run id); the
-   end of a run is the start of run id + 1, found by an equi-join, not by a
-   ``lead`` over the whole key.
+3. local runs get global run ids and are aggregated per (key, run id); every
+   local run also reports its start to run id - 1, so the same aggregate
+   yields each run's end -- no self-join, no ``lead`` over the whole key.
 
 Every exchange is either on (key, chunk), on (key, run id) or over the small
 chunk summary, so no task ever holds a whole hot key.  ``chunk=F.lit(0)`` gives
@@ -143,57 +143,69 @@ def scd2(
         chunk = default_chunk(changes.schema[sequence_by].dataType, F.col(sequence_by))
 
     seq_type = changes.schema[sequence_by].dataType.simpleString()
+    # One struct key: equal when all fields are equal *or null on both sides*,
+    # so null keys group and join like any other value, and every stage
+    # shares the same hash partitioning on it.
     df = changes.select(
-        *keys, *cols,
+        F.struct(*[F.col(k) for k in keys]).alias("__k"), *cols,
         chunk.alias("__c"),
         F.struct(*[F.col(c) for c in track]).alias("__tv"),
         F.struct(*[F.col(c) for c in order_cols]).alias("__o"),
     )
-    w1 = Window.partitionBy(*keys, "__c").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    rn = F.row_number().over(w1)
+    w1 = Window.partitionBy("__k", "__c").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     prev_tv = F.lag("__tv").over(w1)
-    df = df.withColumn("__rn", rn).withColumn("__new", F.when(F.col("__rn") == 1, 0)
-                                               .when(~F.col("__tv").eqNullSafe(prev_tv), 1).otherwise(0))
+    df = df.withColumn("__rn", F.row_number().over(w1)).withColumn(
+        "__new", F.when(F.col("__rn") == 1, 0).when(~F.col("__tv").eqNullSafe(prev_tv), 1).otherwise(0))
     if not tiebreak:
         prev_seq = F.lag(sequence_by).over(w1)
         df = df.filter(_check(
             (F.col("__rn") == 1) | ~F.col(sequence_by).eqNullSafe(prev_seq),
-            F.concat(F.lit("scd2: equal sequence for one key "), F.to_json(F.struct(*keys)), F.lit("; pass a tiebreak")),
+            F.concat(F.lit("scd2: equal sequence for one key "), F.to_json("__k"), F.lit("; pass a tiebreak")),
         ))
     df = df.withColumn("__j", F.sum("__new").over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
     payload = F.struct(*[F.col(c) for c in cols])
     # runs inside a chunk; same partitioning as the window, no exchange
-    local = df.groupBy(*keys, "__c", "__j").agg(
+    local = df.groupBy("__k", "__c", "__j").agg(
         F.min("__o").alias("__first_o"),
         F.max("__o").alias("__last_o"),
         F.max_by(payload, F.col("__o")).alias("__p"),
         F.max_by("__tv", F.col("__o")).alias("__tv"),
     )
     # one row per (key, chunk): does its first run continue the previous chunk?
-    summary = local.groupBy(*keys, "__c").agg(
+    summary = local.groupBy("__k", "__c").agg(
         (F.max("__j") + 1).alias("__n_local"),
         F.min_by("__tv", F.col("__j")).alias("__first_tv"),
         F.max_by("__tv", F.col("__j")).alias("__last_tv"),
     )
-    w2 = Window.partitionBy(*keys).orderBy(F.col("__c").asc_nulls_first())
+    w2 = Window.partitionBy("__k").orderBy(F.col("__c").asc_nulls_first())
     first_flag = F.when(F.row_number().over(w2) == 1, 1).when(
         ~F.col("__first_tv").eqNullSafe(F.lag("__last_tv").over(w2)), 1).otherwise(0)
     summary = summary.withColumn("__ff", first_flag).withColumn("__runs", F.col("__ff") + F.col("__n_local") - 1)
     summary = summary.withColumn(
         "__off", F.sum("__runs").over(w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__runs")
-    ).select(*keys, "__c", "__ff", "__off")
-
+    ).select("__k", "__c", "__ff", "__off")
+
+    tagged = local.join(summary, ["__k", "__c"]).withColumn("__run", F.col("__off") + F.col("__ff") + F.col("__j"))
+    # Each local run also reports its start to the run before it: one
+    # aggregate gives every run its start, its last row and its end, with no
+    # self-join and no whole-key window.
+    none_o = F.lit(None).cast(local.schema["__first_o"].dataType)
+    own = tagged.select("__k", "__run", "__first_o", "__last_o", "__p",
+                        F.lit(None).cast(seq_type).alias("__next"))
+    succ = tagged.select("__k", (F.col("__run") - 1).alias("__run"), none_o.alias("__first_o"),
+                         none_o.alias("__last_o"), F.lit(None).cast(local.schema["__p"].dataType).alias("__p"),
+                         F.col(f"__first_o.{sequence_by}").alias("__next"))
     runs = (
-        join_null_safe(local, summary, [*keys, "__c"])
-        .withColumn("__run", F.col("__off") + F.col("__ff") + F.col("__j"))
-        .groupBy(*keys, "__run")
-        .agg(F.min("__first_o").alias("__first_o"), F.max_by("__p", F.col("__last_o")).alias("__p"))
-        .select(*keys, "__run", F.col(f"__first_o.{sequence_by}").cast(seq_type).alias(START), "__p")
+        own.unionByName(succ)
+        .groupBy("__k", "__run")
+        .agg(F.min("__first_o").alias("__first_o"), F.max_by("__p", F.col("__last_o")).alias("__p"),
+             F.min("__next").alias(END))
+        .filter(F.col("__first_o").isNotNull())
     )
-    nxt = runs.select(*keys, (F.col("__run") - 1).alias("__run"), F.col(START).alias(END))
-    return join_null_safe(runs, nxt, [*keys, "__run"], "left").select(
-        *keys, *[F.col(f"__p.{c}").alias(c) for c in cols], START, END
+    return runs.select(
+        *[F.col(f"__k.{k}").alias(k) for k in keys], *[F.col(f"__p.{c}").alias(c) for c in cols],
+        F.col(f"__first_o.{sequence_by}").cast(seq_type).alias(START), F.col(END).cast(seq_type).alias(END),
     )
 
 
