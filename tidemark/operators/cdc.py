@@ -157,11 +157,10 @@ def scd2(
     df = df.withColumn("__rn", F.row_number().over(w1)).withColumn(
         "__new", F.when(F.col("__rn") == 1, 0).when(~F.col("__tv").eqNullSafe(prev_tv), 1).otherwise(0))
     if not tiebreak:
-        prev_seq = F.lag(sequence_by).over(w1)
-        df = df.filter(_check(
-            (F.col("__rn") == 1) | ~F.col(sequence_by).eqNullSafe(prev_seq),
+        df = df.withColumn("__prev_seq", F.lag(sequence_by).over(w1)).filter(_check(
+            (F.col("__rn") == 1) | ~F.col(sequence_by).eqNullSafe(F.col("__prev_seq")),
             F.concat(F.lit("scd2: equal sequence for one key "), F.to_json("__k"), F.lit("; pass a tiebreak")),
-        ))
+        )).drop("__prev_seq")
     df = df.withColumn("__j", F.sum("__new").over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
     payload = F.struct(*[F.col(c) for c in cols])
