@@ -63,7 +63,7 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
 def test_crash_after_staging_redoes_from_staging(spark, tmp_path):
     st = _state(spark, tmp_path)
     staged = st.with_bucket(spark.createDataFrame([(7, "staged")], "k long, v string"))
-    staged.write.parquet(f"{st.root}/_staging/5")  # the crash happened before the overwrite
+    staged.write.partitionBy("__bucket").parquet(f"{st.root}/_staging/5")  # crash before the move
 
     def must_not_run():
         raise AssertionError("recomputed although a complete staging copy exists")

@@ -20,9 +20,13 @@ blocks of an integer sequence, ...):
    local run also reports its start to run id - 1, so the same aggregate
    yields each run's end -- no self-join, no ``lead`` over the whole key.
 
-Every exchange is either on (key, chunk), on (key, run id) or over the small
-chunk summary, so no task ever holds a whole hot key.  ``chunk=F.lit(0)`` gives
-the classic single-window plan (one exchange), which is exact as well.
+Only *hot* keys are chunked (found by a key-only count; at most
+``max_hot_keys`` of them, so the broadcast of their names is bounded); every
+other key is a single chunk, so without skew the plan is the classic
+whole-key window.  Every exchange is on (key, chunk), on (key, run id) or over
+the chunk summary, so no task ever holds a whole hot key.  An explicit
+``chunk`` applies to all keys; ``chunk=F.lit(0)`` is the plain single-window
+plan.  All variants are exact.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ from pyspark.sql import types as T
 
 START, END = "__START_AT", "__END_AT"
 INTEGER_CHUNK = 1 << 20
+HOT_KEY_ROWS = 1 << 20
+MAX_HOT_KEYS = 10_000
 
 
 def _check(ok: Column, message: Column | str) -> Column:
@@ -121,6 +127,8 @@ def scd2(
     tiebreak: Sequence[str] = (),
     columns: Sequence[str] | None = None,
     chunk: Column | None = None,
+    hot_key_rows: int = HOT_KEY_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """M-07: validity intervals per key.
 
@@ -140,7 +148,22 @@ def scd2(
             cols.append(c)
     track = list(track_columns) if track_columns is not None else [c for c in cols if c not in order_cols]
     if chunk is None:
-        chunk = default_chunk(changes.schema[sequence_by].dataType, F.col(sequence_by))
+        # Split only hot keys: a key-only count (partial aggregate; the scan
+        # reads just the key columns) finds keys with at least
+        # ``hot_key_rows`` changes, the largest ``max_hot_keys`` of them -- a
+        # bounded broadcast.  Those keys are chunked by the sequence; every
+        # other key stays one chunk, i.e. one window partition.
+        hot = (
+            changes.groupBy(F.struct(*[F.col(k) for k in keys]).alias("__k"))
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.col("__n") >= hot_key_rows)
+            .orderBy(F.col("__n").desc())
+            .limit(max_hot_keys)
+            .select("__k", F.lit(True).alias("__hot"))
+        )
+        changes = changes.withColumn("__k_probe", F.struct(*[F.col(k) for k in keys])).join(
+            F.broadcast(hot.withColumnRenamed("__k", "__k_probe")), "__k_probe", "left")
+        chunk = F.when(F.col("__hot"), default_chunk(changes.schema[sequence_by].dataType, F.col(sequence_by)))
 
     seq_type = changes.schema[sequence_by].dataType.simpleString()
     # One struct key: equal when all fields are equal *or null on both sides*,
@@ -148,7 +171,9 @@ def scd2(
     # shares the same hash partitioning on it.
     df = changes.select(
         F.struct(*[F.col(k) for k in keys]).alias("__k"), *cols,
-        chunk.alias("__c"),
+        # a struct is never null and compares null fields as equal, so rows
+        # with a null chunk (other keys, null sequences) still join their summary
+        F.struct(chunk.alias("c")).alias("__c"),
         F.struct(*[F.col(c) for c in track]).alias("__tv"),
         F.struct(*[F.col(c) for c in order_cols]).alias("__o"),
     )
@@ -190,21 +215,20 @@ def scd2(
     # aggregate gives every run its start, its last row and its end, with no
     # self-join and no whole-key window.
     none_o = F.lit(None).cast(local.schema["__first_o"].dataType)
-    own = tagged.select("__k", "__run", "__first_o", "__last_o", "__p",
-                        F.lit(None).cast(seq_type).alias("__next"))
+    own = tagged.select("__k", "__run", "__first_o", "__last_o", "__p", none_o.alias("__next"))
     succ = tagged.select("__k", (F.col("__run") - 1).alias("__run"), none_o.alias("__first_o"),
                          none_o.alias("__last_o"), F.lit(None).cast(local.schema["__p"].dataType).alias("__p"),
-                         F.col(f"__first_o.{sequence_by}").alias("__next"))
+                         F.col("__first_o").alias("__next"))
     runs = (
         own.unionByName(succ)
         .groupBy("__k", "__run")
         .agg(F.min("__first_o").alias("__first_o"), F.max_by("__p", F.col("__last_o")).alias("__p"),
-             F.min("__next").alias(END))
+             F.min("__next").alias("__next_o"))
         .filter(F.col("__first_o").isNotNull())
     )
     return runs.select(
         *[F.col(f"__k.{k}").alias(k) for k in keys], *[F.col(f"__p.{c}").alias(c) for c in cols],
-        F.col(f"__first_o.{sequence_by}").cast(seq_type).alias(START), F.col(END).cast(seq_type).alias(END),
+        F.col(f"__first_o.{sequence_by}").cast(seq_type).alias(START), F.col(f"__next_o.{sequence_by}").cast(seq_type).alias(END),
     )
 
 

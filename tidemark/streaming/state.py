@@ -9,12 +9,13 @@ Crash and replay safety (``foreachBatch`` is at-least-once):
 
 1. the new content of the touched buckets is first written to
    ``_staging/<batch_id>`` (a complete, self-contained result);
-2. the touched partitions are overwritten from the staging copy;
+2. the staged bucket folders replace the stored ones by rename;
 3. ``_commits/<batch_id>`` is written last.
 
 A replayed batch id with a commit marker is skipped; one with a complete
 staging copy but no marker redoes step 2 from the copy instead of
-recomputing against a half-updated state.
+recomputing against a half-updated state; folders already moved are simply
+no longer in staging.
 """
 
 from __future__ import annotations
@@ -32,10 +33,15 @@ def bucket_of(keys: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, jvm = _fs(spark, path)
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
 
 
 class BucketedState:
@@ -72,17 +78,33 @@ class BucketedState:
         return _exists(spark, f"{self.root}/_commits/{batch_id}")
 
     def apply(self, spark: SparkSession, batch_id: int, compute: Callable[[], DataFrame]) -> None:
-        """Replace the touched buckets by ``compute()`` (rows with ``__bucket``)."""
+        """Replace the touched buckets by ``compute()`` (rows with ``__bucket``).
+
+        The result is written once, partitioned by bucket, to the staging
+        folder; its bucket folders are then moved into place by rename (a
+        metadata operation, one per touched bucket, at most ``n``), and the
+        commit marker is written last.  Redoing a half-finished move only
+        moves the folders that are still in staging.
+        """
         if self.committed(spark, batch_id):
             return
         staging = f"{self.root}/_staging/{batch_id}"
         if not _exists(spark, f"{staging}/_SUCCESS"):
-            compute().write.mode("overwrite").parquet(staging)
-        staged = spark.read.parquet(staging)
-        (staged.repartition(BUCKET).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.data))
-        spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("overwrite") \
-            .json(f"{self.root}/_commits/{batch_id}")
+            compute().write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+        fs, jvm = _fs(spark, self.root)
+        path = jvm.org.apache.hadoop.fs.Path
+        fs.mkdirs(path(self.data))
+        for st in fs.listStatus(path(staging)):
+            name = st.getPath().getName()
+            if not (st.isDirectory() and name.startswith(f"{BUCKET}=")):
+                continue
+            dest = path(f"{self.data}/{name}")
+            if fs.exists(dest):
+                fs.delete(dest, True)
+            if not fs.rename(st.getPath(), dest):
+                raise RuntimeError(f"could not move {st.getPath()} to {dest}")
+        out = fs.create(path(f"{self.root}/_commits/{batch_id}"), True)
+        out.close()
 
     def current(self, spark: SparkSession) -> DataFrame:
         return self.read(spark).drop(BUCKET)
