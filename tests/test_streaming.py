@@ -92,3 +92,26 @@ def test_archive_moves_processed_files(spark):
     append_stream(s, f"{root}/out", f"{root}/ck")
     archived = [f for _, _, fs in os.walk(f"{root}/archive") for f in fs if f.endswith(".csv")]
     assert archived  # archiving lags one batch behind, but files do move
+
+
+def test_stream_scd2_late_change_and_null_key(spark, tmp_path):
+    """A@1, A@3 arrive first, B@2 later: history must become A, B, A; a null
+    key is a key like any other."""
+    from tidemark.operators.cdc import scd2
+    from tidemark.streaming.cdc import stream_scd2
+
+    schema = "k long, seq long, v string"
+    land = str(tmp_path / "land")
+    first = spark.createDataFrame([(1, 1, "A"), (1, 3, "A"), (None, 1, "x")], schema)
+    late = spark.createDataFrame([(1, 2, "B"), (None, 2, "y")], schema)
+    for part in (first, late):
+        part.coalesce(1).write.mode("append").option("header", True).csv(land)
+    s = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", 1).csv(land)
+    st = stream_scd2(s, str(tmp_path / "cdc"), str(tmp_path / "ck"), ["k"], "seq", track_columns=["v"], n_buckets=4)
+    got = sorted(((r["k"], r["v"], r["__START_AT"], r["__END_AT"]) for r in st.current(spark).collect()),
+                 key=lambda t: tuple((x is not None, x) for x in t))
+    want = sorted(((r["k"], r["v"], r["__START_AT"], r["__END_AT"]) for r in
+                   scd2(first.unionByName(late), ["k"], "seq", track_columns=["v"]).collect()),
+                  key=lambda t: tuple((x is not None, x) for x in t))
+    assert got == want
+    assert sorted((r[2], r[1], r[3]) for r in got if r[0] == 1) == [(1, "A", 2), (2, "B", 3), (3, "A", None)]

@@ -83,16 +83,19 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
          .partitionBy(BUCKET, BATCH).parquet(bronze))
 
         def compute() -> DataFrame:
+            # keys compared as one struct: null key fields match each other
+            kcol = F.struct(*[F.col(k) for k in keys]).alias("__key")
             log = spark.read.parquet(bronze)
             mine = log.filter(F.col(BATCH) == batch_id)
-            touched_keys = mine.select(*keys, BUCKET).distinct()
+            touched_keys = mine.select(kcol, BUCKET).distinct()
             touched = touched_keys.select(BUCKET).distinct()
             affected = (log.join(F.broadcast(touched), BUCKET, "left_semi")
-                        .join(touched_keys, [*keys, BUCKET], "left_semi"))
+                        .select("*", kcol).join(touched_keys, ["__key", BUCKET], "left_semi").drop("__key"))
             rebuilt = scd2(affected.drop(BATCH), keys, sequence_by, track_columns=track_columns, tiebreak=tiebreak,
                            columns=[*cols, BUCKET])
             rebuilt = rebuilt.select(*keys, *cols, START, END, BUCKET)
-            kept = state.read(spark, touched).join(touched_keys, [*keys, BUCKET], "left_anti")
+            kept = (state.read(spark, touched).select("*", kcol)
+                    .join(touched_keys, ["__key", BUCKET], "left_anti").drop("__key"))
             return kept.select(*keys, *cols, START, END, BUCKET).unionByName(rebuilt)
 
         state.apply(spark, batch_id, compute)
