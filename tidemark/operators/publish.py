@@ -110,3 +110,8 @@ def current_version(spark: SparkSession, table_root: str) -> str | None:
 def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
     v = current_version(spark, table_root)
     return spark.read.parquet(f"{table_root.rstrip('/')}/v={v}") if v is not None else None
+
+
+def empty_like(spark: SparkSession, schema) -> DataFrame:
+    """K-12: the empty target a CDC flow starts from (state before batch 0)."""
+    return spark.createDataFrame([], schema)
