@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +52,9 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     st.apply(spark, 0, lambda: st.with_bucket(base))
     upd = st.with_bucket(spark.createDataFrame([(3, "v1")], "k long, v string"))
     bucket = upd.first()["__bucket"]
-    same_bucket = st.read(spark, upd.select("__bucket")).drop("__bucket")
+    same_bucket = st.read(spark, st.bucket_ids(upd)).drop("__bucket")
+    plan = st.read(spark, [bucket])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"PartitionFilters: \[isnotnull\(__bucket#\d+\), \(__bucket#\d+ = {bucket}\)\]", plan)
     new = same_bucket.filter(F.col("k") != 3).unionByName(upd.drop("__bucket"))
     st.apply(spark, 1, lambda: st.with_bucket(new))
     got = {r.k: r.v for r in st.current(spark).collect()}

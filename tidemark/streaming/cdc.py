@@ -50,8 +50,7 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
         b = state.with_bucket(batch.select(*keys, *cols)).persist()
         try:
             def compute() -> DataFrame:
-                touched = b.select(BUCKET).distinct()
-                cur = state.read(spark, touched)
+                cur = state.read(spark, state.bucket_ids(b))
                 return scd1(b, keys, sequence_by, tiebreak=tiebreak, columns=[*cols, BUCKET], target=cur)
             state.apply(spark, batch_id, compute)
         finally:
@@ -88,8 +87,8 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             log = spark.read.parquet(bronze)
             mine = log.filter(F.col(BATCH) == batch_id)
             touched_keys = mine.select(kcol, BUCKET).distinct()
-            touched = touched_keys.select(BUCKET).distinct()
-            affected = (log.join(F.broadcast(touched), BUCKET, "left_semi")
+            touched = state.bucket_ids(mine)
+            affected = (log.filter(F.col(BUCKET).isin(touched))
                         .select("*", kcol).join(touched_keys, ["__key", BUCKET], "left_semi").drop("__key"))
             rebuilt = scd2(affected.drop(BATCH), keys, sequence_by, track_columns=track_columns, tiebreak=tiebreak,
                            columns=[*cols, BUCKET])

@@ -63,15 +63,21 @@ class BucketedState:
         fields = [f for f in self.schema.fields if f.name != BUCKET]
         return T.StructType(fields + [T.StructField(BUCKET, T.IntegerType(), True)])
 
-    def read(self, spark: SparkSession, buckets: DataFrame | None = None) -> DataFrame:
-        """The state, or only the partitions of ``buckets`` (a one-column
-        DataFrame of bucket numbers, at most ``n`` rows, so broadcasting it is
-        bounded; the semi join prunes the scan to the matching partitions)."""
+    @staticmethod
+    def bucket_ids(df: DataFrame) -> list[int]:
+        """The distinct buckets of ``df`` -- at most ``n`` small integers, so
+        bringing them to the driver is bounded."""
+        return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
+
+    def read(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
+        """The state, or only the partitions of ``buckets``: a literal ``IN``
+        list on the partition column, so the scan lists and reads only those
+        folders (static partition pruning)."""
         if not _exists(spark, self.data):
             return spark.createDataFrame([], self.stored_schema)
         st = spark.read.schema(self.stored_schema).parquet(self.data)
         if buckets is not None:
-            st = st.join(F.broadcast(buckets.select(BUCKET).distinct()), BUCKET, "left_semi")
+            st = st.filter(F.col(BUCKET).isin(list(buckets)))
         return st
 
     def committed(self, spark: SparkSession, batch_id: int) -> bool:
