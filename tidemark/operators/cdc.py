@@ -129,6 +129,7 @@ def scd2(
     chunk: Column | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    start_order_col: str | None = None,
 ) -> DataFrame:
     """M-07: validity intervals per key.
 
@@ -139,6 +140,9 @@ def scd2(
     ``__START_AT`` (first sequence of the version) and ``__END_AT`` (start of
     the next version, null while open).  Default tracked columns: all but keys
     and the order columns.  Equal sequences for one key without a tiebreak fail.
+    ``start_order_col`` also returns each version's first (sequence,
+    tiebreak...) as a struct -- what incremental maintenance needs to cut a
+    key's history exactly at a version boundary.
     """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
@@ -226,9 +230,12 @@ def scd2(
              F.min("__next").alias("__next_o"))
         .filter(F.col("__first_o").isNotNull())
     )
+    extra = [F.col("__first_o").alias(start_order_col)] if start_order_col else []
     return runs.select(
         *[F.col(f"__k.{k}").alias(k) for k in keys], *[F.col(f"__p.{c}").alias(c) for c in cols],
-        F.col(f"__first_o.{sequence_by}").cast(seq_type).alias(START), F.col(f"__next_o.{sequence_by}").cast(seq_type).alias(END),
+        F.col(f"__first_o.{sequence_by}").cast(seq_type).alias(START),
+        F.col(f"__next_o.{sequence_by}").cast(seq_type).alias(END),
+        *extra,
     )
 
 

@@ -9,7 +9,8 @@ A@3`` stored as one version cannot become ``A, B, A`` when ``B@2`` arrives),
 so every micro-batch first appends its rows to a bronze change log
 (partitioned by bucket and batch id, overwritten per batch id so a replay
 writes the same files again) and then recomputes the history of the *affected
-keys only* from that log.  Both run through :class:`BucketedState`.
+keys only*, and for each of them only from the version that holds its earliest
+new change.  Both run through :class:`BucketedState`.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from tidemark.streaming.ingest import run_available
 from tidemark.streaming.state import BUCKET, BucketedState
 
 BATCH = "__batch"
+START_O = "__START_ORDER"
 
 
 def _cols(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str] | None) -> list[str]:
@@ -63,12 +65,20 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], sequence_by: str, *,
                 track_columns: Sequence[str] | None = None, tiebreak: Sequence[str] = (),
                 columns: Sequence[str] | None = None, n_buckets: int = 64) -> BucketedState:
+    """Incremental type 2.  Per key touched by a micro-batch, only the log
+    rows from the first row of the stored version that contains the batch's
+    earliest change onwards are recomputed; earlier versions cannot change (no
+    new row precedes them) and are kept as stored.  Cost per batch follows the
+    depth of late arrival, not the length of a key's history."""
     keys = list(keys)
-    cols = _cols(stream, keys, [sequence_by, *tiebreak], columns)
+    order_cols = [sequence_by, *tiebreak]
+    cols = _cols(stream, keys, order_cols, columns)
+    order_type = T.StructType([stream.schema[c] for c in order_cols])
     out_schema = T.StructType(
         [stream.schema[c] for c in [*keys, *cols]]
         + [T.StructField(START, stream.schema[sequence_by].dataType, True),
-           T.StructField(END, stream.schema[sequence_by].dataType, True)]
+           T.StructField(END, stream.schema[sequence_by].dataType, True),
+           T.StructField(START_O, order_type, True)]
     )
     state = BucketedState(f"{root}/state", keys, out_schema, n_buckets)
     bronze = f"{root.rstrip('/')}/bronze"
@@ -84,18 +94,26 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
         def compute() -> DataFrame:
             # keys compared as one struct: null key fields match each other
             kcol = F.struct(*[F.col(k) for k in keys]).alias("__key")
+            order = F.struct(*[F.col(c) for c in order_cols])
             log = spark.read.parquet(bronze)
             mine = log.filter(F.col(BATCH) == batch_id)
-            touched_keys = mine.select(kcol, BUCKET).distinct()
             touched = state.bucket_ids(mine)
-            affected = (log.filter(F.col(BUCKET).isin(touched))
-                        .select("*", kcol).join(touched_keys, ["__key", BUCKET], "left_semi").drop("__key"))
-            rebuilt = scd2(affected.drop(BATCH), keys, sequence_by, track_columns=track_columns, tiebreak=tiebreak,
-                           columns=[*cols, BUCKET])
-            rebuilt = rebuilt.select(*keys, *cols, START, END, BUCKET)
-            kept = (state.read(spark, touched).select("*", kcol)
-                    .join(touched_keys, ["__key", BUCKET], "left_anti").drop("__key"))
-            return kept.select(*keys, *cols, START, END, BUCKET).unionByName(rebuilt)
+            first_new = mine.groupBy(kcol).agg(F.min(order).alias("__m"))
+            stored = state.read(spark, touched).select("*", kcol)
+            # start of the stored version holding the earliest new change (null: none -> whole key)
+            cut = (stored.join(first_new, "__key")
+                   .groupBy("__key").agg(F.max(F.when(F.col(START_O) <= F.col("__m"), F.col(START_O))).alias("__cut")))
+            affected = first_new.join(cut, "__key", "left").select("__key", "__cut")
+            suffix = (log.filter(F.col(BUCKET).isin(touched)).select("*", kcol)
+                      .join(affected, "__key")
+                      .filter(F.col("__cut").isNull() | (order >= F.col("__cut")))
+                      .drop("__key", "__cut", BATCH))
+            rebuilt = scd2(suffix, keys, sequence_by, track_columns=track_columns, tiebreak=tiebreak,
+                           columns=[*cols, BUCKET], start_order_col=START_O)
+            kept = (stored.join(affected.withColumn("__hit", F.lit(True)), "__key", "left")
+                    .filter(F.col("__hit").isNull() | (F.col("__cut").isNotNull() & (F.col(START_O) < F.col("__cut")))))
+            out = [*keys, *cols, START, END, START_O, BUCKET]
+            return kept.select(*out).unionByName(rebuilt.select(*out))
 
         state.apply(spark, batch_id, compute)
 
