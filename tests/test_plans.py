@@ -21,28 +21,46 @@ def _exchanges(df) -> int:
     return len(re.findall(r"Exchange hashpartitioning", _plan(df)))
 
 
-def test_two_version_merge_is_two_exchanges_and_one_join(spark, tmp_path):
+def _emp_files(spark, tmp_path):
     t0 = dt.datetime(2024, 1, 1)
     tgt = spark.createDataFrame(
-        [(1, "a", 1990, "F", "X", "e", 0, "Active", t0, t0, "f", t0)],
+        [(i, "a", 1990, "F", "X", "e", 0, "Active", t0, t0, "f", t0) for i in range(200)],
         "id long, name string, dob int, gender string, country string, email string, eskey int, status string, "
         "start_date timestamp_ntz, end_date timestamp_ntz, file_name string, created_date timestamp_ntz")
-    bat = spark.createDataFrame([(1, "b", 1990, "F", "X", "e", "g")],
+    bat = spark.createDataFrame([(1, "b", 1990, "F", "X", "e", "g"), (500, "n", 1990, "F", "X", "e", "g")],
                                 "id long, name string, dob int, gender string, country string, email string, "
                                 "file_name string")
     tgt.write.parquet(str(tmp_path / "t"))
     bat.write.parquet(str(tmp_path / "b"))
-    out = history.two_version_merge(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b")),
-                                    run_ts="2024-02-01 00:00:00")
-    plan = _plan(out)
-    assert _exchanges(out) == 2
-    assert plan.count("SortMergeJoin") == 1 and "FullOuter" in plan
+    return spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b"))
 
 
-def test_upsert_is_two_exchanges(spark):
-    t = spark.range(100).selectExpr("id", "cast(id as string) as v")
-    s = spark.range(50).selectExpr("id", "'x' as v")
-    assert _exchanges(merge.upsert_all(t, s, ["id"])) == 2
+def test_small_batch_merge_never_shuffles_the_target(spark, tmp_path):
+    """The staged batch keys are the build side of LEFT SEMI / LEFT ANTI: the
+    target is scanned and split by broadcast joins; only the touched slice
+    and the batch are shuffled."""
+    target, batch = _emp_files(spark, tmp_path)
+    out = history.two_version_merge(target, batch, run_ts="2024-02-01 00:00:00")
+    plan = _plan(out)
+    assert "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan and "FullOuter" not in plan
+    assert out.count() == 202
+    t2 = target.select("id", "name", "file_name")
+    up = merge.upsert_all(t2, batch.select("id", "name", "file_name"), ["id"])
+    plan = _plan(up)
+    assert "BroadcastHashJoin" in plan and "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan
+    assert up.count() == 201
+
+
+def test_large_batch_merge_shuffles_the_target_once(spark, tmp_path):
+    target, batch = _emp_files(spark, tmp_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        up = merge.upsert_all(target.select("id", "name"), batch.select("id", "name"), ["id"])
+        up.collect()
+        final = up._jdf.queryExecution().executedPlan().toString()
+        assert "ReusedExchange" in final or final.count("Exchange hashpartitioning(id") <= 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_type1_is_one_exchange_with_partial_aggregate(spark):

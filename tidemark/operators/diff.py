@@ -1,11 +1,12 @@
 """Change classification (C-01, C-02) and key checks (M-04).
 
-Plan shape (SURVEY 4.2): the batch is *left*-joined to the target, which gives
-``new`` / ``update`` / ``unchanged`` per batch row and lets AQE split a skewed
-batch key; ``missing`` comes from ``target LEFT ANTI distinct(batch keys)``,
-where the distinct is partially aggregated before the shuffle so a hot key
-collapses to one row per map task.  The target side is projected identically
-in both joins so its exchange is shared.
+Plan shape: the distinct batch keys (partially aggregated, so a hot key
+collapses to one row per map task) split the target by ``LEFT SEMI`` /
+``LEFT ANTI``.  The key set is the build side: with a small batch it is
+broadcast and the large target is only scanned.  ``missing`` is the anti
+side; the batch is left-joined to the semi side (small against small, and the
+batch is the streamed side, so AQE may split a skewed batch key) for ``new``
+/ ``update`` / ``unchanged``.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import changed_columns, differs_prefixed
+from tidemark.operators.merge import split_by_keys
+from tidemark.session import stage
 
 # Fixed labels: ours, and the reference's (which folds unchanged and missing).
 LABELS = {"new": "new", "update": "update", "unchanged": "unchanged", "missing": "missing", "null_key": "null_key"}
@@ -36,6 +39,7 @@ def classify_changes(
     *,
     labels: dict[str, str] | None = None,
     with_changed_columns: bool = False,
+    stage_keys: bool = True,
 ) -> DataFrame:
     """Classify every key of ``batch`` and ``target``.
 
@@ -52,7 +56,11 @@ def classify_changes(
     t = target.select(*keys, *[F.col(c).alias(f"t__{c}") for c in cmp], F.lit(True).alias("t__present"))
     b = batch.select(*keys, *[F.col(c).alias(f"b__{c}") for c in cmp])
 
-    joined = b.join(t, keys, "left")
+    batch_keys = batch.select(*keys).filter(~_any_null(keys)).distinct()
+    if stage_keys:
+        batch_keys = stage(batch_keys, "classify-keys")
+    t_touched, t_rest = split_by_keys(t, batch_keys, keys)
+    joined = b.join(t_touched, keys, "left")
     if cmp:
         is_update = differs_prefixed(cmp, "t__", "b__")
     else:
@@ -70,8 +78,7 @@ def classify_changes(
         )
     from_batch = joined.select(*out_cols)
 
-    batch_keys = batch.select(*keys).filter(~_any_null(keys)).distinct()
-    missing = t.join(batch_keys, keys, "left_anti").select(*keys, F.lit(labels["missing"]).alias("change"))
+    missing = t_rest.select(*keys, F.lit(labels["missing"]).alias("change"))
     if with_changed_columns:
         missing = missing.withColumn("changed_columns", F.lit(None).cast("array<string>"))
     return from_batch.unionByName(missing)

@@ -4,12 +4,14 @@ Two-version table model (M-05): per key at most one ``Active`` row (``eskey``
 0) and one ``InActive`` row (``eskey`` 1), with ``start_date``, ``end_date``
 and ``created_date``, plus an origin column (``file_name``).
 
-Plan (SURVEY 4.2): the target is pivoted to one row per key (``active`` and
-``inactive`` structs, by partial + final aggregate), the batch is reduced to one
-row per key (same), the two meet in **one** full outer join that needs no
-further exchange (both sides are already hash-partitioned on the key), and each
-joined row ``inline``-s the 0, 1 or 2 rows it contributes to the new state.
-The reference needed four joins and two actions for the same result.
+Plan: the batch is reduced to one row per key (partial + final aggregate,
+which also enforces one batch row per key); the target is split against the
+batch keys by ``LEFT SEMI`` / ``LEFT ANTI`` (the key set is the build side: a
+small batch is broadcast and the target is scanned, not shuffled); untouched
+rows are copied; the touched slice is pivoted to one row per key (``active``
+and ``inactive`` structs) and left-joined to the batch, and each joined row
+``inline``-s the 1 or 2 rows it contributes to the new state.  The reference
+needed four joins and two actions for the same result.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import differs
 from tidemark.functions.text import mask_email
-from tidemark.operators.merge import ACTION, dedupe_source, upsert_all
+from tidemark.operators.merge import ACTION, dedupe_source, split_by_keys, upsert_all
+from tidemark.session import stage
 
 # Fixed values of the two-version model.
 ACTIVE, INACTIVE = "Active", "InActive"
@@ -49,6 +52,7 @@ def two_version_merge(
     on_duplicates: str = "error",
     sequence_by: Sequence[str] | None = None,
     observation: Observation | None = None,
+    stage_source: bool = True,
 ) -> DataFrame:
     """M-05: apply ``batch`` to a two-version table; returns the new table state.
 
@@ -68,10 +72,18 @@ def two_version_merge(
     far = _ts(FAR_END, ts_type)
     payload = [c for c in tcols if c != key]
 
+    b_cols = [c for c in (*values, origin) if c in batch.columns]
+    b_agg = dedupe_source(batch.select(key, *b_cols), [key], b_cols,
+                          on_duplicates=on_duplicates, sequence_by=sequence_by, what="two-version batch")
+    if stage_source:
+        b_agg = stage(b_agg, "two-version-batch")
+    # keys absent from the batch are copied untouched; only the touched slice is pivoted
+    touched, untouched = split_by_keys(target, b_agg, [key])
+
     row = F.struct(*[F.col(c) for c in payload])
     st = F.col("status")
     t_agg = (
-        target.groupBy(key)
+        touched.groupBy(key)
         .agg(
             F.max(F.when(st == ACTIVE, row)).alias("a"),
             F.max(F.when(st == INACTIVE, row)).alias("i"),
@@ -83,10 +95,7 @@ def two_version_merge(
                        "two-version target: more than one Active/InActive row, or unknown status, for a key"))
         .select(key, "a", "i")
     )
-    b_cols = [c for c in (*values, origin) if c in batch.columns]
-    b_agg = dedupe_source(batch.select(key, *b_cols), [key], b_cols,
-                          on_duplicates=on_duplicates, sequence_by=sequence_by, what="two-version batch")
-    j = t_agg.join(b_agg, key, "full_outer")
+    j = b_agg.join(t_agg, key, "left")
 
     a, i, b = F.col("a"), F.col("i"), F.col("s")
     cmp = values + ([origin] if compat else [])
@@ -127,7 +136,7 @@ def two_version_merge(
         .when(changed, F.array(new_version, old_version))
         .otherwise(F.array_compact(F.array(stored(a), stored(i))))
     )
-    res = j.select(F.inline(rows))
+    res = j.select(F.inline(rows)).unionByName(untouched.select(*tcols, F.lit("copy").alias(ACTION)))
     if observation is not None:
         res = res.observe(
             observation,
@@ -145,6 +154,7 @@ def versioned_history_merge(
     key: str = "id",
     values: Sequence[str] = ("name", "mobile"),
     run_ts: str | Column | None = None,
+    stage_source: bool = True,
 ) -> DataFrame:
     """M-08: version 0 = current, 1 = previous; every touched key gets both.
 
@@ -160,28 +170,34 @@ def versioned_history_merge(
     tcols = target.columns
     types = dict(target.dtypes)
     run = _ts(run_ts, types["datetime"]) if run_ts is not None else F.current_timestamp().cast(types["datetime"])
+    b = dedupe_source(batch.select(key, *values), [key], values, what="versioned batch")
+    if stage_source:
+        b = stage(b, "versioned-batch")
+    touched, untouched = split_by_keys(target, b, [key])
     t = (
-        target.groupBy(key)
+        touched.groupBy(key)
         .agg(F.max(F.struct(*[F.col(c) for c in values])).alias("t"),
              F.count(F.lit(1)).alias("n"), F.count_if(F.col("version") != 0).alias("n_old"))
         .filter(_check((F.col("n") == 1) & (F.col("n_old") == 0),
                        "versioned target: expected exactly one version-0 row per key"))
         .select(key, "t")
     )
-    b = dedupe_source(batch.select(key, *values), [key], values, what="versioned batch")
-    j = t.join(b, key, "full_outer")
+    j = b.join(t, key, "left")
 
     def make(src: str, version: int) -> Column:
         vals = {key: F.col(key), **{c: F.col(f"{src}.{c}") for c in values}}
         vals.update(version=F.lit(version), datetime=run, status=F.lit(ACTIVE if version == 0 else INACTIVE))
         return F.struct(*[vals[c].cast(types[c]).alias(c) for c in tcols])
 
-    rows = (
-        F.when(F.col("t").isNull(), F.array(make("s", 0)))
-        .when(F.col("s").isNull(), F.array(make("t", 0)))
-        .otherwise(F.array(make("s", 0), make("t", 1)))
-    )
-    return j.select(F.inline(rows))
+    rows = F.when(F.col("t").isNull(), F.array(make("s", 0))).otherwise(F.array(make("s", 0), make("t", 1)))
+    # untouched keys keep their version; datetime and status are restamped on every row
+    rest = untouched.select(*[
+        run.cast(types[c]).alias(c) if c == "datetime"
+        else F.when(F.col("version") == 0, F.lit(ACTIVE)).otherwise(F.lit(INACTIVE)).cast(types[c]).alias(c)
+        if c == "status" else F.col(c)
+        for c in tcols
+    ])
+    return j.select(F.inline(rows)).unionByName(rest)
 
 
 def current_snapshot(history: DataFrame, *, status_col: str = "status", day: str | Column | None = None,

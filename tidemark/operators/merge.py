@@ -4,11 +4,13 @@ Stock Parquet tables cannot ``MERGE``, so every merge here is a pure function
 ``(target, source) -> new target state``.  The shape is always:
 
 1. the source is aggregated by key (partial aggregation first, so a hot key
-   costs one row per map task) -- this both enforces the M-04 rule (one source
-   row per target key) and gives a key-partitioned side that needs no further
-   exchange;
-2. one join with the target on the key;
-3. one projection that picks, per column, the updated or the stored value.
+   costs one row per map task) -- this enforces the M-04 rule (one source
+   row per target key);
+2. the target is split by ``LEFT SEMI`` / ``LEFT ANTI`` against the source
+   keys: the key set is the build side, so a small batch is broadcast and the
+   (large) target is scanned but not shuffled; untouched rows are copied;
+3. only the touched slice is joined with the source, and one projection picks,
+   per column, the updated or the stored value.
 
 Counts of inserted / updated / deleted / copied rows are collected with an
 optional :class:`pyspark.sql.Observation` while the result is written, so the
@@ -23,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
+
 ACTION = "__action"
 
 
@@ -75,6 +79,17 @@ def dedupe_source(
     return agg.filter(check).select(*keys, "s")
 
 
+def split_by_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(touched, untouched)`` target rows: ``LEFT SEMI`` / ``LEFT ANTI`` on the
+    source's (unique) keys.  The key set is the build side, so a small batch is
+    broadcast and the target is only scanned, never shuffled; a large batch
+    makes both joins share one exchange of the target.  Only the touched slice
+    meets the merge logic."""
+    keys = list(keys)
+    k = source_keys.select(*keys)
+    return target.join(k, keys, "left_semi"), target.join(k, keys, "left_anti")
+
+
 def _finish(df: DataFrame, columns: Sequence[str], observation: Observation | None) -> DataFrame:
     if observation is not None:
         df = df.observe(
@@ -95,6 +110,7 @@ def upsert_all(
     on_duplicates: str = "error",
     sequence_by: Sequence[str] | None = None,
     observation: Observation | None = None,
+    stage_source: bool = True,
 ) -> DataFrame:
     """M-01: matched keys take all source values, unmatched source rows are inserted.
 
@@ -105,7 +121,7 @@ def upsert_all(
         target, source, keys,
         update_set={c: f"s.{c}" for c in target.columns if c not in keys},
         insert_values={c: f"s.{c}" for c in target.columns},
-        on_duplicates=on_duplicates, sequence_by=sequence_by, observation=observation,
+        on_duplicates=on_duplicates, sequence_by=sequence_by, observation=observation, stage_source=stage_source,
     )
 
 
@@ -121,6 +137,7 @@ def upsert_mapped(
     on_duplicates: str = "error",
     sequence_by: Sequence[str] | None = None,
     observation: Observation | None = None,
+    stage_source: bool = True,
 ) -> DataFrame:
     """M-02: ``MERGE`` with explicit ``SET`` / ``VALUES`` maps.
 
@@ -129,6 +146,9 @@ def upsert_mapped(
     from ``update_set`` keep their value; missing from ``insert_values`` are null.
     ``update_set=None`` means no ``WHEN MATCHED`` clause, ``insert_values=None``
     no ``WHEN NOT MATCHED``.  ``delete_condition`` deletes matched rows (M-03).
+    ``stage_source`` writes the de-duplicated source to the shared checkpoint
+    folder first (an action): its real size then decides broadcast or shuffle,
+    and duplicate-key errors surface right here.
     """
     keys = list(keys)
     tcols = target.columns
@@ -136,8 +156,12 @@ def upsert_mapped(
     needed = sorted(set(source.columns))
     src = dedupe_source(source, keys, [c for c in needed if c not in keys] + keys,
                         on_duplicates=on_duplicates, sequence_by=sequence_by)
-    tgt = target.select(*keys, F.struct(*[F.col(c) for c in tcols]).alias("t"))
-    j = tgt.join(src, keys, "full_outer")
+    if stage_source:
+        src = stage(src, "merge-source")
+    touched, untouched = split_by_keys(target, src, keys)
+    tgt = touched.select(*keys, F.struct(*[F.col(c) for c in tcols]).alias("t"))
+    # every touched target row has its source row: the source side is preserved
+    j = src.join(tgt, keys, "left")
 
     has_t, has_s = F.col("t").isNotNull(), F.col("s").isNotNull()
     matched = has_t & has_s
@@ -165,6 +189,7 @@ def upsert_mapped(
         .when(has_t, "copy").otherwise("skip")
     )
     res = j.select(*out, action.alias(ACTION)).filter(F.col(ACTION) != "skip")
+    res = res.unionByName(untouched.select(*tcols, F.lit("copy").alias(ACTION)))
     return _finish(res, tcols, observation)
 
 

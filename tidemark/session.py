@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -54,3 +54,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tidemark-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared checkpoint root and read
+    it back.
+
+    Cuts the lineage (a lost executor recomputes from the staged files, not
+    from the whole input) and gives the planner the *real* size of the data:
+    a join against it is broadcast only when the written files are under
+    ``spark.sql.autoBroadcastJoinThreshold``, otherwise it is shuffled.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
