@@ -288,3 +288,40 @@ def test_errors_are_spark_errors(spark):
     df = spark.createDataFrame([(1,)], "v int")
     with pytest.raises(PySparkException):
         quality.expect_or_fail(df, {"never": "v < 0"}).collect()
+
+
+# ------------------------------------------------------------------ O-07 end to end
+def test_merge_metrics_flow_into_the_audit_table(spark):
+    import datetime as _dt
+
+    from tidemark.operators import audit
+
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    s = spark.createDataFrame([(1, "A"), (3, "c")], "id long, v string")
+    obs = Observation("merge1")
+    merge.upsert_all(t, s, ["id"], observation=obs).write.format("noop").mode("overwrite").save()
+    log1 = audit.commit_log(spark, "1", "MERGE", obs, ts=_dt.datetime(2024, 1, 1), user="u")
+    log2 = audit.commit_log(spark, "2", "MERGE", {"num_inserted": 5, "num_updated": 0, "num_deleted": 1},
+                            ts=_dt.datetime(2024, 1, 2), user="u")
+    log3 = audit.commit_log(spark, "3", "OPTIMIZE", {"num_inserted": 9}, ts=_dt.datetime(2024, 1, 3), user="u")
+    commits = log1.unionByName(log2).unionByName(log3)
+    piv = {r.version: r for r in audit.metrics_pivot(commits).collect()}
+    assert set(piv) == {"1", "2"}  # OPTIMIZE is not audited
+    assert (piv["1"].numTargetRowsInserted, piv["1"].numTargetRowsUpdated, piv["1"].numTargetRowsDeleted) == (1, 1, 0)
+    empty = spark.createDataFrame([], "operation string, update_time timestamp, user_name string, "
+                                      "notebook_name string, numTargetRowsInserted bigint, "
+                                      "numTargetRowsUpdated bigint, numTargetRowsDeleted bigint")
+    out = audit.merge_audit(empty, audit.metrics_pivot(commits), notebook_name="nb").collect()
+    assert len(out) == 1 and out[0].numTargetRowsInserted == 5 and out[0].notebook_name == "nb"
+
+
+def test_classes_partition_the_union_of_keys(spark):
+    import random
+
+    rnd = random.Random(3)
+    t = spark.createDataFrame([(i, rnd.choice("ab")) for i in range(0, 300, 2)], "id long, v string")
+    b = spark.createDataFrame([(i, rnd.choice("ab")) for i in range(0, 300, 3)], "id long, v string")
+    got = diff.classify_changes(t, b, ["id"], ["v"]).collect()
+    ids = [r.id for r in got]
+    assert len(ids) == len(set(ids))
+    assert set(ids) == set(range(0, 300, 2)) | set(range(0, 300, 3))
