@@ -49,3 +49,14 @@ def test_append_aligned_by_name_with_casts(spark):
     with pytest.raises(Exception):
         append_aligned(target, bad).collect()
     assert append_aligned(target, bad, strict=False).filter("id is null").count() == 1
+
+
+def test_cluster_conf_and_gate(spark):
+    from tidemark.operators.quality import has_rows
+    from tidemark.session import cluster_conf
+
+    conf = cluster_conf(100 << 40, 8000, checkpoint_dir="hdfs:///shared/ckpt")
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert conf["spark.checkpoint.dir"] == "hdfs:///shared/ckpt"
+    assert int(cluster_conf(1 << 20, 64)["spark.sql.shuffle.partitions"]) == 192
+    assert has_rows(spark.range(3)) and not has_rows(spark.range(0))

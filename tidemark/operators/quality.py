@@ -162,3 +162,10 @@ def route_by(df: DataFrame, routes: Sequence[tuple[str, str | Column]], *, defau
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     expr = expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
     return df.withColumn(route_col, expr)
+
+
+def has_rows(df: DataFrame) -> bool:
+    """A-04 gate: is there anything to write?  Reads at most one row
+    (``limit(1)``), never a full count; prefer an :class:`Observation` on the
+    write itself when the count is wanted anyway."""
+    return len(df.limit(1).take(1)) > 0

@@ -69,3 +69,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
+                 checkpoint_dir: str | None = None) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    Shuffle partitions: enough that each holds about ``target_partition_bytes``
+    and at least three waves of tasks; AQE coalesces small ones and splits
+    skewed join partitions at run time.  Scan splits use the same target size.
+    ``checkpoint_dir`` must be a shared file system path (lineage cuts, staged
+    merge sources, stream state).
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.ui.enabled": "false",
+    }
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
+    return conf
