@@ -102,6 +102,19 @@ def q_stream_cdc_scd2(spark, sf):
     return state.current(spark).select("user_id", *EV_COLS, "__START_AT", "__END_AT")
 
 
+@register("stream_current_snapshot", SCD2_TRACKED_SQL + "\nselect * from h where __END_AT is null")
+def q_stream_current_snapshot(spark, sf):
+    """T-07: gold follows the type 2 table: open versions, refreshed per micro-batch."""
+    from tidemark.streaming.state import BUCKET
+
+    root, landing = land_events(spark, sf, "stream_current")
+    s = file_stream(spark, landing, EVENT_SCHEMA, max_files_per_trigger=1)
+    scdc.stream_scd2(s, f"{root}/cdc", f"{root}/_checkpoint", ["user_id"], "ts", track_columns=["event_type"],
+                     tiebreak=["event_id"], columns=EV_COLS, n_buckets=16, current_root=f"{root}/gold")
+    gold = spark.read.parquet(f"{root}/gold/data").drop(BUCKET)
+    return gold.select("user_id", *EV_COLS, "__START_AT", "__END_AT")
+
+
 DROP_RULES = {"event type present": "event_type is not null", "value is a number": "value is not null"}
 FAIL_RULES = {"no rescued data": f"{files.RESCUE} is null"}
 

@@ -64,12 +64,18 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 
 def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], sequence_by: str, *,
                 track_columns: Sequence[str] | None = None, tiebreak: Sequence[str] = (),
-                columns: Sequence[str] | None = None, n_buckets: int = 64) -> BucketedState:
+                columns: Sequence[str] | None = None, n_buckets: int = 64,
+                current_root: str | None = None) -> BucketedState:
     """Incremental type 2.  Per key touched by a micro-batch, only the log
     rows from the first row of the stored version that contains the batch's
     earliest change onwards are recomputed; earlier versions cannot change (no
     new row precedes them) and are kept as stored.  Cost per batch follows the
-    depth of late arrival, not the length of a key's history."""
+    depth of late arrival, not the length of a key's history.
+
+    ``current_root`` also maintains the current snapshot (open versions only,
+    T-07) as its own bucketed table, refreshed for the touched buckets at the
+    end of every micro-batch under the same batch id.
+    """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
     cols = _cols(stream, keys, order_cols, columns)
@@ -81,6 +87,7 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
            T.StructField(START_O, order_type, True)]
     )
     state = BucketedState(f"{root}/state", keys, out_schema, n_buckets)
+    current = BucketedState(current_root, keys, out_schema, n_buckets) if current_root else None
     bronze = f"{root.rstrip('/')}/bronze"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -116,6 +123,9 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             return kept.select(*out).unionByName(rebuilt.select(*out))
 
         state.apply(spark, batch_id, compute)
+        if current is not None and not current.committed(spark, batch_id):
+            touched = state.bucket_ids(spark.read.parquet(bronze).filter(F.col(BATCH) == batch_id))
+            current.apply(spark, batch_id, lambda: state.read(spark, touched).filter(F.col(END).isNull()))
 
     run_available(stream, checkpoint, sink=apply)
     return state
