@@ -27,7 +27,14 @@ RUN_TS = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's table ``name``.  The DataFrame (listing, footer, schema) is
+    kept per session: the test tables are read-only, and every query reads a
+    few of them."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = spark.__dict__.setdefault("_tidemark_tables", {})
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def ts(text: str) -> Column:
