@@ -198,16 +198,21 @@ def merge_delete(
     source: DataFrame,
     keys: Sequence[str],
     target_condition: str | Column | None = None,
+    *,
+    stage_source: bool = True,
 ) -> DataFrame:
     """M-03: remove target rows whose key is in ``source`` and that satisfy
     ``target_condition`` (``WHEN MATCHED AND cond THEN DELETE``).
 
     ``target LEFT ANTI distinct(source keys)`` with the condition inside the
     join: rows failing the condition find no partner and are kept.  The
-    distinct is partially aggregated, so a skewed source key is harmless.
+    distinct is partially aggregated, so a skewed source key is harmless, and
+    staged, so a small key set is broadcast and the target is not shuffled.
     """
     keys = list(keys)
     k = source.select(*[F.col(c).alias(f"__k_{c}") for c in keys]).distinct()
+    if stage_source:
+        k = stage(k, "merge-delete-keys")
     cond = reduce(lambda a, b: a & b, [target[c] == k[f"__k_{c}"] for c in keys])
     if target_condition is not None:
         cond = cond & _expr(target_condition)
