@@ -158,7 +158,7 @@ def versioned_history_merge(
 ) -> DataFrame:
     """M-08: version 0 = current, 1 = previous; every touched key gets both.
 
-    Well-defined part of the notebook flow: the target must hold a single
+    Well-defined part of the versioned-history flow: the target must hold a single
     ``Active`` (version 0) row per key and nothing else (else the job fails);
     a batch key present in the target turns the stored row into version 1 /
     ``InActive`` and adds the batch row as version 0 / ``Active`` (changed or
