@@ -47,3 +47,18 @@ def test_inline_rows_and_range(spark):
     assert spark.createDataFrame([(1, "a")], schema).count() == 1
     assert spark.createDataFrame([(1, "a")], "id int, name string").columns == ["id", "name"]
     assert spark.range(1).count() == 1
+
+
+def test_replace_table_and_read_table_as_stream(spark, tmp_path):
+    """K-02 (create or replace = overwrite saveAsTable) and S-09 (a table read
+    statically and as a stream)."""
+    name = f"rep_{uuid.uuid4().hex[:8]}"
+    spark.range(3).write.mode("overwrite").option("path", str(tmp_path / "rep")).saveAsTable(name)
+    spark.range(5).write.mode("overwrite").option("path", str(tmp_path / "rep")).saveAsTable(name)
+    assert spark.table(name).count() == 5
+    q = (spark.readStream.table(name).writeStream.format("parquet")
+         .option("path", str(tmp_path / "copy")).option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "copy")).count() == 5
+    spark.sql(f"DROP TABLE {name}")
