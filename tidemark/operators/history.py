@@ -29,8 +29,6 @@ from tidemark.session import stage
 ACTIVE, INACTIVE = "Active", "InActive"
 FAR_END = "9999-12-31 00:00:00"
 
-SYSTEM = ("eskey", "status", "start_date", "end_date", "created_date")
-
 
 def _ts(v: str | Column, dtype: str) -> Column:
     return (F.lit(v) if isinstance(v, str) else v).cast(dtype)

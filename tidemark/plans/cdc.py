@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, history
 from tidemark.plans.fixtures import table
