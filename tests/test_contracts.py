@@ -325,3 +325,29 @@ def test_classes_partition_the_union_of_keys(spark):
     ids = [r.id for r in got]
     assert len(ids) == len(set(ids))
     assert set(ids) == set(range(0, 300, 2)) | set(range(0, 300, 3))
+
+
+def test_write_quarantined_single_pass(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "v int, w string")
+    quality.write_quarantined(df, {"v set": "v is not null"}, str(tmp_path / "q"))
+    back = spark.read.parquet(str(tmp_path / "q"))
+    assert back.filter("side = 'bad'").count() == 1 and back.filter("side = 'good'").count() == 2
+    plan = back.filter("side = 'bad'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(side" in plan
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the changes: type 1, latest-wins upsert and
+    conflict reports stay exact (partial aggregation absorbs the hot key)."""
+    from tidemark.operators import cdc
+
+    n = 3000
+    rows = [((0 if i % 3 == 0 else i), i, f"v{i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, seq long, v string").repartition(8)
+    t1 = {r.k: r.v for r in cdc.scd1(df, ["k"], "seq", columns=["v"]).collect()}
+    assert t1[0] == f"v{n - 3}" and len(t1) == 1 + (n - n // 3)
+    target = spark.createDataFrame([(0, 0, "old")], "k long, seq long, v string")
+    up = {r.k: r.v for r in merge.upsert_all(target, df, ["k"], on_duplicates="latest", sequence_by=["seq"]).collect()}
+    assert up == t1
+    conflicts = {r.k: r.n_rows for r in merge.merge_conflicts(df, ["k"]).collect()}
+    assert conflicts == {0: n // 3}

@@ -169,3 +169,13 @@ def has_rows(df: DataFrame) -> bool:
     (``limit(1)``), never a full count; prefer an :class:`Observation` on the
     write itself when the count is wanted anyway."""
     return len(df.limit(1).take(1)) > 0
+
+
+def write_quarantined(df: DataFrame, rules: Rules, path: str, *, fmt: str = "parquet",
+                      column: str = FAILED) -> None:
+    """Q-04 sink: one pass over the input writes good and bad rows together,
+    partitioned by ``side`` (``side=good`` / ``side=bad`` folders); readers
+    of either side prune to their folder."""
+    tagged = tag_failures(df, rules, column).withColumn(
+        "side", F.when(F.size(column) > 0, F.lit("bad")).otherwise(F.lit("good")))
+    tagged.write.mode("overwrite").format(fmt).partitionBy("side").save(path)
