@@ -351,3 +351,9 @@ def test_hot_key_third_of_rows(spark):
     assert up == t1
     conflicts = {r.k: r.n_rows for r in merge.merge_conflicts(df, ["k"]).collect()}
     assert conflicts == {0: n // 3}
+
+
+def test_rescue_matches_names_case_insensitively(spark):
+    df = spark.createDataFrame([("7", "x")], "ID string, Name string")
+    out = files.rescue(df, {"id": "int", "name": "string"}).first()
+    assert out.id == 7 and out.name == "x" and out._rescued_data is None

@@ -116,14 +116,19 @@ def rescue(df: DataFrame, schema: T.StructType | Mapping[str, str], *, column: s
         types = {f.name: f.dataType.simpleString() for f in schema.fields}
     else:
         types = dict(schema)
-    typed = [F.col(c).try_cast(t).alias(c) if c in df.columns else F.lit(None).cast(t).alias(c)
+    # column names match case-insensitively, as Spark resolves them
+    have = {c.lower(): c for c in df.columns}
+    src = {c: have.get(c.lower()) for c in types}
+    typed = [F.col(src[c]).try_cast(t).alias(c) if src[c] else F.lit(None).cast(t).alias(c)
              for c, t in types.items()]
     bad = []
     for c, t in types.items():
-        if c in df.columns:
-            bad += [F.lit(c), F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.col(c).cast("string"))]
+        if src[c]:
+            v = F.col(src[c])
+            bad += [F.lit(c), F.when(v.isNotNull() & v.try_cast(t).isNull(), v.cast("string"))]
+    known = {s.lower() for s in src.values() if s}
     for c in df.columns:
-        if c not in types and c != column:
+        if c.lower() not in known and c != column:
             bad += [F.lit(c), F.col(c).cast("string")]
     if bad:
         m = F.map_filter(F.create_map(*bad), lambda k, v: v.isNotNull())
