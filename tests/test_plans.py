@@ -103,10 +103,17 @@ def test_no_python_evaluation_in_any_batch_query(spark):
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
 
-def test_hot_key_list_is_capped_and_broadcast(spark):
-    df = spark.range(1000).selectExpr("id % 3 as k", "id as seq", "cast(id % 2 as string) as v")
-    plan = _plan(cdc.scd2(df, ["k"], "seq", track_columns=["v"], max_hot_keys=5))
-    assert "TakeOrderedAndProject(limit=5" in plan and "BroadcastExchange" in plan
+def test_hot_keys_take_the_chunked_path_and_others_the_single_window(spark):
+    df = spark.range(3000).selectExpr("id % 3 as k", "id as seq", "cast(id % 2 as string) as v")
+    split = cdc.scd2(df, ["k"], "seq", track_columns=["v"], hot_key_rows=100, max_hot_keys=2)
+    plan = _plan(split)
+    # cold keys: the anti join against the broadcast hot list; hot keys: staged per-chunk runs
+    assert "LeftAnti" in plan and "scd2-local-runs" in plan and "Union" in plan
+    whole = cdc.scd2(df, ["k"], "seq", track_columns=["v"])  # no key reaches the default threshold
+    plain = _plan(whole)
+    assert "LeftSemi" not in plain and "Union" in plain  # the union of own/successor run rows only
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, split.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
 
 
 def test_expect_or_fail_guard_survives_projection(spark):

@@ -5,28 +5,25 @@ Type 1 is one aggregate: per key ``max_by(row, (sequence, tiebreak..., source))`
 third of all changes still sends one row per map task.
 
 Type 2 has to see the changes of a key in order.  A plain ``lag`` over
-``PARTITION BY key`` would put a hot key into one task, so the default plan
-splits every key's history into *chunks* of the sequence (hour of a timestamp,
-blocks of an integer sequence, ...):
+``PARTITION BY key`` puts a hot key into one task, so:
 
-1. ``PARTITION BY key, chunk ORDER BY sequence``: ``lag`` of the tracked values
-   numbers the runs inside each chunk; runs are aggregated per chunk right away
-   (same partitioning, no exchange);
-2. one row per (key, chunk) -- first and last tracked values, number of local
-   runs -- is ordered by chunk per key: that small table decides whether a
-   chunk's first run continues the previous chunk's last run, and gives every
-   chunk its run-number offset;
-3. local runs get global run ids and are aggregated per (key, run id); every
-   local run also reports its start to run id - 1, so the same aggregate
-   yields each run's end -- no self-join, no ``lead`` over the whole key.
+* a key-only count first finds *hot* keys (at least ``hot_key_rows``
+  changes; at most ``max_hot_keys`` of them, so the list brought to the driver
+  and broadcast back is bounded);
+* every other key keeps one window partition: ``lag`` of the tracked values
+  numbers its runs, runs are aggregated in the same partitioning, and that is
+  all -- one exchange on the rows;
+* the changes of hot keys are split into *chunks* of the sequence (hour of a
+  timestamp, blocks of an integer sequence, a prefix of text).  Windows run
+  per (key, chunk); the per-chunk runs are staged; one row per (key, chunk)
+  -- first and last tracked values, number of runs -- is ordered by chunk per
+  key and decides whether a chunk's first run continues the previous chunk's
+  last run and where each chunk's run numbers start.
 
-Only *hot* keys are chunked (found by a key-only count; at most
-``max_hot_keys`` of them, so the broadcast of their names is bounded); every
-other key is a single chunk, so without skew the plan is the classic
-whole-key window.  Every exchange is on (key, chunk), on (key, run id) or over
-the chunk summary, so no task ever holds a whole hot key.  An explicit
-``chunk`` applies to all keys; ``chunk=F.lit(0)`` is the plain single-window
-plan.  All variants are exact.
+In both paths every run also reports its start to run id - 1, so a single
+aggregate over (key, run id) yields each run's start, last row and end: no
+self-join and no ``lead`` over a whole key.  An explicit ``chunk`` applies the
+chunked plan to all keys.  All variants are exact.
 """
 
 from __future__ import annotations
@@ -37,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import stage
+
 START, END = "__START_AT", "__END_AT"
 INTEGER_CHUNK = 1 << 20
 HOT_KEY_ROWS = 1 << 20
@@ -130,6 +129,7 @@ def scd2(
     hot_key_rows: int = HOT_KEY_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
     start_order_col: str | None = None,
+    split_hot_keys: bool = True,
 ) -> DataFrame:
     """M-07: validity intervals per key.
 
@@ -151,24 +151,54 @@ def scd2(
         if c not in cols:
             cols.append(c)
     track = list(track_columns) if track_columns is not None else [c for c in cols if c not in order_cols]
-    if chunk is None:
-        # Split only hot keys: a key-only count (partial aggregate; the scan
-        # reads just the key columns) finds keys with at least
-        # ``hot_key_rows`` changes, the largest ``max_hot_keys`` of them -- a
-        # bounded broadcast.  Those keys are chunked by the sequence; every
-        # other key stays one chunk, i.e. one window partition.
-        hot = (
-            changes.groupBy(F.struct(*[F.col(k) for k in keys]).alias("__k"))
-            .agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") >= hot_key_rows)
-            .orderBy(F.col("__n").desc())
-            .limit(max_hot_keys)
-            .select("__k", F.lit(True).alias("__hot"))
-        )
-        changes = changes.withColumn("__k_probe", F.struct(*[F.col(k) for k in keys])).join(
-            F.broadcast(hot.withColumnRenamed("__k", "__k_probe")), "__k_probe", "left")
-        chunk = F.when(F.col("__hot"), default_chunk(changes.schema[sequence_by].dataType, F.col(sequence_by)))
+    args = (keys, sequence_by, cols, track, order_cols, bool(tiebreak), start_order_col)
+    if chunk is not None:
+        return _scd2_core(changes, *args, chunk=chunk)
+    if not split_hot_keys:
+        return _scd2_core(changes, *args, chunk=None)
+    # Hot keys: a key-only count (partial aggregate; the scan reads only the
+    # key columns) finds keys with at least ``hot_key_rows`` changes, the
+    # largest ``max_hot_keys`` of them -- a bounded list, brought to the
+    # driver and broadcast back.  Their changes are chunked by the sequence;
+    # all other keys keep one window partition each and skip the chunk
+    # machinery entirely.
+    kstruct = F.struct(*[F.col(k) for k in keys])
+    hot_rows = (
+        changes.groupBy(kstruct.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") >= hot_key_rows).orderBy(F.col("__n").desc()).limit(max_hot_keys)
+        .select("__k").collect()
+    )
+    if not hot_rows:
+        return _scd2_core(changes, *args, chunk=None)
+    spark = changes.sparkSession
+    key_type = changes.select(kstruct.alias("__k")).schema
+    hot = F.broadcast(spark.createDataFrame(hot_rows, key_type).withColumnRenamed("__k", "__hot_k"))
+    probe = changes.withColumn("__hot_k", kstruct)
+    hot_part = probe.join(hot, "__hot_k", "left_semi").drop("__hot_k")
+    cold_part = probe.join(hot, "__hot_k", "left_anti").drop("__hot_k")
+    chunked = _scd2_core(hot_part, *args,
+                         chunk=default_chunk(changes.schema[sequence_by].dataType, F.col(sequence_by)))
+    return _scd2_core(cold_part, *args, chunk=None).unionByName(chunked)
 
+
+def _scd2_core(
+    changes: DataFrame,
+    keys: list[str],
+    sequence_by: str,
+    cols: list[str],
+    track: list[str],
+    order_cols: list[str],
+    has_tiebreak: bool,
+    start_order_col: str | None,
+    *,
+    chunk: Column | None,
+) -> DataFrame:
+    """Type 2 for one partitioning choice: ``chunk=None`` keeps every key in
+    one window partition (run id = local run index); otherwise runs are
+    numbered per (key, chunk) and stitched by the chunk summary."""
+    single = chunk is None
+    if single:
+        chunk = F.lit(0)
     seq_type = changes.schema[sequence_by].dataType.simpleString()
     # One struct key: equal when all fields are equal *or null on both sides*,
     # so null keys group and join like any other value, and every stage
@@ -178,14 +208,14 @@ def scd2(
         # a struct is never null and compares null fields as equal, so rows
         # with a null chunk (other keys, null sequences) still join their summary
         F.struct(chunk.alias("c")).alias("__c"),
-        F.struct(*[F.col(c) for c in track]).alias("__tv"),
+        (F.struct(*[F.col(c) for c in track]) if track else F.struct(F.lit(0).alias("_"))).alias("__tv"),
         F.struct(*[F.col(c) for c in order_cols]).alias("__o"),
     )
     w1 = Window.partitionBy("__k", "__c").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     prev_tv = F.lag("__tv").over(w1)
     df = df.withColumn("__rn", F.row_number().over(w1)).withColumn(
         "__new", F.when(F.col("__rn") == 1, 0).when(~F.col("__tv").eqNullSafe(prev_tv), 1).otherwise(0))
-    if not tiebreak:
+    if not has_tiebreak:
         df = df.withColumn("__prev_seq", F.lag(sequence_by).over(w1)).filter(_check(
             (F.col("__rn") == 1) | ~F.col(sequence_by).eqNullSafe(F.col("__prev_seq")),
             F.concat(F.lit("scd2: equal sequence for one key "), F.to_json("__k"), F.lit("; pass a tiebreak")),
@@ -200,21 +230,29 @@ def scd2(
         F.max_by(payload, F.col("__o")).alias("__p"),
         F.max_by("__tv", F.col("__o")).alias("__tv"),
     )
-    # one row per (key, chunk): does its first run continue the previous chunk?
-    summary = local.groupBy("__k", "__c").agg(
-        (F.max("__j") + 1).alias("__n_local"),
-        F.min_by("__tv", F.col("__j")).alias("__first_tv"),
-        F.max_by("__tv", F.col("__j")).alias("__last_tv"),
-    )
-    w2 = Window.partitionBy("__k").orderBy(F.col("__c").asc_nulls_first())
-    first_flag = F.when(F.row_number().over(w2) == 1, 1).when(
-        ~F.col("__first_tv").eqNullSafe(F.lag("__last_tv").over(w2)), 1).otherwise(0)
-    summary = summary.withColumn("__ff", first_flag).withColumn("__runs", F.col("__ff") + F.col("__n_local") - 1)
-    summary = summary.withColumn(
-        "__off", F.sum("__runs").over(w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__runs")
-    ).select("__k", "__c", "__ff", "__off")
+    if single:
+        # one chunk per key: every chunk is the key's first, nothing to stitch
+        tagged = local.withColumn("__run", F.col("__j") + 1)
+    else:
+        # the per-chunk runs feed the summary and the join back: stage them
+        # once (shared checkpoint folder) instead of recomputing the window
+        local = stage(local, "scd2-local-runs")
+        # one row per (key, chunk): does its first run continue the previous chunk?
+        summary = local.groupBy("__k", "__c").agg(
+            (F.max("__j") + 1).alias("__n_local"),
+            F.min_by("__tv", F.col("__j")).alias("__first_tv"),
+            F.max_by("__tv", F.col("__j")).alias("__last_tv"),
+        )
+        w2 = Window.partitionBy("__k").orderBy(F.col("__c").asc_nulls_first())
+        first_flag = F.when(F.row_number().over(w2) == 1, 1).when(
+            ~F.col("__first_tv").eqNullSafe(F.lag("__last_tv").over(w2)), 1).otherwise(0)
+        summary = summary.withColumn("__ff", first_flag).withColumn("__runs", F.col("__ff") + F.col("__n_local") - 1)
+        summary = summary.withColumn(
+            "__off", F.sum("__runs").over(w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__runs")
+        ).select("__k", "__c", "__ff", "__off")
+
+        tagged = local.join(summary, ["__k", "__c"]).withColumn("__run", F.col("__off") + F.col("__ff") + F.col("__j"))
 
-    tagged = local.join(summary, ["__k", "__c"]).withColumn("__run", F.col("__off") + F.col("__ff") + F.col("__j"))
     # Each local run also reports its start to the run before it: one
     # aggregate gives every run its start, its last row and its end, with no
     # self-join and no whole-key window.
@@ -248,9 +286,9 @@ def scd2_windowed(
     tiebreak: Sequence[str] = (),
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Type 2 with whole-key windows (one exchange; a hot key is one task)."""
+    """Type 2 with whole-key windows for every key (a hot key is one task)."""
     return scd2(changes, keys, sequence_by, track_columns=track_columns, tiebreak=tiebreak,
-                columns=columns, chunk=F.lit(0))
+                columns=columns, split_hot_keys=False)
 
 
 def apply_changes(
