@@ -20,6 +20,28 @@ from tidemark.plans.all import QUERIES  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
 
 
+NOTES = """
+
+## Reading the table
+
+- **Merges** (`upsert_*`, `two_version_merge*`, `versioned_history_merge`, `merge_delete`,
+  `carry_forward_version`, `publish_masked_snapshot`, `classify_*`): the target is only ever
+  split by `LeftSemi` / `LeftAnti` broadcast hash joins against the staged batch keys. The two
+  remaining shuffles carry the touched slice and the batch into one `LeftOuter` join. With a
+  batch above the broadcast threshold, the semi and anti joins become sort-merge joins that share
+  one exchange of the target.
+- **Type 1** (`cdc_scd1*`): one exchange, with `max_by` partially aggregated before it.
+- **Type 2** (`cdc_scd2*`, `history_as_of`, `close_open_intervals`, `open_versions`): no key of
+  the test tables reaches the hot-key threshold, so every key takes the single-window path. That
+  means one exchange on the rows (hash of the key), the run aggregate in the same partitioning, and
+  one exchange for the run aggregate that also produces the ends. The hot-key path (chunked
+  windows, staged per-chunk runs, chunk summary) only appears when a key has at least
+  `hot_key_rows` changes; `tests/test_plans.py` and the property tests drive it.
+- **Filters, masks, parsing, rescue, routing**: zero shuffles, predicates pushed to the scan, no
+  Python evaluation anywhere.
+"""
+
+
 def summarise(plan: str) -> dict[str, str]:
     joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)"
                        r"[^\n]*?(Inner|LeftOuter|RightOuter|FullOuter|LeftSemi|LeftAnti)", plan)
@@ -61,6 +83,7 @@ def main() -> None:
     ]
     for name, s in rows:
         out.append(f"| `{name}` | " + " | ".join(s[c] for c in cols) + " |")
+    out += NOTES.strip("\n").split("\n")
     (ROOT / "PLANS.md").write_text("\n".join(out) + "\n")
     print("\n".join(out))
 
