@@ -145,3 +145,22 @@ def test_incremental_stream_scd2_equals_batch_on_random_late_data(spark, tmp_pat
                    scd2(spark.createDataFrame(rows, schema), ["k"], "seq", tiebreak=["tb"], track_columns=["v"]).collect()),
                   key=key)
     assert got == want
+
+
+def test_stream_scd1_deletes_and_emptied_bucket(spark, tmp_path):
+    from tidemark.streaming.cdc import stream_scd1
+
+    schema = "k long, seq long, v string, op string"
+    land = str(tmp_path / "land")
+    first = spark.createDataFrame([(k, 1, f"a{k}", "upsert") for k in range(20)], schema)
+    second = spark.createDataFrame([(k, 2, None, "delete") for k in range(20) if k != 7]
+                                   + [(7, 0, "late", "upsert")], schema)
+    for part in (first, second):
+        part.coalesce(1).write.mode("append").option("header", True).csv(land)
+    s = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", 1).csv(land)
+    st = stream_scd1(s, str(tmp_path / "st"), str(tmp_path / "ck"), ["k"], "seq", columns=["v"],
+                     delete_when="op = 'delete'", n_buckets=4)
+    got = [(r.k, r.v) for r in st.current(spark).collect()]
+    assert got == [(7, "a7")]  # deletes won, the late upsert lost
+    buckets = [d for d in os.listdir(st.data) if d.startswith("__bucket=")]
+    assert len(buckets) == 1  # emptied buckets are gone

@@ -39,7 +39,11 @@ def _cols(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Seq
 
 def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], sequence_by: str, *,
                 tiebreak: Sequence[str] = (), columns: Sequence[str] | None = None,
-                n_buckets: int = 64) -> BucketedState:
+                delete_when: str | None = None, n_buckets: int = 64) -> BucketedState:
+    """Type 1 into a bucketed state: each micro-batch merges its rows with the
+    stored rows of the buckets it touches; a stored row is replaced only by an
+    equal-or-later sequence.  Rows matching ``delete_when`` delete their key
+    when they win; a bucket left empty is removed."""
     keys = list(keys)
     cols = _cols(stream, keys, [sequence_by, *tiebreak], columns)
     schema = T.StructType([stream.schema[c] for c in [*keys, *cols]])
@@ -49,12 +53,15 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
         spark = batch.sparkSession
         if state.committed(spark, batch_id):
             return
-        b = state.with_bucket(batch.select(*keys, *cols)).persist()
+        b = state.with_bucket(batch).persist()
         try:
+            touched = state.bucket_ids(b)
+
             def compute() -> DataFrame:
-                cur = state.read(spark, state.bucket_ids(b))
-                return scd1(b, keys, sequence_by, tiebreak=tiebreak, columns=[*cols, BUCKET], target=cur)
-            state.apply(spark, batch_id, compute)
+                cur = state.read(spark, touched)
+                return scd1(b, keys, sequence_by, tiebreak=tiebreak, columns=[*cols, BUCKET],
+                            delete_when=delete_when, target=cur)
+            state.apply(spark, batch_id, compute, touched=touched)
         finally:
             b.unpersist()
 

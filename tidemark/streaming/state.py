@@ -83,14 +83,18 @@ class BucketedState:
     def committed(self, spark: SparkSession, batch_id: int) -> bool:
         return _exists(spark, f"{self.root}/_commits/{batch_id}")
 
-    def apply(self, spark: SparkSession, batch_id: int, compute: Callable[[], DataFrame]) -> None:
+    def apply(self, spark: SparkSession, batch_id: int, compute: Callable[[], DataFrame],
+              touched: list[int] | None = None) -> None:
         """Replace the touched buckets by ``compute()`` (rows with ``__bucket``).
 
         The result is written once, partitioned by bucket, to the staging
         folder; its bucket folders are then moved into place by rename (a
         metadata operation, one per touched bucket, at most ``n``), and the
         commit marker is written last.  Redoing a half-finished move only
-        moves the folders that are still in staging.
+        moves the folders that are still in staging.  ``touched`` names the
+        buckets being replaced: those that came out empty (every key deleted)
+        are recorded in ``_EMPTY`` before anything moves, and their stored
+        folders are removed.
         """
         if self.committed(spark, batch_id):
             return
@@ -99,7 +103,20 @@ class BucketedState:
             compute().write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
         fs, jvm = _fs(spark, self.root)
         path = jvm.org.apache.hadoop.fs.Path
+        marker = path(f"{staging}/_EMPTY")
+        if not fs.exists(marker):  # nothing has moved yet: the listing is complete
+            present = {st.getPath().getName() for st in fs.listStatus(path(staging))}
+            empty = [b for b in touched or [] if f"{BUCKET}={b}" not in present]
+            out = fs.create(marker, True)
+            out.write(bytearray(",".join(map(str, empty)).encode()))
+            out.close()
+        stream = fs.open(marker)
+        raw = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        empty = [int(x) for x in raw.split(",") if x]
         fs.mkdirs(path(self.data))
+        for b in empty:
+            fs.delete(path(f"{self.data}/{BUCKET}={b}"), True)
         for st in fs.listStatus(path(staging)):
             name = st.getPath().getName()
             if not (st.isDirectory() and name.startswith(f"{BUCKET}=")):
