@@ -21,6 +21,7 @@ HEADLINE = [
     "upsert_all",
     "cdc_scd1",
     "cdc_scd2_tracked",
+    "cdc_scd2_hot_key",
     "stream_cdc_scd1",
     "expect_or_drop",
     "profile_table",

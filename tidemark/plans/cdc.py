@@ -105,3 +105,27 @@ def q_close_open_intervals(spark, sf):
 @register("open_versions", SCD2_TRACKED_SQL + "\nselect * from h where __END_AT is null")
 def q_open_versions(spark, sf):
     return history.open_versions(scd2_tracked_state(spark, sf))
+
+
+# A third of all changes re-keyed to one user: the skew case.  The threshold
+# is set so the hot key takes the chunked path at every scale of the tables.
+HOT_EVENTS_SQL = """select event_id, ts, case when event_id % 3 = 0 then 0 else user_id end as user_id,
+  event_type, value, props from events"""
+
+
+def hot_events(spark, sf):
+    from pyspark.sql import functions as F
+
+    ev = table(spark, sf, "events")
+    return ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0).cast("bigint"))
+                         .otherwise(F.col("user_id")))
+
+
+@register("cdc_scd2_hot_key",
+          _scd2_sql(f"({HOT_EVENTS_SQL})", "user_id", ["ts", "event_id"], ["event_type"], EV_COLS)
+          + "\nselect * from h")
+def q_cdc_scd2_hot_key(spark, sf):
+    ev = hot_events(spark, sf)
+    return cdc.scd2(ev, ["user_id"], "ts", track_columns=["event_type"], tiebreak=["event_id"], columns=EV_COLS,
+                    hot_key_rows=1000)
+
