@@ -32,11 +32,13 @@ NOTES = """
   one exchange of the target.
 - **Type 1** (`cdc_scd1*`): one exchange, with `max_by` partially aggregated before it.
 - **Type 2** (`cdc_scd2*`, `history_as_of`, `close_open_intervals`, `open_versions`): no key of
-  the test tables reaches the hot-key threshold, so every key takes the single-window path. That
+  the given tables reaches the default hot-key threshold, so every key takes the single-window path. That
   means one exchange on the rows (hash of the key), the run aggregate in the same partitioning, and
   one exchange for the run aggregate that also produces the ends. The hot-key path (chunked
   windows, staged per-chunk runs, chunk summary) only appears when a key has at least
-  `hot_key_rows` changes; `tests/test_plans.py` and the property tests drive it.
+  `hot_key_rows` changes. `cdc_scd2_hot_key` shows it: the cold keys pass an anti join against
+  the broadcast hot-key list, and the hot key's staged per-chunk runs are joined to the chunk
+  summary. `tests/test_plans.py` and the property tests also drive it.
 - **Filters, masks, parsing, rescue, routing**: zero shuffles, predicates pushed to the scan, no
   Python evaluation anywhere.
 """
