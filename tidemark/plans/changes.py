@@ -313,3 +313,19 @@ def q_attach_existing_dates(spark, sf):
         b.select("id", "name", F.lit("InActive").alias("status")))
     out = attach_columns(rows, emp_target(spark, sf), ["id", "status"], ["start_date", "end_date", "created_date"])
     return out.select("id", "status", "name", "start_date", "end_date", "created_date")
+
+
+@register("two_version_merge_bucketed", with_employees(f"with {TWO_VERSION_CTES}\nselect * from two_version"))
+def q_two_version_merge_bucketed(spark, sf):
+    """The flagship on a stored table bucketed by key: load, then merge the
+    batch by rewriting only the buckets its keys fall in."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.state import BucketedState, load, merge_in_place
+
+    target = emp_target(spark, sf)
+    table = BucketedState(scratch_path(spark, "silver"), ["id"], target.schema, n_buckets=32)
+    load(spark, table, target, batch_id=0)
+    merge_in_place(spark, table, emp_batch(spark, sf), history.two_version_merge, batch_id=1,
+                   run_ts=RUN_TS, compat=True)
+    return table.current(spark)
+
