@@ -357,3 +357,12 @@ def test_rescue_matches_names_case_insensitively(spark):
     df = spark.createDataFrame([("7", "x")], "ID string, Name string")
     out = files.rescue(df, {"id": "int", "name": "string"}).first()
     assert out.id == 7 and out.name == "x" and out._rescued_data is None
+
+
+def test_target_rows_with_null_keys_are_kept(spark):
+    t = spark.createDataFrame([(None, "orphan"), (1, "a")], "id long, v string")
+    s = spark.createDataFrame([(1, "A"), (2, "b")], "id long, v string")
+    got = rows(merge.upsert_all(t, s, ["id"]))
+    assert got == [(None, "orphan"), (1, "A"), (2, "b")]
+    c = rows(diff.classify_changes(t, s, ["id"], ["v"]))
+    assert (None, "missing") in c

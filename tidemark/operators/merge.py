@@ -87,7 +87,12 @@ def split_by_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]
     meets the merge logic."""
     keys = list(keys)
     k = source_keys.select(*keys)
-    return target.join(k, keys, "left_semi"), target.join(k, keys, "left_anti")
+    # Both joins read the same ``key IS NOT NULL`` slice, so with a large batch
+    # their exchanges of the target are identical and one is reused; target
+    # rows with a null key match nothing and join the untouched side directly.
+    keyed = target.filter(~_any_null(keys))
+    untouched = keyed.join(k, keys, "left_anti").unionByName(target.filter(_any_null(keys)))
+    return keyed.join(k, keys, "left_semi"), untouched
 
 
 def _finish(df: DataFrame, columns: Sequence[str], observation: Observation | None) -> DataFrame:
