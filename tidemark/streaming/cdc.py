@@ -116,9 +116,22 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             stored = state.read(spark, touched).select("*", kcol)
             # start of the stored version holding the earliest new change (null: none -> whole key)
             cut = (stored.join(first_new, "__key")
-                   .groupBy("__key").agg(F.max(F.when(F.col(START_O) <= F.col("__m"), F.col(START_O))).alias("__cut")))
-            affected = first_new.join(cut, "__key", "left").select("__key", "__cut")
-            suffix = (log.filter(F.col(BUCKET).isin(touched)).select("*", kcol)
+                   .groupBy("__key").agg(F.max(F.when(F.col(START_O) <= F.col("__m"), F.col(START_O))).alias("__cut"),
+                                         F.lit(True).alias("__known")))
+            affected = first_new.join(cut, "__key", "left").select("__key", "__cut", "__m", "__known")
+            # Lower bound of the rows any affected key needs: its cut, or for a
+            # key never seen before its first change (all its rows are in this
+            # batch).  A late change older than every stored version needs the
+            # key's whole history: no bound then.  One value to the driver,
+            # pushed into the scan so old bronze files are skipped by their
+            # statistics.
+            need = F.when(F.col("__cut").isNotNull(), F.col("__cut")).when(F.col("__known").isNull(), F.col("__m"))
+            lo = affected.agg(F.count_if(need.isNull()).alias("unbounded"), F.min(need).alias("lo")).first()
+            scan = log.filter(F.col(BUCKET).isin(touched))
+            if lo["unbounded"] == 0 and lo["lo"] is not None and lo["lo"][sequence_by] is not None:
+                scan = scan.filter(F.col(sequence_by) >= F.lit(lo["lo"][sequence_by]))
+            affected = affected.select("__key", "__cut")
+            suffix = (scan.select("*", kcol)
                       .join(affected, "__key")
                       .filter(F.col("__cut").isNull() | (order >= F.col("__cut")))
                       .drop("__key", "__cut", BATCH))
