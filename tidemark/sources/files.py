@@ -146,3 +146,19 @@ def string_schema(schema: T.StructType) -> T.StructType:
 def rescued_clean(column: str = RESCUE) -> Column:
     """The reference's gold rule: no rescued data."""
     return F.col(column).isNull()
+
+
+def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType | Mapping[str, str], *,
+                     header: bool = True, sep: str = ",", column: str = RESCUE) -> DataFrame:
+    """S-04 end to end: typed columns plus ``_rescued_data`` for values that
+    do not fit *and* for lines with too many or too few fields (their raw text
+    is kept under ``_corrupt_record``, from Spark's PERMISSIVE parser)."""
+    types = {f.name: f.dataType.simpleString() for f in schema.fields} if isinstance(schema, T.StructType) \
+        else dict(schema)
+    text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in types]
+                               + [T.StructField(CORRUPT, T.StringType(), True)])
+    raw = (spark.read.options(**csv_options(header, sep)).option("columnNameOfCorruptRecord", CORRUPT)
+           .schema(text_schema).csv(path))
+    # ``_corrupt_record`` is not a schema column, so rescue() files the raw
+    # line under that name -- and only for broken lines, where it is set
+    return rescue(raw, types, column=column)
