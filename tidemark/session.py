@@ -42,11 +42,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+        try:
+            jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+            root = jdir.get() if jdir.isDefined() else None
+        except Exception:  # noqa: BLE001 - no JVM context (remote session): the conf is all there is
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
