@@ -49,11 +49,12 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = None
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
-        spark.conf.set("spark.checkpoint.dir", root)
+        for setter in (lambda: spark.sparkContext.setCheckpointDir(root),
+                       lambda: spark.conf.set("spark.checkpoint.dir", root)):
+            try:
+                setter()
+            except Exception:  # noqa: BLE001 - either record is enough to find it again
+                pass
     return root.rstrip("/")
 
 
