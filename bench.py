@@ -39,19 +39,28 @@ def main() -> None:
     from tidemark.session import local_session
 
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="tidemark-bench")
-    def run(name: str) -> float:
+    errors: dict[str, str] = {}
+
+    def run(name: str) -> float | None:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - report, keep measuring the others
+            errors[name] = str(e).splitlines()[0][:300]
+            return None
         return round(time.perf_counter() - t0, 3)
 
     # first pass warms the JVM (class loading, JIT, code generation caches)
     cold = {name: run(name) for name in names}
-    times = {name: run(name) for name in names}
+    times = {name: run(name) for name in names if name not in errors}
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": int(cpus),
-                      "cold_total": round(sum(cold.values()), 3)}))
+    result = {"metric": "total_query_time", "value": round(sum(v for v in times.values() if v), 3), "unit": "sec",
+              "queries": times, "sf": sf, "cpus": int(cpus),
+              "cold_total": round(sum(v for v in cold.values() if v), 3)}
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":
