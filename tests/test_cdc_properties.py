@@ -139,3 +139,12 @@ def test_hot_key_chunking_equals_brute_force(spark, seed):
     by_ts = cdc.scd2(df, ["k"], "ts", tiebreak=["tb"], track_columns=["a"], columns=["seq", "tb", "a", "b"],
                      hot_key_rows=50)
     assert by_ts.count() == len(brute_scd2(data, track=[3]))
+
+
+def test_apply_changes_accepts_the_declarative_argument_names(spark):
+    df = spark.createDataFrame([(1, 1, 0, "x", 1), (1, 2, 0, "y", 1), (1, 3, 0, "y", 2)], SCHEMA)
+    a = cdc.apply_changes(df, ["k"], "seq", stored_as_scd_type=2, track_history_column_list=["a"],
+                          columns=["a", "b"])
+    b = cdc.apply_changes(df, ["k"], "seq", scd_type=2, track_columns=["a"], columns=["a", "b"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() == 2

@@ -302,8 +302,16 @@ def apply_changes(
     columns: Sequence[str] | None = None,
     delete_when: str | Column | None = None,
     target: DataFrame | None = None,
+    stored_as_scd_type: int | str | None = None,
+    track_history_column_list: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Single entry point with the declarative CDC call's arguments."""
+    """Single entry point with the declarative CDC call's arguments
+    (``stored_as_scd_type`` and ``track_history_column_list`` are accepted
+    under those names too)."""
+    if stored_as_scd_type is not None:
+        scd_type = stored_as_scd_type
+    if track_history_column_list is not None:
+        track_columns = track_history_column_list
     if str(scd_type) == "1":
         return scd1(changes, keys, sequence_by, tiebreak=tiebreak, columns=columns,
                     delete_when=delete_when, target=target)

@@ -179,3 +179,10 @@ def write_quarantined(df: DataFrame, rules: Rules, path: str, *, fmt: str = "par
     tagged = tag_failures(df, rules, column).withColumn(
         "side", F.when(F.size(column) > 0, F.lit("bad")).otherwise(F.lit("good")))
     tagged.write.mode("overwrite").format(fmt).partitionBy("side").save(path)
+
+
+# The same actions under the names of the declarative expectation calls.
+expect_all = expect
+expect_all_or_drop = expect_or_drop
+expect_all_or_fail = expect_or_fail
+
