@@ -376,3 +376,15 @@ def test_read_csv_rescued_keeps_bad_values_and_broken_lines(spark, tmp_path):
     assert got[1] == (1990, None)
     assert got[2] == (None, '{"dob":"zz"}')
     assert got[3][0] == 1991 and got[3][1] is not None and "_corrupt_record" in got[3][1]
+
+
+def test_wide_null_safe_diff_uses_one_struct_comparison(spark):
+    n = 40
+    left = [f"l{i}" for i in range(n)]
+    right = [f"r{i}" for i in range(n)]
+    same = [None if i % 3 == 0 else i for i in range(n)]
+    other = list(same)
+    other[5] = None  # a value replaced by null must count as a change
+    df = spark.createDataFrame([tuple(same + same), tuple(same + other)],
+                               ", ".join(f"{c} int" for c in left + right))
+    assert [r[0] for r in df.select(differs(left, right)).collect()] == [False, True]

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+WIDE = 32
+
 
 def _col(c: str | Column, prefix: str = "") -> Column:
     return F.col(f"{prefix}{c}") if isinstance(c, str) else c
@@ -25,6 +27,13 @@ def differs(left: Sequence[str | Column], right: Sequence[str | Column]) -> Colu
         raise ValueError("differs() needs the same number of columns on each side")
     if not left:
         return F.lit(False)
+    if len(left) > WIDE:
+        # one comparison of two structs (null fields compare equal) instead of
+        # a deep OR chain that would outgrow generated-code limits
+        names = [f"c{i}" for i in range(len(left))]
+        ls = F.struct(*[_col(a).alias(n) for a, n in zip(left, names)])
+        rs = F.struct(*[_col(b).alias(n) for b, n in zip(right, names)])
+        return ~ls.eqNullSafe(rs)
     terms = [~_col(a).eqNullSafe(_col(b)) for a, b in zip(left, right)]
     return reduce(lambda x, y: x | y, terms)
 
