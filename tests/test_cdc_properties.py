@@ -148,3 +148,25 @@ def test_apply_changes_accepts_the_declarative_argument_names(spark):
     b = cdc.apply_changes(df, ["k"], "seq", scd_type=2, track_columns=["a"], columns=["a", "b"])
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert a.count() == 2
+
+
+def test_text_sequence_stamped_per_load(spark):
+    """Loads stamp one text time on all their rows; tracking only that column
+    opens one version per load, equal stamps need a tiebreak."""
+    loads = ["2025-06-01 09:00:00", "2025-06-01 10:30:00", "2025-06-02 08:00:00"]
+    rows = []
+    i = 0
+    for load in loads:
+        for k in (1, 1, 2):
+            rows.append((k, load, i, f"n{i}"))
+            i += 1
+    df = spark.createDataFrame(rows, "ID long, ProcessedDate string, rn long, Name string")
+    with pytest.raises(Exception, match="equal sequence"):
+        cdc.scd2(df, ["ID"], "ProcessedDate", track_columns=["ProcessedDate"]).collect()
+    for kw in ({}, {"hot_key_rows": 2}):
+        out = cdc.scd2(df, ["ID"], "ProcessedDate", track_columns=["ProcessedDate"], tiebreak=["rn"], **kw)
+        got = sorted((r["ID"], r["__START_AT"], r["__END_AT"], r["Name"]) for r in out.collect())
+        assert got == [
+            (1, loads[0], loads[1], "n1"), (1, loads[1], loads[2], "n4"), (1, loads[2], None, "n7"),
+            (2, loads[0], loads[1], "n2"), (2, loads[1], loads[2], "n5"), (2, loads[2], None, "n8"),
+        ]
