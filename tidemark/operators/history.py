@@ -145,6 +145,45 @@ def two_version_merge(
     return res.select(*tcols)
 
 
+def two_version_changes(
+    target: DataFrame,
+    batch: DataFrame,
+    *,
+    key: str = "id",
+    values: Sequence[str] = ("name", "dob", "gender", "country", "email"),
+    origin: str = "file_name",
+    compat: bool = True,
+    stage_keys: bool = True,
+) -> DataFrame:
+    """C-01 against a whole two-version table, one row per batch row plus one
+    per target-only key.
+
+    ``compat=True`` follows the reference: ``New`` (key not in the table),
+    ``Update`` (the key has an ``InActive`` row, or its active row differs
+    null-safely in a value or the origin file name), else ``Exist`` (also every
+    key only in the table).  ``compat=False`` compares ``values`` only and
+    says ``new`` / ``update`` / ``unchanged`` / ``missing``.
+    """
+    values = list(values)
+    labels = ("New", "Update", "Exist", "Exist") if compat else ("new", "update", "unchanged", "missing")
+    cmp = values + ([origin] if compat else [])
+    keys_df = batch.select(key).filter(F.col(key).isNotNull()).distinct()
+    if stage_keys:
+        keys_df = stage(keys_df, "two-version-change-keys")
+    touched, untouched = split_by_keys(target, keys_df, [key])
+    st = F.col("status")
+    t_agg = touched.groupBy(key).agg(
+        F.max(F.when(st == ACTIVE, F.struct(*[F.col(c) for c in cmp]))).alias("a"),
+        F.max(st == INACTIVE).alias("has_i"),
+    )
+    j = batch.select(key, F.struct(*[F.col(c) for c in cmp]).alias("s")).join(t_agg, key, "left")
+    diff = differs([F.col(f"a.{c}") for c in cmp], [F.col(f"s.{c}") for c in cmp])
+    changed = (F.col("has_i") & F.lit(compat)) | (F.col("a").isNotNull() & diff)
+    change = (F.when(F.col("has_i").isNull(), labels[0]).when(changed, labels[1]).otherwise(labels[2]))
+    rest = untouched.select(key).distinct().select(key, F.lit(labels[3]).alias("change"))
+    return j.select(key, change.alias("change")).unionByName(rest)
+
+
 def versioned_history_merge(
     target: DataFrame,
     batch: DataFrame,

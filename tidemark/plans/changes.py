@@ -329,3 +329,21 @@ def q_two_version_merge_bucketed(spark, sf):
                    run_ts=RUN_TS, compat=True)
     return table.current(spark)
 
+
+@register(
+    "classify_two_version",
+    with_employees(f"""
+select b.id,
+  case when not exists (select 1 from emp_target t where t.id = b.id) then 'New'
+       when exists (select 1 from emp_target i where i.id = b.id and i.status = 'InActive') then 'Update'
+       when exists (select 1 from emp_target a where a.id = b.id and a.status = 'Active'
+                    and ({_is_distinct(VALUES + ['file_name'], 'a', 'b')})) then 'Update'
+       else 'Exist' end as change
+from emp_batch b
+union all
+select distinct t.id, 'Exist' from emp_target t where not exists (select 1 from emp_batch b where b.id = t.id)"""),
+)
+def q_classify_two_version(spark, sf):
+    """C-01 as the reference runs it: against the whole two-version table."""
+    return history.two_version_changes(emp_target(spark, sf), emp_batch(spark, sf), compat=True)
+
