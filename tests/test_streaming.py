@@ -164,3 +164,16 @@ def test_stream_scd1_deletes_and_emptied_bucket(spark, tmp_path):
     assert got == [(7, "a7")]  # deletes won, the late upsert lost
     buckets = [d for d in os.listdir(st.data) if d.startswith("__bucket=")]
     assert len(buckets) == 1  # emptied buckets are gone
+
+
+def test_bucketed_commits_carry_metrics(spark, tmp_path):
+    from tidemark.operators.audit import metrics_pivot
+
+    st = _state(spark, tmp_path)
+    base = spark.createDataFrame([(k, "v") for k in range(10)], "k long, v string")
+    keyed = st.with_bucket(base)
+    st.apply(spark, 0, lambda: keyed, touched=st.bucket_ids(keyed))
+    log = {r.version: r.operation_metrics for r in st.commit_log(spark).collect()}
+    assert log["0"]["numOutputRows"] == "10" and int(log["0"]["numTouchedBuckets"]) >= 1
+    piv = metrics_pivot(st.commit_log(spark), operations=["BUCKETED MERGE"], metrics=["numOutputRows"]).collect()
+    assert piv[0].numOutputRows == 10

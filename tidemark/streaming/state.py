@@ -20,9 +20,11 @@ no longer in staging.
 
 from __future__ import annotations
 
+import datetime
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,8 +101,12 @@ class BucketedState:
         if self.committed(spark, batch_id):
             return
         staging = f"{self.root}/_staging/{batch_id}"
+        rows_out = None
         if not _exists(spark, f"{staging}/_SUCCESS"):
-            compute().write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+            obs = Observation(f"bucketed-{batch_id}")
+            compute().observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+                .partitionBy(BUCKET).parquet(staging)
+            rows_out = obs.get.get("rows")
         fs, jvm = _fs(spark, self.root)
         path = jvm.org.apache.hadoop.fs.Path
         marker = path(f"{staging}/_EMPTY")
@@ -126,12 +132,27 @@ class BucketedState:
                 fs.delete(dest, True)
             if not fs.rename(st.getPath(), dest):
                 raise RuntimeError(f"could not move {st.getPath()} to {dest}")
+        # the commit marker carries the batch's facts (O-07): one JSON line
+        facts = {"version": str(batch_id), "operation": "BUCKETED MERGE",
+                 "timestamp": datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
+                 "operation_metrics": {"numTouchedBuckets": str(len(touched or [])),
+                                       **({"numOutputRows": str(rows_out)} if rows_out is not None else {})}}
         out = fs.create(path(f"{self.root}/_commits/{batch_id}"), True)
+        out.write(bytearray((json.dumps(facts) + "\n").encode()))
         out.close()
 
     def current(self, spark: SparkSession) -> DataFrame:
         return self.read(spark).drop(BUCKET)
 
+    def commit_log(self, spark: SparkSession) -> DataFrame:
+        """One row per committed batch: version, operation, timestamp,
+        ``operation_metrics`` (map) -- the shape ``audit.metrics_pivot`` reads."""
+        schema = ("version string, operation string, timestamp string, "
+                  "operation_metrics map<string,string>")
+        log = spark.read.schema(schema).json(f"{self.root}/_commits/*")
+        return log.select("version", "operation", F.col("timestamp").cast("timestamp").alias("timestamp"),
+                          F.lit(None).cast("string").alias("user_name"), "operation_metrics")
+
 
 def merge_in_place(spark: SparkSession, table: BucketedState, batch: DataFrame, merge: Callable[..., DataFrame],
                    batch_id: int, **kwargs) -> None:
