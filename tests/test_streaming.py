@@ -162,8 +162,18 @@ def test_stream_scd1_deletes_and_emptied_bucket(spark, tmp_path):
                      delete_when="op = 'delete'", n_buckets=4)
     got = [(r.k, r.v) for r in st.current(spark).collect()]
     assert got == [(7, "a7")]  # deletes won, the late upsert lost
-    buckets = [d for d in os.listdir(st.data) if d.startswith("__bucket=")]
-    assert len(buckets) == 1  # emptied buckets are gone
+
+
+def test_bucket_that_comes_out_empty_is_removed(spark, tmp_path):
+    st = _state(spark, tmp_path)
+    base = st.with_bucket(spark.createDataFrame([(k, "v") for k in range(20)], "k long, v string"))
+    st.apply(spark, 0, lambda: base, touched=st.bucket_ids(base))
+    victim = base.first()["__bucket"]
+    rest = base.filter(f"__bucket <> {victim}")
+    # batch 1 replaces bucket `victim` with nothing (every key in it deleted)
+    st.apply(spark, 1, lambda: rest.limit(0), touched=[victim])
+    assert f"__bucket={victim}" not in os.listdir(st.data)
+    assert st.current(spark).count() == rest.count()
 
 
 def test_bucketed_commits_carry_metrics(spark, tmp_path):
@@ -177,3 +187,21 @@ def test_bucketed_commits_carry_metrics(spark, tmp_path):
     assert log["0"]["numOutputRows"] == "10" and int(log["0"]["numTouchedBuckets"]) >= 1
     piv = metrics_pivot(st.commit_log(spark), operations=["BUCKETED MERGE"], metrics=["numOutputRows"]).collect()
     assert piv[0].numOutputRows == 10
+
+
+def test_stream_scd1_late_change_cannot_revive_a_deleted_key(spark, tmp_path):
+    from tidemark.streaming.cdc import stream_scd1
+
+    schema = "k long, seq long, v string, op string"
+    land = str(tmp_path / "land")
+    files_in_order = [
+        [(1, 1, "a", "upsert"), (2, 1, "b", "upsert")],
+        [(1, 5, None, "delete")],
+        [(1, 3, "late", "upsert"), (2, 9, "b2", "upsert")],   # late and older than the delete
+    ]
+    for rows_ in files_in_order:
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").option("header", True).csv(land)
+    s = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", 1).csv(land)
+    st = stream_scd1(s, str(tmp_path / "st"), str(tmp_path / "ck"), ["k"], "seq", columns=["v"],
+                     delete_when="op = 'delete'", n_buckets=2)
+    assert sorted((r.k, r.v) for r in st.current(spark).collect()) == [(2, "b2")]

@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from tidemark.session import stage
 
 START, END = "__START_AT", "__END_AT"
+TOMBSTONE = "__deleted"
 INTEGER_CHUNK = 1 << 20
 HOT_KEY_ROWS = 1 << 20
 MAX_HOT_KEYS = 10_000
@@ -83,6 +84,7 @@ def scd1(
     columns: Sequence[str] | None = None,
     delete_when: str | Column | None = None,
     target: DataFrame | None = None,
+    keep_tombstones: bool = False,
 ) -> DataFrame:
     """M-06: latest row per key by (``sequence_by``, ``tiebreak``...).
 
@@ -90,7 +92,10 @@ def scd1(
     stored row only if its order is >= the stored one, so replays and late
     files are harmless.  Without ``tiebreak``, two *different* rows with the
     same greatest sequence for one key fail the job.  Rows matching
-    ``delete_when`` delete the key when they win.
+    ``delete_when`` delete the key when they win.  ``keep_tombstones`` keeps a
+    winning delete as a row flagged ``__deleted`` instead of dropping it: a
+    stored state needs it so that a *late*, older change cannot bring the key
+    back (a ``target`` may carry such a ``__deleted`` column).
     """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
@@ -101,7 +106,8 @@ def scd1(
     dele = (F.expr(delete_when) if isinstance(delete_when, str) else delete_when) if delete_when is not None else F.lit(False)
     src = changes.select(*keys, *cols, F.coalesce(dele, F.lit(False)).alias("__del"), F.lit(1).alias("__src"))
     if target is not None:
-        src = target.select(*keys, *cols, F.lit(False).alias("__del"), F.lit(0).alias("__src")).unionByName(src)
+        stored_del = F.coalesce(F.col(TOMBSTONE), F.lit(False)) if TOMBSTONE in target.columns else F.lit(False)
+        src = target.select(*keys, *cols, stored_del.alias("__del"), F.lit(0).alias("__src")).unionByName(src)
     payload = F.struct(*[F.col(c) for c in cols], F.col("__del"))
     order = F.struct(*[F.col(c) for c in order_cols], F.col("__src"))
     aggs = [F.max_by(payload, order).alias("r")]
@@ -114,6 +120,8 @@ def scd1(
         tie = F.col("__hi.h") != F.bitwise_not(F.col("__lo.h"))
         out = out.filter(_check(~tie, F.concat(F.lit("scd1: equal sequence for different rows of key "),
                                                  F.to_json(F.struct(*keys)), F.lit("; pass a tiebreak"))))
+    if keep_tombstones:
+        return out.select(*keys, *[F.col(f"r.{c}").alias(c) for c in cols], F.col("r.__del").alias(TOMBSTONE))
     return out.filter(~F.col("r.__del")).select(*keys, *[F.col(f"r.{c}").alias(c) for c in cols])
 
 

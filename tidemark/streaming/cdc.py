@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.cdc import END, START, scd1, scd2
+from tidemark.operators.cdc import END, START, TOMBSTONE, scd1, scd2
 from tidemark.streaming.ingest import run_available
 from tidemark.streaming.state import BUCKET, BucketedState
 
@@ -43,11 +43,13 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
     """Type 1 into a bucketed state: each micro-batch merges its rows with the
     stored rows of the buckets it touches; a stored row is replaced only by an
     equal-or-later sequence.  Rows matching ``delete_when`` delete their key
-    when they win; a bucket left empty is removed."""
+    when they win; the delete is kept as a hidden tombstone, so a late change
+    with an older sequence cannot bring the key back."""
     keys = list(keys)
     cols = _cols(stream, keys, [sequence_by, *tiebreak], columns)
-    schema = T.StructType([stream.schema[c] for c in [*keys, *cols]])
-    state = BucketedState(root, keys, schema, n_buckets)
+    schema = T.StructType([stream.schema[c] for c in [*keys, *cols]]
+                          + ([T.StructField(TOMBSTONE, T.BooleanType(), True)] if delete_when is not None else []))
+    state = BucketedState(root, keys, schema, n_buckets, tombstone_col=TOMBSTONE if delete_when is not None else None)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -59,8 +61,9 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 
             def compute() -> DataFrame:
                 cur = state.read(spark, touched)
+                # deletes stay as tombstones so a late, older change cannot revive the key
                 return scd1(b, keys, sequence_by, tiebreak=tiebreak, columns=[*cols, BUCKET],
-                            delete_when=delete_when, target=cur)
+                            delete_when=delete_when, target=cur, keep_tombstones=delete_when is not None)
             state.apply(spark, batch_id, compute, touched=touched)
         finally:
             b.unpersist()

@@ -47,11 +47,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class BucketedState:
-    def __init__(self, root: str, keys: Sequence[str], schema: T.StructType, n_buckets: int = 64):
+    def __init__(self, root: str, keys: Sequence[str], schema: T.StructType, n_buckets: int = 64,
+                 tombstone_col: str | None = None):
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.schema = schema
         self.n = n_buckets
+        self.tombstone_col = tombstone_col
 
     @property
     def data(self) -> str:
@@ -142,7 +144,11 @@ class BucketedState:
         out.close()
 
     def current(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark).drop(BUCKET)
+        """The visible rows (tombstones, if the table keeps them, are hidden)."""
+        df = self.read(spark).drop(BUCKET)
+        if self.tombstone_col:
+            df = df.filter(~F.coalesce(F.col(self.tombstone_col), F.lit(False))).drop(self.tombstone_col)
+        return df
 
     def commit_log(self, spark: SparkSession) -> DataFrame:
         """One row per committed batch: version, operation, timestamp,
