@@ -388,3 +388,13 @@ def test_wide_null_safe_diff_uses_one_struct_comparison(spark):
     df = spark.createDataFrame([tuple(same + same), tuple(same + other)],
                                ", ".join(f"{c} int" for c in left + right))
     assert [r[0] for r in df.select(differs(left, right)).collect()] == [False, True]
+
+
+def test_two_version_default_replay_is_idempotent(spark):
+    target = spark.createDataFrame([_active(1, "a"), _active(2, "b"), _inactive(2, "b0")], TARGET_SCHEMA)
+    batch = spark.createDataFrame([_batch(1, "a2"), _batch(3, "c")], BATCH_SCHEMA)
+    once = history.two_version_merge(target, batch, run_ts=RUN)
+    once_rows = rows(once)
+    twice = history.two_version_merge(spark.createDataFrame(once_rows, TARGET_SCHEMA), batch,
+                                      run_ts="2024-03-01 00:00:00")
+    assert rows(twice) == once_rows
