@@ -18,7 +18,8 @@ def test_readme_batch_flow(spark, tmp_path):
         F.col("id").cast("string").alias("ID"), F.col("name").alias("Name"), F.col("dob").cast("string").alias("DOB"),
         F.col("gender").alias("Gender"), F.col("country").alias("Country"), F.col("email").alias("Email"))
     good = batch.filter(F.col("ID").cast("long") % 2 == 0)
-    publish.export_single_csv(good, landing, "EmployeeData_20250601.csv")
+    publish.export_single_csv(good.filter(F.col("ID").cast("long") % 4 == 0), landing, "EmployeeData_20250601.csv")
+    publish.export_single_csv(good.filter(F.col("ID").cast("long") % 4 == 2), landing, "Parimala_20250601.csv")
     publish.export_single_csv(batch.filter(F.col("ID").cast("long") % 2 == 1), landing, "Unknown_20250601.csv")
     publish.export_single_csv(batch.limit(3), landing, "notes.txt")
 
@@ -44,3 +45,15 @@ def test_readme_batch_flow(spark, tmp_path):
         quality.route_by(gold, [("csv", "file_name like 'EmployeeData%'")]).filter("route = 'csv'").drop("route"),
         str(tmp_path / "export"), "export_20250601.csv")
     assert spark.read.option("header", True).csv(out).count() > 0
+
+    # the other route goes to a database table (embedded Derby in memory, no port)
+    import uuid
+
+    routed = quality.route_by(gold, [("csv", "file_name like 'EmployeeData%'"),
+                                     ("jdbc", "file_name like 'Parimala%' or file_name like 'Vivek%'")])
+    url = f"jdbc:derby:memory:gold{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    to_db = routed.filter("route = 'jdbc'").select("id", "name", "email", "file_name")
+    publish.write_jdbc(to_db, url, "GOLD_EXPORT", props, num_partitions=2)
+    n_db = to_db.count()
+    assert n_db > 0 and spark.read.jdbc(url, "GOLD_EXPORT", properties=props).count() == n_db
