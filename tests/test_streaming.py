@@ -205,3 +205,21 @@ def test_stream_scd1_late_change_cannot_revive_a_deleted_key(spark, tmp_path):
     st = stream_scd1(s, str(tmp_path / "st"), str(tmp_path / "ck"), ["k"], "seq", columns=["v"],
                      delete_when="op = 'delete'", n_buckets=2)
     assert sorted((r.k, r.v) for r in st.current(spark).collect()) == [(2, "b2")]
+
+
+def test_purge_old_tombstones(spark, tmp_path):
+    from tidemark.streaming.cdc import purge_tombstones, stream_scd1
+
+    schema = "k long, seq long, v string, op string"
+    land = str(tmp_path / "land")
+    for rows_ in ([(1, 1, "a", "upsert"), (2, 1, "b", "upsert")], [(1, 5, None, "delete")]):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.mode("append").option("header", True).csv(land)
+    s = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", 1).csv(land)
+    st = stream_scd1(s, str(tmp_path / "st"), str(tmp_path / "ck"), ["k"], "seq", columns=["v"],
+                     delete_when="op = 'delete'", n_buckets=2)
+    assert st.read(spark).filter("__deleted").count() == 1
+    purge_tombstones(spark, st, "seq", 3, batch_id=1000)      # tombstone at seq 5 is still young
+    assert st.read(spark).filter("__deleted").count() == 1
+    purge_tombstones(spark, st, "seq", 10, batch_id=1001)
+    assert st.read(spark).filter("__deleted").count() == 0
+    assert sorted((r.k, r.v) for r in st.current(spark).collect()) == [(2, "b")]

@@ -152,3 +152,17 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 
     run_available(stream, checkpoint, sink=apply)
     return state
+
+
+def purge_tombstones(spark, state: BucketedState, sequence_by: str, older_than, batch_id: int) -> None:
+    """Drop delete tombstones whose sequence is below ``older_than`` -- once no
+    change older than that can still arrive.  Only buckets that hold such a
+    tombstone are rewritten (one replay-safe commit under ``batch_id``);
+    buckets left empty are removed."""
+    if not state.tombstone_col:
+        return
+    old = F.col(state.tombstone_col) & (F.col(sequence_by) < F.lit(older_than))
+    touched = state.bucket_ids(state.read(spark).filter(old))
+    if not touched:
+        return
+    state.apply(spark, batch_id, lambda: state.read(spark, touched).filter(~old), touched=touched)
