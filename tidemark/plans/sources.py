@@ -7,7 +7,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators import quality
 from tidemark.plans.cdc import EV_COLS, SCD2_TRACKED_SQL, _latest_sql
-from tidemark.plans.fixtures import BASE_SQL, employees
+from tidemark.operators import history
+from tidemark.plans.changes import TWO_VERSION_CTES
+from tidemark.plans.fixtures import BASE_SQL, RUN_TS, emp_batch, emp_target, employees, with_employees
 from tidemark.plans.landing import EVENT_COLS, EVENT_SCHEMA, land_events
 from tidemark.plans.quality import EVENTS_TEXT_SQL, events_text
 from tidemark.plans.registry import register
@@ -15,7 +17,7 @@ from tidemark.session import scratch_path
 from tidemark.sources import files
 from tidemark.streaming import cdc as scdc
 from tidemark.streaming.ingest import append_stream, file_stream
-from tidemark.streaming.state import BUCKET
+from tidemark.streaming.state import BUCKET, BucketedState, load
 
 EMP_SCHEMA = "id bigint, name string, dob int, gender string, country string, email string"
 
@@ -139,3 +141,20 @@ def q_stream_medallion(spark, sf):
     append_stream(gold, f"{root}/gold", f"{root}/_ck_gold")
     return spark.read.parquet(f"{root}/gold")
 
+
+@register("stream_two_version_merge", with_employees(f"with {TWO_VERSION_CTES}\nselect * from two_version"))
+def q_stream_two_version_merge(spark, sf):
+    """The flagship as a stream: the batch lands as three CSV files (split by
+    key, arriving out of key order) and each micro-batch is one bucketed
+    two-version merge commit on the stored silver table."""
+    root = scratch_path(spark, "stream_two_version")
+    batch = emp_batch(spark, sf)
+    for k in (2, 0, 1):
+        files.write_csv(batch.filter(F.col("id") % 3 == k), f"{root}/landing", mode="append")
+    target = emp_target(spark, sf)
+    silver = BucketedState(f"{root}/silver", ["id"], target.schema, n_buckets=16)
+    load(spark, silver, target, batch_id=-1)
+    s = file_stream(spark, f"{root}/landing", batch.schema, max_files_per_trigger=1)
+    scdc.stream_merge(s, silver, f"{root}/_checkpoint", history.two_version_merge, run_ts=RUN_TS, compat=True)
+    return silver.current(spark)
+

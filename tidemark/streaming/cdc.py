@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.cdc import END, START, TOMBSTONE, scd1, scd2
 from tidemark.streaming.ingest import run_available
-from tidemark.streaming.state import BUCKET, BucketedState
+from tidemark.streaming.state import BUCKET, BucketedState, merge_in_place
 
 BATCH = "__batch"
 START_O = "__START_ORDER"
@@ -166,3 +166,15 @@ def purge_tombstones(spark, state: BucketedState, sequence_by: str, older_than,
     if not touched:
         return
     state.apply(spark, batch_id, lambda: state.read(spark, touched).filter(~old), touched=touched)
+
+
+def stream_merge(stream: DataFrame, table: BucketedState, checkpoint: str, merge, **kwargs) -> BucketedState:
+    """Any pure merge ``merge(target, batch, **kwargs)`` as a stream: every
+    micro-batch is one ``merge_in_place`` commit on the bucketed table, keyed
+    by the batch id, so a replayed micro-batch is skipped."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        merge_in_place(batch.sparkSession, table, batch, merge, batch_id, **kwargs)
+
+    run_available(stream, checkpoint, sink=apply)
+    return table
