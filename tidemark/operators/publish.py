@@ -19,6 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import path_exists
 from tidemark.sources.files import csv_options
 
 SINGLE_FILE_ROW_CAP = 1_000_000
@@ -100,10 +101,10 @@ def publish_version(df: DataFrame, table_root: str, version: int | str) -> str:
 
 
 def current_version(spark: SparkSession, table_root: str) -> str | None:
-    try:
-        rows = spark.read.text(f"{table_root.rstrip('/')}/_CURRENT").take(1)
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
+    pointer = f"{table_root.rstrip('/')}/_CURRENT"
+    if not path_exists(spark, pointer):
+        return None  # nothing published yet
+    rows = spark.read.text(pointer).take(1)
     return rows[0][0] if rows else None
 
 

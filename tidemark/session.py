@@ -103,3 +103,10 @@ def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes:
     if checkpoint_dir:
         conf["spark.checkpoint.dir"] = checkpoint_dir
     return conf
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of ``path`` (no query)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

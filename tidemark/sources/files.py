@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import path_exists
+
 RESCUE = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
@@ -82,10 +84,9 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        rows = spark.read.text(location).take(1)
-    except Exception:  # noqa: BLE001 - missing location means "not saved yet"
-        return None
+    if not path_exists(spark, location):
+        return None  # not saved yet
+    rows = spark.read.text(location).take(1)
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
