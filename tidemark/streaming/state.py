@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import path_exists
+
 BUCKET = "__bucket"
 
 
@@ -41,9 +43,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jvm = _fs(spark, path)
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
+_exists = path_exists
 
 
 class BucketedState:
