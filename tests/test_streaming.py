@@ -223,3 +223,18 @@ def test_purge_old_tombstones(spark, tmp_path):
     purge_tombstones(spark, st, "seq", 10, batch_id=1001)
     assert st.read(spark).filter("__deleted").count() == 0
     assert sorted((r.k, r.v) for r in st.current(spark).collect()) == [(2, "b")]
+
+
+def test_merge_in_place_replay_is_skipped(spark, tmp_path):
+    from tidemark.operators import merge
+    from tidemark.streaming.state import load, merge_in_place
+
+    st = _state(spark, tmp_path)
+    load(spark, st, spark.createDataFrame([(k, "v0") for k in range(10)], "k long, v string"), batch_id=0)
+    merge_in_place(spark, st, spark.createDataFrame([(3, "v1"), (42, "new")], "k long, v string"),
+                   merge.upsert_all, 1, keys=["k"])
+    after_first = sorted(map(tuple, st.current(spark).collect()))
+    merge_in_place(spark, st, spark.createDataFrame([(3, "WRONG")], "k long, v string"),
+                   merge.upsert_all, 1, keys=["k"])
+    assert sorted(map(tuple, st.current(spark).collect())) == after_first
+    assert (3, "v1") in after_first and (42, "new") in after_first and len(after_first) == 11
