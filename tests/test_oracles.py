@@ -10,6 +10,7 @@ import pytest
 from tests.conftest import SMALL
 from tidemark.plans.all import ORACLES, QUERIES
 from tidemark.plans.fixtures import TABLES
+from tools.check_oracles import duck_family, spark_family
 
 
 def _norm(v):
@@ -45,8 +46,11 @@ def test_every_query_has_an_oracle_or_is_documented():
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
     got = [tuple(r) for r in df.collect()]
+    rel = duck.sql(ORACLES[name])
+    otypes = dict(zip(rel.columns, rel.types))
     res = duck.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert [c for c, t in df.dtypes if spark_family(t) != duck_family(otypes[c])] == []
     assert _canon(df.columns, got) == _canon(ocols, want)
