@@ -105,7 +105,7 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
         if state.committed(spark, batch_id):
             return
         b = state.with_bucket(batch.select(*keys, *cols)).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        (b.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (b.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET, BATCH).parquet(bronze))
 
         def compute() -> DataFrame:
