@@ -78,3 +78,26 @@ def test_two_version_compat_model(spark, seed):
     b = spark.createDataFrame(batch_rows, "id long, name string, file_name string")
     got = history.two_version_merge(t, b, values=["name"], run_ts="2024-02-01 00:00:00", compat=True)
     assert sorted(map(tuple, got.collect()), key=_key) == _model_two_version(target_rows, batch_rows)
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_versioned_history_model(spark, seed):
+    """M-08: touched keys get version 1 (old) + 0 (batch); new keys 0; others
+    keep their row; every row is restamped."""
+    rnd = random.Random(seed)
+    target = {i: rnd.choice(["a", "b"]) for i in rnd.sample(range(60), 30)}
+    batch = {i: rnd.choice(["a", "c"]) for i in rnd.sample(range(90), 30)}
+    want = []
+    for i, v in target.items():
+        if i in batch:
+            want += [(i, batch[i], 0, "Active"), (i, v, 1, "InActive")]
+        else:
+            want.append((i, v, 0, "Active"))
+    want += [(i, v, 0, "Active") for i, v in batch.items() if i not in target]
+    schema = "id long, name string, mobile string, version int, datetime timestamp_ntz, status string"
+    t = spark.createDataFrame([(i, v, "m", 0, T0, "Active") for i, v in target.items()], schema)
+    b = spark.createDataFrame([(i, v, "m") for i, v in batch.items()], "id long, name string, mobile string")
+    out = history.versioned_history_merge(t, b, run_ts="2024-02-01 00:00:00")
+    got = sorted((r.id, r.name, r.version, r.status) for r in out.collect())
+    assert got == sorted(want)
+    assert {r.datetime for r in out.collect()} == {RUN}
