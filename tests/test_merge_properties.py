@@ -101,3 +101,24 @@ def test_versioned_history_model(spark, seed):
     got = sorted((r.id, r.name, r.version, r.status) for r in out.collect())
     assert got == sorted(want)
     assert {r.datetime for r in out.collect()} == {RUN}
+
+
+@pytest.mark.parametrize("seed", [9, 10])
+def test_merge_delete_and_classify_model(spark, seed):
+    from tidemark.operators import diff
+
+    rnd = random.Random(seed)
+    target = [(i, rnd.choice(["Active", "InActive"]), rnd.choice(["x", "y", None])) for i in rnd.sample(range(80), 50)]
+    batch = {i: rnd.choice(["x", "y", None]) for i in rnd.sample(range(120), 40)}
+    t = spark.createDataFrame(target, "id long, status string, v string")
+    b = spark.createDataFrame(sorted(batch.items()), "id long, v string")
+    kept = sorted(tuple(r) for r in merge.merge_delete(t, b, ["id"], "status = 'InActive'").collect())
+    assert kept == sorted(r for r in target if not (r[1] == "InActive" and r[0] in batch))
+    active = {r[0]: r[2] for r in target if r[1] == "Active"}
+    want = {}
+    for i, v in batch.items():
+        want[i] = "new" if i not in active else ("unchanged" if active[i] == v else "update")
+    for i in active:
+        want.setdefault(i, "missing")
+    got = {r.id: r.change for r in diff.classify_changes(t.filter("status = 'Active'"), b, ["id"], ["v"]).collect()}
+    assert got == want
