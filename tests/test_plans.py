@@ -122,3 +122,22 @@ def test_expect_or_fail_guard_survives_projection(spark):
 
     df = spark.range(3).select(F.col("id"), F.lit("x").alias("w"))
     assert "raise_error" in _plan(expect_or_fail(df, {"id small": "id < 10"}).select("w"))
+
+
+def test_chunked_path_partitions_by_key_and_chunk(spark):
+    """The chunked path's per-chunk runs are partitioned by (key, chunk) (the
+    window runs in the staging job with the same partitioning); only the
+    small per-chunk summary is ordered per key.  Same result as one window."""
+    import datetime as _dt
+
+    base = _dt.datetime(2024, 1, 1)
+    rows = [(0 if i % 3 == 0 else i % 50, base + _dt.timedelta(minutes=7 * i), i, "abc"[i % 3]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, tb long, v string")
+    hot_path = cdc._scd2_core  # the chunked core, called the way scd2 calls it for hot keys
+    out = hot_path(df, ["k"], "ts", ["ts", "tb", "v"], ["v"], ["ts", "tb"], True, None,
+                   chunk=cdc.default_chunk(df.schema["ts"].dataType, F.col("ts")))
+    plan = _plan(out)
+    row_level = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any("__c" in e and "__k" in e for e in row_level)  # the window exchange: (key, chunk)
+    assert out.count() == cdc.scd2_windowed(df, ["k"], "ts", tiebreak=["tb"], track_columns=["v"],
+                                            columns=["ts", "tb", "v"]).count()
