@@ -60,3 +60,20 @@ def test_cluster_conf_and_gate(spark):
     assert conf["spark.checkpoint.dir"] == "hdfs:///shared/ckpt"
     assert int(cluster_conf(1 << 20, 64)["spark.sql.shuffle.partitions"]) == 192
     assert has_rows(spark.range(3)) and not has_rows(spark.range(0))
+
+
+def test_scratch_listing_by_age(spark, tmp_path):
+    import os
+    import time
+
+    from tidemark.session import scratch_to_clear
+
+    base = tmp_path / "tidemark-scratch"
+    old, new = base / "old-run", base / "new-run"
+    old.mkdir(parents=True)
+    new.mkdir()
+    past = time.time() - 3 * 3600
+    os.utime(old, (past, past))
+    got = scratch_to_clear(spark, older_than_hours=1, root=str(tmp_path))
+    assert [g.rstrip("/").split("/")[-1] for g in got] == ["old-run"]
+    assert scratch_to_clear(spark, older_than_hours=1, root=str(tmp_path / "nowhere")) == []

@@ -110,3 +110,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def scratch_to_clear(spark: SparkSession, older_than_hours: float, root: str | None = None) -> list[str]:
+    """Folders under ``<root>/tidemark-scratch`` (root: the shared checkpoint
+    folder) last modified more than ``older_than_hours`` ago.  Staged inputs
+    are read lazily by the DataFrames built on them, so choose an age beyond
+    the longest job that may still use them."""
+    import time
+
+    base = f"{(root or checkpoint_root(spark)).rstrip('/')}/tidemark-scratch"
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    cutoff_ms = (time.time() - older_than_hours * 3600) * 1000
+    return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getModificationTime() < cutoff_ms)
+
+
+def clear_scratch(spark: SparkSession, older_than_hours: float, root: str | None = None) -> list[str]:
+    """Delete the folders ``scratch_to_clear`` names; returns them."""
+    gone = scratch_to_clear(spark, older_than_hours, root)
+    jvm = spark.sparkContext._jvm
+    for path in gone:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return gone
