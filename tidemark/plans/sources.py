@@ -9,7 +9,7 @@ from tidemark.operators import quality
 from tidemark.plans.cdc import EV_COLS, SCD2_TRACKED_SQL, _latest_sql
 from tidemark.operators import history
 from tidemark.plans.changes import TWO_VERSION_CTES
-from tidemark.plans.fixtures import BASE_SQL, RUN_TS, emp_batch, emp_target, employees, with_employees
+from tidemark.plans.fixtures import BASE_SQL, RUN_TS, emp_batch, emp_target, employees, table, with_employees
 from tidemark.plans.landing import EVENT_COLS, EVENT_SCHEMA, land_events
 from tidemark.plans.quality import EVENTS_TEXT_SQL, events_text
 from tidemark.plans.registry import register
@@ -158,3 +158,18 @@ def q_stream_two_version_merge(spark, sf):
     scdc.stream_merge(s, silver, f"{root}/_checkpoint", history.two_version_merge, run_ts=RUN_TS, compat=True)
     return silver.current(spark)
 
+
+@register("rescue_broken_lines", """select event_id, value, event_id % 23 = 0 as broken from events""")
+def q_rescue_broken_lines(spark, sf):
+    """S-04, structural case: ``events`` as raw CSV lines, every 23rd with an
+    extra field; the reader keeps the values it can and files the whole line
+    under ``_corrupt_record`` in ``_rescued_data``."""
+    root = scratch_path(spark, "broken_lines")
+    ev = table(spark, sf, "events")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.col("value").cast("string"))
+    line = F.when(F.col("event_id") % 23 == 0, F.concat(line, F.lit(",extra"))).otherwise(line)
+    ev.select(line.alias("value")).write.mode("overwrite").text(f"{root}/raw")
+    out = files.read_csv_rescued(spark, f"{root}/raw", {"event_id": "bigint", "value": "double"}, header=False)
+    broken = F.coalesce(F.col(files.RESCUE).contains(files.CORRUPT), F.lit(False))
+    return out.select("event_id", "value", broken.alias("broken"))
+
