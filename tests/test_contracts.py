@@ -370,12 +370,13 @@ def test_target_rows_with_null_keys_are_kept(spark):
 
 def test_read_csv_rescued_keeps_bad_values_and_broken_lines(spark, tmp_path):
     p = tmp_path / "in.csv"
-    p.write_text("id,dob\n1,1990\n2,zz\n3,1991,extra\n")
+    p.write_text("id,dob\n1,1990\n2,zz\n3,1991,extra\n4\n")
     got = {r.id: (r.dob, r._rescued_data) for r in files.read_csv_rescued(spark, str(p), {"id": "int", "dob": "int"})
            .collect()}
     assert got[1] == (1990, None)
     assert got[2] == (None, '{"dob":"zz"}')
     assert got[3][0] == 1991 and got[3][1] is not None and "_corrupt_record" in got[3][1]
+    assert got[4] == (None, '{"_corrupt_record":"4"}')  # too few fields: kept as well
 
 
 def test_wide_null_safe_diff_uses_one_struct_comparison(spark):
