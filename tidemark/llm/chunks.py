@@ -1,37 +1,15 @@
-"""Cut texts into pieces that a tokenizer treats independently, so that each
-different piece of a slice of text is encoded once.
-
-Both tokenizers begin a new word wherever white space follows something else:
-no token spans such a place, and what stands before it has no influence on what
-follows.  The white space is the regular expressions' (Unicode's), which does
-not hold the control characters U+001C to U+001F that ``str.split`` cuts at.
-"""
+"""White space as the tokenizers' regular expressions know it."""
 
 from __future__ import annotations
 
 import re
 
-WS = "\t-\r \x85\xa0  -     　"
-_RUN = re.compile(f"[{WS}]*[^{WS}]+|[{WS}]+")
+# Unicode's white space; it does not hold U+001C to U+001F, which ``str.split`` cuts at
+WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = re.compile(f"[^{WS}]+")
-_SPACE_THEN_WS = re.compile(f" [{WS}]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-def spaced(text: str) -> list[str]:
-    """Pieces whose concatenation is the text: each starts with the white space
-    before its word.  Cutting at single spaces gives the same tokens and is
-    faster; a run of white space with a space before its last character must
-    stay whole."""
-    if not text:
-        return []
-    if _SPACE_THEN_WS.search(text):
-        return _RUN.findall(text)
-    head, *tail = text.split(" ")
-    pieces = [" " + p for p in tail]
-    return [head, *pieces] if head else pieces
-
-
 def words(text: str) -> list[str]:
     """The runs between white space."""
     return _WORD.findall(text) if _SEPARATORS.search(text) else text.split()

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tidemark.llm.bpe import byte_alphabet
 from tidemark.llm.chunks import words
 from tidemark.llm.common import id_and_text, slices
 
@@ -141,14 +142,6 @@ def word_encoder(path: str, cache_limit: int = CACHE):
     return encode
 
 
-def byte_alphabet() -> list[str]:
-    """The character that stands for each byte in byte-level vocabularies:
-    itself if printable in Latin-1, else the next from U+0100."""
-    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
-
-
 def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
              capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Pieces of the texts' ids (each text ends with ``end_id``): ``id``,

@@ -47,3 +47,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import bpe
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, may_learn=~langid.held_out("doc_id", 4, 2))
+    scored = langid.predict(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", langid.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
