@@ -50,14 +50,15 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             yield batch.slice(start, step)
 
 
-def bounded_cache(fill: Callable[[list], None], store: dict, wanted: set, limit: int) -> None:
-    """Make ``store`` hold every key of ``wanted``; it is emptied first when it
-    would exceed ``limit`` entries (a set of keys above the limit still fits:
-    it is one slice of text)."""
-    missing = [k for k in wanted if k not in store]
-    if not missing:
-        return
-    if len(store) + len(missing) > limit:
-        store.clear()
-        missing = list(wanted)
-    fill(missing)
+class Known(dict):
+    """Values by key, worked out when first asked for; emptied when full."""
+
+    def __init__(self, work_out: Callable, limit: int):
+        super().__init__()
+        self.work_out, self.limit = work_out, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.work_out(key)
+        return value

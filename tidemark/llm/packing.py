@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.bpe import byte_alphabet
 from tidemark.llm.chunks import words
-from tidemark.llm.common import id_and_text, slices
+from tidemark.llm.common import Known, id_and_text, slices
 
 CAPACITY = 2048
 OPEN_BINS = 4096
@@ -99,20 +99,6 @@ _PLAIN = re.compile("[\t-\r !-~À-ÖØ-öø-ÿ]*")
 _PARTS = re.compile("[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^a-zß-öø-ÿ0-9\\s]+")
 
 
-class _Known(dict):
-    """Values by key, worked out when first asked for; emptied when full."""
-
-    def __init__(self, work_out, limit: int):
-        super().__init__()
-        self.work_out, self.limit = work_out, limit
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[key] = self.work_out(key)
-        return value
-
-
 def word_encoder(path: str, cache_limit: int = CACHE):
     """``encode(text)``: the ids of a text as int32 bytes.
 
@@ -132,7 +118,7 @@ def word_encoder(path: str, cache_limit: int = CACHE):
     def run_ids(run: str) -> bytes:
         return array("i", tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
 
-    parts, runs = _Known(part_ids, cache_limit), _Known(run_ids, cache_limit // 4)
+    parts, runs = Known(part_ids, cache_limit), Known(run_ids, cache_limit // 4)
 
     def encode(text: str) -> bytes:
         if _PLAIN.fullmatch(text) and "<|" not in text:

@@ -65,3 +65,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs, may_learn=~langid.held_out("doc_id", 4, 2))
     scored = langid.predict(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", langid.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.near_dedup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents"))
