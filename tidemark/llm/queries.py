@@ -72,3 +72,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.near_dedup import near_dedup
 
     return near_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import pii
+
+    return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
