@@ -32,10 +32,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, WHITE_SPACE, " ")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                hash_expr=None) -> DataFrame:
-    """One row per input row: ``id_col``, ``keep_id``, ``group_size``, ``kept``
-    and ``text_sha256``.
+def _decided(docs: DataFrame, id_col: str, text_col: str, hash_expr) -> DataFrame:
+    """One row per input row: ``id``, ``rid`` (its place in the scan), ``keep_id``,
+    ``n``, ``kept`` and ``sha``.
 
     ``hash_expr`` maps the normalised text to the grouping hash (MD5 unless
     given; tests pass a poor one to force collisions).
@@ -54,5 +53,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .groupBy("h", "sha", "keep_id").agg(F.min("rid").alias("first_rid")))
     told = first.join(classes.select("h", "sha", "n"), ["h", "sha"])
     return rows.join(told, ["h", "sha"]).select(
-        F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"),
-        (F.col("rid") == F.col("first_rid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+        "id", "rid", "keep_id", "n", (F.col("rid") == F.col("first_rid")).alias("kept"), "sha")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_expr=None) -> DataFrame:
+    """One row per input row: ``id_col``, ``keep_id``, ``group_size``, ``kept``
+    and ``text_sha256``."""
+    return _decided(docs, id_col, text_col, hash_expr).select(
+        F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"), "kept",
+        F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_expr=None) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns.  ``docs`` must
+    read the same rows in the same places twice, as tables of files do."""
+    dropped = _decided(docs, id_col, text_col, hash_expr).filter("not kept").select(F.col("rid").alias("__rid"))
+    return (docs.withColumn("__rid", F.monotonically_increasing_id())
+            .join(dropped, "__rid", "left_anti").drop("__rid").select(*[F.col(f"`{c}`") for c in docs.columns]))

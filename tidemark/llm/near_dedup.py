@@ -276,3 +276,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return full.unionByName(empty).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` whose id stays, with all their columns (rows with a null id stay)."""
+    decided = near_dedup(docs, id_col, text_col, percent)
+    dropped = decided.groupBy(id_col).agg(F.max("kept").alias("kept")).filter("not kept").select(id_col)
+    return docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
