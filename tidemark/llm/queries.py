@@ -79,3 +79,14 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import pii
 
     return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import quality_mil
+
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality_mil.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality_mil.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
