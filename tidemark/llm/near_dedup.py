@@ -17,10 +17,13 @@ sets have a similarity of 0.75 or more.
    on the full sets.
 4. Confirmed links give components.  What may still be missing is a link
    between two components that meet in a bucket without their hubs being alike.
-   For such buckets every node outside the bucket's main component is compared,
-   by signatures and in blocks spread over tasks, with all nodes of other
-   components; only pairs that the estimate passes leave the task.  They are
-   confirmed in the same way, and the components are worked out again.
+   For such buckets every node outside the bucket's main component (an asking
+   node) is compared with all nodes of other components, in tiles of at most
+   ``BLOCK`` by ``BLOCK`` nodes spread over tasks: first by signatures, which
+   leaves the nodes that have a pair to confirm, then, with the sets of these
+   alone, exactly.  Pairs stay inside the task; what leaves it is at most a
+   spanning forest of the links found.  A pair that meets in several buckets is
+   looked at in the first of its bands.  Then the components are worked out again.
 
 No bucket, group or list of partners is capped.  Sets are made again from the
 texts of the nodes that have a candidate, so only those texts' sets are shuffled.
@@ -54,8 +57,8 @@ BITS = 4
 LANES = 64 // BITS
 LONGS = HASHES // LANES
 WORD_CACHE = 300_000
-#: signatures compared at once with the nodes outside a bucket's main component
-BLOCK = 2048
+#: nodes on either side of a tile of a bucket in the second round
+BLOCK = 1024
 #: the estimate at which a pair is still confirmed (0.75 less over four standard deviations of 0.04)
 ESTIMATE = 0.58
 _LOW = 0x1111111111111111
@@ -204,15 +207,78 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_a.select("a", "b", "items_a", "items_b").mapInArrow(run, "a binary, b binary, linked boolean")
 
 
+def _tiles(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, pd.DataFrame, np.ndarray, np.ndarray]]:
+    """For each tile of a cell the asking rows, the asked rows, and the places in
+    them of the pairs to confirm."""
+    for (_, band, _, _), tile in pdf.groupby(["bucket", "band", "q", "t"], sort=False):
+        asks = tile["asks"].to_numpy(bool)
+        asking, asked = tile[asks], tile[~asks]
+        if not len(asking) or not len(asked):
+            continue
+        passing = estimates(np.stack(asking["sig"].to_numpy()), np.stack(asked["sig"].to_numpy())) >= ESTIMATE
+        passing &= asking["label"].to_numpy()[:, None] != asked["label"].to_numpy()[None, :]
+        i, j = np.nonzero(passing)
+        if len(i) and band:  # pairs that share an earlier band are looked at there
+            bands_i, bands_j = np.stack(asking["bands"].to_numpy()), np.stack(asked["bands"].to_numpy())
+            new = np.ones(len(i), bool)
+            for k in range(band):
+                new &= bands_i[i, k] != bands_j[j, k]
+            i, j = i[new], j[new]
+        if len(i):
+            yield asking, asked, i, j
+
+
+_PLACES = ["bucket", "band", "q", "t", "node", "label", "asks", "cell"]
+
+
+def _nodes_with_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    found = [part for asking, asked, i, j in _tiles(pdf)
+             for part in (asking.iloc[np.unique(i)], asked.iloc[np.unique(j)])]
+    return pd.concat(found)[_PLACES] if found else pdf.iloc[:0][_PLACES]
+
+
+def _links_of(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        parent: dict = {}
+
+        def root(x):
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for asking, asked, i, j in _tiles(pdf):
+            sets = [np.frombuffer(x, np.uint64) for x in asked["items"]]
+            label_i, label_j = asking["label"].to_numpy(), asked["label"].to_numpy()
+            name_i, name_j = asking["node"].to_numpy(), asked["node"].to_numpy()
+            own = asking["items"].to_numpy()
+            for at in np.unique(i):
+                mine = np.frombuffer(own[at], np.uint64)
+                others = j[i == at]
+                sizes = np.array([len(sets[k]) for k in others])
+                joined = np.concatenate([sets[k] for k in others])
+                place = np.minimum(np.searchsorted(mine, joined), len(mine) - 1)
+                shared = np.add.reduceat((mine[place] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+                for k in others[100 * shared >= percent * (len(mine) + sizes - shared)]:
+                    x, y = root(label_i[at]), root(label_j[k])
+                    if x != y:  # not linked yet by what this task has found
+                        parent[x] = y
+                        a.append(name_i[at])
+                        b.append(name_j[k])
+        return pd.DataFrame({"a": a, "b": b}, dtype=object)
+
+    return run
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """One row per input row: ``id_col``, ``n_shingles``, ``component_id`` (the
     smallest id of the rows linked with it, directly or not) and ``kept``."""
     rows = materialise(fingerprints(docs, id_col, text_col), "near-rows")
     nodes = materialise(rows.filter("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "near-nodes")
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
+    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     hubs = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("size")).filter("size > 1")
-    shared = materialise(members.join(hubs, "bucket"), "near-buckets")
+    shared = materialise(members.join(hubs.select("bucket", "hub"), "bucket"), "near-buckets")
     sig = nodes.select("node", "sig")
 
     def passing(pairs: DataFrame) -> DataFrame:
@@ -229,42 +295,34 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = checked.filter("linked").select("a", "b")
     labels = connected_components(links)
 
-    # buckets in which several components meet: all but the main one against the rest
-    placed = shared.select("bucket", "node").join(labels, "node", "left").select(
-        "bucket", "node", F.coalesce("label", "node").alias("label"))
+    # buckets in which several components meet: the nodes outside the main one ask all others
+    placed = shared.join(labels, "node", "left").select(
+        "bucket", "band", "node", F.coalesce("label", "node").alias("label"))
     parts = placed.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     mixed = (parts.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("size"),
                                          F.count("*").alias("parts"))
              .filter("parts > 1").select("bucket", F.col("main.label").alias("main"),
-                                         F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    met = (placed.join(mixed, "bucket").join(sig, "node")
-           .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    targets = met.select("bucket", "block", "node", "label", "sig", F.lit(False).alias("asks"))
+                                         F.ceil(F.col("size") / BLOCK).cast("int").alias("across"),
+                                         F.ceil((F.col("size") - F.col("main.n")) / BLOCK).cast("int").alias("down")))
+    met = (placed.join(mixed, "bucket")
+           .withColumn("t", F.pmod(F.xxhash64("node"), F.col("across")).cast("int"))
+           .withColumn("q", F.pmod(F.xxhash64("node", F.lit(1)), F.col("down")).cast("int")))
+    asked = met.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("down") - 1))).withColumn("asks", F.lit(False))
     asking = (met.filter("label <> main")
-              .select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                      "node", "label", "sig", F.lit(True).alias("asks")))
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        asks = pdf["asks"].to_numpy(bool)
-        targets, queries = pdf[~asks], pdf[asks]
-        a, b = [], []
-        if len(targets) and len(queries):
-            sig_t = np.stack(targets["sig"].to_numpy()).astype(np.int64)
-            names_t, label_t = targets["node"].to_numpy(), targets["label"].to_numpy()
-            for start in range(0, len(queries), BLOCK):
-                part = queries.iloc[start:start + BLOCK]
-                sig_q = np.stack(part["sig"].to_numpy()).astype(np.int64)
-                names_q, label_q = part["node"].to_numpy(), part["label"].to_numpy()
-                for i, j in zip(*np.nonzero(estimates(sig_q, sig_t) >= ESTIMATE)):
-                    if label_q[i] != label_t[j]:
-                        x, y = names_q[i], names_t[j]
-                        a.append(min(x, y))
-                        b.append(max(x, y))
-        return pd.DataFrame({"a": a, "b": b}, dtype=object)
-
-    second = (targets.unionByName(asking).groupBy("bucket", "block").applyInPandas(meet, "a binary, b binary")
-              .distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-    more = materialise(confirmed(second, sets, percent).filter("linked").select("a", "b"), "near-more")
+              .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("across") - 1))).withColumn("asks", F.lit(True)))
+    places = ["bucket", "band", "q", "t", "node", "label", "asks"]
+    # tiles of large buckets are cells of their own, small buckets share cells
+    cells = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = (asked.unionByName(asking)
+             .withColumn("cell", F.when(F.col("across") > 1, F.xxhash64("bucket", "q", "t"))
+                         .otherwise(F.pmod(F.xxhash64("bucket"), F.lit(cells)))).select(*places, "cell"))
+    marks = nodes.select("node", "sig", "bands")
+    alike = (tiles.join(marks, "node").groupBy("cell")
+             .applyInPandas(_nodes_with_pairs, "bucket long, band int, q int, t int, node binary, label binary, "
+                                               "asks boolean, cell long"))
+    exact = (materialise(alike, "near-alike").join(marks, "node").join(sets, "node").groupBy("cell")
+             .applyInPandas(_links_of(percent), "a binary, b binary"))
+    more = materialise(exact.distinct(), "near-more")
     if more.limit(1).count():
         labels = connected_components(links.unionByName(more))
 
