@@ -90,3 +90,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_mil.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", quality_mil.held_out("doc_id").alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import ann
+
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
