@@ -9,7 +9,8 @@
   whose distance is at most ``1 + REPLICATE`` times the nearest, unless the
   list's centroid is nearer to a centroid already chosen (at most ``COPIES``).
 * A query searches the lists whose distance is at most ``1 + PRUNE`` times its
-  nearest list's, ``PROBES`` at most.
+  nearest list's, ``PROBES`` at most, and the nearest ``LEAST_PROBES`` in any
+  case (beside a centroid of equal vectors the ratio alone would leave one).
 * Lists longer than ``BLOCK`` rows, as many equal vectors make, are dealt over
   several blocks; a query visits all blocks of a list.  Each block returns a
   query's ``k`` best, and the best of those are the result.
@@ -45,7 +46,7 @@ SAMPLE = 32_768
 LIST = 512
 MAX_LISTS = 8192
 COPIES, REPLICATE = 4, 0.15
-PROBES, PRUNE = 64, 0.6
+PROBES, LEAST_PROBES, PRUNE = 64, 8, 0.6
 BLOCK = 4096
 DEGREE = 16
 BEAM = 96
@@ -141,7 +142,8 @@ class Index:
 
     def probes_of(self, x: np.ndarray) -> list[list[int]]:
         lists, distance = self.search(x, PROBES)
-        return [row[d <= (1 + PRUNE) * d[0]].tolist() for row, d in zip(lists, distance)]
+        wanted = (distance <= (1 + PRUNE) * distance[:, :1]) | (np.arange(lists.shape[1]) < LEAST_PROBES)
+        return [row[w].tolist() for row, w in zip(lists, wanted)]
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
