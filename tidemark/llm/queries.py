@@ -97,3 +97,27 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import ann
 
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query("op7_chat_formatting", """
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+           UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(replace(text, '\\', '\\\\'), '([<\\[])((?:/?s>)|(?:/?INST\\])|(?:</?(?:SYS|ROLE)>>))',
+             '\\1\\\\\\2', 'g') AS escaped FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn), '')) AS loss_sha256,
+       CAST(sum(length(escaped) + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 4 ELSE 33 END) AS BIGINT)
+           AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import chat
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    path = tokenizer_file("byte_bpe_50k.json")
+    return chat.digests(chat.build_forest(rows.unionByName(extra), path), path)
