@@ -1,0 +1,120 @@
+"""Exact and near dedup against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+
+from pyspark.sql import functions as F
+from tests.llm.conftest import prose
+from tidemark.llm import exact_dedup, near_dedup
+from tidemark.llm.components import connected_components
+
+
+def normal(t):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+
+
+def expected_exact(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(normal(t), []).append(i)
+    out = []
+    for t, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        keep = min(known) if known else None
+        out += [(i, keep, len(ids), hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    return sorted(out, key=str)
+
+
+def test_exact_dedup_on_odd_rows(spark, odd_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    got = exact_dedup.exact_dedup(odd_docs).collect()
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got], key=str) == expected_exact(rows)
+    kept = [r.text_sha256 for r in got if r.kept]
+    assert len(kept) == len(set(kept)) == len({normal(t) for _, t in rows})  # exactly one row of each group
+
+
+def test_exact_dedup_tells_colliding_hashes_apart(spark):
+    rows = [(i, "ab"[i % 2] * (i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.exact_dedup(df, hash_expr=lambda c: F.unhex(F.lit("00"))).collect()
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got], key=str) == expected_exact(rows)
+
+
+def test_exact_dedup_of_an_empty_table(no_docs):
+    assert exact_dedup.exact_dedup(no_docs).count() == 0
+
+
+def grams(t):
+    w = (t or "").encode().lower().split()
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)])
+
+
+def expected_near(rows):
+    sets = [grams(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared and 100 * shared >= 75 * len(sets[i] | sets[j]):
+                parent[root(i)] = root(j)
+    smallest = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            smallest[root(k)] = min(i, smallest.get(root(k), i))
+    return sorted([(i, len(s), smallest.get(root(k)) if s else i) for k, ((i, _), s) in enumerate(zip(rows, sets))], key=str)
+
+
+def near(df):
+    return sorted([(r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_dedup(df).collect()], key=str)
+
+
+def test_near_dedup_on_odd_rows(odd_docs):
+    assert near(odd_docs) == expected_near([(r.doc_id, r.text) for r in odd_docs.collect()])
+
+
+def test_near_dedup_finds_links_between_components_of_a_bucket(spark):
+    """Variants of one text with growing numbers of edits: links near the threshold, chains, many strangers."""
+    r = random.Random(5)
+    base = prose(9, 150).split()
+    rows = []
+    for i in range(220):
+        w = list(base)
+        for _ in range(r.randint(0, 12)):
+            w[r.randrange(len(w))] = f"edit{r.randrange(1000)}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, prose(100 + i, 60)) for i in range(60)]
+    assert near(spark.createDataFrame(rows, "doc_id long, text string")) == expected_near(rows)
+
+
+def test_near_dedup_of_an_empty_table(no_docs):
+    assert near(no_docs) == []
+
+
+def test_estimates_agree_and_are_corrected_for_collisions():
+    known = near_dedup.word_hashes()
+    a, b = prose(1, 600), prose(2, 600)
+    x, y = near_dedup.shingles(a, known), near_dedup.shingles(b, known)
+    both = near_dedup.shingles(a + " " + b, known)
+    sig = [near_dedup.signature(near_dedup.minima(s)) for s in (x, y, both)]
+    e = near_dedup.estimates(np.stack(sig), np.stack(sig))
+    true = len(np.intersect1d(x, both)) / len(np.union1d(x, both))
+    assert abs(e[0, 1]) < 0.15 and abs(e[0, 2] - true) < 0.16 and e[0, 0] == 1
+
+
+def test_connected_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(f"{i:04d}", f"{i + 1:04d}") for i in range(60)] + [("x", "y"), ("y", "y")], "a string, b string")
+    got = {r.node: r.label for r in connected_components(edges).collect()}
+    assert set(got.values()) == {"0000", "x"} and len(got) == 63
