@@ -71,13 +71,14 @@ def test_type1_is_one_exchange_with_partial_aggregate(spark):
     assert _exchanges(out) == 1 and "partial_max_by" in plan
 
 
-def test_windowed_type2_partitions_only_by_key(spark):
-    """With one chunk per key every stage (window, run aggregate) shares the
-    key partitioning: all exchanges hash the struct key alone."""
-    df = spark.range(100).selectExpr("id % 7 as k", "id as seq", "cast(id % 3 as string) as v")
-    out = cdc.scd2_windowed(df, ["k"], "seq", track_columns=["v"])
-    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(out))
-    assert exchanges and all(re.fullmatch(r"__k#\d+, \d+", e) for e in exchanges), exchanges
+def test_type2_is_one_scan_and_one_exchange(spark):
+    """The plan that ran: one window pass over one exchange by the struct key."""
+    out = QUERIES["cdc_scd2_tracked"](spark, SMALL)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString()
+    final = final.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"Exchange hashpartitioning", final)) == 1 and final.count("FileScan parquet") == 1, final
+    assert re.search(r"Exchange hashpartitioning\(__k#\d+, \d+\)", final)
 
 
 def test_stacked_filters_become_one_pushed_predicate(spark, tmp_path):
@@ -106,13 +107,13 @@ def test_no_python_evaluation_in_any_batch_query(spark):
 
 def test_hot_keys_take_the_chunked_path_and_others_the_single_window(spark):
     df = spark.range(3000).selectExpr("id % 3 as k", "id as seq", "cast(id % 2 as string) as v")
-    split = cdc.scd2(df, ["k"], "seq", track_columns=["v"], hot_key_rows=100, max_hot_keys=2)
+    split = cdc.scd2(df, ["k"], "seq", track_columns=["v"], hot_key_rows=100)
     plan = _plan(split)
-    # cold keys: the anti join against the broadcast hot list; hot keys: staged per-chunk runs
+    # cold keys: the anti join against the hot keys; hot keys: staged per-chunk runs
     assert "LeftAnti" in plan and "scd2-local-runs" in plan and "Union" in plan
     whole = cdc.scd2(df, ["k"], "seq", track_columns=["v"])  # no key reaches the default threshold
     plain = _plan(whole)
-    assert "LeftSemi" not in plain and "Union" in plain  # the union of own/successor run rows only
+    assert "Join" not in plain and "Union" not in plain
     key = lambda r: tuple((x is not None, x) for x in r)
     assert sorted(map(tuple, split.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
 
@@ -133,11 +134,22 @@ def test_chunked_path_partitions_by_key_and_chunk(spark):
     base = _dt.datetime(2024, 1, 1)
     rows = [(0 if i % 3 == 0 else i % 50, base + _dt.timedelta(minutes=7 * i), i, "abc"[i % 3]) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, tb long, v string")
-    hot_path = cdc._scd2_core  # the chunked core, called the way scd2 calls it for hot keys
-    out = hot_path(df, ["k"], "ts", ["ts", "tb", "v"], ["v"], ["ts", "tb"], True, None,
-                   chunk=cdc.default_chunk(df.schema["ts"].dataType, F.col("ts")))
+    out = cdc.scd2(df, ["k"], "ts", track_columns=["v"], tiebreak=["tb"], columns=["ts", "tb", "v"],
+                   chunk=F.date_trunc("hour", "ts"))
     plan = _plan(out)
     row_level = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert any("__c" in e and "__k" in e for e in row_level)  # the window exchange: (key, chunk)
     assert out.count() == cdc.scd2_windowed(df, ["k"], "ts", tiebreak=["tb"], track_columns=["v"],
                                             columns=["ts", "tb", "v"]).count()
+
+
+def test_one_load_stamp_and_odd_sequences_are_split_by_the_data(spark):
+    """A hot key whose sequence is one constant, holds NaN and nulls, or spans one day still gets many chunks."""
+    rows = [(0, "2025-06-01 10:00:00", float("nan") if i % 97 == 0 else None if i % 89 == 0 else float(i % 1000), i, "abc"[i % 3 if i % 7 else 0])
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "k long, stamp string, x double, tb long, v string")
+    for seq in ("stamp", "x"):
+        split = cdc.scd2(df, ["k"], seq, track_columns=["v"], tiebreak=["tb"], columns=[seq, "tb", "v"], hot_key_rows=400)
+        whole = cdc.scd2(df, ["k"], seq, track_columns=["v"], tiebreak=["tb"], columns=[seq, "tb", "v"], split_hot_keys=False)
+        assert "scd2-local-runs" in _plan(split)
+        assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))

@@ -4,26 +4,22 @@ Type 1 is one aggregate: per key ``max_by(row, (sequence, tiebreak..., source))`
 ``max_by`` is partially aggregated before the shuffle, so a key holding a
 third of all changes still sends one row per map task.
 
-Type 2 has to see the changes of a key in order.  A plain ``lag`` over
-``PARTITION BY key`` puts a hot key into one task, so:
-
-* a key-only count first finds *hot* keys (at least ``hot_key_rows``
-  changes; at most ``max_hot_keys`` of them, so the list brought to the driver
-  and broadcast back is bounded);
-* every other key keeps one window partition: ``lag`` of the tracked values
-  numbers its runs, runs are aggregated in the same partitioning, and that is
-  all -- one exchange on the rows;
-* the changes of hot keys are split into *chunks* of the sequence (hour of a
-  timestamp, blocks of an integer sequence, a prefix of text).  Windows run
-  per (key, chunk); the per-chunk runs are staged; one row per (key, chunk)
-  -- first and last tracked values, number of runs -- is ordered by chunk per
-  key and decides whether a chunk's first run continues the previous chunk's
-  last run and where each chunk's run numbers start.
-
-In both paths every run also reports its start to run id - 1, so a single
-aggregate over (key, run id) yields each run's start, last row and end: no
-self-join and no ``lead`` over a whole key.  An explicit ``chunk`` applies the
-chunked plan to all keys.  All variants are exact.
+Type 2 is one window pass: over (key, order) every row sees the tracked values
+of its neighbours, the last row of each run is kept, its start is the last
+opening row so far and its end the sequence of the row after it.  One scan, one
+exchange of the rows, one sort.
+
+A key with ``hot_key_rows`` changes or more would still be one task, so:
+
+* a key-only count first finds the hot keys (a table, never brought to the driver);
+* their changes are cut into chunks at boundaries taken from the data: a sample
+  of the key's own (sequence, tiebreak) values, so any type works, equal stamps
+  are split by the tiebreak, and nulls and NaN fall where the windows sort them;
+* windows run per (key, chunk); one row per (key, chunk) -- first and last
+  tracked values, number of runs -- decides whether a chunk's first run continues
+  the previous chunk's last run, and one aggregate over (key, run) stitches them.
+
+All variants are exact.
 """
 
 from __future__ import annotations
@@ -38,9 +34,9 @@ from tidemark.session import stage
 
 START, END = "__START_AT", "__END_AT"
 TOMBSTONE = "__deleted"
-INTEGER_CHUNK = 1 << 20
 HOT_KEY_ROWS = 1 << 20
-MAX_HOT_KEYS = 10_000
+#: chunks of a hot key: about eight per ``hot_key_rows`` changes, at most so many
+MAX_CHUNKS = 4096
 
 
 def _check(ok: Column, message: Column | str) -> Column:
@@ -58,23 +54,6 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in on])
 
 
-def default_chunk(dtype: T.DataType, seq: Column) -> Column:
-    """A value that never decreases when the sequence grows."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", seq)
-    if isinstance(dtype, T.DateType):
-        return seq
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return F.floor(seq / F.lit(INTEGER_CHUNK))
-    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return F.floor(seq)
-    if isinstance(dtype, T.StringType):
-        # a prefix never decreases in lexicographic order; 13 characters is the
-        # hour of 'yyyy-MM-dd HH:mm:ss' text
-        return F.substring(seq, 1, 13)
-    return F.lit(0)
-
-
 def scd1(
     changes: DataFrame,
     keys: Sequence[str],
@@ -135,7 +114,6 @@ def scd2(
     columns: Sequence[str] | None = None,
     chunk: Column | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
     start_order_col: str | None = None,
     split_hot_keys: bool = True,
 ) -> DataFrame:
@@ -161,35 +139,74 @@ def scd2(
     track = list(track_columns) if track_columns is not None else [c for c in cols if c not in order_cols]
     args = (keys, sequence_by, cols, track, order_cols, bool(tiebreak), start_order_col)
     if chunk is not None:
-        return _scd2_core(changes, *args, chunk=chunk)
+        return _scd2_chunked(changes, *args, chunk=chunk)
     if not split_hot_keys:
-        return _scd2_core(changes, *args, chunk=None)
-    # Hot keys: a key-only count (partial aggregate; the scan reads only the
-    # key columns) finds keys with at least ``hot_key_rows`` changes, the
-    # largest ``max_hot_keys`` of them -- a bounded list, brought to the
-    # driver and broadcast back.  Their changes are chunked by the sequence;
-    # all other keys keep one window partition each and skip the chunk
-    # machinery entirely.
+        return _scd2_one_pass(changes, *args)
     kstruct = F.struct(*[F.col(k) for k in keys])
-    hot_rows = (
-        changes.groupBy(kstruct.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") >= hot_key_rows).orderBy(F.col("__n").desc()).limit(max_hot_keys)
-        .select("__k").collect()
-    )
-    if not hot_rows:
-        return _scd2_core(changes, *args, chunk=None)
-    spark = changes.sparkSession
-    key_type = changes.select(kstruct.alias("__k")).schema
-    hot = F.broadcast(spark.createDataFrame(hot_rows, key_type).withColumnRenamed("__k", "__hot_k"))
-    probe = changes.withColumn("__hot_k", kstruct)
-    hot_part = probe.join(hot, "__hot_k", "left_semi").drop("__hot_k")
-    cold_part = probe.join(hot, "__hot_k", "left_anti").drop("__hot_k")
-    chunked = _scd2_core(hot_part, *args,
-                         chunk=default_chunk(changes.schema[sequence_by].dataType, F.col(sequence_by)))
-    return _scd2_core(cold_part, *args, chunk=None).unionByName(chunked)
-
-
-def _scd2_core(
+    hot = stage(changes.groupBy(kstruct.alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+                .filter(F.col("__n") >= hot_key_rows), "scd2-hot-keys")
+    if hot.limit(1).count() == 0:
+        return _scd2_one_pass(changes, *args)
+    order = F.struct(*[F.col(c) for c in order_cols])
+    probe = changes.withColumn("__k", kstruct)
+    every = F.greatest(F.lit(max(1, hot_key_rows // 8)).cast("long"), F.ceil(F.col("__n") / MAX_CHUNKS))
+    bounds = stage(probe.join(hot, "__k").filter(F.pmod(F.xxhash64(order), every) == 0)
+                   .groupBy("__k").agg(F.sort_array(F.collect_set(order)).alias("__bounds")), "scd2-bounds")
+    hot_bounds = hot.select("__k").join(bounds, "__k", "left")
+    hot_part = probe.join(hot_bounds, "__k").drop("__k")
+    cold_part = probe.join(hot.select("__k"), "__k", "left_anti").drop("__k")
+    number = F.coalesce(F.size(F.filter("__bounds", lambda b: b <= order)), F.lit(0))
+    return _scd2_one_pass(cold_part, *args).unionByName(_scd2_chunked(hot_part, *args, chunk=number))
+
+
+def _ordered(changes: DataFrame, keys: list[str], cols: list[str], track: list[str], order_cols: list[str],
+             *more: Column) -> DataFrame:
+    """Key, tracked values and order as one struct each: a struct is never null
+    and compares null fields as equal, so null keys and values behave like others."""
+    return changes.select(
+        F.struct(*[F.col(k) for k in keys]).alias("__k"), *cols,
+        (F.struct(*[F.col(c) for c in track]) if track else F.struct(F.lit(0).alias("_"))).alias("__tv"),
+        F.struct(*[F.col(c) for c in order_cols]).alias("__o"), *more)
+
+
+def _no_equal_sequence(df: DataFrame, w, sequence_by: str) -> DataFrame:
+    return (df.withColumn("__first", F.row_number().over(w) == 1).withColumn("__prev_seq", F.lag(sequence_by).over(w))
+            .filter(_check(F.col("__first") | ~F.col(sequence_by).eqNullSafe(F.col("__prev_seq")),
+                           F.concat(F.lit("scd2: equal sequence for one key "), F.to_json("__k"), F.lit("; pass a tiebreak"))))
+            .drop("__first", "__prev_seq"))
+
+
+def _scd2_one_pass(
+    changes: DataFrame,
+    keys: list[str],
+    sequence_by: str,
+    cols: list[str],
+    track: list[str],
+    order_cols: list[str],
+    has_tiebreak: bool,
+    start_order_col: str | None,
+) -> DataFrame:
+    """Type 2 with every key in one window partition."""
+    seq_type = changes.schema[sequence_by].dataType.simpleString()
+    df = _ordered(changes, keys, cols, track, order_cols)
+    w = Window.partitionBy("__k").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    if not has_tiebreak:
+        df = _no_equal_sequence(df, w, sequence_by)
+    df = (df.withColumn("__before", F.lag("__tv").over(w)).withColumn("__after", F.lead("__tv").over(w))
+          .withColumn("__next", F.lead("__o").over(w)))
+    # neighbours are structs, null only at the ends of a key
+    opens = F.col("__before").isNull() | ~F.col("__tv").eqNullSafe(F.col("__before"))
+    closes = F.col("__after").isNull() | ~F.col("__tv").eqNullSafe(F.col("__after"))
+    df = df.withColumn("__start", F.last(F.when(opens, F.col("__o")), ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).filter(closes)
+    extra = [F.col("__start").alias(start_order_col)] if start_order_col else []
+    return df.select(
+        *[F.col(f"__k.{k}").alias(k) for k in keys], *cols,
+        F.col(f"__start.{sequence_by}").cast(seq_type).alias(START),
+        F.col(f"__next.{sequence_by}").cast(seq_type).alias(END), *extra)
+
+
+def _scd2_chunked(
     changes: DataFrame,
     keys: list[str],
     sequence_by: str,
@@ -199,35 +216,17 @@ def _scd2_core(
     has_tiebreak: bool,
     start_order_col: str | None,
     *,
-    chunk: Column | None,
+    chunk: Column,
 ) -> DataFrame:
-    """Type 2 for one partitioning choice: ``chunk=None`` keeps every key in
-    one window partition (run id = local run index); otherwise runs are
-    numbered per (key, chunk) and stitched by the chunk summary."""
-    single = chunk is None
-    if single:
-        chunk = F.lit(0)
+    """Type 2 with runs numbered per (key, chunk) and stitched by the chunk summary."""
     seq_type = changes.schema[sequence_by].dataType.simpleString()
-    # One struct key: equal when all fields are equal *or null on both sides*,
-    # so null keys group and join like any other value, and every stage
-    # shares the same hash partitioning on it.
-    df = changes.select(
-        F.struct(*[F.col(k) for k in keys]).alias("__k"), *cols,
-        # a struct is never null and compares null fields as equal, so rows
-        # with a null chunk (other keys, null sequences) still join their summary
-        F.struct(chunk.alias("c")).alias("__c"),
-        (F.struct(*[F.col(c) for c in track]) if track else F.struct(F.lit(0).alias("_"))).alias("__tv"),
-        F.struct(*[F.col(c) for c in order_cols]).alias("__o"),
-    )
+    df = _ordered(changes, keys, cols, track, order_cols, F.struct(chunk.alias("c")).alias("__c"))
     w1 = Window.partitionBy("__k", "__c").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     prev_tv = F.lag("__tv").over(w1)
     df = df.withColumn("__rn", F.row_number().over(w1)).withColumn(
         "__new", F.when(F.col("__rn") == 1, 0).when(~F.col("__tv").eqNullSafe(prev_tv), 1).otherwise(0))
     if not has_tiebreak:
-        df = df.withColumn("__prev_seq", F.lag(sequence_by).over(w1)).filter(_check(
-            (F.col("__rn") == 1) | ~F.col(sequence_by).eqNullSafe(F.col("__prev_seq")),
-            F.concat(F.lit("scd2: equal sequence for one key "), F.to_json("__k"), F.lit("; pass a tiebreak")),
-        )).drop("__prev_seq")
+        df = _no_equal_sequence(df, w1, sequence_by)
     df = df.withColumn("__j", F.sum("__new").over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
     payload = F.struct(*[F.col(c) for c in cols])
@@ -238,28 +237,24 @@ def _scd2_core(
         F.max_by(payload, F.col("__o")).alias("__p"),
         F.max_by("__tv", F.col("__o")).alias("__tv"),
     )
-    if single:
-        # one chunk per key: every chunk is the key's first, nothing to stitch
-        tagged = local.withColumn("__run", F.col("__j") + 1)
-    else:
-        # the per-chunk runs feed the summary and the join back: stage them
-        # once (shared checkpoint folder) instead of recomputing the window
-        local = stage(local, "scd2-local-runs")
-        # one row per (key, chunk): does its first run continue the previous chunk?
-        summary = local.groupBy("__k", "__c").agg(
-            (F.max("__j") + 1).alias("__n_local"),
-            F.min_by("__tv", F.col("__j")).alias("__first_tv"),
-            F.max_by("__tv", F.col("__j")).alias("__last_tv"),
-        )
-        w2 = Window.partitionBy("__k").orderBy(F.col("__c").asc_nulls_first())
-        first_flag = F.when(F.row_number().over(w2) == 1, 1).when(
-            ~F.col("__first_tv").eqNullSafe(F.lag("__last_tv").over(w2)), 1).otherwise(0)
-        summary = summary.withColumn("__ff", first_flag).withColumn("__runs", F.col("__ff") + F.col("__n_local") - 1)
-        summary = summary.withColumn(
-            "__off", F.sum("__runs").over(w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__runs")
-        ).select("__k", "__c", "__ff", "__off")
-
-        tagged = local.join(summary, ["__k", "__c"]).withColumn("__run", F.col("__off") + F.col("__ff") + F.col("__j"))
+    # the per-chunk runs feed the summary and the join back: stage them
+    # once (shared checkpoint folder) instead of recomputing the window
+    local = stage(local, "scd2-local-runs")
+    # one row per (key, chunk): does its first run continue the previous chunk?
+    summary = local.groupBy("__k", "__c").agg(
+        (F.max("__j") + 1).alias("__n_local"),
+        F.min_by("__tv", F.col("__j")).alias("__first_tv"),
+        F.max_by("__tv", F.col("__j")).alias("__last_tv"),
+    )
+    w2 = Window.partitionBy("__k").orderBy(F.col("__c").asc_nulls_first())
+    first_flag = F.when(F.row_number().over(w2) == 1, 1).when(
+        ~F.col("__first_tv").eqNullSafe(F.lag("__last_tv").over(w2)), 1).otherwise(0)
+    summary = summary.withColumn("__ff", first_flag).withColumn("__runs", F.col("__ff") + F.col("__n_local") - 1)
+    summary = summary.withColumn(
+        "__off", F.sum("__runs").over(w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("__runs")
+    ).select("__k", "__c", "__ff", "__off")
+
+    tagged = local.join(summary, ["__k", "__c"]).withColumn("__run", F.col("__off") + F.col("__ff") + F.col("__j"))
 
     # Each local run also reports its start to the run before it: one
     # aggregate gives every run its start, its last row and its end, with no

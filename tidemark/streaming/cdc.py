@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.cdc import END, START, TOMBSTONE, scd1, scd2
 from tidemark.streaming.ingest import run_available
-from tidemark.streaming.state import BUCKET, BucketedState, merge_in_place
+from tidemark.streaming.state import BUCKET, BucketedState, merge_in_place, stream_writer
 
 BATCH = "__batch"
 START_O = "__START_ORDER"
@@ -51,9 +51,11 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
                           + ([T.StructField(TOMBSTONE, T.BooleanType(), True)] if delete_when is not None else []))
     state = BucketedState(root, keys, schema, n_buckets, tombstone_col=TOMBSTONE if delete_when is not None else None)
 
+    writer = stream_writer(checkpoint)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if state.committed(spark, batch_id):
+        if state.committed(spark, batch_id, writer):
             return
         b = state.with_bucket(batch).persist()
         try:
@@ -64,7 +66,7 @@ def stream_scd1(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
                 # deletes stay as tombstones so a late, older change cannot revive the key
                 return scd1(b, keys, sequence_by, tiebreak=tiebreak, columns=[*cols, BUCKET],
                             delete_when=delete_when, target=cur, keep_tombstones=delete_when is not None)
-            state.apply(spark, batch_id, compute, touched=touched)
+            state.apply(spark, batch_id, compute, touched=touched, writer=writer)
         finally:
             b.unpersist()
 
@@ -79,8 +81,8 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
     """Incremental type 2.  Per key touched by a micro-batch, only the log
     rows from the first row of the stored version that contains the batch's
     earliest change onwards are recomputed; earlier versions cannot change (no
-    new row precedes them) and are kept as stored.  Cost per batch follows the
-    depth of late arrival, not the length of a key's history.
+    new row precedes them) and are kept as stored.  What is recomputed follows
+    the depth of late arrival; the touched buckets are read and written whole.
 
     ``current_root`` also maintains the current snapshot (open versions only,
     T-07) as its own bucketed table, refreshed for the touched buckets at the
@@ -100,11 +102,13 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
     current = BucketedState(current_root, keys, out_schema, n_buckets) if current_root else None
     bronze = f"{root.rstrip('/')}/bronze"
 
+    writer = stream_writer(checkpoint)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if state.committed(spark, batch_id):
+        if state.committed(spark, batch_id, writer):
             return
-        b = state.with_bucket(batch.select(*keys, *cols)).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        b = state.with_bucket(batch.select(*keys, *cols)).withColumn(BATCH, F.lit(f"{writer}-{batch_id}"))
         (b.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET, BATCH).parquet(bronze))
 
@@ -113,8 +117,7 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             kcol = F.struct(*[F.col(k) for k in keys]).alias("__key")
             order = F.struct(*[F.col(c) for c in order_cols])
             log = spark.read.parquet(bronze)
-            mine = log.filter(F.col(BATCH) == batch_id)
-            touched = state.bucket_ids(mine)
+            mine = log.filter(F.col(BATCH) == f"{writer}-{batch_id}")
             first_new = mine.groupBy(kcol).agg(F.min(order).alias("__m"))
             stored = state.read(spark, touched).select("*", kcol)
             # start of the stored version holding the earliest new change (null: none -> whole key)
@@ -145,10 +148,11 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             out = [*keys, *cols, START, END, START_O, BUCKET]
             return kept.select(*out).unionByName(rebuilt.select(*out))
 
-        state.apply(spark, batch_id, compute)
-        if current is not None and not current.committed(spark, batch_id):
-            touched = state.bucket_ids(spark.read.parquet(bronze).filter(F.col(BATCH) == batch_id))
-            current.apply(spark, batch_id, lambda: state.read(spark, touched).filter(F.col(END).isNull()))
+        touched = state.bucket_ids(b)
+        state.apply(spark, batch_id, compute, touched=touched, writer=writer)
+        if current is not None and not current.committed(spark, batch_id, writer):
+            current.apply(spark, batch_id, lambda: state.read(spark, touched).filter(F.col(END).isNull()),
+                          touched=touched, writer=writer)
 
     run_available(stream, checkpoint, sink=apply)
     return state
@@ -174,7 +178,7 @@ def stream_merge(stream: DataFrame, table: BucketedState, checkpoint: str, merge
     by the batch id, so a replayed micro-batch is skipped."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        merge_in_place(batch.sparkSession, table, batch, merge, batch_id, **kwargs)
+        merge_in_place(batch.sparkSession, table, batch, merge, batch_id, writer=stream_writer(checkpoint), **kwargs)
 
     run_available(stream, checkpoint, sink=apply)
     return table

@@ -2,8 +2,9 @@
 
 The state is Parquet partitioned by ``__bucket = pmod(xxhash64(keys), n)``.
 A micro-batch touches only the buckets of its keys, so only those partitions
-are read (partition pruning) and rewritten (dynamic partition overwrite) --
-the cost of a micro-batch follows the batch, not the size of the table.
+are read (partition pruning) and rewritten (dynamic partition overwrite).  A
+batch whose keys fall into every bucket rewrites the whole table: choose the
+number of buckets so that a batch's keys meet a small part of them.
 
 Crash and replay safety (``foreachBatch`` is at-least-once):
 
@@ -12,6 +13,13 @@ Crash and replay safety (``foreachBatch`` is at-least-once):
 2. the staged bucket folders replace the stored ones by rename;
 3. ``_commits/<batch_id>`` is written last.
 
+Commits are named by writer and batch id: loads, merges called by hand and each
+stream checkpoint count for themselves, so none can be taken for another's
+replay.  The number of buckets and the key types are stored with the table
+(``_table``) and a mismatch is an error; keys are cast to the table's types
+before they are bucketed, and a result with a bucket that the batch did not
+touch is refused before anything moves.
+
 A replayed batch id with a commit marker is skipped; one with a complete
 staging copy but no marker redoes step 2 from the copy instead of
 recomputing against a half-updated state; folders already moved are simply
@@ -60,8 +68,33 @@ class BucketedState:
         return f"{self.root}/data"
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
+        """``df`` with its keys as the table's types (a key that does not fit
+        is an error, never another key) and their bucket."""
+        for k in self.keys:
+            want = self.schema[k].dataType
+            if df.schema[k].dataType != want:
+                cast = F.col(k).try_cast(want)
+                df = df.withColumn(k, F.when(F.col(k).isNull() | cast.isNotNull(), cast).otherwise(
+                    F.raise_error(F.concat(F.lit(f"key {k} does not fit {want.simpleString()}: "),
+                                           F.col(k).cast("string"))).cast(want)))
         return df.withColumn(BUCKET, bucket_of(self.keys, self.n))
 
+    def check_layout(self, spark: SparkSession) -> None:
+        """Store the layout on first use; refuse another one afterwards."""
+        mine = json.dumps({"buckets": self.n, "keys": [[k, self.schema[k].dataType.simpleString()] for k in self.keys]})
+        fs, jvm = _fs(spark, self.root)
+        place = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_table")
+        if fs.exists(place):
+            stream = fs.open(place)
+            stored = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if stored != mine:
+                raise ValueError(f"the table at {self.root} was written as {stored}, not {mine}")
+            return
+        out = fs.create(place, False)
+        out.write(bytearray(mine.encode()))
+        out.close()
+
     @property
     def stored_schema(self) -> T.StructType:
         fields = [f for f in self.schema.fields if f.name != BUCKET]
@@ -79,16 +112,17 @@ class BucketedState:
         folders (static partition pruning)."""
         if not _exists(spark, self.data):
             return spark.createDataFrame([], self.stored_schema)
+        self.check_layout(spark)
         st = spark.read.schema(self.stored_schema).parquet(self.data)
         if buckets is not None:
             st = st.filter(F.col(BUCKET).isin(list(buckets)))
         return st
 
-    def committed(self, spark: SparkSession, batch_id: int) -> bool:
-        return _exists(spark, f"{self.root}/_commits/{batch_id}")
+    def committed(self, spark: SparkSession, batch_id: int, writer: str = "merge") -> bool:
+        return _exists(spark, f"{self.root}/_commits/{writer}-{batch_id}")
 
     def apply(self, spark: SparkSession, batch_id: int, compute: Callable[[], DataFrame],
-              touched: list[int] | None = None) -> None:
+              touched: list[int] | None = None, writer: str = "merge") -> None:
         """Replace the touched buckets by ``compute()`` (rows with ``__bucket``).
 
         The result is written once, partitioned by bucket, to the staging
@@ -100,9 +134,10 @@ class BucketedState:
         are recorded in ``_EMPTY`` before anything moves, and their stored
         folders are removed.
         """
-        if self.committed(spark, batch_id):
+        if self.committed(spark, batch_id, writer):
             return
-        staging = f"{self.root}/_staging/{batch_id}"
+        self.check_layout(spark)
+        staging = f"{self.root}/_staging/{writer}-{batch_id}"
         rows_out = None
         if not _exists(spark, f"{staging}/_SUCCESS"):
             obs = Observation(f"bucketed-{batch_id}")
@@ -121,6 +156,9 @@ class BucketedState:
         marker = path(f"{staging}/_EMPTY")
         if not fs.exists(marker):  # nothing has moved yet: the listing is complete
             present = {st.getPath().getName() for st in fs.listStatus(path(staging))}
+            strange = {p for p in present if p.startswith(f"{BUCKET}=")} - {f"{BUCKET}={b}" for b in touched or []}
+            if touched is not None and strange:
+                raise RuntimeError(f"the result holds rows of buckets that the batch does not touch: {sorted(strange)}")
             empty = [b for b in touched or [] if f"{BUCKET}={b}" not in present]
             out = fs.create(marker, True)
             out.write(bytearray(",".join(map(str, empty)).encode()))
@@ -142,11 +180,11 @@ class BucketedState:
             if not fs.rename(st.getPath(), dest):
                 raise RuntimeError(f"could not move {st.getPath()} to {dest}")
         # the commit marker carries the batch's facts (O-07): one JSON line
-        facts = {"version": str(batch_id), "operation": "BUCKETED MERGE",
-                 "timestamp": datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
+        facts = {"version": str(batch_id), "operation": "WRITE" if writer == "load" else "MERGE",
+                 "timestamp": datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
                  "operation_metrics": {"numTouchedBuckets": str(len(touched or [])),
                                        **({"numOutputRows": str(rows_out)} if rows_out is not None else {})}}
-        out = fs.create(path(f"{self.root}/_commits/{batch_id}"), True)
+        out = fs.create(path(f"{self.root}/_commits/{writer}-{batch_id}"), True)
         out.write(bytearray((json.dumps(facts) + "\n").encode()))
         out.close()
 
@@ -168,25 +206,33 @@ class BucketedState:
 
 
 def merge_in_place(spark: SparkSession, table: BucketedState, batch: DataFrame, merge: Callable[..., DataFrame],
-                   batch_id: int, **kwargs) -> None:
+                   batch_id: int, *, writer: str = "merge", **kwargs) -> None:
     """Apply a pure merge ``merge(target, batch, **kwargs) -> new state`` to a
     stored, key-bucketed table, reading and rewriting only the buckets of the
     batch's keys (SURVEY 4.4).  Keys never cross buckets, so the merge of the
     touched slice equals the touched slice of the full merge.  Replays of
-    ``batch_id`` are skipped; a crash is finished from the staged result."""
-    if table.committed(spark, batch_id):
+    ``batch_id`` by the same ``writer`` are skipped; a crash is finished from
+    the staged result."""
+    if table.committed(spark, batch_id, writer):
         return
     keyed = table.with_bucket(batch)
     touched = table.bucket_ids(keyed)
 
     def compute() -> DataFrame:
         current = table.read(spark, touched).drop(BUCKET)
-        return table.with_bucket(merge(current, batch, **kwargs))
+        return table.with_bucket(merge(current, keyed.drop(BUCKET), **kwargs))
 
-    table.apply(spark, batch_id, compute, touched=touched)
+    table.apply(spark, batch_id, compute, touched=touched, writer=writer)
 
 
 def load(spark: SparkSession, table: BucketedState, df: DataFrame, batch_id: int = 0) -> None:
-    """Initial load of a bucketed table (all buckets of ``df``)."""
+    """Load of a bucketed table (all buckets of ``df``), with batch ids of its own."""
     keyed = table.with_bucket(df)
-    table.apply(spark, batch_id, lambda: keyed, touched=table.bucket_ids(keyed))
+    table.apply(spark, batch_id, lambda: keyed, touched=table.bucket_ids(keyed), writer="load")
+
+
+def stream_writer(checkpoint: str) -> str:
+    """The name under which a stream with this checkpoint commits."""
+    import hashlib
+
+    return "stream-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
