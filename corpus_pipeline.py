@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the result of a
 stage is written as Parquet and read again as the documents of the next one.
 All but the last return the columns of the documents.
 
-1. language ID: documents without a recognised language go (null or letterless
-   texts, and texts whose best language has a probability under one half)
+1. language ID: documents without a recognised language go (null and letterless
+   texts); a low probability alone, as short texts have, drops nothing
 2. exact dedup: of equal texts the row with the smallest id stays
 3. near dedup: of texts that are linked, directly or not, one stays
 4. personal data: every span found is replaced by its kind; ``n_chars`` follows
@@ -21,13 +21,11 @@ from tidemark.llm import exact_dedup, langid, near_dedup, packing, pii
 from tidemark.llm.common import materialise, table
 from tidemark.llm.queries import tokenizer_file
 
-MIN_LANGUAGE_SCORE = 0.5
-
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, may_learn=~langid.held_out("doc_id", 4, 2))
     scored = langid.predict(docs, model, out_cols=("__lang_pred", "__lang_score"))
-    return scored.filter((F.col("__lang_pred") != "und") & (F.col("__lang_score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return scored.filter(F.col("__lang_pred") != "und").select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

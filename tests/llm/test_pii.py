@@ -56,10 +56,12 @@ def test_odd_rows_and_empty_tables(odd_docs, no_docs):
 def test_added_spans_and_masking(spark):
     rows = [(i, f'see token = "{i:040x}" and mail me{i}@mail.example.com or +1 (614) 555-80{i:02d}') for i in range(30)]
     rows += [(100 + i, "plain words with version 1.2.3 and order 4111 1111 1111 1112") for i in range(30)]
+    rows += [(200 + i, f"the key AKIAPTDW4XUFB63SM{i:02d}H stands here, password={hashlib.md5(str(i).encode()).hexdigest()[:18]} too") for i in range(10, 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     kinds = {r.doc_id: [s.kind for s in r.spans] for r in pii.detect(df).collect()}
     assert all(kinds[i] == ["secret", "email", "phone"] for i in range(30))
     assert all(kinds[100 + i] == [] for i in range(30))
+    assert all(kinds[200 + i] == ["secret", "secret"] for i in range(10, 30))
     masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
     assert masked[3] == "see [secret] and mail [email] or [phone]" and masked[101] == rows[31][1]
 

@@ -56,8 +56,8 @@ PATTERNS = {
            r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": ("text rlike '[0-9]'", r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"),
     "phone": ("contains(text, '+')", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    "secret": ("text rlike '[:=]'",
-               r"(?i)(?<![a-z0-9])(?:api[_-]?key|access[_-]?key|secret|token|password|passwd)[\x22']?"
+    "secret": ("text rlike '[:=]' or contains(text, 'AKIA')",
+               r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?i)(?<![a-z0-9])(?:api[_-]?key|access[_-]?key|secret|token|password|passwd)[\x22']?"
                r"[\x20\t]{0,3}[:=][\x20\t]{0,3}[\x22']?[a-z0-9+/_=-]{8,}+[\x22']?"),
     "ssn": ("text rlike '[0-9]-[0-9]'", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "iban": ("text rlike '[A-Z]{2}[0-9]{2}'",
@@ -75,7 +75,7 @@ TLDS = ["com", "org", "net", "edu", "gov", "int", "info", "biz", "io", "ai", "ap
 CONTEXT = {
     "email": ["mail", "contact", "write"], "ip": ["ip", "host", "server", "address", "login"],
     "card": ["card", "visa", "credit", "payment"], "phone": ["phone", "tel", "call", "mobile", "fax"],
-    "secret": ["token", "key", "secret", "password", "passwd"], "ssn": ["ssn", "social", "security"],
+    "secret": ["token", "key", "akia", "secret", "password", "passwd"], "ssn": ["ssn", "social", "security"],
     "iban": ["iban", "account", "bank"], "obfuscated_email": ["mail", "contact", "write"],
     "local_phone": ["phone", "tel", "call", "mobile", "fax"],
 }
@@ -140,7 +140,7 @@ def _votes() -> str:
                        "card": "if(substring(c.span, 1, 1) in ('3', '4', '5', '6'), 'y', 'n')",
                        "ip": "if(c.span rlike '^(?:0|127|255)[.]', 'n', 'y')",
                        "phone": "if(c.span rlike '^[+][1-9]', 'y', 'n')",
-                       "secret": "if(lower(c.span) rlike '^(?:api|access|secret|token)', 'y', '-')"}, "'-'")
+                       "secret": "if(lower(c.span) rlike '^(?:api|access|akia|passw|secret|token)', 'y', '-')"}, "'-'")
     for_kind = _case({k: "'" + "|".join(v) + "'" for k, v in CONTEXT.items()}, "'-'")
     around = "concat(c.before, ' ', left(lower(c.span), 40), ' ', c.after)"
     context = (f"if(c.before rlike '{'|'.join(OPPOSED)}', 'n', "
