@@ -61,7 +61,9 @@ def two_version_merge(
     ``end_date``, and an existing ``InActive`` row keeps its dates while taking
     the old active values.  ``compat=False`` (default) compares only ``values``,
     starts the new version at ``run_ts`` and closes the old one at ``run_ts``.
-    Unchanged keys are copied as they are in both modes.
+    Unchanged keys are copied as they are in both modes.  A key whose only stored
+    row is ``InActive`` is not touched by ``compat=True``; by default it gets the
+    incoming row as its ``Active`` version and keeps the ``InActive`` one.
     """
     values = list(values)
     tcols = target.columns
@@ -131,7 +133,7 @@ def two_version_merge(
     old_version = make(old_vals, "update")
 
     rows = (
-        F.when(a.isNull() & i.isNull(), F.array(new_row))
+        F.when(a.isNull() & (i.isNull() if compat else F.lit(True)), F.array_compact(F.array(new_row, stored(i))))
         .when(changed, F.array(new_version, old_version))
         .otherwise(F.array_compact(F.array(stored(a), stored(i))))
     )

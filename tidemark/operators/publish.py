@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import path_exists
-from tidemark.sources.files import csv_options
+from tidemark.sources.files import csv_write_options, without_line_breaks
 
 SINGLE_FILE_ROW_CAP = 1_000_000
 
@@ -66,7 +66,7 @@ def export_single_csv(df: DataFrame, folder: str, file_name: str, *, row_cap: in
     if df.limit(row_cap + 1).count() > row_cap:
         raise ValueError(f"more than {row_cap} rows: a single-file export would run in one task; use write_csv")
     tmp = f"{folder.rstrip('/')}/_tmp_export_{uuid.uuid4().hex}"
-    df.coalesce(1).write.mode("overwrite").options(**csv_options(header)).csv(tmp)
+    without_line_breaks(df).coalesce(1).write.mode("overwrite").options(**csv_write_options(header)).csv(tmp)
     fs, tmp_path, jvm = _jvm_fs(spark, tmp)
     parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:

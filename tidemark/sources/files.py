@@ -23,32 +23,61 @@ CORRUPT = "_corrupt_record"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def csv_options(header: bool = True, sep: str = ",") -> dict[str, str]:
+def csv_options(header: bool = True, sep: str = ",", *, multi_line: bool = False,
+                on_bad_value: str = "fail") -> dict[str, str]:
+    """Reading options that lose nothing silently.
+
+    Timestamps parse in the standard layouts (blank or ``T``, any number of
+    fractional digits).  With a header, each file's names are checked against
+    the schema, so columns in another order are an error and not swapped
+    values.  ``on_bad_value="fail"`` refuses values and lines that do not fit;
+    ``"null"`` makes them null (use it with :func:`read_csv_rescued`, which
+    keeps the text).  Files with quoted line breaks need ``multi_line``; they
+    are read by one task each.
+    """
     return {
         "header": str(header).lower(),
         "sep": sep,
-        "timestampFormat": TS_FORMAT,
-        "timestampNTZFormat": TS_FORMAT,
-        "mode": "PERMISSIVE",
+        "enforceSchema": str(not header).lower(),
+        "multiLine": str(multi_line).lower(),
+        "mode": {"fail": "FAILFAST", "null": "PERMISSIVE"}[on_bad_value],
     }
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, header: bool = True, sep: str = ",",
-             ignore_missing_files: bool = True) -> DataFrame:
+             ignore_missing_files: bool = False, multi_line: bool = False, on_bad_value: str = "fail") -> DataFrame:
     """S-01: batch CSV scan, always with an explicit schema (no inference pass).
 
-    ``ignore_missing_files`` (S-05) skips files deleted between listing and read.
+    ``ignore_missing_files`` (S-05) skips files deleted between listing and
+    read; off unless asked for, as the result is then not whole.
     """
     return (
-        spark.read.options(**csv_options(header, sep))
+        spark.read.options(**csv_options(header, sep, multi_line=multi_line, on_bad_value=on_bad_value))
         .option("ignoreMissingFiles", str(ignore_missing_files).lower())
         .schema(schema)
         .csv(path)
     )
 
 
-def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", header: bool = True) -> None:
-    df.write.mode(mode).options(**csv_options(header)).csv(path)
+def csv_write_options(header: bool = True, sep: str = ",") -> dict[str, str]:
+    return {"header": str(header).lower(), "sep": sep, "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
+
+
+def without_line_breaks(df: DataFrame) -> DataFrame:
+    """The rows, failing on a text with a line break: a line-based reader would see two lines."""
+    checked = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(c.rlike("[\r\n]"), F.raise_error(F.lit(f"line break in column {f.name}: write it with "
+                                                               "multi_line=True and read it so")).cast("string")).otherwise(c)
+        checked.append(c.alias(f.name))
+    return df.select(*checked)
+
+
+def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", header: bool = True, multi_line: bool = False) -> None:
+    """CSV text; values with line breaks only with ``multi_line`` (quoted, for readers with that option)."""
+    (df if multi_line else without_line_breaks(df)).write.mode(mode).options(**csv_write_options(header)).csv(path)
 
 
 def with_provenance(df: DataFrame, *, path_col: str | None = "file_path", name_col: str | None = "file_name",
@@ -71,7 +100,7 @@ def infer_schema(spark: SparkSession, path: str, *, fmt: str = "csv", sampling_r
     """Infer a schema with one batch read of what has landed so far (S-03)."""
     reader = spark.read.format(fmt).option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
     if fmt == "csv":
-        reader = reader.options(**csv_options())
+        reader = reader.options(**csv_options(on_bad_value="null"))
     if options:
         reader = reader.options(**options)
     return reader.load(path).schema
@@ -158,7 +187,7 @@ def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType | Mapp
         else dict(schema)
     text_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in types]
                                + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (spark.read.options(**csv_options(header, sep)).option("columnNameOfCorruptRecord", CORRUPT)
+    raw = (spark.read.options(**csv_options(header, sep, on_bad_value="null")).option("columnNameOfCorruptRecord", CORRUPT)
            .schema(text_schema).csv(path))
     # ``_corrupt_record`` is not a schema column, so rescue() files the raw
     # line under that name -- and only for broken lines, where it is set

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources.files import csv_options
+from tidemark.sources.files import csv_options, csv_write_options, without_line_breaks
 
 
 def file_stream(
@@ -26,6 +26,7 @@ def file_stream(
     max_files_per_trigger: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    ignore_missing_files: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """S-02: a file stream with an explicit schema.
@@ -34,7 +35,7 @@ def file_stream(
     their batch is committed (the reference's archive step, Q-07); Spark
     archives lazily, so the newest files stay until a later batch.
     """
-    r = spark.readStream.format(fmt).schema(schema).option("ignoreMissingFiles", "true")
+    r = spark.readStream.format(fmt).schema(schema).option("ignoreMissingFiles", str(ignore_missing_files).lower())
     if fmt == "csv":
         r = r.options(**csv_options())
     if max_files_per_trigger:
@@ -56,6 +57,8 @@ def run_available(df: DataFrame, checkpoint: str, *, sink: Callable | None = Non
     ``sink`` is a ``foreachBatch`` function; otherwise rows are appended to
     ``path`` in ``fmt`` (K-09 / T-02).
     """
+    if sink is None and fmt == "csv":
+        df = without_line_breaks(df)
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         w = w.queryName(query_name)
@@ -64,7 +67,7 @@ def run_available(df: DataFrame, checkpoint: str, *, sink: Callable | None = Non
     else:
         w = w.format(fmt).outputMode("append").option("path", path)
         if fmt == "csv":
-            w = w.options(**csv_options())
+            w = w.options(**csv_write_options())
     if options:
         w = w.options(**options)
     q = w.start()
