@@ -2,7 +2,7 @@
 
 Each query is run to completion through the ``noop`` sink (every row is
 computed, nothing is collected to the driver).  All queries run once to warm
-the JVM, then twice timed; ``value`` is the sum over queries of the better
+the JVM, then three times timed; ``value`` is the sum over queries of the median
 timed run and ``cold_total`` the sum of the first pass.  Prints one JSON line.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -50,12 +51,10 @@ def main() -> None:
             return None
         return round(time.perf_counter() - t0, 3)
 
-    # first pass warms the JVM (class loading, JIT, code generation caches);
-    # then the better of two timed passes, to damp noise on a shared machine
+    # first pass warms the JVM (class loading, JIT, code generation caches)
     cold = {name: run(name) for name in names}
-    first = {name: run(name) for name in names if name not in errors}
-    second = {name: run(name) for name in names if name not in errors}
-    times = {name: min(t for t in (first.get(name), second.get(name)) if t is not None)
+    passes = [{name: run(name) for name in names if name not in errors} for _ in range(3)]
+    times = {name: statistics.median(t for p in passes if (t := p.get(name)) is not None)
              for name in names if name not in errors}
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

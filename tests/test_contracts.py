@@ -247,7 +247,7 @@ def test_not_null_rules_from_schema(spark):
 
 
 def test_file_name_rules_strict_and_compat(spark):
-    names = ["Vivek_20250601.csv", "Vivek_20250601Xcsv_x.csv", "Other_20250601.csv", "Parimala_20250602.csv",
+    names = ["BranchData_20250601.csv", "BranchData_20250601Xcsv_x.csv", "Other_20250601.csv", "PayrollData_20250602.csv",
              "EmployeeData_20250601.txt"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = df.select(quality.valid_origin_name(F.col("n"), "20250601").alias("s"),

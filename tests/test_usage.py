@@ -19,7 +19,7 @@ def test_readme_batch_flow(spark, tmp_path):
         F.col("gender").alias("Gender"), F.col("country").alias("Country"), F.col("email").alias("Email"))
     good = batch.filter(F.col("ID").cast("long") % 2 == 0)
     publish.export_single_csv(good.filter(F.col("ID").cast("long") % 4 == 0), landing, "EmployeeData_20250601.csv")
-    publish.export_single_csv(good.filter(F.col("ID").cast("long") % 4 == 2), landing, "Parimala_20250601.csv")
+    publish.export_single_csv(good.filter(F.col("ID").cast("long") % 4 == 2), landing, "PayrollData_20250601.csv")
     publish.export_single_csv(batch.filter(F.col("ID").cast("long") % 2 == 1), landing, "Unknown_20250601.csv")
     publish.export_single_csv(batch.limit(3), landing, "notes.txt")
 
@@ -50,7 +50,7 @@ def test_readme_batch_flow(spark, tmp_path):
     import uuid
 
     routed = quality.route_by(gold, [("csv", "file_name like 'EmployeeData%'"),
-                                     ("jdbc", "file_name like 'Parimala%' or file_name like 'Vivek%'")])
+                                     ("jdbc", "file_name like 'PayrollData%' or file_name like 'BranchData%'")])
     url = f"jdbc:derby:memory:gold{uuid.uuid4().hex[:8]};create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     to_db = routed.filter("route = 'jdbc'").select("id", "name", "email", "file_name")

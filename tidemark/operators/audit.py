@@ -48,15 +48,14 @@ def commit_log(spark: SparkSession, version: str, operation: str, metrics: Obser
 
 def metrics_pivot(commits: DataFrame, *, operations: Sequence[str] = AUDITED_OPERATIONS,
                   metrics: Sequence[str] = MERGE_METRICS, id_col: str = "version") -> DataFrame:
-    """Explode ``operation_metrics``, pivot the listed metrics per commit (sum
-    of int values, missing -> 0), join the commit info back on the commit id."""
-    kept = commits.filter(F.col("operation").isin(list(operations)))
-    pairs = kept.select(id_col, F.explode("operation_metrics").alias("key", "value"))
-    pairs = pairs.select(id_col, "key", F.col("value").try_cast("bigint").alias("value"))
-    wide = pairs.groupBy(id_col).pivot("key", list(metrics)).agg(F.sum("value"))
-    wide = wide.select(id_col, *[F.coalesce(F.col(m), F.lit(0).cast("bigint")).alias(m) for m in metrics])
-    info = kept.select(id_col, "operation", "timestamp", "user_name")
-    return wide.join(info, id_col, "inner")
+    """The listed metrics of each commit as columns (sum of int values, missing
+    -> 0) with the commit info: one scan, one aggregate by commit id.  Commits
+    without any metric are left out."""
+    kept = commits.filter(F.col("operation").isin(list(operations)) & (F.size("operation_metrics") > 0))
+    values = [F.coalesce(F.sum(F.try_element_at("operation_metrics", F.lit(m)).try_cast("bigint")),
+                         F.lit(0).cast("bigint")).alias(m) for m in metrics]
+    info = F.collect_list(F.struct("operation", "timestamp", "user_name")).alias("info")
+    return kept.groupBy(id_col).agg(*values, info).select(id_col, *metrics, F.inline("info"))
 
 
 def merge_audit(audit: DataFrame, pivoted: DataFrame, *, notebook_name: str | Column,
@@ -78,39 +77,40 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 
 def profile(df: DataFrame, *, approx: bool = True, quantiles: Sequence[float] = (0.25, 0.5, 0.75),
             rounding: int | None = None) -> DataFrame:
-    """A-05: one aggregate pass over every column, one output row per column.
+    """A-05: one output row per column, by an aggregate pass over the string
+    columns and one over all others.
 
     Exact: rows, nulls, min, max (as text), mean and standard deviation of
     numeric columns.  With ``approx``: distinct count (HyperLogLog++) and
     quantiles (``percentile_approx``), both mergeable partial aggregates, so
     the pass never gathers a column in one task.
     """
-    fields = df.schema.fields
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs += [F.count_if(c.isNull()).alias(f"n{i}"), F.min(c).cast("string").alias(f"lo{i}"),
-                 F.max(c).cast("string").alias(f"hi{i}")]
-        num = isinstance(f.dataType, _NUMERIC)
-        mean = F.avg(c) if num else F.lit(None).cast("double")
-        sd = F.stddev_samp(c) if num else F.lit(None).cast("double")
-        if rounding is not None:
-            mean, sd = F.round(mean, rounding), F.round(sd, rounding)
-        aggs += [mean.alias(f"m{i}"), sd.alias(f"s{i}")]
-        if approx:
-            aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
-            if num:
-                aggs.append(F.percentile_approx(c.cast("double"), list(quantiles)).alias(f"q{i}"))
-            else:
-                aggs.append(F.lit(None).cast("array<double>").alias(f"q{i}"))
-    one = df.agg(*aggs)
-    rows = []
-    for i, f in enumerate(fields):
-        parts = [F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                 F.col("__n").alias("n_rows"), F.col(f"n{i}").alias("n_nulls"),
-                 F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"),
-                 F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev")]
-        if approx:
-            parts += [F.col(f"d{i}").alias("approx_distinct"), F.col(f"q{i}").alias("approx_quantiles")]
-        rows.append(F.struct(*parts))
-    return one.select(F.inline(F.array(*rows)))
+    def rows_of(fields: list[T.StructField]) -> DataFrame:
+        aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
+        rows = []
+        for i, f in enumerate(fields):
+            c = F.col(f"`{f.name}`")
+            num = isinstance(f.dataType, _NUMERIC)
+            mean = F.avg(c) if num else F.lit(None).cast("double")
+            sd = F.stddev_samp(c) if num else F.lit(None).cast("double")
+            if rounding is not None:
+                mean, sd = F.round(mean, rounding), F.round(sd, rounding)
+            aggs += [F.count_if(c.isNull()).alias(f"n{i}"), F.min(c).cast("string").alias(f"lo{i}"),
+                     F.max(c).cast("string").alias(f"hi{i}"), mean.alias(f"m{i}"), sd.alias(f"s{i}")]
+            parts = [F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                     F.col("__n").alias("n_rows"), F.col(f"n{i}").alias("n_nulls"),
+                     F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"),
+                     F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev")]
+            if approx:
+                quantile = F.percentile_approx(c.cast("double"), list(quantiles)) if num else F.lit(None).cast("array<double>")
+                aggs += [F.approx_count_distinct(c).alias(f"d{i}"), quantile.alias(f"q{i}")]
+                parts += [F.col(f"d{i}").alias("approx_distinct"), F.col(f"q{i}").alias("approx_quantiles")]
+            rows.append(F.struct(*parts))
+        return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+    # the smallest and largest strings need a sort-based aggregate; a pass of their own
+    # leaves all other columns in a hash aggregate, and each pass reads its columns only
+    text = [f for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    other = [f for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]
+    parts = [rows_of(fields) for fields in (other, text) if fields]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

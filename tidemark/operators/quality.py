@@ -15,6 +15,8 @@ so it works unchanged on batch and streaming DataFrames:
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -117,25 +119,24 @@ def not_null_rules(columns: Iterable[str] | T.StructType) -> dict[str, Column]:
 
 
 # ---------------------------------------------------------------- file intake
-# The origin prefixes the reference accepts and its name pattern
-# (prefix + '_' + 8 digits + '.csv'; matched at the start only, dot unescaped).
-ORIGIN_PREFIXES = ("EmployeeData", "Parimala", "Vivek")
-COMPAT_NAME_PATTERN = r"^(?:EmployeeData_\d\d\d\d\d\d\d\d.csv|Parimala_\d\d\d\d\d\d\d\d.csv|Vivek_\d\d\d\d\d\d\d\d.csv)"
-STRICT_NAME_PATTERN = r"^(?:EmployeeData|Parimala|Vivek)_\d{8}\.csv$"
+ORIGIN_PREFIXES = ("EmployeeData", "PayrollData", "BranchData")
 
 
-def valid_origin_name(name: Column, run_date: str | Column, *, compat: bool = False) -> Column:
+def valid_origin_name(name: Column, run_date: str | Column, *, prefixes: Sequence[str] = ORIGIN_PREFIXES,
+                      compat: bool = False) -> Column:
     """Q-06: the file name follows the origin pattern and carries the run date.
 
+    The name is one of ``prefixes``, ``_``, eight digits and ``.csv``.
     ``run_date`` is ``yyyyMMdd`` text or a date column.  The reference looks for
     the date in any ``_``-separated part; the date has no ``_``, so that is the
     same as the name containing it.  Strict (default) anchors the whole name,
     escapes the dot and wants the date exactly in the stamp.
     """
     stamp = F.lit(run_date) if isinstance(run_date, str) else F.date_format(run_date, "yyyyMMdd")
-    if compat:
-        return name.rlike(COMPAT_NAME_PATTERN) & name.contains(stamp)
-    return name.rlike(STRICT_NAME_PATTERN) & (F.regexp_extract(name, r"_(\d{8})\.csv$", 1) == stamp)
+    origin = "|".join(re.escape(p) for p in prefixes)
+    if compat:  # matched at the start only, the dot stands for any character
+        return name.rlike(rf"^(?:{origin})_\d{{8}}.csv") & name.contains(stamp)
+    return name.rlike(rf"^(?:{origin})_\d{{8}}\.csv$") & (F.regexp_extract(name, r"_(\d{8})\.csv$", 1) == stamp)
 
 
 def route_files(files: DataFrame, name_col: str, run_date: str | Column, *, compat: bool = False,

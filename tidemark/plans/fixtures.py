@@ -82,8 +82,8 @@ def emp_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "name", "dob", "gender",
         F.when(i % 7 == 0, "MOVED").otherwise(F.col("country")).alias("country"),
         "email",
-        F.when(i % 4 == 0, "Parimala_20240201.csv")
-        .when(i % 4 == 1, "Vivek_20240201.csv")
+        F.when(i % 4 == 0, "PayrollData_20240201.csv")
+        .when(i % 4 == 1, "BranchData_20240201.csv")
         .otherwise("EmployeeData_20240101.csv").alias("file_name"),
     )
     new = b.filter(i % 10 == 0).select(
@@ -114,8 +114,8 @@ select id, concat(name, ' old'), dob, gender, country, email, 1, 'InActive',
 from emp_base where id % 5 = 0"""
 
 EMP_BATCH_SQL = """select id, name, dob, gender, case when id % 7 = 0 then 'MOVED' else country end as country, email,
-  case when id % 4 = 0 then 'Parimala_20240201.csv'
-       when id % 4 = 1 then 'Vivek_20240201.csv'
+  case when id % 4 = 0 then 'PayrollData_20240201.csv'
+       when id % 4 = 1 then 'BranchData_20240201.csv'
        else 'EmployeeData_20240101.csv' end as file_name
 from emp_base where id % 3 <> 0
 union all

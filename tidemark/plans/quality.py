@@ -97,7 +97,7 @@ def q_not_null_violations(spark, sf):
 # with a wrong extension and some with the reference's loose-pattern trap.
 RUN_DATE = "19970101"
 FILE_NAME_SQL = """select o_orderkey,
-  case o_orderkey % 4 when 0 then 'EmployeeData' when 1 then 'Parimala' when 2 then 'Vivek' else 'Other' end
+  case o_orderkey % 4 when 0 then 'EmployeeData' when 1 then 'PayrollData' when 2 then 'BranchData' else 'Other' end
   || '_' || strftime(o_orderdate, '%Y%m%d') ||
   case when o_orderkey % 7 = 0 then 'Xcsv_' || strftime(o_orderdate, '%Y%m%d') || '.csv'
        when o_orderkey % 5 = 0 then '.txt' else '.csv' end as file_name
@@ -108,15 +108,15 @@ def file_names(spark, sf):
     o = table(spark, sf, "orders")
     k = F.col("o_orderkey")
     stamp = F.date_format("o_orderdate", "yyyyMMdd")
-    prefix = F.when(k % 4 == 0, "EmployeeData").when(k % 4 == 1, "Parimala").when(k % 4 == 2, "Vivek").otherwise("Other")
+    prefix = F.when(k % 4 == 0, "EmployeeData").when(k % 4 == 1, "PayrollData").when(k % 4 == 2, "BranchData").otherwise("Other")
     ext = F.when(k % 7 == 0, F.concat(F.lit("Xcsv_"), stamp, F.lit(".csv"))).when(k % 5 == 0, ".txt").otherwise(".csv")
     return o.select("o_orderkey", F.concat(prefix, F.lit("_"), stamp, ext).alias("file_name"))
 
 
 @register("validate_origin_names", f"""select o_orderkey, file_name,
-  regexp_matches(file_name, '^(EmployeeData|Parimala|Vivek)_[0-9]{{8}}\\.csv$')
+  regexp_matches(file_name, '^(EmployeeData|PayrollData|BranchData)_[0-9]{{8}}\\.csv$')
     and regexp_extract(file_name, '_([0-9]{{8}})\\.csv$', 1) = '{RUN_DATE}' as valid_strict,
-  regexp_matches(file_name, '^(EmployeeData_[0-9]{{8}}.csv|Parimala_[0-9]{{8}}.csv|Vivek_[0-9]{{8}}.csv)')
+  regexp_matches(file_name, '^(EmployeeData_[0-9]{{8}}.csv|PayrollData_[0-9]{{8}}.csv|BranchData_[0-9]{{8}}.csv)')
     and contains(file_name, '{RUN_DATE}') as valid_compat
 from ({FILE_NAME_SQL}) f""")
 def q_validate_origin_names(spark, sf):
@@ -130,7 +130,7 @@ def q_validate_origin_names(spark, sf):
 
 @register("route_files", f"""select route, count(*) as n_files from (
 select case when not ends_with(file_name, '.csv') then 'ignored'
-  when regexp_matches(file_name, '^(EmployeeData|Parimala|Vivek)_[0-9]{{8}}\\.csv$')
+  when regexp_matches(file_name, '^(EmployeeData|PayrollData|BranchData)_[0-9]{{8}}\\.csv$')
     and regexp_extract(file_name, '_([0-9]{{8}})\\.csv$', 1) = '{RUN_DATE}' then 'accepted'
   else 'rejected' end as route
 from ({FILE_NAME_SQL}) f) r group by route""")
@@ -140,13 +140,13 @@ def q_route_files(spark, sf):
 
 
 ORIGIN_ROUTES = [
-    ("csv_export", "file_name like 'EmployeeData%' or file_name like 'Vivek%'"),
-    ("jdbc_export", "file_name like 'Parimala%'"),
+    ("csv_export", "file_name like 'EmployeeData%' or file_name like 'BranchData%'"),
+    ("jdbc_export", "file_name like 'PayrollData%'"),
 ]
 
 
 @register("route_by_origin", with_employees("""
-select id, file_name, case when file_name like 'EmployeeData%' or file_name like 'Vivek%' then 'csv_export'
-  when file_name like 'Parimala%' then 'jdbc_export' else 'unrouted' end as route from emp_batch"""))
+select id, file_name, case when file_name like 'EmployeeData%' or file_name like 'BranchData%' then 'csv_export'
+  when file_name like 'PayrollData%' then 'jdbc_export' else 'unrouted' end as route from emp_batch"""))
 def q_route_by_origin(spark, sf):
     return quality.route_by(emp_batch(spark, sf), ORIGIN_ROUTES, default="unrouted").select("id", "file_name", "route")

@@ -38,7 +38,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` conf or the context's
-    checkpoint dir); set a private one only when the cluster names none.
+    checkpoint dir); only a local master, where one process does all, gets a
+    private one when none is named.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -48,6 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no JVM context (remote session): the conf is all there is
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         for setter in (lambda: spark.sparkContext.setCheckpointDir(root),
                        lambda: spark.conf.set("spark.checkpoint.dir", root)):
