@@ -35,7 +35,8 @@ from tidemark.llm.chunks import WS
 from tidemark.llm.common import id_and_text, slices
 
 SLICE_BYTES = 4 << 20
-CACHE = 300_000
+#: words whose ids a task remembers, in each of two generations
+CACHE = 350_000
 
 # fixed values: the contractions that byte-level vocabularies split off
 CONTRACTIONS = ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d"]
@@ -73,7 +74,7 @@ class Vocabulary:
         model, added = spec["model"], spec.get("added_tokens", [])
         vocab: dict[str, int] = model["vocab"]
         of_char = {c: b for b, c in enumerate(byte_alphabet())}
-        self.byte_ids = [vocab[c] for c in byte_alphabet()]
+        self.byte_ids = np.array([vocab[c] for c in byte_alphabet()], np.int64)
         self.special = {t["content"]: t["id"] for t in added}
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.token_bytes: list[bytes | None] = [None] * size
@@ -93,6 +94,9 @@ class Vocabulary:
             made_at.setdefault(new, rank)
             self.merges.append((a, b, new))
             self.rank_of[a << 32 | b] = rank
+        #: rank of each pair of bytes, or -1
+        self.byte_ranks = np.array([[self.rank_of.get(int(a) << 32 | int(b), -1) for b in self.byte_ids]
+                                    for a in self.byte_ids], np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -103,24 +107,26 @@ def vocabulary(path: str) -> Vocabulary:
 def merge_words(words: Iterable[bytes], vocab: Vocabulary) -> list[array]:
     """The ids of each word, by one pair occurrence index over all of them."""
     END, GONE = -1, -2
-    rank_of, merges, byte_ids = vocab.rank_of, vocab.merges, vocab.byte_ids
-    symbols: list[int] = [END]
-    starts: list[int] = []
-    for word in words:
-        starts.append(len(symbols))
-        symbols.extend([byte_ids[b] for b in word])
-        symbols.append(END)
-    size = len(symbols)
+    rank_of, merges = vocab.rank_of, vocab.merges
+    words = list(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    held = np.frombuffer(b"".join(words), np.uint8)
+    word = np.repeat(np.arange(len(words)), lengths)
+    # every word stands between two end marks
+    at = np.arange(len(held)) + word + 1
+    size = len(held) + len(words) + 1
+    symbols = np.full(size, END, np.int64)
+    symbols[at] = vocab.byte_ids[held]
+    symbols = symbols.tolist()
+    starts = (np.cumsum(lengths) - lengths + np.arange(len(words)) + 1).tolist()
     after, before = array("i", range(1, size + 1)), array("i", range(-1, size - 1))
     places: dict[int, list[int]] = {}
-    for at in range(1, size - 1):
-        rank = rank_of.get(symbols[at] << 32 | symbols[at + 1]) if symbols[at] >= 0 <= symbols[at + 1] else None
-        if rank is not None:
-            held = places.get(rank)
-            if held is None:
-                places[rank] = [at]
-            else:
-                held.append(at)
+    rank = np.where(word[:-1] == word[1:], vocab.byte_ranks[held[:-1], held[1:]], -1)
+    mergeable = np.flatnonzero(rank >= 0)
+    if len(mergeable):
+        order = mergeable[np.argsort(rank[mergeable], kind="stable")]
+        found, first = np.unique(rank[order], return_index=True)
+        places = dict(zip(found.tolist(), (p.tolist() for p in np.split(at[order], first[1:]))))
     active = list(places)
     heapq.heapify(active)
     while active:
@@ -166,6 +172,7 @@ class Encoder:
     def __init__(self, path: str, cache_limit: int = CACHE):
         self.vocab, self.limit = vocabulary(path), cache_limit
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         special = sorted(self.vocab.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
@@ -185,10 +192,17 @@ class Encoder:
                               for w in ([part] if part in special else self.words(part))])
             else:
                 split.append(self.words(text))
-        different = set().union(*split)
-        if len(known) + len(different) > self.limit:
-            known.clear()
-        missing = [w for w in different if w not in known]
+        new = set().union(*split).difference(known)
+        if len(known) + len(new) > self.limit:  # what was used lately stays one generation longer
+            self.older, self.known = known, {}
+            known, new = self.known, set().union(*split)
+        missing = []
+        for w in new:
+            ids = self.older.get(w)
+            if ids is None:
+                missing.append(w)
+            else:
+                known[w] = ids
         # a special token's string can stand here only for the token: the pattern cuts it elsewhere
         for word, ids in zip(missing, merge_words([w.encode("utf-8", "replace") for w in missing], self.vocab)):
             known[word] = ids.tobytes()
