@@ -37,7 +37,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
@@ -232,13 +231,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
                         other = other[row[other] >= least - 1e-9 * (1 + abs(least))]
                     score = (x[other] * vector).sum(axis=1)
                     first = np.lexsort((ids[other], -score))[:k]
-                    out.extend((q, ids[other[i]], score[i]) for i in first)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]) if out else pd.DataFrame(
-            {"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+                    out.append((q, ids[other[first]], score[first]))
+        return pd.DataFrame(out, columns=["query_id", "ids", "scores"]) if out else pd.DataFrame(
+            {"query_id": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object), "scores": pd.Series(dtype=object)})
 
+    # one row per query and block, at most k rows of the block in it
     found = held.unionByName(asked).groupBy("list", "block").applyInPandas(
-        best, "query_id long, vec_id long, score double")
+        best, "query_id long, ids array<long>, scores array<double>")
     # a replicated row is found in several lists, with the same score
-    ranked = found.dropDuplicates(["query_id", "vec_id", "score"]).withColumn(
-        "rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    merged = found.groupBy("query_id").agg(F.flatten(F.collect_list(F.arrays_zip("scores", "ids"))).alias("all"))
+    nearest = merged.select("query_id", F.posexplode(F.expr(
+        f"slice(array_sort(array_distinct(transform(all, x -> named_struct('less', -x.scores, 'id', x.ids)))), 1, {k})"))
+        .alias("place", "x"))
+    return nearest.select("query_id", (F.col("place") + 1).alias("rank"), F.col("x.id").alias("vec_id"),
+                          (-F.col("x.less")).alias("score"))
