@@ -103,6 +103,21 @@ def test_nearest_neighbours_recall_and_ties(spark):
     assert hits >= 0.9 * 20 * len(want)
 
 
+def recall(spark, x, step=20):
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want = brute(rows, range(0, len(x), step))
+    found = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % step == 0).collect()
+    got = {(r.query_id, r.vec_id) for r in found}
+    return sum((q, i) in got for q, near in want.items() for i, _ in near) / sum(map(len, want.values()))
+
+
+def test_nearest_neighbours_recall_does_not_fall_with_the_number_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 16)
+    x = np.random.RandomState(4).normal(size=(6000, 32))  # nothing but noise: distances prune little
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert min(recall(spark, x[:1000]), recall(spark, x)) >= 0.97  # about 62 and 375 lists
+
+
 def test_nearest_neighbours_on_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
             (None, [1.0, 1.0]), (6, [1.0, 2.0, 3.0]), (20, [float("inf"), 0.0]), (7, [0.5, 0.5]), (40, [0.0, 1.0]), (8, [])]

@@ -8,9 +8,11 @@
 * Every vector is indexed: it goes to its nearest list, and to further ones
   whose distance is at most ``1 + REPLICATE`` times the nearest, unless the
   list's centroid is nearer to a centroid already chosen (at most ``COPIES``).
-* A query searches the lists whose distance is at most ``1 + PRUNE`` times its
-  nearest list's, ``PROBES`` at most, and the nearest ``LEAST_PROBES`` in any
-  case (beside a centroid of equal vectors the ratio alone would leave one).
+* A query searches all lists whose distance is at most ``1 + prune`` times its
+  nearest list's, and the nearest ``LEAST_PROBES`` in any case.  ``prune`` is
+  measured for each table: ``ASKED`` queries are answered by a scan of all rows,
+  and it is the least value at which ``RECALL`` of their neighbours lie in lists
+  that are searched.  There is no other limit to the number of lists.
 * Lists longer than ``BLOCK`` rows, as many equal vectors make, are dealt over
   several blocks; a query visits all blocks of a list.  Each block returns a
   query's ``k`` best, and the best of those are the result.
@@ -36,7 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
@@ -45,7 +47,8 @@ SAMPLE = 32_768
 LIST = 512
 MAX_LISTS = 8192
 COPIES, REPLICATE = 4, 0.15
-PROBES, LEAST_PROBES, PRUNE = 64, 8, 0.6
+LEAST_PROBES, ASKED, RECALL = 8, 128, 0.995
+NEAR = 0.1
 BLOCK = 4096
 DEGREE = 16
 BEAM = 96
@@ -95,6 +98,7 @@ def neighbour_graph(c: np.ndarray) -> np.ndarray:
 class Index:
     centroids: np.ndarray
     graph: np.ndarray
+    prune: float = np.inf  # all lists
 
     def __post_init__(self):
         self.entries = np.unique(np.linspace(0, len(self.centroids) - 1, 32).astype(int))
@@ -139,10 +143,27 @@ class Index:
             out.append(mine)
         return out
 
+    def reach(self, x: np.ndarray) -> np.ndarray:
+        """By how much of its nearest list's distance each list is farther from
+        each query (a nearest list at almost no distance counts as ``NEAR`` of
+        the others' mean)."""
+        distance = np.sqrt(_squared(x, self.centroids))
+        unit = np.maximum(distance.min(axis=1), NEAR * distance.mean(axis=1))[:, None]
+        return distance / np.where(unit > 0, unit, 1) - 1
+
     def probes_of(self, x: np.ndarray) -> list[list[int]]:
-        lists, distance = self.search(x, PROBES)
-        wanted = (distance <= (1 + PRUNE) * distance[:, :1]) | (np.arange(lists.shape[1]) < LEAST_PROBES)
-        return [row[w].tolist() for row, w in zip(lists, wanted)]
+        reach = self.reach(x)
+        order = np.argsort(reach, axis=1, kind="stable")
+        wanted = (np.take_along_axis(reach, order, axis=1) <= self.prune) | (np.arange(order.shape[1]) < LEAST_PROBES)
+        return [row[w].tolist() for row, w in zip(order, wanted)]
+
+    def fit_prune(self, queries: np.ndarray, neighbours: list[np.ndarray]) -> None:
+        """Set ``prune`` from the true neighbours of some queries."""
+        need = [reach[lists].min() for reach, near in zip(self.reach(queries), neighbours) if len(near)
+                for lists in self.lists_of(near)]
+        if need:
+            # a little more, as products of other shapes are rounded otherwise
+            self.prune = float(np.sort(need)[int(np.ceil(RECALL * len(need))) - 1]) + 1e-6
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -160,14 +181,44 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def build(rows: DataFrame, sample: int = SAMPLE) -> Index | None:
-    """Centroids and their graph, from the rows of :func:`usable`."""
+def nearest_by_scan(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarray]:
+    """The vectors of the ``k`` best rows of each query, from a scan of all rows.
+    A task keeps ``k`` rows a query."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, own = np.full((len(queries), k), -np.inf), np.zeros((len(queries), k), np.int64)
+        best = np.zeros((len(queries), k, queries.shape[1]))
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4096):
+                part = batch.slice(start, 4096)
+                x, i = _matrix(part.column(1)), part.column(0).to_numpy()
+                for q in range(len(queries)):
+                    s = np.concatenate([score[q], np.where(i == ids[q], -np.inf, x @ queries[q])])
+                    top = np.argpartition(-s, k - 1)[:k]
+                    new, old = top[top >= k] - k, top[top < k]
+                    best[q], own[q] = np.concatenate([best[q][old], x[new]]), np.concatenate([own[q][old], i[new]])
+                    score[q] = np.concatenate([s[old], s[new + k]])
+        q, place = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(q), pa.array(score[q, place]), pa.array(own[q, place]),
+             pa.array(list(best[q, place]), pa.list_(pa.float64()))], names=["q", "score", "id", "v"])
+
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
+    found: list[list] = [[] for _ in queries]
+    top = rows.select("id", "v").mapInArrow(scan, "q long, score double, id long, v array<double>")
+    for r in top.withColumn("place", place).filter(F.col("place") <= k).collect():  # at most ASKED * k rows
+        found[r["q"]].append(r["v"])
+    return [np.array(f) for f in found]
+
+
+def build(rows: DataFrame, sample: int = SAMPLE, is_query: Column | None = None, k: int = 20) -> Index | None:
+    """Centroids, their graph and how far to search, from the rows of :func:`usable`."""
     total = rows.count()
     if not total:
         return None
     lists = int(min(MAX_LISTS, max(1, round(total / LIST))))
-    chosen = (rows.withColumn("o", F.xxhash64(F.col("id").cast("string"), F.lit(2)))
-              .filter((F.col("o") / F.lit(2.0 ** 64) + 0.5) < min(1.0, 1.1 * sample / total + 1e-9)))
+    hashed = F.xxhash64(F.col("id").cast("string"), F.lit(2))
+    chosen = rows.withColumn("o", hashed).filter((F.col("o") / F.lit(2.0 ** 64) + 0.5) < min(1.0, 1.1 * sample / total + 1e-9))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["o", "id"], kind="stable").iloc[:sample]
@@ -176,7 +227,13 @@ def build(rows: DataFrame, sample: int = SAMPLE) -> Index | None:
 
     fitted = (chosen.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit, "c array<double>").collect())
     c = np.array([r["c"] for r in fitted])
-    return Index(c, neighbour_graph(c))
+    index = Index(c, neighbour_graph(c))
+    asking = rows if is_query is None else rows.filter(is_query)
+    asked = asking.withColumn("o", F.xxhash64(F.col("id").cast("string"), F.lit(4))).orderBy("o", "id").limit(ASKED).collect()
+    if asked and len(c) > LEAST_PROBES:
+        queries = np.array([r["v"] for r in asked])
+        index.fit_prune(queries, nearest_by_scan(rows, np.array([r["id"] for r in asked]), queries, k))
+    return index
 
 
 def _assign(rows: DataFrame, index: Index, queries: bool) -> DataFrame:
@@ -201,7 +258,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     inner product that the index finds for every row with ``is_query`` (a
     condition on ``id``)."""
     rows = usable(vectors, id_col, vector_col)
-    index = index or build(rows)
+    index = index or build(rows, is_query=is_query, k=k)
     if index is None:
         return (rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"),
                             F.lit(0.0).alias("score")).limit(0))
