@@ -118,6 +118,15 @@ def test_nearest_neighbours_recall_does_not_fall_with_the_number_of_lists(spark,
     assert min(recall(spark, x[:1000]), recall(spark, x)) >= 0.97  # about 62 and 375 lists
 
 
+def test_nearest_neighbours_boundary_vectors_get_several_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 64)
+    x = np.random.RandomState(5).normal(size=(2000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = ann.build(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>"))
+    copies = np.array([len(m) for m in index.lists_of(x)])
+    assert len(index.centroids) > 16 and 1.05 < copies.mean() < 2 and (copies == 1).any()
+
+
 def test_nearest_neighbours_on_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
             (None, [1.0, 1.0]), (6, [1.0, 2.0, 3.0]), (20, [float("inf"), 0.0]), (7, [0.5, 0.5]), (40, [0.0, 1.0]), (8, [])]

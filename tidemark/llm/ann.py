@@ -3,11 +3,16 @@
 * Centroids are fitted on a bounded sample (``SAMPLE`` vectors at most, those
   with the smallest hashes of their ids) by k-means with a penalty on full
   clusters; there is one for about ``LIST`` vectors of the table, at most
-  ``MAX_LISTS``.  They are searched by a greedy walk on an in-memory graph of
-  their nearest neighbours and go to the tasks by value (at most MAX_LISTS rows).
+  ``MAX_LISTS``.  Vectors and centroids are scaled to length one for it: means
+  of many vectors are short and close together, and distances to them would
+  hardly differ.  More than ``DIRECT`` centroids are searched by a greedy walk on
+  an in-memory graph of their nearest neighbours, fewer one by one; they go to
+  the tasks by value (at most MAX_LISTS rows).
 * Every vector is indexed: it goes to its nearest list, and to further ones
-  whose distance is at most ``1 + REPLICATE`` times the nearest, unless the
-  list's centroid is nearer to a centroid already chosen (at most ``COPIES``).
+  whose distance is at most ``1 + replicate`` times the nearest, unless the
+  list's centroid is nearer to a centroid already chosen than ``APART`` times
+  the vector is (at most ``COPIES``).  ``replicate`` is measured on the sample:
+  a share ``BOUNDARY`` of it has a second list so near, ``REPLICATE`` at most.
 * A query searches all lists whose distance is at most ``1 + prune`` times its
   nearest list's, and the nearest ``LEAST_PROBES`` in any case.  ``prune`` is
   measured for each table: ``ASKED`` queries are answered by a scan of all rows,
@@ -46,8 +51,9 @@ from tidemark.llm.common import materialise
 SAMPLE = 32_768
 LIST = 512
 MAX_LISTS = 8192
-COPIES, REPLICATE = 4, 0.15
-LEAST_PROBES, ASKED, RECALL = 8, 128, 0.995
+COPIES, REPLICATE, BOUNDARY, APART = 4, 0.15, 0.1, 0.8
+DIRECT, FITTED = 1024, 8192
+LEAST_PROBES, ASKED, RECALL = 8, 128, 0.99
 NEAR = 0.1
 BLOCK = 4096
 DEGREE = 16
@@ -58,9 +64,14 @@ def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T, 0)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
+    return x / np.where(norm > 0, norm, 1)
+
+
 def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
-    """k-means whose assignment adds to a distance what a cluster already holds beyond its share."""
-    x = np.unique(x, axis=0)
+    """k-means on the unit sphere whose assignment adds to a distance what a cluster already holds beyond its share."""
+    x = np.unique(unit(x), axis=0)
     r = np.random.RandomState(2)
     lists = min(lists, len(x))
     c = x[r.choice(len(x), lists, replace=False)]
@@ -75,7 +86,7 @@ def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray
             nearest = (d + scale * 0.2 * np.maximum(load / share - 1, 0)).argmin(axis=1)
             np.add.at(total, nearest, part)
             count += np.bincount(nearest, minlength=lists)
-        c = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], x[r.randint(len(x), size=lists)])
+        c = np.where((total != 0).any(axis=1)[:, None], unit(total), x[r.randint(len(x), size=lists)])
         load = count
     return c
 
@@ -99,6 +110,7 @@ class Index:
     centroids: np.ndarray
     graph: np.ndarray
     prune: float = np.inf  # all lists
+    replicate: float = REPLICATE
 
     def __post_init__(self):
         self.entries = np.unique(np.linspace(0, len(self.centroids) - 1, 32).astype(int))
@@ -107,6 +119,10 @@ class Index:
         """The ``n`` nearest lists that a best-first walk from fixed entries
         finds, nearest first, with their distances.  All vectors walk at once."""
         n, beam = min(n, len(self.centroids)), min(max(beam, n), len(self.centroids))
+        if len(self.centroids) <= DIRECT:
+            found = _squared(x, self.centroids)
+            best = np.argsort(found, axis=1, kind="stable")[:, :n]
+            return best, np.sqrt(np.take_along_axis(found, best, axis=1))
         rows = np.arange(len(x))[:, None]
         norm, cnorm = (x * x).sum(1), (self.centroids ** 2).sum(1)
         found = np.full((len(x), len(self.centroids)), np.inf, np.float32)  # distances seen so far
@@ -130,26 +146,35 @@ class Index:
 
     def lists_of(self, x: np.ndarray) -> list[list[int]]:
         """The posting lists of each vector, the nearest first."""
-        lists, distance = self.search(x, 4 * COPIES)
+        lists, distance = self.search(unit(x), 4 * COPIES)
         out = []
         for row, d in zip(lists, distance):
             mine = [int(row[0])]
             for k in range(1, len(row)):
-                if len(mine) == COPIES or d[k] > (1 + REPLICATE) * d[0]:
+                if len(mine) == COPIES or d[k] > (1 + self.replicate) * d[0]:
                     break
                 to_chosen = ((self.centroids[mine] - self.centroids[row[k]]) ** 2).sum(1)
-                if np.sqrt(to_chosen.min()) >= d[k]:
+                if np.sqrt(to_chosen.min()) >= APART * d[k]:
                     mine.append(int(row[k]))
             out.append(mine)
         return out
 
+    def fit_replicate(self, sample: np.ndarray) -> None:
+        """Set ``replicate`` from how near the second lists of some vectors are."""
+        parts = [self.search(unit(sample[s:s + 512]), 2)[1] for s in range(0, len(sample), 512)]
+        d = np.concatenate(parts)
+        if d.shape[1] > 1:
+            ratio = d[:, 1] / np.where(d[:, 0] > 0, d[:, 0], np.nan)
+            if np.isfinite(ratio).any():
+                self.replicate = float(min(REPLICATE, np.nanquantile(ratio, BOUNDARY) - 1))
+
     def reach(self, x: np.ndarray) -> np.ndarray:
         """By how much of its nearest list's distance each list is farther from
         each query (a nearest list at almost no distance counts as ``NEAR`` of
         the others' mean)."""
-        distance = np.sqrt(_squared(x, self.centroids))
-        unit = np.maximum(distance.min(axis=1), NEAR * distance.mean(axis=1))[:, None]
-        return distance / np.where(unit > 0, unit, 1) - 1
+        distance = np.sqrt(_squared(unit(x), self.centroids))
+        least = np.maximum(distance.min(axis=1), NEAR * distance.mean(axis=1))[:, None]
+        return distance / np.where(least > 0, least, 1) - 1
 
     def probes_of(self, x: np.ndarray) -> list[list[int]]:
         reach = self.reach(x)
@@ -222,12 +247,16 @@ def build(rows: DataFrame, sample: int = SAMPLE, is_query: Column | None = None,
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["o", "id"], kind="stable").iloc[:sample]
-        c = balanced_centroids(np.stack(pdf["v"].to_numpy()), lists)
-        return pd.DataFrame({"c": list(c)})
-
-    fitted = (chosen.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(fit, "c array<double>").collect())
+        x = np.stack(pdf["v"].to_numpy())
+        c = balanced_centroids(x, lists)
+        index = Index(c, neighbour_graph(c))
+        index.fit_replicate(x[:FITTED])
+        return pd.DataFrame({"c": list(c), "replicate": index.replicate})
+
+    fitted = (chosen.withColumn("one", F.lit(1)).groupBy("one")
+              .applyInPandas(fit, "c array<double>, replicate double").collect())
     c = np.array([r["c"] for r in fitted])
-    index = Index(c, neighbour_graph(c))
+    index = Index(c, neighbour_graph(c), replicate=fitted[0]["replicate"])
     asking = rows if is_query is None else rows.filter(is_query)
     asked = asking.withColumn("o", F.xxhash64(F.col("id").cast("string"), F.lit(4))).orderBy("o", "id").limit(ASKED).collect()
     if asked and len(c) > LEAST_PROBES:
