@@ -5,7 +5,8 @@ stage is written as Parquet and read again as the documents of the next one.
 All but the last return the columns of the documents.
 
 1. language ID: documents without a recognised language go (null and letterless
-   texts); a low probability alone, as short texts have, drops nothing
+   texts); a low probability alone, as short texts have, drops nothing, and
+   where no language could be learned every text with a letter stays
 2. exact dedup: of equal texts the row with the smallest id stays
 3. near dedup: of texts that are linked, directly or not, one stays
 4. personal data: every span found is replaced by its kind; ``n_chars`` follows
@@ -24,6 +25,8 @@ from tidemark.llm.queries import tokenizer_file
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, may_learn=~langid.held_out("doc_id", 4, 2))
+    if not model.languages:  # predict would call every text unknown
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     scored = langid.predict(docs, model, out_cols=("__lang_pred", "__lang_score"))
     return scored.filter(F.col("__lang_pred") != "und").select(*docs.columns)
 

@@ -35,3 +35,10 @@ def test_stages_take_effect(spark):
             assert docs.filter("length(text) <> n_chars").count() == 0
     assert 10_000 not in kept["language_id"] and 10_001 not in kept["language_id"]
     assert kept["pii"] == kept["minhash_near_dedup"] == kept["best_fit_packing"] < kept["language_id"]
+
+
+def test_language_stage_keeps_texts_when_no_language_can_be_learned(spark):
+    rows = [(1, "some words", None), (2, "été", None), (3, "12 34", None), (4, "", None), (5, None, None), (None, "12 漢", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.keep_known_languages(spark, docs, SMALL)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, None}
