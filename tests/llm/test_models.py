@@ -118,6 +118,14 @@ def test_nearest_neighbours_recall_does_not_fall_with_the_number_of_lists(spark,
     assert min(recall(spark, x[:1000]), recall(spark, x)) >= 0.97  # about 62 and 375 lists
 
 
+def test_nearest_neighbours_recall_with_unequal_lengths(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST", 20)
+    r = np.random.RandomState(6)
+    x = r.normal(size=(3000, 24))
+    x *= (np.exp(r.normal(size=3000)) / np.linalg.norm(x, axis=1))[:, None]
+    assert recall(spark, x) >= 0.96
+
+
 def test_nearest_neighbours_boundary_vectors_get_several_lists(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST", 64)
     x = np.random.RandomState(5).normal(size=(2000, 48))

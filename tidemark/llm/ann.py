@@ -3,9 +3,11 @@
 * Centroids are fitted on a bounded sample (``SAMPLE`` vectors at most, those
   with the smallest hashes of their ids) by k-means with a penalty on full
   clusters; there is one for about ``LIST`` vectors of the table, at most
-  ``MAX_LISTS``.  Vectors and centroids are scaled to length one for it: means
-  of many vectors are short and close together, and distances to them would
-  hardly differ.  More than ``DIRECT`` centroids are searched by a greedy walk on
+  ``MAX_LISTS``.  Vectors of all lengths get one more component that brings them
+  to the length of the longest (queries get 0), so that the nearest ones are
+  those with the largest inner product; all and the centroids are then scaled to
+  length one: means of many vectors are short and close together, and distances
+  to them would hardly differ.  More than ``DIRECT`` centroids are searched by a greedy walk on
   an in-memory graph of their nearest neighbours, fewer one by one; they go to
   the tasks by value (at most MAX_LISTS rows).
 * Every vector is indexed: it goes to its nearest list, and to further ones
@@ -69,6 +71,13 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
+def lengthened(x: np.ndarray, longest: float) -> np.ndarray:
+    """The vectors with a component that makes them as long as the longest, scaled to length one."""
+    rest = np.sqrt(np.maximum(longest ** 2 - (x * x).sum(axis=1), 0))
+    # what rounding leaves of equal lengths is none
+    return unit(np.column_stack([x, np.where(rest > 1e-6 * longest, rest, 0)]))
+
+
 def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray:
     """k-means on the unit sphere whose assignment adds to a distance what a cluster already holds beyond its share."""
     x = np.unique(unit(x), axis=0)
@@ -111,10 +120,15 @@ class Index:
     graph: np.ndarray
     prune: float = np.inf  # all lists
     replicate: float = REPLICATE
+    longest: float = 0.0  # length of the table's longest vector
 
     def __post_init__(self):
         self.entries = np.unique(np.linspace(0, len(self.centroids) - 1, 32).astype(int))
 
+    def held(self, x: np.ndarray) -> np.ndarray:
+        """Candidates as they are indexed."""
+        return lengthened(x, self.longest)
+
     def search(self, x: np.ndarray, n: int, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """The ``n`` nearest lists that a best-first walk from fixed entries
         finds, nearest first, with their distances.  All vectors walk at once."""
@@ -146,7 +160,7 @@ class Index:
 
     def lists_of(self, x: np.ndarray) -> list[list[int]]:
         """The posting lists of each vector, the nearest first."""
-        lists, distance = self.search(unit(x), 4 * COPIES)
+        lists, distance = self.search(self.held(x), 4 * COPIES)
         out = []
         for row, d in zip(lists, distance):
             mine = [int(row[0])]
@@ -161,7 +175,7 @@ class Index:
 
     def fit_replicate(self, sample: np.ndarray) -> None:
         """Set ``replicate`` from how near the second lists of some vectors are."""
-        parts = [self.search(unit(sample[s:s + 512]), 2)[1] for s in range(0, len(sample), 512)]
+        parts = [self.search(self.held(sample[s:s + 512]), 2)[1] for s in range(0, len(sample), 512)]
         d = np.concatenate(parts)
         if d.shape[1] > 1:
             ratio = d[:, 1] / np.where(d[:, 0] > 0, d[:, 0], np.nan)
@@ -172,7 +186,7 @@ class Index:
         """By how much of its nearest list's distance each list is farther from
         each query (a nearest list at almost no distance counts as ``NEAR`` of
         the others' mean)."""
-        distance = np.sqrt(_squared(unit(x), self.centroids))
+        distance = np.sqrt(_squared(lengthened(x, 0.0), self.centroids))
         least = np.maximum(distance.min(axis=1), NEAR * distance.mean(axis=1))[:, None]
         return distance / np.where(least > 0, least, 1) - 1
 
@@ -238,7 +252,8 @@ def nearest_by_scan(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: in
 
 def build(rows: DataFrame, sample: int = SAMPLE, is_query: Column | None = None, k: int = 20) -> Index | None:
     """Centroids, their graph and how far to search, from the rows of :func:`usable`."""
-    total = rows.count()
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    total, longest = rows.agg(F.count("*"), F.sqrt(F.max(square))).first()
     if not total:
         return None
     lists = int(min(MAX_LISTS, max(1, round(total / LIST))))
@@ -248,15 +263,15 @@ def build(rows: DataFrame, sample: int = SAMPLE, is_query: Column | None = None,
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["o", "id"], kind="stable").iloc[:sample]
         x = np.stack(pdf["v"].to_numpy())
-        c = balanced_centroids(x, lists)
-        index = Index(c, neighbour_graph(c))
+        c = balanced_centroids(lengthened(x, longest), lists)
+        index = Index(c, neighbour_graph(c), longest=longest)
         index.fit_replicate(x[:FITTED])
         return pd.DataFrame({"c": list(c), "replicate": index.replicate})
 
     fitted = (chosen.withColumn("one", F.lit(1)).groupBy("one")
               .applyInPandas(fit, "c array<double>, replicate double").collect())
     c = np.array([r["c"] for r in fitted])
-    index = Index(c, neighbour_graph(c), replicate=fitted[0]["replicate"])
+    index = Index(c, neighbour_graph(c), replicate=fitted[0]["replicate"], longest=longest)
     asking = rows if is_query is None else rows.filter(is_query)
     asked = asking.withColumn("o", F.xxhash64(F.col("id").cast("string"), F.lit(4))).orderBy("o", "id").limit(ASKED).collect()
     if asked and len(c) > LEAST_PROBES:
