@@ -170,6 +170,20 @@ def test_license_scan_finds_changed_and_embedded_notices(spark):
     assert got == set(range(40))
 
 
+def test_license_scan_tells_versions_and_families_apart(spark):
+    alone = {i: (name, text) for i, (name, text) in enumerate(license_scan.NOTICES)}
+    other = {200: ("LicenseRef-GNU-unclear", "This work is licensed under the GNU General Public License, version 1."),
+             201: ("LicenseRef-Apache-unclear", "Licensed under the Apache License, Version 2.1.")}
+    rows = [(i, f"{prose(i, 7 + i % 5)} {text} {prose(i + 300, 9)}") for i, (_, text) in {**alone, **other}.items()]
+    two = "This work is licensed under the GNU General Public License, version "
+    rows.append((300, f"{two}2. {two}3."))
+    got = {}
+    for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got.pop(300) == {"GPL-2.0", "GPL-3.0"}
+    assert got == {i: {name} for i, (name, _) in {**alone, **other}.items()}
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "tool", "", "<s>"]),
                           st.lists(st.sampled_from([*chat.CONTROLS, "\\", "a", " ", "<", ">", "[", "]", "/", "\n", "s"])).map("".join)),

@@ -15,6 +15,12 @@ lower case; shingles have five words (a shorter template: all its words).
   are not made: an exact screen on each text's shingles, before the bands.
 * Retrieved pairs are verified by the share of the template's shingles that
   the window holds, at least ``containment``.
+* A notice that differs from others of its family in a few words only, as those
+  of other versions do, names its licence where each of its telling phrases
+  (``TELLING``) lies in a shingle that the window holds.  Other matches of the
+  template stand for the same notice where their windows overlap, for nothing
+  where they overlap a notice of the family that is named, and for the family's
+  ``LicenseRef-...-unclear`` elsewhere.
 
 Templates are a bounded table (``MAX_TEMPLATES``), sent to the tasks by value.
 Texts are never shuffled.
@@ -60,6 +66,83 @@ TEMPLATES = [
 ]
 
 
+_GNU = ("can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free "
+        "Software Foundation; either version {} of the License, or (at your option) any later version.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met")
+_BSD_2 = (_BSD + ": 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+          "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+          "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+_PROVIDED = " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"
+_CC = "This work is licensed under a Creative Commons {} License."
+
+# fixed values: what the scan looks for
+NOTICES = [(name, text) for name, text in TEMPLATES if text != _BSD] + [
+    ("LicenseRef-BSD-unclear", _BSD),
+    ("BSD-2-Clause", _BSD_2 + _PROVIDED),
+    ("BSD-3-Clause", _BSD_2 + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+                     "endorse or promote products derived from this software without specific prior written permission."
+                     + _PROVIDED),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you " + _GNU.format("General", "2")),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+                "Public License version 2 as published by the Free Software Foundation."),
+    ("LGPL-2.0", "This library is free software; you " + _GNU.format("Library General", "2")),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you " + _GNU.format("Lesser General", "2.1")),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This library is free software; you " + _GNU.format("Lesser General", "3")),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you " + _GNU.format("Affero General", "3")),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not "
+                "use this file except in compliance with the License."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                "v1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                "2.0"),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    *[(f"CC-{kind}-4.0", f"Licensed under CC {kind} 4.0.") for kind in ("BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")],
+    *[(f"CC-{kind}-{version}", _CC.format(f"{name} {version} {scope}"))
+      for version, scope in (("4.0", "International"), ("3.0", "Unported"))
+      for kind, name in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                         ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                         ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")) if (kind, version) != ("BY", "4.0")],
+    ("CC0-1.0", "Released under CC0 1.0 Universal."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+                "rights to this software to the public domain worldwide."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+]
+
+#: by licence: the name of its family's notices that can't be told apart, and the phrases that tell it from the others
+#: (each for the templates that have it); None: its notices never name a licence
+TELLING = {
+    "GPL-2.0": ("LicenseRef-GNU-unclear", ["gnu general", "version 2"]),
+    "GPL-3.0": ("LicenseRef-GNU-unclear", ["gnu general", "version 3"]),
+    "LGPL-2.0": ("LicenseRef-GNU-unclear", ["library general", "version 2 of"]),
+    "LGPL-2.1": ("LicenseRef-GNU-unclear", ["lesser general", "version 2 1"]),
+    "LGPL-3.0": ("LicenseRef-GNU-unclear", ["lesser general", "version 3"]),
+    "AGPL-3.0": ("LicenseRef-GNU-unclear", ["affero general", "version 3"]),
+    "Apache-2.0": ("LicenseRef-Apache-unclear", ["version 2 0"]),
+    "MPL-1.1": ("LicenseRef-MPL-unclear", ["version 1 1"]),
+    "MPL-2.0": ("LicenseRef-MPL-unclear", ["v 2 0"]),
+    "EPL-1.0": ("LicenseRef-EPL-unclear", ["v1 0"]),
+    "EPL-2.0": ("LicenseRef-EPL-unclear", ["license 2 0"]),
+    "BSD-2-Clause": ("LicenseRef-BSD-unclear", ["distribution this software", "bsd 2 clause"]),
+    "BSD-3-Clause": ("LicenseRef-BSD-unclear", ["neither the name of", "bsd 3 clause"]),
+    "LicenseRef-BSD-unclear": ("LicenseRef-BSD-unclear", None),
+    **{f"CC-{kind}-{version}": ("LicenseRef-CC-unclear", [f"{last} {version[0]} 0"])
+       for version in ("3.0", "4.0")
+       for kind, last in (("BY", "attribution"), ("BY-SA", "sharealike"), ("BY-ND", "noderivatives"),
+                          ("BY-NC", "attribution noncommercial"), ("BY-NC-SA", "noncommercial sharealike"),
+                          ("BY-NC-ND", "noncommercial noderivatives"))},
+}
+
+
 def words_of(text: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
 
@@ -83,13 +166,24 @@ def _shingles(n: int, words: str) -> str:
             "cast(array() as array<bigint>))")
 
 
+def _telling(words: list[str], n: int, phrases: list[str]) -> list[list[int]]:
+    """For each phrase that the words have, where the shingles begin that hold it."""
+    found = []
+    for phrase in phrases:
+        p = phrase.split()
+        starts = [i for i in range(len(words) - n + 1) if any(words[k:k + len(p)] == p for k in range(i, i + n - len(p) + 1))]
+        if starts:
+            found.append(starts)
+    return found
+
+
 def _minima(bands: str, items: str) -> str:
     """SQL: the smallest hash under each of the hash functions."""
     return f"transform(sequence(1, {bands}), j -> array_min(transform({items}, x -> xxhash64(x, j))))"
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+                 templates: list[tuple[str, str]] = NOTICES, telling: dict = TELLING) -> DataFrame:
     """``id_col``, ``license``, ``containment`` (the largest of its windows),
     ``first_word`` (where its first matching window starts) and ``n_windows``."""
     spark = docs.sparkSession
@@ -104,16 +198,23 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lengths = sorted({n for _, _, n, _ in rows})
     sized = {number: len({tuple(w[i:i + n]) for i in range(len(w) - n + 1)}) for number, _, n, w in rows}
     windows = {w.name: w for w in (Window(n, sized[number]) for number, _, n, _ in rows)}
-    table = spark.createDataFrame([(number, name, f"{n}x{sized[number]}", n, words, windows[f"{n}x{sized[number]}"].bands)
-                                   for number, name, n, words in rows],
-                                  "number int, license string, window string, n int, words array<string>, bands int")
-    own = "array_distinct(case n " + " ".join(f"when {n} then {_shingles(n, 'words')}" for n in lengths) + " end)"
-    table = table.withColumn("shingles", F.expr(own)).withColumn("minima", F.expr(_minima("bands", "shingles")))
+    listed = []
+    for number, name, n, words in rows:
+        w = windows[f"{n}x{sized[number]}"]
+        family, phrases = telling.get(name, (name, []))
+        listed.append((number, name, w.name, n, words, w.bands, w.size, family, phrases is not None,
+                       _telling(words, n, phrases or [])))
+    table = spark.createDataFrame(listed, "number int, license string, window string, n int, words array<string>, bands int, "
+                                          "size int, family string, names boolean, telling array<array<int>>")
+    own = "case n " + " ".join(f"when {n} then {_shingles(n, 'words')}" for n in lengths) + " end"
+    table = table.withColumn("all", F.expr(own)).withColumn("shingles", F.array_distinct("all")).withColumn(
+        "telling", F.expr("transform(telling, t -> transform(t, i -> all[i]))"))
+    table = table.withColumn("minima", F.expr(_minima("bands", "shingles")))
     held = table.select("number", "n", "shingles").collect()  # at most MAX_TEMPLATES rows
     known = {n: sorted({s for r in held if r["n"] == n for s in r["shingles"]}) for n in lengths}
 
     texts = id_and_text(docs, id_col, text_col).select(
-        "id", F.expr("filter(split(lower(text), '[^a-z0-9]+', -1), w -> w <> '')").alias("words"))
+        "id", F.monotonically_increasing_id().alias("row"), F.expr("filter(split(lower(text), '[^a-z0-9]+', -1), w -> w <> '')").alias("words"))
     for n in lengths:
         literal = "array(" + ", ".join(f"{s}L" if s > -(1 << 63) else "(-9223372036854775807L - 1L)" for s in known[n]) + ")"
         texts = texts.withColumn(f"s{n}", F.expr(_shingles(n, "words"))).withColumn(
@@ -126,22 +227,33 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                    f"if(i >= {w.size}, 1, 0)) as int), cast(i div {w.step} as int)))))")
         made.append(f"transform({numbers}, k -> named_struct('window', '{w.name}', 'bands', {w.bands}, "
                     f"'first', k * {w.step}, 'items', slice(s{w.n}, k * {w.step} + 1, {w.size})))")
-    found = (texts.select("id", F.explode_outer(F.expr("concat(" + ", ".join(made) + ")")).alias("w"))
-             .filter("w is not null").select("id", "w.window", "w.first", "w.items", "w.bands"))
-    marked = found.select("id", "window", "first", "items",
+    found = (texts.select("id", "row", F.explode_outer(F.expr("concat(" + ", ".join(made) + ")")).alias("w"))
+             .filter("w is not null").select("id", "row", "w.window", "w.first", "w.items", "w.bands"))
+    marked = found.select("id", "row", "window", "first", "items",
                           F.posexplode_outer(F.expr(_minima("bands", "items"))).alias("band", "least"))
-    marks = F.broadcast(table.select("number", "license", "shingles", "window",
+    marks = F.broadcast(table.select("number", "license", "shingles", "window", "size", "family", "names", "telling",
                                      F.posexplode("minima").alias("band", "least")))
     retrieved = (marked.join(marks, ["window", "band", "least"])
                  .withColumn("held", F.size(F.array_intersect("items", "shingles")) / F.size("shingles"))
                  .filter(F.col("held") >= CONTAINMENT))
-    return (retrieved.groupBy("id", "license").agg(
-        F.max("held").alias("containment"), F.min("first").cast("long").alias("first_word"),
-        F.countDistinct("window", "first").alias("n_windows")).withColumnRenamed("id", id_col))
+    # the matches of a text in one family: as many as it has windows with such notices
+    told = F.expr("names and forall(telling, t -> arrays_overlap(items, t))")
+    matches = (retrieved.withColumn("told", told).groupBy("row", "id", "family")
+               .agg(F.collect_set(F.struct("number", "license", "window", "first", "size", "held", "told")).alias("ms"))
+               .withColumn("named", F.expr("filter(ms, x -> x.told)")))
+    license = """case when m.told or exists(named, o -> o.number = m.number and abs(o.first - m.first) < m.size) then m.license
+        when not exists(named, o -> o.first < m.first + m.size and m.first < o.first + o.size) then family end"""
+    return (matches.select("id", "family", "named", F.explode("ms").alias("m"))
+            .select("id", F.expr(license).alias("license"), "m.held", "m.first", "m.window").filter("license is not null")
+            .groupBy("id", "license").agg(
+                F.max("held").alias("containment"), F.min("first").cast("long").alias("first_word"),
+                F.countDistinct("window", "first").alias("n_windows")).withColumnRenamed("id", id_col))
 
 
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES) -> str:
-    """The same matches in DuckDB SQL, by comparing every window with every template."""
+    """The matches of the first notices alone in DuckDB SQL, by comparing every
+    window with every template.  It knows neither the other notices nor telling
+    phrases; results are the same on texts that hold nothing but TEMPLATES."""
     values, shingle_rows = [], []
     for number, (name, text) in enumerate(templates):
         words = words_of(text)
