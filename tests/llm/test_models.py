@@ -135,6 +135,16 @@ def test_nearest_neighbours_boundary_vectors_get_several_lists(spark, monkeypatc
     assert len(index.centroids) > 16 and 1.05 < copies.mean() < 2 and (copies == 1).any()
 
 
+def test_nearest_neighbours_deals_rows_and_queries_of_a_long_list(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 50)
+    rows = spark.range(600).selectExpr("id", "array(1D) as v", "0 as list")
+    dealt = ann.tiles(rows, rows.filter("id < 300"))
+    sizes = dealt.groupBy("list", "block", "part").agg(F.sum(F.expr("int(asks)")).alias("q"), F.count("*").alias("n")).collect()
+    assert len(sizes) == 12 * 6 and all(0 < r.q < 100 and 0 < r.n - r.q < 100 for r in sizes)
+    pairs = dealt.filter("not asks").join(dealt.filter("asks").selectExpr("list", "block", "part", "id as q"), ["list", "block", "part"])
+    assert pairs.count() == pairs.select("id", "q").distinct().count() == 600 * 300
+
+
 def test_nearest_neighbours_on_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
             (None, [1.0, 1.0]), (6, [1.0, 2.0, 3.0]), (20, [float("inf"), 0.0]), (7, [0.5, 0.5]), (40, [0.0, 1.0]), (8, [])]

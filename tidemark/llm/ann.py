@@ -21,8 +21,9 @@
   and it is the least value at which ``RECALL`` of their neighbours lie in lists
   that are searched.  There is no other limit to the number of lists.
 * Lists longer than ``BLOCK`` rows, as many equal vectors make, are dealt over
-  several blocks; a query visits all blocks of a list.  Each block returns a
-  query's ``k`` best, and the best of those are the result.
+  several blocks, and so are the queries of a list; each block of queries meets
+  each block of rows.  Each pair of blocks returns a query's ``k`` best, and the
+  best of those are the result.
 
 Scores are inner products in double precision on the original vectors.
 Prefiltering inside a block uses a matrix product with a margin; the rows that
@@ -296,6 +297,23 @@ def _assign(rows: DataFrame, index: Index, queries: bool) -> DataFrame:
     return rows.mapInArrow(run, f"{fields}, lists array<int>").withColumn("list", F.explode("lists")).drop("lists")
 
 
+def tiles(posted: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows of each list in blocks (``block``) and its queries in blocks of
+    their own (``part``), about ``BLOCK`` each, one copy per pair of blocks."""
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias(name))
+
+    # at most MAX_LISTS rows of three numbers; a list that nobody asks has nothing to do
+    sizes = F.broadcast(materialise(blocks(posted, "blocks").join(blocks(asked, "parts"), "list"), "ann-sizes"))
+    held = (posted.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("list", "block", "part", "id", "v", F.lit(False).alias("asks")))
+    asks = (asked.join(sizes, "list").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.col("parts")).cast("int"))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("list", "block", "part", "id", "v", F.lit(True).alias("asks")))
+    return held.unionByName(asks)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
            vector_col: str = "embedding", index: Index | None = None) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest rows by
@@ -307,14 +325,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         return (rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"),
                             F.lit(0.0).alias("score")).limit(0))
     posted = materialise(_assign(rows, index, queries=False), "ann-postings")
-    sizes = posted.groupBy("list").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    # at most MAX_LISTS rows of two numbers
-    sizes = F.broadcast(materialise(sizes, "ann-sizes"))
-    held = (posted.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .select("list", "block", "id", "v", F.lit(False).alias("asks")))
-    asked = (_assign(rows.filter(is_query), index, queries=True).join(sizes, "list")
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("list", "block", "id", "v", F.lit(True).alias("asks")))
+    asked = materialise(_assign(rows.filter(is_query), index, queries=True), "ann-asked")
 
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["asks"].to_numpy(bool)
@@ -336,8 +347,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         return pd.DataFrame(out, columns=["query_id", "ids", "scores"]) if out else pd.DataFrame(
             {"query_id": pd.Series(dtype="int64"), "ids": pd.Series(dtype=object), "scores": pd.Series(dtype=object)})
 
-    # one row per query and block, at most k rows of the block in it
-    found = held.unionByName(asked).groupBy("list", "block").applyInPandas(
+    # one row per query and block of rows, at most k rows of the block in it
+    found = tiles(posted, asked).groupBy("list", "block", "part").applyInPandas(
         best, "query_id long, ids array<long>, scores array<double>")
     # a replicated row is found in several lists, with the same score
     merged = found.groupBy("query_id").agg(F.flatten(F.collect_list(F.arrays_zip("scores", "ids"))).alias("all"))
