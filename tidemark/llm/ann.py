@@ -350,10 +350,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     # one row per query and block of rows, at most k rows of the block in it
     found = tiles(posted, asked).groupBy("list", "block", "part").applyInPandas(
         best, "query_id long, ids array<long>, scores array<double>")
-    # a replicated row is found in several lists, with the same score
+    # a replicated row is found in several lists, with the same score; sorted, its copies are neighbours
     merged = found.groupBy("query_id").agg(F.flatten(F.collect_list(F.arrays_zip("scores", "ids"))).alias("all"))
+    merged = merged.withColumn("all", F.expr("array_sort(transform(all, x -> named_struct('less', -x.scores, 'id', x.ids)))"))
     nearest = merged.select("query_id", F.posexplode(F.expr(
-        f"slice(array_sort(array_distinct(transform(all, x -> named_struct('less', -x.scores, 'id', x.ids)))), 1, {k})"))
-        .alias("place", "x"))
+        f"slice(filter(all, (x, i) -> i = 0 or x <> all[i - 1]), 1, {k})")).alias("place", "x"))
     return nearest.select("query_id", (F.col("place") + 1).alias("rank"), F.col("x.id").alias("vec_id"),
                           (-F.col("x.less")).alias("score"))
