@@ -31,7 +31,8 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("operation_metrics", T.MapType(T.StringType(), T.StringType())),
 ])
 
-_OBS_TO_METRIC = {"num_inserted": "numTargetRowsInserted", "num_updated": "numTargetRowsUpdated",
+#: names of a merge's observed counts in a commit
+METRIC_NAMES = {"num_inserted": "numTargetRowsInserted", "num_updated": "numTargetRowsUpdated",
                   "num_deleted": "numTargetRowsDeleted", "num_copied": "numTargetRowsCopied"}
 
 
@@ -41,19 +42,21 @@ def commit_log(spark: SparkSession, version: str, operation: str, metrics: Obser
     import datetime as _dt
 
     values = metrics.get if isinstance(metrics, Observation) else metrics
-    m = {_OBS_TO_METRIC.get(k, k): str(v) for k, v in dict(values).items()}
+    m = {METRIC_NAMES.get(k, k): str(v) for k, v in dict(values).items()}
     row = (version, operation, ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), user, m)
     return spark.createDataFrame([row], COMMIT_SCHEMA)
 
 
 def metrics_pivot(commits: DataFrame, *, operations: Sequence[str] = AUDITED_OPERATIONS,
-                  metrics: Sequence[str] = MERGE_METRICS, id_col: str = "version") -> DataFrame:
-    """The listed metrics of each commit as columns (sum of int values, missing
-    -> 0) with the commit info: one scan, one aggregate by commit id.  Commits
-    without any metric are left out."""
+                  metrics: Sequence[str] = MERGE_METRICS, id_col: str = "version", missing: int | None = 0) -> DataFrame:
+    """The listed metrics of each commit as columns (sum of int values) with
+    the commit info: one scan, one aggregate by commit id.  Commits without any
+    metric are left out.  A metric that a commit does not report becomes
+    ``missing``: 0 as in the audit flow, or ``None`` where not measured and none
+    at all must be told apart, as in logs of real commits."""
     kept = commits.filter(F.col("operation").isin(list(operations)) & (F.size("operation_metrics") > 0))
     values = [F.coalesce(F.sum(F.try_element_at("operation_metrics", F.lit(m)).try_cast("bigint")),
-                         F.lit(0).cast("bigint")).alias(m) for m in metrics]
+                         F.lit(missing).cast("bigint")).alias(m) for m in metrics]
     info = F.collect_list(F.struct("operation", "timestamp", "user_name")).alias("info")
     return kept.groupBy(id_col).agg(*values, info).select(id_col, *metrics, F.inline("info"))
 

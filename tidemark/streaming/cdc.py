@@ -86,7 +86,9 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 
     ``current_root`` also maintains the current snapshot (open versions only,
     T-07) as its own bucketed table, refreshed for the touched buckets at the
-    end of every micro-batch under the same batch id.
+    end of every micro-batch under the same batch id.  Each table has its own
+    commit marker: a replay after a crash between the two skips the state, which
+    has the batch, and still writes the snapshot, which has not.
     """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
@@ -106,11 +108,15 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if state.committed(spark, batch_id, writer):
+        todo = not state.committed(spark, batch_id, writer)
+        todo_current = current is not None and not current.committed(spark, batch_id, writer)
+        if not todo and not todo_current:
             return
         b = state.with_bucket(batch.select(*keys, *cols)).withColumn(BATCH, F.lit(f"{writer}-{batch_id}"))
-        (b.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET, BATCH).parquet(bronze))
+        touched = state.bucket_ids(b)
+        if todo:
+            (b.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET, BATCH).parquet(bronze))
 
         def compute() -> DataFrame:
             # keys compared as one struct: null key fields match each other
@@ -148,9 +154,9 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             out = [*keys, *cols, START, END, START_O, BUCKET]
             return kept.select(*out).unionByName(rebuilt.select(*out))
 
-        touched = state.bucket_ids(b)
-        state.apply(spark, batch_id, compute, touched=touched, writer=writer)
-        if current is not None and not current.committed(spark, batch_id, writer):
+        if todo:
+            state.apply(spark, batch_id, compute, touched=touched, writer=writer)
+        if todo_current:
             current.apply(spark, batch_id, lambda: state.read(spark, touched).filter(F.col(END).isNull()),
                           touched=touched, writer=writer)
 

@@ -29,6 +29,7 @@ no longer in staging.
 from __future__ import annotations
 
 import datetime
+import inspect
 import json
 from collections.abc import Callable, Sequence
 
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.audit import METRIC_NAMES
 from tidemark.session import path_exists
 
 BUCKET = "__bucket"
@@ -54,6 +56,30 @@ def _fs(spark: SparkSession, path: str):
 _exists = path_exists
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, jvm = _fs(spark, path)
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(path), True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, jvm = _fs(spark, path)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(path))
+    text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return text
+
+
+def observed(observation: Observation) -> dict:
+    """What an observation saw; nothing if its part of the plan did not run
+    (an empty result can be planned away with its metrics)."""
+    try:
+        return dict(observation.get)
+    except Exception:  # noqa: BLE001 - metrics are facts about a run, never a reason to fail it
+        return {}
+
+
 class BucketedState:
     def __init__(self, root: str, keys: Sequence[str], schema: T.StructType, n_buckets: int = 64,
                  tombstone_col: str | None = None):
@@ -82,18 +108,13 @@ class BucketedState:
     def check_layout(self, spark: SparkSession) -> None:
         """Store the layout on first use; refuse another one afterwards."""
         mine = json.dumps({"buckets": self.n, "keys": [[k, self.schema[k].dataType.simpleString()] for k in self.keys]})
-        fs, jvm = _fs(spark, self.root)
-        place = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_table")
-        if fs.exists(place):
-            stream = fs.open(place)
-            stored = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            stream.close()
+        place = f"{self.root}/_table"
+        if _exists(spark, place):
+            stored = _read_text(spark, place)
             if stored != mine:
                 raise ValueError(f"the table at {self.root} was written as {stored}, not {mine}")
             return
-        out = fs.create(place, False)
-        out.write(bytearray(mine.encode()))
-        out.close()
+        _write_text(spark, place, mine)
 
     @property
     def stored_schema(self) -> T.StructType:
@@ -122,7 +143,8 @@ class BucketedState:
         return _exists(spark, f"{self.root}/_commits/{writer}-{batch_id}")
 
     def apply(self, spark: SparkSession, batch_id: int, compute: Callable[[], DataFrame],
-              touched: list[int] | None = None, writer: str = "merge") -> None:
+              touched: list[int] | None = None, writer: str = "merge",
+              metrics: Observation | None = None) -> None:
         """Replace the touched buckets by ``compute()`` (rows with ``__bucket``).
 
         The result is written once, partitioned by bucket, to the staging
@@ -132,13 +154,14 @@ class BucketedState:
         moves the folders that are still in staging.  ``touched`` names the
         buckets being replaced: those that came out empty (every key deleted)
         are recorded in ``_EMPTY`` before anything moves, and their stored
-        folders are removed.
+        folders are removed.  ``metrics`` is an observation inside ``compute()``
+        (a merge's counts); what it saw is kept beside the staged rows, so a
+        commit finished after a crash reports it too.
         """
         if self.committed(spark, batch_id, writer):
             return
         self.check_layout(spark)
         staging = f"{self.root}/_staging/{writer}-{batch_id}"
-        rows_out = None
         if not _exists(spark, f"{staging}/_SUCCESS"):
             obs = Observation(f"bucketed-{batch_id}")
             # REBALANCE by bucket: AQE gathers each bucket's rows into
@@ -147,10 +170,10 @@ class BucketedState:
             # instead of one per task and bucket
             out = compute().observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", BUCKET)
             out.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
-            try:
-                rows_out = obs.get.get("rows")
-            except Exception:  # noqa: BLE001 - an empty result can be planned away with its metrics
-                rows_out = None
+            seen = {"numOutputRows": observed(obs).get("rows")}
+            if metrics is not None:
+                seen |= {METRIC_NAMES.get(k, k): v for k, v in observed(metrics).items()}
+            _write_text(spark, f"{staging}/_FACTS", json.dumps({k: str(v) for k, v in seen.items() if v is not None}))
         fs, jvm = _fs(spark, self.root)
         path = jvm.org.apache.hadoop.fs.Path
         marker = path(f"{staging}/_EMPTY")
@@ -160,13 +183,8 @@ class BucketedState:
             if touched is not None and strange:
                 raise RuntimeError(f"the result holds rows of buckets that the batch does not touch: {sorted(strange)}")
             empty = [b for b in touched or [] if f"{BUCKET}={b}" not in present]
-            out = fs.create(marker, True)
-            out.write(bytearray(",".join(map(str, empty)).encode()))
-            out.close()
-        stream = fs.open(marker)
-        raw = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
-        empty = [int(x) for x in raw.split(",") if x]
+            _write_text(spark, f"{staging}/_EMPTY", ",".join(map(str, empty)))
+        empty = [int(x) for x in _read_text(spark, f"{staging}/_EMPTY").split(",") if x]
         fs.mkdirs(path(self.data))
         for b in empty:
             fs.delete(path(f"{self.data}/{BUCKET}={b}"), True)
@@ -179,14 +197,12 @@ class BucketedState:
                 fs.delete(dest, True)
             if not fs.rename(st.getPath(), dest):
                 raise RuntimeError(f"could not move {st.getPath()} to {dest}")
-        # the commit marker carries the batch's facts (O-07): one JSON line
-        facts = {"version": str(batch_id), "operation": "WRITE" if writer == "load" else "MERGE",
+        # the commit marker carries the batch's facts (O-07): one JSON line; a metric that nobody measured is absent
+        measured = json.loads(_read_text(spark, f"{staging}/_FACTS")) if _exists(spark, f"{staging}/_FACTS") else {}
+        facts = {"version": f"{writer}-{batch_id}", "operation": "WRITE" if writer == "load" else "MERGE",
                  "timestamp": datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f"),
-                 "operation_metrics": {"numTouchedBuckets": str(len(touched or [])),
-                                       **({"numOutputRows": str(rows_out)} if rows_out is not None else {})}}
-        out = fs.create(path(f"{self.root}/_commits/{writer}-{batch_id}"), True)
-        out.write(bytearray((json.dumps(facts) + "\n").encode()))
-        out.close()
+                 "user_name": writer, "operation_metrics": {"numTouchedBuckets": str(len(touched or [])), **measured}}
+        _write_text(spark, f"{self.root}/_commits/{writer}-{batch_id}", json.dumps(facts) + "\n")
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The visible rows (tombstones, if the table keeps them, are hidden)."""
@@ -196,13 +212,14 @@ class BucketedState:
         return df
 
     def commit_log(self, spark: SparkSession) -> DataFrame:
-        """One row per committed batch: version, operation, timestamp,
-        ``operation_metrics`` (map) -- the shape ``audit.metrics_pivot`` reads."""
-        schema = ("version string, operation string, timestamp string, "
+        """One row per committed batch: version (writer and batch id),
+        operation, timestamp, user_name (the writer), ``operation_metrics``
+        (map) -- the shape ``audit.metrics_pivot`` reads."""
+        schema = ("version string, operation string, timestamp string, user_name string, "
                   "operation_metrics map<string,string>")
         log = spark.read.schema(schema).json(f"{self.root}/_commits/*")
         return log.select("version", "operation", F.col("timestamp").cast("timestamp").alias("timestamp"),
-                          F.lit(None).cast("string").alias("user_name"), "operation_metrics")
+                          "user_name", "operation_metrics")
 
 
 def merge_in_place(spark: SparkSession, table: BucketedState, batch: DataFrame, merge: Callable[..., DataFrame],
@@ -212,17 +229,21 @@ def merge_in_place(spark: SparkSession, table: BucketedState, batch: DataFrame,
     batch's keys (SURVEY 4.4).  Keys never cross buckets, so the merge of the
     touched slice equals the touched slice of the full merge.  Replays of
     ``batch_id`` by the same ``writer`` are skipped; a crash is finished from
-    the staged result."""
+    the staged result.  A merge with an ``observation`` argument has its counts
+    of inserted, updated, deleted and copied rows kept in the commit."""
     if table.committed(spark, batch_id, writer):
         return
     keyed = table.with_bucket(batch)
     touched = table.bucket_ids(keyed)
+    metrics = None
+    if "observation" in inspect.signature(merge).parameters and "observation" not in kwargs:
+        metrics = kwargs["observation"] = Observation(f"merge-{writer}-{batch_id}")
 
     def compute() -> DataFrame:
         current = table.read(spark, touched).drop(BUCKET)
         return table.with_bucket(merge(current, keyed.drop(BUCKET), **kwargs))
 
-    table.apply(spark, batch_id, compute, touched=touched, writer=writer)
+    table.apply(spark, batch_id, compute, touched=touched, writer=writer, metrics=metrics)
 
 
 def load(spark: SparkSession, table: BucketedState, df: DataFrame, batch_id: int = 0) -> None:
