@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
-from tidemark.operators import cdc, history, merge
+from tidemark.operators import cdc, diff, history, merge
 from tidemark.operators.filters import stacked_filters
 from tidemark.plans.all import QUERIES
 
@@ -35,31 +35,52 @@ def _emp_files(spark, tmp_path):
     return spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "b"))
 
 
-def test_small_batch_merge_never_shuffles_the_target(spark, tmp_path):
-    """The staged batch keys are the build side of LEFT SEMI / LEFT ANTI: the
-    target is scanned and split by broadcast joins; only the touched slice
-    and the batch are shuffled."""
+def _final(df) -> str:
+    """The plan that ran, with whole paths and schemas."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def _reads(plan: str, folder) -> list[str]:
+    """The columns of each read of a table."""
+    return re.findall(rf"FileScan parquet \[[^\n]*{re.escape(str(folder))}[^\n]*ReadSchema: struct<([^>]*)>", plan)
+
+
+def test_small_batch_merge_reads_the_target_twice_and_never_shuffles_it(spark, tmp_path):
+    """The batch is the build side of every join with the target; an upsert's second read is of the keys only."""
     target, batch = _emp_files(spark, tmp_path)
     out = history.two_version_merge(target, batch, run_ts="2024-02-01 00:00:00")
-    plan = _plan(out)
+    plan = _final(out)
     assert "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan and "FullOuter" not in plan
-    assert out.count() == 202
+    assert out.count() == 202 and len(_reads(plan, tmp_path / "t")) == 2
     t2 = target.select("id", "name", "file_name")
     up = merge.upsert_all(t2, batch.select("id", "name", "file_name"), ["id"])
-    plan = _plan(up)
-    assert "BroadcastHashJoin" in plan and "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan
+    plan = _final(up)
+    assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "SortMergeJoin" not in plan
+    assert sorted(_reads(plan, tmp_path / "t")) == ["id:bigint", "id:bigint,name:string,file_name:string"]
     assert up.count() == 201
+    c = diff.classify_changes(target.filter("status = 'Active'"), batch, ["id"], ["name", "email"])
+    plan = _final(c)
+    assert sorted(_reads(plan, tmp_path / "t")) == ["id:bigint,name:string,email:string,status:string", "id:bigint,status:string"]
+    assert c.count() == 201
 
 
-def test_large_batch_merge_shuffles_the_target_once(spark, tmp_path):
+def test_large_batch_upsert_shuffles_the_target_once(spark, tmp_path):
     target, batch = _emp_files(spark, tmp_path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         up = merge.upsert_all(target.select("id", "name"), batch.select("id", "name"), ["id"])
-        up.collect()
-        final = up._jdf.queryExecution().executedPlan().toString()
-        # the anti join reuses the semi join's exchange of the target: one shuffle of the table
-        assert re.search(r"ReusedExchange \[id#\d+L, name#\d+", final), final
+        plan = _final(up)
+        assert sorted(_reads(plan, tmp_path / "t")) == ["id:bigint", "id:bigint,name:string"]
+        # the keys of the table are shuffled besides, never its rows again
+        assert len(re.findall(r"Exchange hashpartitioning\(id#\d+L, \d+\)[^\n]*\n[^\n]*Project \[id#\d+L, struct", plan)) == 1, plan
+        out = history.two_version_merge(target, batch, run_ts="2024-02-01 00:00:00")
+        assert len(_reads(_final(out), tmp_path / "t")) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

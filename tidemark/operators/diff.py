@@ -39,7 +39,7 @@ def classify_changes(
     *,
     labels: dict[str, str] | None = None,
     with_changed_columns: bool = False,
-    stage_keys: bool = True,
+    stage_keys: bool = False,
 ) -> DataFrame:
     """Classify every key of ``batch`` and ``target``.
 
@@ -59,7 +59,8 @@ def classify_changes(
     batch_keys = batch.select(*keys).filter(~_any_null(keys)).distinct()
     if stage_keys:
         batch_keys = stage(batch_keys, "classify-keys")
-    t_touched, t_rest = split_by_keys(t, batch_keys, keys)
+    # the missing side reads the target's keys only
+    t_touched, t_rest = split_by_keys(t, batch_keys, keys)[0], split_by_keys(target.select(*keys), batch_keys, keys)[1]
     joined = b.join(t_touched, keys, "left")
     if cmp:
         is_update = differs_prefixed(cmp, "t__", "b__")

@@ -51,7 +51,7 @@ def two_version_merge(
     on_duplicates: str = "error",
     sequence_by: Sequence[str] | None = None,
     observation: Observation | None = None,
-    stage_source: bool = True,
+    stage_source: bool = False,
 ) -> DataFrame:
     """M-05: apply ``batch`` to a two-version table; returns the new table state.
 
@@ -156,7 +156,7 @@ def two_version_changes(
     values: Sequence[str] = ("name", "dob", "gender", "country", "email"),
     origin: str = "file_name",
     compat: bool = True,
-    stage_keys: bool = True,
+    stage_keys: bool = False,
 ) -> DataFrame:
     """C-01 against a whole two-version table, one row per batch row plus one
     per target-only key.
@@ -194,7 +194,7 @@ def versioned_history_merge(
     key: str = "id",
     values: Sequence[str] = ("name", "mobile"),
     run_ts: str | Column | None = None,
-    stage_source: bool = True,
+    stage_source: bool = False,
 ) -> DataFrame:
     """M-08: version 0 = current, 1 = previous; every touched key gets both.
 

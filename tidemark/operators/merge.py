@@ -6,11 +6,11 @@ Stock Parquet tables cannot ``MERGE``, so every merge here is a pure function
 1. the source is aggregated by key (partial aggregation first, so a hot key
    costs one row per map task) -- this enforces the M-04 rule (one source
    row per target key);
-2. the target is split by ``LEFT SEMI`` / ``LEFT ANTI`` against the source
-   keys: the key set is the build side, so a small batch is broadcast and the
-   (large) target is scanned but not shuffled; untouched rows are copied;
-3. only the touched slice is joined with the source, and one projection picks,
-   per column, the updated or the stored value.
+2. the target is left-joined to it: one projection picks, per column, the
+   updated or the stored value.  The source is the build side, so a small batch
+   is broadcast and the (large) target is scanned but not shuffled;
+3. source rows whose key is not among the target's keys are inserted; for that
+   the key columns of the target are read a second time.
 
 Counts of inserted / updated / deleted / copied rows are collected with an
 optional :class:`pyspark.sql.Observation` while the result is written, so the
@@ -81,18 +81,12 @@ def dedupe_source(
 
 def split_by_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """``(touched, untouched)`` target rows: ``LEFT SEMI`` / ``LEFT ANTI`` on the
-    source's (unique) keys.  The key set is the build side, so a small batch is
-    broadcast and the target is only scanned, never shuffled; a large batch
-    makes both joins share one exchange of the target.  Only the touched slice
-    meets the merge logic."""
-    keys = list(keys)
+    source's (unique, not null) keys; only the touched slice meets the merge
+    logic.  The key set is the build side, so a small batch is broadcast and
+    the target is read twice and never shuffled.  Target rows with a null key
+    match nothing and stay untouched."""
     k = source_keys.select(*keys)
-    # Both joins read the same ``key IS NOT NULL`` slice, so with a large batch
-    # their exchanges of the target are identical and one is reused; target
-    # rows with a null key match nothing and join the untouched side directly.
-    keyed = target.filter(~_any_null(keys))
-    untouched = keyed.join(k, keys, "left_anti").unionByName(target.filter(_any_null(keys)))
-    return keyed.join(k, keys, "left_semi"), untouched
+    return target.join(k, list(keys), "left_semi"), target.join(k, list(keys), "left_anti")
 
 
 def _finish(df: DataFrame, columns: Sequence[str], observation: Observation | None) -> DataFrame:
@@ -115,7 +109,7 @@ def upsert_all(
     on_duplicates: str = "error",
     sequence_by: Sequence[str] | None = None,
     observation: Observation | None = None,
-    stage_source: bool = True,
+    stage_source: bool = False,
 ) -> DataFrame:
     """M-01: matched keys take all source values, unmatched source rows are inserted.
 
@@ -142,7 +136,7 @@ def upsert_mapped(
     on_duplicates: str = "error",
     sequence_by: Sequence[str] | None = None,
     observation: Observation | None = None,
-    stage_source: bool = True,
+    stage_source: bool = False,
 ) -> DataFrame:
     """M-02: ``MERGE`` with explicit ``SET`` / ``VALUES`` maps.
 
@@ -152,8 +146,9 @@ def upsert_mapped(
     ``update_set=None`` means no ``WHEN MATCHED`` clause, ``insert_values=None``
     no ``WHEN NOT MATCHED``.  ``delete_condition`` deletes matched rows (M-03).
     ``stage_source`` writes the de-duplicated source to the shared checkpoint
-    folder first (an action): its real size then decides broadcast or shuffle,
-    and duplicate-key errors surface right here.
+    folder first (an action).  Ask for it where the source is the result of a
+    long plan: it is then computed once, and its real size, not an estimate,
+    decides between broadcast and shuffle.
     """
     keys = list(keys)
     tcols = target.columns
@@ -163,10 +158,14 @@ def upsert_mapped(
                         on_duplicates=on_duplicates, sequence_by=sequence_by)
     if stage_source:
         src = stage(src, "merge-source")
-    touched, untouched = split_by_keys(target, src, keys)
-    tgt = touched.select(*keys, F.struct(*[F.col(c) for c in tcols]).alias("t"))
-    # every touched target row has its source row: the source side is preserved
-    j = src.join(tgt, keys, "left")
+    tgt = target.select(*keys, F.struct(*[F.col(c) for c in tcols]).alias("t"))
+    # one read of the table: kept, updated and deleted rows (a null key matches nothing and is kept)
+    j = tgt.join(src, keys, "left")
+    if insert_values is not None:
+        # a read of its keys only: the source rows that it has not
+        known = target.select(*keys).join(src.select(*keys), keys, "left_semi").distinct()
+        new = src.join(known, keys, "left_anti").select(*keys, F.lit(None).cast(tgt.schema["t"].dataType).alias("t"), "s")
+        j = j.unionByName(new)
 
     has_t, has_s = F.col("t").isNotNull(), F.col("s").isNotNull()
     matched = has_t & has_s
@@ -191,11 +190,9 @@ def upsert_mapped(
         out.append(F.when(do_update, u).when(do_insert, i).otherwise(keep).alias(c))
     action = (
         F.when(deleted, "delete").when(do_update, "update").when(do_insert, "insert")
-        .when(has_t, "copy").otherwise("skip")
+        .otherwise("copy")
     )
-    res = j.select(*out, action.alias(ACTION)).filter(F.col(ACTION) != "skip")
-    res = res.unionByName(untouched.select(*tcols, F.lit("copy").alias(ACTION)))
-    return _finish(res, tcols, observation)
+    return _finish(j.select(*out, action.alias(ACTION)), tcols, observation)
 
 
 def merge_delete(
@@ -204,15 +201,15 @@ def merge_delete(
     keys: Sequence[str],
     target_condition: str | Column | None = None,
     *,
-    stage_source: bool = True,
+    stage_source: bool = False,
 ) -> DataFrame:
     """M-03: remove target rows whose key is in ``source`` and that satisfy
     ``target_condition`` (``WHEN MATCHED AND cond THEN DELETE``).
 
     ``target LEFT ANTI distinct(source keys)`` with the condition inside the
     join: rows failing the condition find no partner and are kept.  The
-    distinct is partially aggregated, so a skewed source key is harmless, and
-    staged, so a small key set is broadcast and the target is not shuffled.
+    distinct is partially aggregated, so a skewed source key is harmless; a
+    small key set is broadcast and the target is not shuffled.
     """
     keys = list(keys)
     k = source.select(*[F.col(c).alias(f"__k_{c}") for c in keys]).distinct()
