@@ -18,6 +18,7 @@ from tidemark.sources import files
 from tidemark.streaming import cdc as scdc
 from tidemark.streaming.ingest import append_stream, file_stream
 from tidemark.streaming.state import BUCKET, BucketedState, load
+from tidemark.streaming.typed import stream_typed
 
 EMP_SCHEMA = "id bigint, name string, dob int, gender string, country string, email string"
 
@@ -173,3 +174,33 @@ def q_rescue_broken_lines(spark, sf):
     broken = F.coalesce(F.col(files.RESCUE).contains(files.CORRUPT), F.lit(False))
     return out.select("event_id", "value", broken.alias("broken"))
 
+
+
+TEXT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+# the second load: users beyond 32 bits, every 17th value malformed, every 23rd line with one more field
+_LINES_SQL = """l as (select *, case when event_id % 3 = 0 then user_id + 3000000000 else user_id end as u,
+  case when event_id % 3 = 0 and event_id % 17 = 0 then 'xx' else cast(value as varchar) end as v from events),
+t as (select *, concat_ws(',', event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), u, event_type, v) || ',extra' as line,
+  event_id % 3 = 0 and event_id % 23 = 0 as broken from l)"""
+
+
+@register("stream_text_rescue", f"""with {_LINES_SQL}
+select cast(event_id as int) as event_id, ts, u as user_id, event_type, try_cast(v as double) as value,
+  case when v = 'xx' and broken then cast(json_object('value', v, '_corrupt_record', line) as varchar)
+       when v = 'xx' then cast(json_object('value', v) as varchar)
+       when broken then cast(json_object('_corrupt_record', line) as varchar) end as _rescued_data
+from t""")
+def q_stream_text_rescue(spark, sf):
+    """S-03 + S-04 on a stream: three loads of text lines, each a run of its own
+    on one checkpoint; the second widens a type and holds bad values and lines."""
+    root = scratch_path(spark, "text_rescue")
+    ev = table(spark, sf, "events")
+    second, i = F.col("event_id") % 3 == 0, F.col("event_id")
+    user = F.when(second, F.col("user_id") + 3000000000).otherwise(F.col("user_id"))
+    value = F.when(second & (i % 17 == 0), "xx").otherwise(F.col("value").cast("string"))
+    line = F.concat_ws(",", i.cast("string"), F.date_format("ts", files.TS_FORMAT), user.cast("string"), "event_type", value)
+    lines = ev.select(i, F.when(second & (i % 23 == 0), F.concat(line, F.lit(",extra"))).otherwise(line).alias("value"))
+    for k in (2, 0, 1):
+        lines.filter(F.col("event_id") % 3 == k).select("value").write.mode("append").text(f"{root}/landing")
+        events = stream_typed(spark, f"{root}/landing", f"{root}/events", f"{root}/_checkpoint", names=TEXT_COLS, header=False)
+    return events.read()
