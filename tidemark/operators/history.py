@@ -240,6 +240,63 @@ def versioned_history_merge(
     return j.select(F.inline(rows)).unionByName(rest)
 
 
+def versioned_history_runs(
+    target: DataFrame,
+    batches: Sequence[DataFrame],
+    *,
+    key: str = "id",
+    values: Sequence[str] = ("name", "mobile"),
+    run_ts: str | Column | None = None,
+) -> DataFrame:
+    """M-08, later runs: ``batches`` applied one after the other to a table that
+    may hold history already, in one plan.
+
+    Every run turns a key's current row into its previous one and prunes what was
+    previous before, so after all runs a key holds the newest two of (rows of
+    the batches, latest first; the stored ``Active`` row; the stored
+    ``InActive`` row): version 0 / ``Active`` and version 1 / ``InActive``, each
+    replacing the stored row of the same (key, status).  A key in no batch keeps
+    its rows.  ``datetime`` becomes ``run_ts``, the time of the last run, and
+    ``status`` follows from ``version`` on every row, as in a single run.
+
+    A batch with different rows of one key, and a key with several stored rows
+    of one status or with a version other than 0 and 1, fail the job.
+    """
+    values = list(values)
+    tcols, types = target.columns, dict(target.dtypes)
+    run = _ts(run_ts, types["datetime"]) if run_ts is not None else F.current_timestamp().cast(types["datetime"])
+    row = F.struct(*[F.col(c) for c in values])
+    tagged = None
+    for r, batch in enumerate(batches):
+        one = dedupe_source(batch.select(key, *values), [key], values, what=f"versioned batch {r}").select(
+            key, F.struct(F.lit(r).alias("run"), *[F.col(f"s.{c}").cast(types[c]).alias(c) for c in values]).alias("v"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    if tagged is None:
+        raise ValueError("no batch to apply")
+    # at most one row a batch for a key
+    new = tagged.groupBy(key).agg(F.slice(F.sort_array(F.collect_list("v"), asc=False), 1, 2).alias("new"))
+    touched, untouched = split_by_keys(target, new, [key])
+    current, old = F.col("version") == 0, F.col("version") == 1
+    stored = F.struct(F.lit(-1).alias("run"), *[F.col(c) for c in values])
+    t = (
+        touched.groupBy(key)
+        .agg(F.max(F.when(current, stored)).alias("a"), F.max(F.when(old, stored)).alias("i"),
+             F.count_if(current).alias("n_a"), F.count_if(old).alias("n_i"), F.count(F.lit(1)).alias("n"))
+        .filter(_check((F.col("n_a") <= 1) & (F.col("n_i") <= 1) & (F.col("n") == F.col("n_a") + F.col("n_i")),
+                       "versioned target: several rows of one status, or an unknown version, for a key"))
+        .select(key, "a", "i")
+    )
+    newest = F.slice(F.concat("new", F.array_compact(F.array("a", "i"))), 1, 2)
+    rows = (new.join(t, key, "left").select(key, F.posexplode(newest).alias("version", "v"))
+            .select(key, "version", *[F.col(f"v.{c}").alias(c) for c in values]))
+    restamped = {"datetime": run, "status": F.when(F.col("version") == 0, ACTIVE).otherwise(INACTIVE)}
+
+    def shaped(df: DataFrame) -> DataFrame:
+        return df.select(*[restamped.get(c, F.col(c)).cast(types[c]).alias(c) for c in tcols])
+
+    return shaped(rows).unionByName(shaped(untouched))
+
+
 def current_snapshot(history: DataFrame, *, status_col: str = "status", day: str | Column | None = None,
                      day_col: str = "created_date", active: str = ACTIVE) -> DataFrame:
     """M-09: active rows, optionally only those created on ``day``.

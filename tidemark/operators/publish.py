@@ -5,7 +5,7 @@
 * ``export_single_csv`` writes one named CSV file.  One file means one writing
   task, so it refuses inputs above a row cap (checked with a bounded
   ``limit(cap + 1).count()``, never a full count); larger extracts go to
-  ``write_csv`` as many part files.
+  ``export_parts``: bounded, ordered and named files, written by many tasks.
 * ``publish_version`` writes a new table version to its own folder and only
   then moves the ``_CURRENT`` pointer, so readers never see a half-written
   table and the input of a merge is never overwritten while it is read.
@@ -13,12 +13,15 @@
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.order import running
 from tidemark.session import path_exists
 from tidemark.sources.files import csv_write_options, without_line_breaks
 
@@ -64,7 +67,7 @@ def export_single_csv(df: DataFrame, folder: str, file_name: str, *, row_cap: in
     """
     spark = df.sparkSession
     if df.limit(row_cap + 1).count() > row_cap:
-        raise ValueError(f"more than {row_cap} rows: a single-file export would run in one task; use write_csv")
+        raise ValueError(f"more than {row_cap} rows: a single-file export would run in one task; use export_parts")
     tmp = f"{folder.rstrip('/')}/_tmp_export_{uuid.uuid4().hex}"
     without_line_breaks(df).coalesce(1).write.mode("overwrite").options(**csv_write_options(header)).csv(tmp)
     fs, tmp_path, jvm = _jvm_fs(spark, tmp)
@@ -80,6 +83,57 @@ def export_single_csv(df: DataFrame, folder: str, file_name: str, *, row_cap: in
     return dest.toString()
 
 
+def export_parts(df: DataFrame, folder: str, order: Sequence[str | Column], rows_per_part: int, *, name: str = "part",
+                 header: bool = True, place_col: str | None = None) -> list[str]:
+    """K-06 / K-07 without a cap: the rows in ``order`` as CSV files
+    ``<name>_000000.csv``, ``<name>_000001.csv``, ... of ``rows_per_part`` rows
+    each (the last may be shorter), each file sorted, all sorted by their names.
+
+    The input is computed once: range partitions and two-level counts give each
+    row its part and its place in it (:func:`tidemark.operators.order.running`),
+    then every part is written by one task, many at a time.  Rows equal in
+    ``order`` get any places.  ``place_col`` also writes the place (from 0).
+    Parts become visible by rename, and ``_PARTS`` (their names and the number
+    of rows, written last) tells that all are there; files of an earlier export
+    under the same name are replaced.
+    """
+    spark = df.sparkSession
+    folder = folder.rstrip("/")
+    tmp = f"{folder}/_tmp_export_{uuid.uuid4().hex}"
+    at, part = F.col("__at"), (F.col("__at") / F.lit(rows_per_part)).cast("long")
+    place = [F.pmod(at, F.lit(rows_per_part).cast("long")).alias(place_col)] if place_col else []
+    placed = running(without_line_breaks(df), order, at="__at", name="export")
+    n = placed.agg(F.max("__at")).first()[0]
+    n_rows = 0 if n is None else n + 1
+    n_parts = -(-n_rows // rows_per_part)
+    if n_parts:
+        (placed.withColumn("__part", part).repartition(n_parts, "__part").sortWithinPartitions("__part", "__at")
+         .select(*[F.col(f"`{c}`") for c in df.columns], *place, "__part")
+         .write.mode("overwrite").options(**csv_write_options(header)).partitionBy("__part").csv(tmp))
+    fs, base, jvm = _jvm_fs(spark, folder)
+    path = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(base)
+    listing = path(f"{folder}/_PARTS")
+    fs.delete(listing, False)
+    for st in fs.listStatus(base):
+        old = st.getPath().getName()
+        if re.fullmatch(re.escape(name) + r"_\d{6,}\.csv", old):
+            fs.delete(st.getPath(), False)
+    done = []
+    for k in range(n_parts):
+        files = [s.getPath() for s in fs.listStatus(path(f"{tmp}/__part={k}")) if s.getPath().getName().startswith("part-")]
+        if len(files) != 1:
+            raise RuntimeError(f"expected one file of part {k}, found {len(files)}")
+        done.append(f"{name}_{k:06d}.csv")
+        if not fs.rename(files[0], path(f"{folder}/{done[-1]}")):
+            raise RuntimeError(f"could not move part {k} to {folder}")
+    fs.delete(path(tmp), True)
+    out = fs.create(listing, True)
+    out.write(bytearray(json.dumps({"rows": n_rows, "parts": done}).encode()))
+    out.close()
+    return [f"{folder}/{f}" for f in done]
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], *, mode: str = "append",
                num_partitions: int | None = None) -> None:
     """K-08: executors write in parallel; credentials come from ``properties``

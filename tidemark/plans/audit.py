@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.audit import MERGE_METRICS, merge_audit, metrics_pivot, profile
-from tidemark.plans.fixtures import table
+from tidemark.operators.merge import upsert_mapped
+from tidemark.operators.sketches import report, sketch_profile
+from tidemark.plans.fixtures import emp_batch, emp_target, table, with_employees
 from tidemark.plans.registry import register
+from tidemark.session import scratch_path
+from tidemark.streaming.state import BucketedState, load, merge_in_place
 
 NOTEBOOK = "audit_demo"
 FIRST_DAYS_END = "2024-01-11"
@@ -76,6 +80,38 @@ def q_merge_audit(spark, sf):
     return merge_audit(first, metrics_pivot(commits_from_events(spark, sf)), notebook_name=NOTEBOOK)
 
 
+_WRITERS = ((0, "hr"), (1, "payroll"), (2, "hr"))
+
+
+def _commit_sql(k: int, writer: str) -> str:
+    """Counts of one merge from the states before and after it; merges of other thirds touch other keys."""
+    b = f"(select * from emp_batch where id % 3 = {k})"
+    t = "(select * from emp_target where status = 'Active')"
+    return f"""select '{writer}-{k}' as version, 'MERGE' as operation, '{writer}' as user_name,
+  (select count(*) from {b} b where not exists (select 1 from {t} t where t.id = b.id)) as numTargetRowsInserted,
+  (select count(*) from {b} b join {t} t on t.id = b.id where not coalesce(b.country = 'MOVED', false)) as numTargetRowsUpdated,
+  (select count(*) from {b} b join {t} t on t.id = b.id where b.country = 'MOVED') as numTargetRowsDeleted"""
+
+
+@register("audit_of_commits", with_employees("\nunion all\n".join([
+    "select 'load-0' as version, 'WRITE' as operation, 'load' as user_name, cast(null as bigint) as numTargetRowsInserted, "
+    "cast(null as bigint) as numTargetRowsUpdated, cast(null as bigint) as numTargetRowsDeleted",
+    *[_commit_sql(k, w) for k, w in _WRITERS]])))
+def q_audit_of_commits(spark, sf):
+    """O-07 from real merges: a load and three merges by two writers into a
+    stored table; the counts are those observed while the merges were written."""
+    target = emp_target(spark, sf).filter(F.col("status") == "Active").drop("eskey", "status", "start_date", "end_date",
+                                                                            "created_date")
+    stored = BucketedState(scratch_path(spark, "audited"), ["id"], target.schema, n_buckets=16)
+    load(spark, stored, target)
+    batch = emp_batch(spark, sf)
+    for k, writer in _WRITERS:
+        merge_in_place(spark, stored, batch.filter(F.col("id") % 3 == k), upsert_mapped, k, writer=writer, keys=["id"],
+                       update_set={c: f"s.{c}" for c in target.columns if c != "id"},
+                       insert_values={c: f"s.{c}" for c in target.columns}, delete_condition="s.country = 'MOVED'")
+    return metrics_pivot(stored.commit_log(spark), missing=None).drop("timestamp")
+
+
 def _empty_audit(spark):
     cols = ", ".join(f"{m} bigint" for m in MERGE_METRICS)
     return spark.createDataFrame([], f"operation string, update_time timestamp_ntz, user_name string, "
@@ -112,3 +148,14 @@ def q_profile_table(spark, sf):
 @register("profile_approx")
 def q_profile_approx(spark, sf):
     return profile(table(spark, sf, "lineitem"), approx=True)
+
+
+@register("profile_merged", _profile_sql())
+def q_profile_merged(spark, sf):
+    """A-05 by stored sketches of three loads, merged without reading them again
+    (the approximate columns, which SQL can't state, are left to the tests)."""
+    lines = table(spark, sf, "lineitem").select(*LINEITEM_COLS)
+    stored = scratch_path(spark, "sketches")
+    for k in range(3):
+        sketch_profile(lines.filter(F.col("l_orderkey") % 3 == k)).write.parquet(f"{stored}/load={k}")
+    return report(spark.read.parquet(stored).drop("load"), rounding=4).drop("approx_distinct", "approx_quantiles")

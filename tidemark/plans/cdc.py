@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, history
+from tidemark.operators.asof import as_of_each
 from tidemark.plans.fixtures import table
 from tidemark.plans.registry import register
 
@@ -129,3 +130,20 @@ def q_cdc_scd2_hot_key(spark, sf):
     return cdc.scd2(ev, ["user_id"], "ts", track_columns=["event_type"], tiebreak=["event_id"], columns=EV_COLS,
                     hot_key_rows=1000)
 
+
+
+@register("history_as_of_each", _scd2_sql(f"({HOT_EVENTS_SQL})", "user_id", ["ts", "event_id"], ["event_type"], EV_COLS)
+          + f""",
+q as (select event_id as asked, user_id, ts + interval 45 minute as instant from ({HOT_EVENTS_SQL}) x),
+v as (select user_id, event_id, event_type, __START_AT, __END_AT from h
+      where __END_AT is null or __START_AT < __END_AT)
+select asked, q.user_id, instant, event_id, event_type, __START_AT, __END_AT
+from q asof left join v on q.user_id = v.user_id and q.instant >= v.__START_AT""")
+def q_history_as_of_each(spark, sf):
+    """M-10 for a column of instants: the version of its user 45 minutes after
+    every event; one user has a third of all versions and instants."""
+    ev = hot_events(spark, sf)
+    versions = cdc.scd2(ev, ["user_id"], "ts", track_columns=["event_type"], tiebreak=["event_id"], columns=EV_COLS,
+                        hot_key_rows=1000)
+    asks = ev.select(F.col("event_id").alias("asked"), "user_id", (F.col("ts") + F.expr("interval 45 minutes")).alias("instant"))
+    return as_of_each(versions, asks, ["user_id"], "instant", columns=["event_id", "event_type", "__START_AT", "__END_AT"])

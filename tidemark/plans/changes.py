@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import mask_email
-from tidemark.operators import diff, history, merge
+from tidemark.operators import diff, fingerprints, history, merge
 from tidemark.operators.joins import attach_columns, demote_matched
 from tidemark.plans.fixtures import RUN_TS, emp_batch, emp_target, employees, table, with_employees
 from tidemark.plans.registry import register
@@ -344,3 +344,42 @@ def q_classify_two_version(spark, sf):
     """C-01 as the reference runs it: against the whole two-version table."""
     return history.two_version_changes(emp_target(spark, sf), emp_batch(spark, sf), compat=True)
 
+
+
+@register("versioned_history_runs", with_employees(f"""with
+c as (select id, name, email as mobile, -eskey as run from emp_target
+      union all select id, name, email, 1 from emp_batch
+      union all select id, name || ' v2', email, 2 from emp_base where id % 4 = 0
+      union all select id, name || ' v3', email, 3 from emp_base where id % 6 in (1, 4)
+      union all select id + 2000000, name || ' late', email, 3 from emp_base where id % 10 = 3),
+r as (select *, row_number() over (partition by id order by run desc) - 1 as version from c)
+select id, name, mobile, cast(version as int) as version, cast('{RUN_TS}' as timestamp) as datetime,
+  case when version = 0 then 'Active' else 'InActive' end as status from r where version <= 1"""))
+def q_versioned_history_runs(spark, sf):
+    """M-08 with history in the table: three runs, the last with new keys too."""
+    mobile = F.col("email").alias("mobile")
+    t = emp_target(spark, sf).select("id", "name", mobile, F.col("eskey").alias("version"),
+                                     F.col("created_date").alias("datetime"), "status")
+    b = employees(spark, sf)
+    second = b.filter("id % 4 = 0").select("id", F.concat("name", F.lit(" v2")).alias("name"), mobile)
+    third = b.filter("id % 6 in (1, 4)").select("id", F.concat("name", F.lit(" v3")).alias("name"), mobile).unionByName(
+        b.filter("id % 10 = 3").select((F.col("id") + 2000000).alias("id"), F.concat("name", F.lit(" late")).alias("name"), mobile))
+    batches = [emp_batch(spark, sf).select("id", "name", mobile), second, third]
+    return history.versioned_history_runs(t, batches, run_ts=RUN_TS)
+
+
+@register(
+    "changed_by_fingerprint",
+    with_employees(f"""
+select coalesce(s.id, t.id) as id,
+  case when t.id is null then 'new' when s.id is null then 'missing'
+       when {_is_distinct(VALUES, 't', 's')} then 'update' else 'unchanged' end as change
+from (select * from emp_target where status = 'Active') t
+full outer join emp_batch s on t.id = s.id"""),
+)
+def q_changed_by_fingerprint(spark, sf):
+    """P-12 in two phases; the companion of fingerprints is a stored table."""
+    t = emp_target(spark, sf).filter(F.col("status") == "Active")
+    path = scratch_path(spark, "fingerprints")
+    fingerprints.fingerprints(t, ["id"], VALUES).write.parquet(path)
+    return fingerprints.changed_by_fingerprint(t, spark.read.parquet(path), emp_batch(spark, sf), ["id"], VALUES)

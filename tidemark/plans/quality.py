@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
+from tidemark.operators.contract import ContractTable
+from tidemark.operators.intake import Intake, NothingAccepted
 from tidemark.plans.fixtures import emp_batch, employees, table, with_employees
 from tidemark.plans.registry import register
+from tidemark.session import scratch_path
 
 
 def _counts_sql(tbl: str, rules: dict[str, str]) -> str:
@@ -150,3 +153,52 @@ select id, file_name, case when file_name like 'EmployeeData%' or file_name like
   when file_name like 'PayrollData%' then 'jdbc_export' else 'unrouted' end as route from emp_batch"""))
 def q_route_by_origin(spark, sf):
     return quality.route_by(emp_batch(spark, sf), ORIGIN_ROUTES, default="unrouted").select("id", "file_name", "route")
+
+
+@register("intake_outcome", f"""select route, count(*) as n_rows, count(*) as n_counted, count(distinct file_name) as n_files from (
+select file_name, case when not ends_with(file_name, '.csv') then 'ignored'
+  when regexp_matches(file_name, '^(EmployeeData|PayrollData|BranchData)_[0-9]{{8}}\\.csv$')
+    and regexp_extract(file_name, '_([0-9]{{8}})\\.csv$', 1) = '{RUN_DATE}' then 'accepted'
+  else 'rejected' end as route
+from ({FILE_NAME_SQL}) f) r group by route""")
+def q_intake_outcome(spark, sf):
+    """K-13 + Q-07: rows of many files written to their routes in one pass; rows
+    and files read back beside the counts of the write."""
+    routed = quality.route_files(file_names(spark, sf), "file_name", RUN_DATE)
+    intake = Intake(scratch_path(spark, "intake"))
+    try:
+        counts = intake.write(routed, "1")
+    except NothingAccepted as stop:  # small tables have no file of the day: nothing may be visible then
+        counts = stop.counts
+        seen = routed
+    else:
+        seen = None
+        for r in intake.routes:
+            part = intake.read(spark, r, routed.schema)
+            seen = part if seen is None else seen.unionByName(part)
+    told = spark.createDataFrame(sorted(counts.items()), "route string, n_counted long")
+    return (seen.groupBy("route").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("file_name").alias("n_files"))
+            .join(told, "route").select("route", "n_rows", "n_counted", "n_files"))
+
+
+EMPLOYEE_CONTRACT = "id bigint not null, name string not null, dob int not null, gender string not null, country string, email string"
+
+
+@register("contract_checked_write", with_employees("""
+select * from emp_base union all select id + 1000000, name, dob, gender, country, email from emp_batch where id % 2 = 0"""))
+def q_contract_checked_write(spark, sf):
+    """K-01 + Q-05: a table created from DDL; a good batch is appended, a batch
+    with rows that break the contract leaves the table as it was."""
+    t = ContractTable.create(spark, scratch_path(spark, "contract"), EMPLOYEE_CONTRACT)
+    good = employees(spark, sf)
+    t.append(good)
+    try:
+        t.append(good.withColumn("gender", F.when(F.col("id") % 100 != 7, F.col("gender"))))
+    except Exception as refused:  # noqa: BLE001 - the kind of error depends on the client
+        if "gender is not null" not in str(refused):
+            raise
+    else:
+        raise AssertionError("rows without a required value were written")
+    more = emp_batch(spark, sf).filter("id % 2 = 0").withColumn("id", F.col("id") + 1000000).drop("file_name")
+    ContractTable.open(spark, t.root).append(more)
+    return t.read()

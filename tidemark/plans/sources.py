@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import quality
+from tidemark.operators import publish, quality
 from tidemark.plans.cdc import EV_COLS, SCD2_TRACKED_SQL, _latest_sql
 from tidemark.operators import history
 from tidemark.plans.changes import TWO_VERSION_CTES
@@ -16,6 +16,7 @@ from tidemark.plans.registry import register
 from tidemark.session import scratch_path
 from tidemark.sources import files
 from tidemark.streaming import cdc as scdc
+from tidemark.streaming import keyed, metrics
 from tidemark.streaming.ingest import append_stream, file_stream
 from tidemark.streaming.state import BUCKET, BucketedState, load
 from tidemark.streaming.typed import stream_typed
@@ -204,3 +205,55 @@ def q_stream_text_rescue(spark, sf):
         lines.filter(F.col("event_id") % 3 == k).select("value").write.mode("append").text(f"{root}/landing")
         events = stream_typed(spark, f"{root}/landing", f"{root}/events", f"{root}/_checkpoint", names=TEXT_COLS, header=False)
     return events.read()
+
+
+PART_ROWS = 700
+
+
+@register("export_parts", f"""with p as (select o_orderkey, o_custkey, o_totalprice,
+  row_number() over (order by o_orderdate, o_orderkey) - 1 as pos from orders)
+select o_orderkey, o_custkey, o_totalprice, 'orders_' || lpad(cast(pos // {PART_ROWS} as varchar), 6, '0') || '.csv' as file_name,
+  pos % {PART_ROWS} as place from p""")
+def q_export_parts(spark, sf):
+    """K-06 / K-07 without a cap: orders by date as CSV parts of 700 rows, read back."""
+    folder = scratch_path(spark, "export")
+    o = table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_custkey", "o_totalprice")
+    publish.export_parts(o, folder, ["o_orderdate", "o_orderkey"], PART_ROWS, name="orders", place_col="place")
+    back = files.read_csv(spark, f"{folder}/orders_*.csv", T.StructType([*o.schema.fields, T.StructField("place", T.LongType())]))
+    return files.with_provenance(back, path_col=None).select("o_orderkey", "o_custkey", "o_totalprice", "file_name", "place")
+
+
+@register("stream_scd1_stateful", _latest_sql("events", "user_id", "ts desc, event_id desc",
+                                              ["user_id", "event_id", "ts", "event_type", "value"]))
+def q_stream_scd1_stateful(spark, sf):
+    """T-05 with keyed state: files out of order, in two runs on one checkpoint."""
+    root = scratch_path(spark, "scd1_stateful")
+    ev = table(spark, sf, "events").select(*EVENT_COLS)
+    for part in (F.col("event_id") % 3 == 2, F.col("event_id") % 3 < 2):
+        files.write_csv(ev.filter(part), f"{root}/landing", mode="append")
+        s = file_stream(spark, f"{root}/landing", EVENT_SCHEMA)
+        keyed.stream_scd1_stateful(s, root, f"{root}/_checkpoint", ["user_id"], "ts", tiebreak=["event_id"],
+                                   columns=["event_id", "event_type", "value"])
+    return keyed.current(spark, f"{root}/_checkpoint").select("user_id", "event_id", "ts", "event_type", "value")
+
+
+RULES = {"value is positive": "value > 0", "known event type": "event_type in ('view', 'click', 'signup', 'purchase')",
+         "value below 300": "value < 300"}
+
+
+@register("expectation_log", "\nunion all\n".join(
+    f"select cast({b} as bigint) as batch_id, '{name}' as rule, count(*) as n_rows, "
+    f"count(*) filter (where not coalesce({p}, false)) as n_failed from events where event_id % 3 = {k}"
+    for b, k in enumerate((2, 0, 1)) for name, p in RULES.items()))
+def q_expectation_log(spark, sf):
+    """Q-01 on a stream: the failures of three micro-batches, a run each, and of a
+    restart that finds nothing new, as rows kept by a listener."""
+    root = scratch_path(spark, "expectation_log")
+    ev = table(spark, sf, "events").select(*EVENT_COLS)
+    with metrics.keep_expectations(spark, f"{root}/log"):
+        for k in (2, 0, 1, None):
+            if k is not None:
+                files.write_csv(ev.filter(F.col("event_id") % 3 == k), f"{root}/landing", mode="append")
+            s = quality.expect(file_stream(spark, f"{root}/landing", EVENT_SCHEMA), RULES, observation="rules")
+            append_stream(s, f"{root}/out", f"{root}/_checkpoint")
+    return metrics.read_expectations(spark, f"{root}/log").select("batch_id", "rule", "n_rows", "n_failed")

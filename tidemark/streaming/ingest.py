@@ -50,7 +50,7 @@ def file_stream(
 
 
 def run_available(df: DataFrame, checkpoint: str, *, sink: Callable | None = None, fmt: str = "parquet",
-                  path: str | None = None, query_name: str | None = None,
+                  path: str | None = None, query_name: str | None = None, output_mode: str = "append",
                   options: Mapping[str, str] | None = None) -> StreamingQuery:
     """Run a stream over everything available now and wait for it to finish.
 
@@ -63,9 +63,9 @@ def run_available(df: DataFrame, checkpoint: str, *, sink: Callable | None = Non
     if query_name:
         w = w.queryName(query_name)
     if sink is not None:
-        w = w.foreachBatch(sink)
+        w = w.foreachBatch(sink).outputMode(output_mode)
     else:
-        w = w.format(fmt).outputMode("append").option("path", path)
+        w = w.format(fmt).outputMode(output_mode).option("path", path)
         if fmt == "csv":
             w = w.options(**csv_write_options())
     if options:
