@@ -73,3 +73,23 @@ def test_reliabilities_follow_the_labelers():
     assert p["email yyyyy m"] > 0.95 and p["ssn yy-yy s"] > 0.8 and p["ssn nn-nn s"] < 0.1
     q = pii.train_classifier(counts, p)
     assert q["ssn yy-yy s"] > 0.5 > q["ssn nn-nn s"]
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    """200,000 matches of three kinds in one text of some megabytes; spans at their places."""
+    import time
+
+    n = 66_667
+    part = "u{0}@ex.org 10.0.{1}.7 +49 30 1234{0:07d}; "
+    text = "".join(part.format(i, i % 250) for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, "1 22 333 " * 90_000)], "doc_id long, text string")
+    began = time.monotonic()
+    rows = {r.doc_id: r for r in pii.digests(pii.detect(df)).collect()}
+    assert time.monotonic() - began < 120
+    assert (rows[1].n_email, rows[1].n_ip, rows[1].n_phone) == (n, n, n) and rows[2].n_card == 0
+    at, want = 0, []
+    for i in range(n):
+        words = part.format(i, i % 250)
+        want.append(f"email:{at}:{at + words.index(' ')}")
+        at += len(words)
+    assert [s for s in rows[1].spans.split(",") if s.startswith("email:")] == want

@@ -110,3 +110,12 @@ def test_packing_needs_few_sequences(spark):
     df = spark.createDataFrame([(n,) for n in lengths], "length long").coalesce(1)
     used = packing.pack(df).select("sequence_id").distinct().count()
     assert used <= 1.01 * sum(lengths) / 2048 + 1
+
+
+def test_ids_keep_their_type(spark, word_path):
+    df = spark.createDataFrame([("a", "one two"), (None, "three")], "doc_id string, text string")
+    got = packing.pack_documents(df, word_path)
+    assert got.schema["doc_id"].dataType.simpleString() == "string"
+    assert sorted((r.doc_id for r in got.collect()), key=str) == [None, "a"]
+    apart = packing.pack(packing.tokenise(df, word_path)).collect()
+    assert sorted((r.id, r.ids_crc32) for r in apart if r.id) == sorted((r.doc_id, r.ids_crc32) for r in got.collect() if r.doc_id)

@@ -42,7 +42,7 @@ OPEN_BINS = 4096
 WINDOW = 16384
 CACHE = 400_000
 
-PIECES = "id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
 class BestFit:
@@ -128,23 +128,21 @@ def word_encoder(path: str, cache_limit: int = CACHE):
     return encode
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-             capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
-    """Pieces of the texts' ids (each text ends with ``end_id``): ``id``,
-    ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``."""
+def _tokeniser(tokenizer_path: str, capacity: int, end_id: int, with_ids: bool):
+    """A function from batches of (id, text) to batches of pieces; ids keep their type."""
     end = np.array([end_id], dtype="<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(tokenizer_path)
         for batch in slices(batches):
             rows: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row, text in enumerate(batch.column(1).to_pylist()):
                 ids = encode(text) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
-                    rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part), part))
-            key, piece, start, length, crc, parts = zip(*rows)
-            columns = [pa.array(key, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                    rows.append((row, piece, at // 4, len(part) // 4, zlib.crc32(part), part))
+            row, piece, start, length, crc, parts = zip(*rows)
+            columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                        pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names = ["id", "piece", "start", "length", "ids_crc32"]
             if with_ids:
@@ -154,14 +152,11 @@ def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = PIECES + (", ids array<int>" if with_ids else "")
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+    return run
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, window: int = WINDOW,
-         length_col: str = "length") -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to rows that have a length of 1 to ``capacity``."""
-
+def _packer(capacity: int, open_bins: int, window: int, length_col: str):
+    """A function that adds ``sequence_id`` and ``offset`` to batches of pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         bins = BestFit(capacity, open_bins, (context.partitionId() if context else 0) << 33)
@@ -186,12 +181,35 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
         if held:
             yield from placed()
 
+    return run
+
+
+def _pieces(docs: DataFrame, with_ids: bool) -> str:
+    """The columns of pieces, ids of the documents' type."""
+    return f"id {docs.schema['id'].dataType.simpleString()}, {PIECES}" + (", ids array<int>" if with_ids else "")
+
+
+def tokenise(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+             capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+    """Pieces of the texts' ids (each text ends with ``end_id``): ``id``,
+    ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``."""
+    texts = id_and_text(docs, id_col, text_col)
+    return texts.mapInArrow(_tokeniser(tokenizer_path, capacity, end_id, with_ids), _pieces(texts, with_ids))
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, window: int = WINDOW,
+         length_col: str = "length") -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to rows that have a length of 1 to ``capacity``."""
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields]
-    return pieces.mapInArrow(run, ", ".join([*fields, "sequence_id long", "offset long"]))
+    return pieces.mapInArrow(_packer(capacity, open_bins, window, length_col),
+                             ", ".join([*fields, "sequence_id long", "offset long"]))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = CAPACITY, open_bins: int = OPEN_BINS, with_ids: bool = False) -> DataFrame:
-    """Tokenise and pack: one row per piece."""
-    pieces = tokenise(docs, tokenizer_path, id_col, text_col, capacity, with_ids=with_ids)
-    return pack(pieces, capacity, open_bins).withColumnRenamed("id", id_col)
+    """Tokenise and pack: one row per piece.  Both run in one Python process a
+    task: two steps of their own would keep two."""
+    texts = id_and_text(docs, id_col, text_col)
+    cut, place = _tokeniser(tokenizer_path, capacity, 0, with_ids), _packer(capacity, open_bins, WINDOW, "length")
+    packed = texts.mapInArrow(lambda batches: place(cut(batches)), _pieces(texts, with_ids) + ", sequence_id long, offset long")
+    return packed.withColumnRenamed("id", id_col)

@@ -54,7 +54,7 @@ PATTERNS = {
               rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@{_LABEL}++(?:\.{_LABEL}++)++"),
     "ip": ("text rlike '[0-9][.][0-9]'",
            r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
-    "card": ("text rlike '[0-9]'", r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"),
+    "card": ("text rlike '[0-9]'", r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){13,}+"),
     "phone": ("contains(text, '+')", r"\+[0-9][\x20().0-9-]+[0-9]"),
     "secret": ("text rlike '[:=]' or contains(text, 'AKIA')",
                r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?i)(?<![a-z0-9])(?:api[_-]?key|access[_-]?key|secret|token|password|passwd)[\x22']?"
@@ -91,19 +91,33 @@ def _q(s: str) -> str:
 _SPAN = "array<struct<kind:string,start:int,stop:int,span:string,before:string,after:string>>"
 
 
+#: matches whose lengths are summed one by one; longer lists add up such blocks first
+SUMMED = 128
+
+
 def _find(kind: str) -> str:
     """SQL: all matches of a kind with their places, from the gaps between them,
-    and the ends of the gaps on both sides."""
+    and the ends of the gaps on both sides.
+
+    A place is the length of all before it.  Lengths are summed in two levels,
+    inside blocks of ``SUMMED`` matches and over the blocks, so that the work
+    grows with the matches and not with their square."""
     condition, pattern = PATTERNS[kind]
-    # element i: the gap before match i, match i, the gap after it
-    zipped = (f"transform(array(split(text, {_q(pattern)}, -1)), g -> arrays_zip(g, "
-              f"regexp_extract_all(text, {_q(pattern)}, 0), slice(g, 2, greatest(size(g) - 1, 0))))[0]")
-    step = (f"(acc, x) -> if(x.`1` is null, acc, named_struct('at', acc.at + length(x.g) + length(x.`1`), 'out', "
-            f"array_append(acc.out, named_struct('kind', '{kind}', 'start', acc.at + length(x.g), "
-            f"'stop', acc.at + length(x.g) + length(x.`1`), 'span', x.`1`, "
-            f"'before', lower(right(x.g, {WINDOW})), 'after', lower(left(x.`2`, {WINDOW}))))))")
-    return (f"if({condition}, aggregate({zipped}, named_struct('at', 0, 'out', cast(array() as {_SPAN})), "
-            f"{step}, acc -> acc.out), cast(array() as {_SPAN}))")
+    # element i: the gap before match i, match i, the gap after it; the gap after the last match has no match
+    zipped = (f"transform(array(split(text, {_q(pattern)}, -1)), g -> slice(arrays_zip(g, "
+              f"regexp_extract_all(text, {_q(pattern)}, 0), slice(g, 2, greatest(size(g) - 1, 0))), 1, size(g) - 1))[0]")
+    length = "length(y.g) + length(y.`1`)"
+    total = f"aggregate(slice(z, cast(b * {SUMMED} as int) + 1, {SUMMED}), 0, (s, y) -> s + {length})"
+    blocks = f"transform(sequence(0, cast(floor((size(z) - 1) / {SUMMED}) as int)), b -> {total})"
+    before = "aggregate({0}, cast(array(0) as array<int>), (acc, n) -> array_append(acc, element_at(acc, -1) + n))".format(blocks)
+    inside = f"aggregate(slice(z, i - i % {SUMMED} + 1, i % {SUMMED}), 0, (s, y) -> s + {length})"
+    place = f"(p[cast(floor(i / {SUMMED}) as int)] + {inside} + length(x.g))"
+    made = (f"named_struct('kind', '{kind}', 'start', at, 'stop', at + length(x.`1`), 'span', x.`1`, "
+            f"'before', lower(right(x.g, {WINDOW})), 'after', lower(left(x.`2`, {WINDOW})))")
+    # one-element arrays name what is used several times
+    spans = (f"transform(array({before}), p -> transform(z, (x, i) -> transform(array({place}), at -> {made})[0]))[0]")
+    return (f"if({condition}, transform(array({zipped}), z -> if(size(z) = 0, cast(array() as {_SPAN}), {spans}))[0], "
+            f"cast(array() as {_SPAN}))")
 
 
 _DIGITS = "regexp_replace(c.span, '[^0-9]', '')"
@@ -240,9 +254,10 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", acce
     accepted = F.array(*[F.lit(c) for c in good]) if good else F.lit(None).cast("array<string>")
     order = " ".join(f"when '{k}' then {i}" for i, k in enumerate(KINDS))
     spans = (found.withColumn("accepted", accepted)
+             .withColumn("based", F.expr("filter(spans, c -> c.base)"))
              .withColumn("spans", F.expr(
                  "filter(spans, c -> c.base or (array_contains(accepted, c.code) and "
-                 "not exists(spans, b -> b.base and b.start < c.stop and c.start < b.stop)))"))
+                 "not exists(based, b -> b.start < c.stop and c.start < b.stop)))"))
              .withColumn("spans", F.expr(
                  f"transform(array_sort(transform(spans, c -> named_struct('start', c.start, 'k', case c.kind {order} end, "
                  "'stop', c.stop, 'kind', c.kind, 'base', c.base))), c -> named_struct('kind', c.kind, 'start', c.start, "
