@@ -126,12 +126,12 @@ def test_no_python_evaluation_in_any_batch_query(spark):
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
 
-def test_hot_keys_take_the_chunked_path_and_others_the_single_window(spark):
+def test_hot_keys_are_spread_over_ranges_and_others_take_the_single_window(spark):
     df = spark.range(3000).selectExpr("id % 3 as k", "id as seq", "cast(id % 2 as string) as v")
     split = cdc.scd2(df, ["k"], "seq", track_columns=["v"], hot_key_rows=100)
     plan = _plan(split)
-    # cold keys: the anti join against the hot keys; hot keys: staged per-chunk runs
-    assert "LeftAnti" in plan and "scd2-local-runs" in plan and "Union" in plan
+    # cold keys: the anti join against the hot keys; hot keys: sorted ranges
+    assert "LeftAnti" in plan and "scd2-ranges" in plan and "Union" in plan
     whole = cdc.scd2(df, ["k"], "seq", track_columns=["v"])  # no key reaches the default threshold
     plain = _plan(whole)
     assert "Join" not in plain and "Union" not in plain
@@ -172,5 +172,21 @@ def test_one_load_stamp_and_odd_sequences_are_split_by_the_data(spark):
     for seq in ("stamp", "x"):
         split = cdc.scd2(df, ["k"], seq, track_columns=["v"], tiebreak=["tb"], columns=[seq, "tb", "v"], hot_key_rows=400)
         whole = cdc.scd2(df, ["k"], seq, track_columns=["v"], tiebreak=["tb"], columns=[seq, "tb", "v"], split_hot_keys=False)
-        assert "scd2-local-runs" in _plan(split)
+        assert "scd2-ranges" in _plan(split)
         assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_hot_key_is_spread_over_tasks_and_equal_sequences_still_fail(spark):
+    """Runs that cross many ranges, versions that open at a range's first row, and a tie on a range's border."""
+    import pytest
+
+    rows = [(0, i, "x" if 300 < i < 2600 else "ab"[(i // 7) % 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, seq long, v string")
+    args = dict(track_columns=["v"], columns=["seq", "v"], start_order_col="o")
+    split = cdc.scd2(df, ["k"], "seq", hot_key_rows=100, **args)
+    whole = cdc.scd2(df, ["k"], "seq", split_hot_keys=False, **args)
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    for at in (0, 374, 375, 376, 1500, 2998):  # ranges hold 375 rows
+        again = df.unionByName(spark.createDataFrame([(0, at, "new")], df.schema))
+        with pytest.raises(Exception, match="equal sequence"):
+            cdc.scd2(again, ["k"], "seq", hot_key_rows=100, track_columns=["v"], columns=["seq", "v"]).collect()

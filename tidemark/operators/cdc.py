@@ -11,13 +11,14 @@ exchange of the rows, one sort.
 
 A key with ``hot_key_rows`` changes or more would still be one task, so:
 
-* a key-only count first finds the hot keys (a table, never brought to the driver);
-* their changes are cut into chunks at boundaries taken from the data: a sample
-  of the key's own (sequence, tiebreak) values, so any type works, equal stamps
-  are split by the tiebreak, and nulls and NaN fall where the windows sort them;
-* windows run per (key, chunk); one row per (key, chunk) -- first and last
-  tracked values, number of runs -- decides whether a chunk's first run continues
-  the previous chunk's last run, and one aggregate over (key, run) stitches them.
+* a key-only count first finds the hot keys (a table, never brought to the driver;
+  it reads the key columns only);
+* their changes are cut into ranges of (key, order) and sorted, so any type of
+  sequence works, equal stamps are split by the tiebreak, and a hot key is spread
+  over many tasks;
+* windows run per (range, key); one row per (range, key) -- first and last tracked
+  values and order, last opening row -- tells the rows at a range's ends what
+  stands beside them in the next one.
 
 All variants are exact.
 """
@@ -30,13 +31,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.order import PART, POS, sorted_parts
 from tidemark.session import stage
 
 START, END = "__START_AT", "__END_AT"
 TOMBSTONE = "__deleted"
 HOT_KEY_ROWS = 1 << 20
-#: chunks of a hot key: about eight per ``hot_key_rows`` changes, at most so many
-MAX_CHUNKS = 4096
 
 
 def _check(ok: Column, message: Column | str) -> Column:
@@ -147,16 +147,10 @@ def scd2(
                 .filter(F.col("__n") >= hot_key_rows), "scd2-hot-keys")
     if hot.limit(1).count() == 0:
         return _scd2_one_pass(changes, *args)
-    order = F.struct(*[F.col(c) for c in order_cols])
     probe = changes.withColumn("__k", kstruct)
-    every = F.greatest(F.lit(max(1, hot_key_rows // 8)).cast("long"), F.ceil(F.col("__n") / MAX_CHUNKS))
-    bounds = stage(probe.join(hot, "__k").filter(F.pmod(F.xxhash64(order), every) == 0)
-                   .groupBy("__k").agg(F.sort_array(F.collect_set(order)).alias("__bounds")), "scd2-bounds")
-    hot_bounds = hot.select("__k").join(bounds, "__k", "left")
-    hot_part = probe.join(hot_bounds, "__k").drop("__k")
+    hot_part = probe.join(hot.select("__k"), "__k", "left_semi").drop("__k")
     cold_part = probe.join(hot.select("__k"), "__k", "left_anti").drop("__k")
-    number = F.coalesce(F.size(F.filter("__bounds", lambda b: b <= order)), F.lit(0))
-    return _scd2_one_pass(cold_part, *args).unionByName(_scd2_chunked(hot_part, *args, chunk=number))
+    return _scd2_one_pass(cold_part, *args).unionByName(_scd2_ranges(hot_part, *args))
 
 
 def _ordered(changes: DataFrame, keys: list[str], cols: list[str], track: list[str], order_cols: list[str],
@@ -206,6 +200,55 @@ def _scd2_one_pass(
         F.col(f"__next.{sequence_by}").cast(seq_type).alias(END), *extra)
 
 
+def _scd2_ranges(
+    changes: DataFrame,
+    keys: list[str],
+    sequence_by: str,
+    cols: list[str],
+    track: list[str],
+    order_cols: list[str],
+    has_tiebreak: bool,
+    start_order_col: str | None,
+) -> DataFrame:
+    """Type 2 over ranges of (key, order): no task holds a whole hot key."""
+    seq_type = changes.schema[sequence_by].dataType.simpleString()
+    df = sorted_parts(_ordered(changes, keys, cols, track, order_cols),
+                      ["__k", *[F.col(c).asc_nulls_first() for c in order_cols]], name="scd2-ranges")
+    w = Window.partitionBy(PART, "__k").orderBy(POS)
+    df = (df.withColumn("__before", F.lag("__tv").over(w)).withColumn("__after", F.lead("__tv").over(w))
+          .withColumn("__prev", F.lag("__o").over(w)).withColumn("__next", F.lead("__o").over(w)))
+    inner = F.col("__before").isNotNull() & ~F.col("__tv").eqNullSafe(F.col("__before"))
+    df = df.withColumn("__opened", F.last(F.when(inner, F.col("__o")), ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+
+    # one row per (range, key): a key has one more than the ranges it reaches into
+    ends = df.groupBy(PART, "__k").agg(
+        F.min_by("__tv", POS).alias("__first_tv"), F.max_by("__tv", POS).alias("__last_tv"),
+        F.min_by("__o", POS).alias("__first_o"), F.max_by("__o", POS).alias("__last_o"),
+        F.max_by("__opened", POS).alias("__last_open"))
+    over = Window.partitionBy("__k").orderBy(PART)
+    ends = (ends.withColumn("__tv_before", F.lag("__last_tv").over(over)).withColumn("__o_before", F.lag("__last_o").over(over))
+            .withColumn("__tv_after", F.lead("__first_tv").over(over)).withColumn("__o_after", F.lead("__first_o").over(over)))
+    first_opens = F.col("__tv_before").isNull() | ~F.col("__first_tv").eqNullSafe(F.col("__tv_before"))
+    ends = ends.withColumn("__own", F.when(first_opens, F.col("__first_o")))
+    carried = F.last(F.coalesce("__last_open", "__own"), ignorenulls=True).over(
+        over.rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.withColumn("__from", F.coalesce("__own", carried)).select(
+        PART, "__k", "__tv_before", "__o_before", "__tv_after", "__o_after", "__from")
+
+    df = df.join(ends, [PART, "__k"])
+    if not has_tiebreak:
+        prev = F.coalesce("__prev", "__o_before")
+        df = df.filter(_check(prev.isNull() | ~F.col(sequence_by).eqNullSafe(prev[sequence_by]),
+                              F.concat(F.lit("scd2: equal sequence for one key "), F.to_json("__k"), F.lit("; pass a tiebreak"))))
+    after = F.coalesce("__after", "__tv_after")
+    start, following = F.coalesce("__opened", "__from"), F.coalesce("__next", "__o_after")
+    extra = [start.alias(start_order_col)] if start_order_col else []
+    return df.filter(after.isNull() | ~F.col("__tv").eqNullSafe(after)).select(
+        *[F.col(f"__k.{k}").alias(k) for k in keys], *cols, start[sequence_by].cast(seq_type).alias(START),
+        following[sequence_by].cast(seq_type).alias(END), *extra)
+
+
 def _scd2_chunked(
     changes: DataFrame,
     keys: list[str],
