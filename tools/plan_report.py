@@ -24,21 +24,15 @@ NOTES = """
 
 ## Reading the table
 
-- **Merges** (`upsert_*`, `two_version_merge*`, `versioned_history_merge`, `merge_delete`,
-  `carry_forward_version`, `publish_masked_snapshot`, `classify_*`): the target is only ever
-  split by `LeftSemi` / `LeftAnti` broadcast hash joins against the staged batch keys. The two
-  remaining shuffles carry the touched slice and the batch into one `LeftOuter` join. With a
-  batch above the broadcast threshold, the semi and anti joins become sort-merge joins that share
-  one exchange of the target.
+- **Merges**: an upsert (`upsert_*`) left-joins the target to the reduced batch and reads the target's keys a
+  second time for the rows to insert; `classify_*` reads the compared columns once and the keys once;
+  `two_version_merge*` and `versioned_history_*` split the target by `LeftSemi` / `LeftAnti` against the
+  batch's keys. With a small batch these joins are broadcast and only the touched slice and the batch are shuffled.
 - **Type 1** (`cdc_scd1*`): one exchange, with `max_by` partially aggregated before it.
-- **Type 2** (`cdc_scd2*`, `history_as_of`, `close_open_intervals`, `open_versions`): no key of
-  the given tables reaches the default hot-key threshold, so every key takes the single-window path. That
-  means one exchange on the rows (hash of the key), the run aggregate in the same partitioning, and
-  one exchange for the run aggregate that also produces the ends. The hot-key path (chunked
-  windows, staged per-chunk runs, chunk summary) only appears when a key has at least
-  `hot_key_rows` changes. `cdc_scd2_hot_key` shows it: the cold keys pass an anti join against
-  the broadcast hot-key list, and the hot key's staged per-chunk runs are joined to the chunk
-  summary. `tests/test_plans.py` and the property tests also drive it.
+- **Type 2** (`cdc_scd2*`, `history_as_of`, `close_open_intervals`, `open_versions`): no key of the given tables
+  reaches the default hot-key threshold, so every key takes the single window over one exchange. In
+  `cdc_scd2_hot_key` the cold keys pass an anti join against the hot-key list, and the hot keys' changes are read
+  from sorted ranges and joined to one row per range and key.
 - **Filters, masks, parsing, rescue, routing**: zero shuffles, predicates pushed to the scan, no
   Python evaluation anywhere.
 """
@@ -65,7 +59,7 @@ def main() -> None:
     spark = local_session()
     rows = []
     for name in sorted(QUERIES):
-        if name.startswith("stream_") or name in {"csv_roundtrip_scan", "file_provenance_counts"}:
+        if name.startswith("stream_") or name in {"csv_roundtrip_scan", "file_provenance_counts", "expectation_log"}:
             continue
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         rows.append((name, summarise(plan)))
@@ -77,7 +71,7 @@ def main() -> None:
         "Physical plans of the registered batch queries (generated by `tools/plan_report.py` on",
         f"`{sf}`; the fixture tables are single small files, so the planner broadcasts more than it",
         "would at 100 TB). `shuffles` counts hash/range exchanges before AQE's run-time reuse of",
-        "identical exchanges. A subtree used twice shows its exchange twice here but runs once.",
+        "identical exchanges; a subtree used twice shows its exchanges twice.",
         "Broadcasts of `nation` come from the employee fixture (customer joined with nation).",
         "",
         "| query | " + " | ".join(cols) + " |",
