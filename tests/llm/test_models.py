@@ -126,6 +126,25 @@ def test_nearest_neighbours_recall_with_unequal_lengths(spark, monkeypatch):
     assert recall(spark, x) >= 0.96
 
 
+def test_nearest_neighbours_walk_meets_the_nearest_lists_without_measuring_all():
+    r = np.random.RandomState(7)
+    middles = r.normal(size=(40, 24))
+    c = ann.lengthened(middles[r.randint(40, size=2000)] + 0.5 * r.normal(size=(2000, 24)), 0.0)
+    x = middles[r.randint(40, size=300)] + 0.5 * r.normal(size=(300, 24))
+    exact = np.sqrt(ann._squared(ann.lengthened(x, 0.0), c))
+    index = ann.Index(c, ann.neighbour_graph(c), prune=0.3)
+    found, _ = index.walk(ann.lengthened(x, 0.0))
+    assert np.isfinite(found).mean() < 0.5
+    lists, distance = index.search(ann.lengthened(x, 0.0), 10)
+    nearest = np.argsort(exact, axis=1)[:, :10]
+    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(lists.tolist(), nearest.tolist())]) >= 0.95
+    assert np.allclose(distance, np.take_along_axis(exact, lists, axis=1))
+    probes = index.probes_of(x)  # the lists within the range of a query, and the least number
+    within = exact <= 1.3 * exact.min(axis=1)[:, None]
+    assert np.mean([len(set(p) & set(np.flatnonzero(w))) / w.sum() for p, w in zip(probes, within)]) >= 0.95
+    assert all(len(p) >= ann.LEAST_PROBES for p in probes)
+
+
 def test_nearest_neighbours_boundary_vectors_get_several_lists(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST", 64)
     x = np.random.RandomState(5).normal(size=(2000, 48))

@@ -7,16 +7,16 @@
   to the length of the longest (queries get 0), so that the nearest ones are
   those with the largest inner product; all and the centroids are then scaled to
   length one: means of many vectors are short and close together, and distances
-  to them would hardly differ.  More than ``DIRECT`` centroids are searched by a greedy walk on
-  an in-memory graph of their nearest neighbours, fewer one by one; they go to
-  the tasks by value (at most MAX_LISTS rows).
+  to them would hardly differ.  Centroids are searched by a walk on an in-memory
+  graph of their nearest neighbours, for vectors to be indexed and for queries
+  alike and at every size; it goes to the tasks by value (at most MAX_LISTS rows).
 * Every vector is indexed: it goes to its nearest list, and to further ones
   whose distance is at most ``1 + replicate`` times the nearest, unless the
   list's centroid is nearer to a centroid already chosen than ``APART`` times
   the vector is (at most ``COPIES``).  ``replicate`` is measured on the sample:
   a share ``BOUNDARY`` of it has a second list so near, ``REPLICATE`` at most.
-* A query searches all lists whose distance is at most ``1 + prune`` times its
-  nearest list's, and the nearest ``LEAST_PROBES`` in any case.  ``prune`` is
+* A query searches all lists met by the walk whose distance is at most
+  ``1 + prune`` times its nearest list's, and the nearest ``LEAST_PROBES`` in any case.  ``prune`` is
   measured for each table: ``ASKED`` queries are answered by a scan of all rows,
   and it is the least value at which ``RECALL`` of their neighbours lie in lists
   that are searched.  There is no other limit to the number of lists.
@@ -55,12 +55,14 @@ SAMPLE = 32_768
 LIST = 512
 MAX_LISTS = 8192
 COPIES, REPLICATE, BOUNDARY, APART = 4, 0.15, 0.1, 0.8
-DIRECT, FITTED = 1024, 8192
+FITTED = 8192
 LEAST_PROBES, ASKED, RECALL = 8, 128, 0.99
 NEAR = 0.1
 BLOCK = 4096
 DEGREE = 16
-BEAM = 96
+BEAM = 48
+#: pairs of vector and list measured at once
+LOOKED = 1 << 17
 
 
 def _squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -102,7 +104,8 @@ def balanced_centroids(x: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray
 
 
 def neighbour_graph(c: np.ndarray) -> np.ndarray:
-    """The nearest centroids of each centroid, with a few far ones so that a walk gets anywhere."""
+    """The nearest centroids of each centroid, the next one in the list, so that
+    every one can be reached, and a few far ones, so that a walk gets anywhere soon."""
     degree = min(DEGREE, len(c) - 1)
     if degree < 1:
         return np.zeros((len(c), 0), np.int64)
@@ -112,7 +115,8 @@ def neighbour_graph(c: np.ndarray) -> np.ndarray:
         d[np.arange(len(d)), np.arange(start, start + len(d))] = np.inf
         near[start:start + 1024] = np.argpartition(d, degree - 1, axis=1)[:, :degree]
     far = np.random.RandomState(3).randint(len(c), size=(len(c), 4))
-    return np.concatenate([near, far], axis=1)
+    following = (np.arange(len(c))[:, None] + 1) % len(c)
+    return np.concatenate([near, following, far], axis=1)
 
 
 @dataclass
@@ -130,34 +134,61 @@ class Index:
         """Candidates as they are indexed."""
         return lengthened(x, self.longest)
 
-    def search(self, x: np.ndarray, n: int, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """The ``n`` nearest lists that a best-first walk from fixed entries
-        finds, nearest first, with their distances.  All vectors walk at once."""
-        n, beam = min(n, len(self.centroids)), min(max(beam, n), len(self.centroids))
-        if len(self.centroids) <= DIRECT:
-            found = _squared(x, self.centroids)
-            best = np.argsort(found, axis=1, kind="stable")[:, :n]
-            return best, np.sqrt(np.take_along_axis(found, best, axis=1))
+    def _look(self, x: np.ndarray, found: np.ndarray, row: np.ndarray, node: np.ndarray) -> None:
+        """Open some nodes of the graph: measure the distance of each vector to
+        those neighbours of its nodes that it has not met."""
+        step = max(1, LOOKED // max(1, self.graph.shape[1]))
+        for start in range(0, len(row), step):
+            r, near = row[start:start + step], self.graph[node[start:start + step]]
+            pair = (r[:, None] * len(self.centroids) + near).ravel()
+            pair = np.unique(pair[np.isinf(found.ravel()[pair])])
+            r, near = np.divmod(pair, len(self.centroids))
+            gap = x[r] - self.centroids[near]
+            found[r, near] = np.einsum("ij,ij->i", gap, gap)
+
+    def walk(self, x: np.ndarray, beam: int = BEAM, prune: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances of each vector to the lists that a walk on the graph
+        meets (infinite for others), and the distance that counts as its
+        nearest.  All vectors walk at once.
+
+        From fixed entries the walk opens the nearest nodes first, until the
+        ``beam`` nearest ones met are open.  With ``prune`` it then opens every
+        node within ``1 + prune`` times the nearest, until no new one is met."""
         rows = np.arange(len(x))[:, None]
-        norm, cnorm = (x * x).sum(1), (self.centroids ** 2).sum(1)
-        found = np.full((len(x), len(self.centroids)), np.inf, np.float32)  # distances seen so far
+        beam = min(beam, len(self.centroids))
+        found = np.full((len(x), len(self.centroids)), np.inf)
+        found[:, self.entries] = _squared(x, self.centroids[self.entries])
+        floor = NEAR * np.sqrt(found[:, self.entries]).mean(axis=1)
         done = np.zeros(found.shape, bool)
-        found[:, self.entries] = norm[:, None] + cnorm[self.entries] - 2 * x @ self.centroids[self.entries].T
-        for _ in range(len(self.centroids)):
+        while True:
             best = np.argpartition(found, beam - 1, axis=1)[:, :beam]
-            distance = np.where(done[rows, best] | ~np.isfinite(found[rows, best]), np.inf, found[rows, best])
-            order = np.argsort(distance, axis=1)[:, :8]  # open the nearest not opened yet
-            chosen, usable = best[rows, order], np.isfinite(distance[rows, order])
-            if not usable.any():
+            distance = np.where(done[rows, best], np.inf, found[rows, best])
+            order = np.argsort(distance, axis=1)[:, :8]
+            at, place = np.nonzero(np.isfinite(distance[rows, order]))
+            if not len(at):
+                break
+            node = best[at, order[at, place]]
+            done[at, node] = True
+            self._look(x, found, at, node)
+        least = np.maximum(np.sqrt(found.min(axis=1)), floor)
+        least = np.where(least > 0, least, 1.0)
+        while prune is not None:
+            limit = ((1 + prune) * least[:, None]) ** 2
+            at, node = np.nonzero(~done & np.isfinite(found) & (found <= limit))
+            if not len(at):
                 break
-            done[rows, chosen] |= usable
-            near = self.graph[chosen].reshape(len(x), -1)
-            d = norm[:, None] + cnorm[near] - 2 * np.einsum("ij,ikj->ik", x, self.centroids[near])
-            d = np.where(np.repeat(usable, self.graph.shape[1], axis=1), d, np.inf)
-            np.minimum.at(found, (np.broadcast_to(rows, near.shape), near), d)
+            done[at, node] = True
+            self._look(x, found, at, node)
+        return found, least
+
+    def search(self, x: np.ndarray, n: int, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+        """The ``n`` nearest lists that a walk meets, nearest first, with their distances."""
+        n = min(n, len(self.centroids))
+        found, _ = self.walk(x, max(beam, n))
+        rows = np.arange(len(x))[:, None]
         best = np.argpartition(found, n - 1, axis=1)[:, :n]
         best = best[rows, np.lexsort((best, found[rows, best]), axis=1)]
-        return best, np.sqrt(np.maximum(found[rows, best], 0))
+        return best, np.sqrt(found[rows, best])
 
     def lists_of(self, x: np.ndarray) -> list[list[int]]:
         """The posting lists of each vector, the nearest first."""
@@ -183,24 +214,27 @@ class Index:
             if np.isfinite(ratio).any():
                 self.replicate = float(min(REPLICATE, np.nanquantile(ratio, BOUNDARY) - 1))
 
-    def reach(self, x: np.ndarray) -> np.ndarray:
-        """By how much of its nearest list's distance each list is farther from
-        each query (a nearest list at almost no distance counts as ``NEAR`` of
-        the others' mean)."""
-        distance = np.sqrt(_squared(lengthened(x, 0.0), self.centroids))
-        least = np.maximum(distance.min(axis=1), NEAR * distance.mean(axis=1))[:, None]
-        return distance / np.where(least > 0, least, 1) - 1
-
     def probes_of(self, x: np.ndarray) -> list[list[int]]:
-        reach = self.reach(x)
-        order = np.argsort(reach, axis=1, kind="stable")
-        wanted = (np.take_along_axis(reach, order, axis=1) <= self.prune) | (np.arange(order.shape[1]) < LEAST_PROBES)
-        return [row[w].tolist() for row, w in zip(order, wanted)]
+        """The lists that each query searches, the nearest first."""
+        found, least = self.walk(lengthened(x, 0.0), prune=self.prune)
+        order = np.argsort(found, axis=1, kind="stable")
+        met = np.take_along_axis(found, order, axis=1)
+        wanted = (met <= (((1 + self.prune) * least) ** 2)[:, None]) | (np.arange(order.shape[1]) < LEAST_PROBES)
+        return [row[w].tolist() for row, w in zip(order, wanted & np.isfinite(met))]
 
     def fit_prune(self, queries: np.ndarray, neighbours: list[np.ndarray]) -> None:
-        """Set ``prune`` from the true neighbours of some queries."""
-        need = [reach[lists].min() for reach, near in zip(self.reach(queries), neighbours) if len(near)
-                for lists in self.lists_of(near)]
+        """Set ``prune`` from the true neighbours of some queries: by how much of
+        its nearest list's distance the nearest list of a neighbour is farther
+        from the query (a nearest list at almost no distance counts as ``NEAR``
+        of the mean to the entries).  A list that the walk does not meet within
+        that range is not counted as reached."""
+        need = []
+        x = lengthened(queries, 0.0)
+        found, least = self.walk(x, prune=np.inf)
+        for distance, nearest, near in zip(np.sqrt(found), least, neighbours):
+            if len(near):
+                reach = distance / nearest - 1
+                need += [reach[lists].min() for lists in self.lists_of(near)]
         if need:
             # a little more, as products of other shapes are rounded otherwise
             self.prune = float(np.sort(need)[int(np.ceil(RECALL * len(need))) - 1]) + 1e-6
