@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -67,12 +68,39 @@ def test_added_spans_and_masking(spark):
 
 
 def test_reliabilities_follow_the_labelers():
-    counts = {"email yyyyy m": 900, "email yynyy m": 50, "ssn nn-nn s": 500, "ssn yy-yy s": 300, "ssn -n-y- s": 10}
-    counts = {k.replace("ssn -", "ssn y"): v for k, v in counts.items()}
+    counts = {"email yyyyy": 900, "email yynyy": 50, "ssn nn-nn": 500, "ssn yy-yy": 300, "ssn yn-y-": 10}
     p = pii.estimate_reliability(counts)
-    assert p["email yyyyy m"] > 0.95 and p["ssn yy-yy s"] > 0.8 and p["ssn nn-nn s"] < 0.1
-    q = pii.train_classifier(counts, p)
-    assert q["ssn yy-yy s"] > 0.5 > q["ssn nn-nn s"]
+    assert p["email yyyyy"] > 0.95 and p["ssn yy-yy"] > 0.8 and p["ssn nn-nn"] < 0.1
+
+
+def test_classifier_weights_are_the_log_ratios_of_shares():
+    kind = pii.KINDS.index("secret") * pii.WIDTH
+    sums = {kind: (90.0, 30.0), kind + 1: (60.0, 0.0), kind + 2: (30.0, 30.0)}
+    w = pii.train_classifier(sums)
+    assert math.isclose(w[kind], math.log(91 / 31)) and w[0] == 0
+    share = (60 + 1) / (120 + pii.BUCKETS)
+    assert math.isclose(w[kind + 1], 0.5 * math.log(((60 + 8 * share) / 98) / (8 * share / 38)))
+    assert w[kind + 1] > 0 > w[kind + 2]
+
+
+def test_classifier_learns_from_surroundings_that_no_labeler_sees(spark):
+    """The same forms, with and without votes of the labelers; words around them tell the classifier which are secrets."""
+    r = random.Random(7)
+    key = "".join
+    rows = [(i, "service uses token = " + key(r.choice("abcdef0123456789") for _ in range(32)) + " for signing") for i in range(300)]
+    rows += [(1000 + i, "release notes mention token: " + r.choice(["transformer", "embedding", "vocabulary"]) + " sizes") for i in range(300)]
+    got = {x.doc_id: x.n_secret for x in pii.digests(pii.detect(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert all(got[i] == 1 for i in range(300)) and all(got[1000 + i] == 0 for i in range(300))
+
+
+def test_classifier_uses_no_votes(spark):
+    """Spans with equal surroundings and form have equal features, whatever the votes."""
+    rows = [(1, "my ssn is 123-45-6789 ok"), (2, "my ssn is 123-45-1111 ok"), (3, "my ssn is 000-45-6789 ok")]
+    spans = {x.id: x.spans[0] for x in pii.candidates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+             .collect()}
+    assert spans[1].features[:5] == spans[2].features[:5] == spans[3].features[:5] and spans[1].code != spans[3].code
+    assert all(0 <= f - pii.KINDS.index("ssn") * pii.WIDTH < pii.WIDTH for s in spans.values() for f in s.features)
+    assert spans[1].formed and not spans[3].formed
 
 
 def test_many_matches_in_one_text_take_linear_time(spark):
@@ -93,3 +121,9 @@ def test_many_matches_in_one_text_take_linear_time(spark):
         want.append(f"email:{at}:{at + words.index(' ')}")
         at += len(words)
     assert [s for s in rows[1].spans.split(",") if s.startswith("email:")] == want
+
+
+def test_weights_are_a_literal_in_the_plan(spark, odd_docs):
+    """The table of weights is read once, not once per span."""
+    plan = pii.detect(odd_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan

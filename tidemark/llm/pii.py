@@ -7,18 +7,22 @@ Only SQL functions touch the rows.
 1. One pass over the whole texts finds candidates: the four base kinds (also
    matches that fail their check; these count as candidates but are never
    reported) and the looser kinds of ``EXTRA``.  Positions are code points.
-   Each candidate carries the votes of five labelers (yes, no or no opinion) and
-   a short code of its features.
-2. Votes and features take few values, so the corpus is summed up by one
-   aggregate into a table of codes and counts whose size does not depend on the
-   number of documents (at most ``MAX_CODES`` by construction).
-3. On that table the driver runs expectation-maximisation over the labelers'
-   confusion rates and the prior of each kind, then fits a logistic regression
-   from the features to the labels' probabilities.  Both are plain arithmetic.
-4. A code is accepted if the classifier gives it a probability of at least
-   ``accept``.  Spans of the base kinds that pass their check are always
-   reported; spans of the other kinds are added where their code is accepted and
-   no base span overlaps.
+   Each candidate carries the votes of five labelers (yes, no or no opinion) as
+   a short code, and features that the labelers do not see: the words on both
+   sides (hashed), the shape of its characters, its length and its variety.
+2. Votes take few values, so the corpus is summed up by one aggregate into a
+   table of codes and counts whose size does not depend on the number of
+   documents (at most ``MAX_CODES`` by construction).  On that table the driver
+   runs expectation-maximisation over the labelers' confusion rates and the
+   prior of each kind.
+3. A second aggregate sums the probabilities of the codes by kind and feature,
+   over all candidates (at most ``len(KINDS) * WIDTH`` rows).  These sums are all
+   that the span classifier, a naive Bayes model per kind on the soft labels, is
+   trained from: its weights are one array, a span's log odds the sum of the
+   weights of its features.  It knows nothing of the votes.
+4. Spans of the base kinds that pass their check are always reported.  Spans of
+   the other kinds that pass theirs (``FORMS``) are added where the classifier
+   gives a probability of at least ``accept`` and no base span overlaps.
 
 The base patterns are matched leftmost and without overlaps, each kind for
 itself.  They are written so that matching takes linear time and no deep stack
@@ -32,9 +36,10 @@ their names.
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, materialise
@@ -43,8 +48,17 @@ BASE = ["email", "ip", "card", "phone"]
 EXTRA = ["secret", "ssn", "iban", "obfuscated_email", "local_phone"]
 KINDS = BASE + EXTRA
 LABELERS = ["regex", "gazetteer", "context", "boundary", "shape"]
-#: kinds, three votes by five labelers, two lengths, context and boundary
-MAX_CODES = len(KINDS) * 3 ** len(LABELERS) * 3
+#: kinds, three votes by five labelers
+MAX_CODES = len(KINDS) * 3 ** len(LABELERS)
+
+#: features of the span classifier: buckets of the nearest word before, the one before that, the nearest word after
+#: and the shape; classes of length and of variety
+BUCKETS, GRADES = 64, 8
+SLOTS = [BUCKETS, BUCKETS, BUCKETS, BUCKETS, GRADES, GRADES]
+#: places a kind has in the table of weights; the first one is the prior
+WIDTH = 1 + sum(SLOTS)
+#: how many spans without evidence a class counts for, and the weight of a feature (they are not independent)
+STEADY, DAMPED = 8.0, 0.5
 
 _LOCAL = "A-Za-z0-9._%+-"
 _LABEL = "[A-Za-z0-9-]"
@@ -132,6 +146,12 @@ CHECKS = {
     "card": f"length({_DIGITS}) between 14 and 19 and {_LUHN}",
     "phone": f"length({_DIGITS}) between 10 and 15",
 }
+#: the same for the other kinds that have numbers which are never given out, or a fixed range of lengths
+FORMS = {
+    "ssn": "substring(c.span, 1, 3) not in ('000', '666') and substring(c.span, 1, 1) <> '9' "
+           "and substring(c.span, 5, 2) <> '00' and substring(c.span, 8, 4) <> '0000'",
+    "iban": "length(replace(c.span, ' ', '')) between 15 and 34",
+}
 
 
 def _case(by_kind: dict[str, str], otherwise: str) -> str:
@@ -144,11 +164,8 @@ def _list(values: list[str]) -> str:
 
 def _votes() -> str:
     """SQL: one letter per labeler, y(es), n(o) or - (no opinion)."""
-    regex = _case({**CHECKS,
-                   "secret": r"c.span rlike '[0-9]' and c.span rlike '[A-Za-z0-9+/_=-]{16,}'",
-                   "ssn": "substring(c.span, 1, 3) not in ('000', '666') and substring(c.span, 1, 1) <> '9' "
-                          "and substring(c.span, 5, 2) <> '00' and substring(c.span, 8, 4) <> '0000'",
-                   "iban": "length(replace(c.span, ' ', '')) between 15 and 34"}, "true")
+    regex = _case({**CHECKS, **FORMS,
+                   "secret": r"c.span rlike '[0-9]' and c.span rlike '[A-Za-z0-9+/_=-]{16,}'"}, "true")
     tld = r"array_contains(" + _list(TLDS) + r", lower(regexp_extract(right(c.span, 32), '([A-Za-z0-9-]+)$', 1)))"
     gazetteer = _case({"email": f"if({tld}, 'y', 'n')", "obfuscated_email": f"if({tld}, 'y', 'n')",
                        "card": "if(substring(c.span, 1, 1) in ('3', '4', '5', '6'), 'y', 'n')",
@@ -166,43 +183,58 @@ def _votes() -> str:
 
 
 def _features() -> str:
-    """SQL: what the classifier sees of a candidate besides its kind and surroundings: how long it is."""
-    return "case when c.stop - c.start < 12 then 's' when c.stop - c.start < 40 then 'm' else 'l' end"
+    """SQL: the places of a candidate's features in the table of weights.
+
+    Shapes keep up to 24 characters with runs of small letters, capitals and
+    digits as one sign each.  A word that is missing is a feature too."""
+    shape = ("regexp_replace(regexp_replace(regexp_replace(left(c.span, 24), '[a-z]+', 'a'), '[A-Z]+', 'A'), '[0-9]+', '0')")
+    word = r"regexp_extract(c.{0}, '{1}', 1)"
+    seen = [word.format("before", r"([a-z0-9_]+)[^a-z0-9_]*$"), word.format("before", r"([a-z0-9_]+)[^a-z0-9_]+[a-z0-9_]+[^a-z0-9_]*$"),
+            word.format("after", r"^[^a-z0-9_]*([a-z0-9_]+)"), shape]
+    places, at = ["0"], 1  # the prior
+    for slot, what in enumerate(seen):
+        places.append(f"{at} + pmod(xxhash64({what}, {slot}), {BUCKETS})")
+        at += BUCKETS
+    places.append(f"{at} + least({GRADES - 1}, floor(log2(c.stop - c.start)))")
+    at += GRADES
+    places.append(f"{at} + least({GRADES - 1}, size(array_distinct(split(left(c.span, 64), ''))) div 3)")
+    own = _case({k: str(i * WIDTH) for i, k in enumerate(KINDS)}, "0")
+    return f"transform(array({', '.join(places)}), f -> cast({own} + f as int))"
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, keep: bool = False) -> DataFrame:
-    """``id``, ``spans`` (kind, start, stop, base, code) and, with ``keep``, the
-    row's own columns as the struct ``row``."""
+    """``id``, ``spans`` (kind, start, stop, base, formed, code, features) and,
+    with ``keep``, the row's own columns as the struct ``row``."""
     if keep:
         texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                             F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     else:
         texts = id_and_text(docs, id_col, text_col)
     found = texts.withColumn("found", F.expr("concat(" + ", ".join(_find(k) for k in KINDS) + ")"))
-    base = _case(CHECKS, "false")
+    base, formed = _case(CHECKS, "false"), _case({**CHECKS, **FORMS}, "true")
     spans = F.expr(f"transform(found, c -> named_struct('kind', c.kind, 'start', c.start, 'stop', c.stop, 'base', {base}, "
-                   f"'code', concat_ws(' ', c.kind, {_votes()}, {_features()})))")
+                   f"'formed', {formed}, 'code', concat_ws(' ', c.kind, {_votes()}), 'features', {_features()}))")
     return found.select("id", *(["row"] if keep else []), spans.alias("spans"))
 
 
 def estimate_reliability(counts: dict[str, int], rounds: int = 60) -> dict[str, float]:
-    """Probability of each code (``kind votes features``) that its spans are
+    """Probability of each code (``kind votes``) that its spans are
     personal data: Dawid-Skene over the labelers, with a prior per kind.
     Counts are smoothed toward labelers that are right more often than not."""
     codes = {c: c.split(" ") for c in counts}
     p = {}
-    for c, (_, votes, _) in codes.items():
+    for c, (_, votes) in codes.items():
         yes, no = votes.count("y"), votes.count("n")
         p[c] = (yes + 1) / (yes + no + 2) if votes[0] != "n" else 0.1
     for _ in range(rounds):
         prior = {}
-        for kind in {k for k, _, _ in codes.values()}:
+        for kind in {k for k, _ in codes.values()}:
             n = sum(counts[c] for c in codes if codes[c][0] == kind)
             prior[kind] = (1 + sum(counts[c] * p[c] for c in codes if codes[c][0] == kind)) / (n + 2)
         rate = []
         for i in range(len(LABELERS)):
             table = {(1, "y"): 8.0, (1, "n"): 1.0, (1, "-"): 3.0, (0, "y"): 3.0, (0, "n"): 6.0, (0, "-"): 3.0}
-            for c, (_, votes, _) in codes.items():
+            for c, (_, votes) in codes.items():
                 table[1, votes[i]] += counts[c] * p[c]
                 table[0, votes[i]] += counts[c] * (1 - p[c])
             for y in (0, 1):
@@ -210,36 +242,52 @@ def estimate_reliability(counts: dict[str, int], rounds: int = 60) -> dict[str,
                 for v in "yn-":
                     table[y, v] /= total
             rate.append(table)
-        for c, (kind, votes, _) in codes.items():
+        for c, (kind, votes) in codes.items():
             odds = math.log(prior[kind] / (1 - prior[kind]))
             odds += sum(math.log(rate[i][1, v] / rate[i][0, v]) for i, v in enumerate(votes))
             p[c] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
     return p
 
 
-def train_classifier(counts: dict[str, int], labels: dict[str, float], rounds: int = 400) -> dict[str, float]:
-    """Probability of each code by a logistic regression on kind, validity of
-    the form, surroundings, shape and length, fitted to the labels."""
-    def features(code: str) -> list[str]:
-        kind, votes, length = code.split(" ")
-        return ["1", f"kind {kind}", f"length {length}", *[f"{name} {v}" for name, v in zip(LABELERS, votes)]]
-
-    x = {c: features(c) for c in counts}
-    weight = {f: 0.0 for fs in x.values() for f in fs}
-    total = sum(counts.values()) or 1
-
-    def score(c: str) -> float:
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weight[f] for f in x[c])))))
-
-    for _ in range(rounds):
-        gradient = {f: 1e-4 * w for f, w in weight.items()}
-        for c, fs in x.items():
-            d = (score(c) - labels[c]) * counts[c] / total
-            for f in fs:
-                gradient[f] += d
-        for f in weight:
-            weight[f] -= 2.0 * gradient[f]
-    return {c: score(c) for c in counts}
+def train_classifier(sums: dict[int, tuple[float, float]]) -> list[float]:
+    """The table of weights from the sums of the labels' probabilities (that a
+    span with the feature is personal data, that it is not) by place.
+
+    A class's share of a feature is drawn toward the share among all spans of the
+    kind by ``STEADY`` spans, so that a class with few spans says little; the
+    prior is the kind's odds."""
+    weights = [0.0] * (len(KINDS) * WIDTH)
+    for kind in range(len(KINDS)):
+        yes, no = sums.get(kind * WIDTH, (0.0, 0.0))
+        weights[kind * WIDTH] = math.log((yes + 1) / (no + 1))
+        at = 1
+        for size in SLOTS:
+            for place in range(kind * WIDTH + at, kind * WIDTH + at + size):
+                with_yes, with_no = sums.get(place, (0.0, 0.0))
+                share = (with_yes + with_no + 1) / (yes + no + size)
+                likely = ((with_yes + STEADY * share) / (yes + STEADY), (with_no + STEADY * share) / (no + STEADY))
+                weights[place] = DAMPED * math.log(likely[0] / likely[1])
+            at += size
+    return weights
+
+
+def _literal(spark: SparkSession, values: list, of: str) -> DataFrame:
+    """One row per value, read from a text in the plan."""
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(values)), f"array<{of}>")).alias("x")).select("x.*")
+
+
+def learn(found: DataFrame) -> list[float]:
+    """The weights of the span classifier, from the result of :func:`candidates`."""
+    spans = found.select(F.explode("spans").alias("c"))
+    counts = {r["code"]: r["n"] for r in spans.groupBy(F.col("c.code").alias("code"))
+              .agg(F.count("*").alias("n")).collect()}  # at most MAX_CODES rows
+    labels = [{"code": c, "p": p} for c, p in sorted(estimate_reliability(counts).items())]
+    soft = F.broadcast(_literal(found.sparkSession, labels, "struct<code:string,p:double>"))  # as many
+    seen = spans.withColumn("code", F.col("c.code")).join(soft, "code").select("p", F.explode("c.features").alias("place"))
+    # at most len(KINDS) * WIDTH rows
+    sums = {r["place"]: (r["yes"], r["n"] - r["yes"]) for r in
+            seen.groupBy("place").agg(F.sum("p").alias("yes"), F.count("*").alias("n")).collect()}
+    return train_classifier(sums)
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", accept: float = 0.5,
@@ -247,17 +295,19 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", acce
     """``id_col`` and ``spans``: the reported spans (kind, start, stop, base) by
     start, then kind; with ``keep`` also the input row as the struct ``row``."""
     found = materialise(candidates(docs, id_col, text_col, keep), "pii-candidates")
-    summed = found.select(F.explode("spans.code").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
-    counts = {r["code"]: r["n"] for r in summed.collect()}  # at most MAX_CODES rows
-    probability = train_classifier(counts, estimate_reliability(counts))
-    good = sorted(c for c, p in probability.items() if p >= accept and c.split(" ")[0] in EXTRA)
-    accepted = F.array(*[F.lit(c) for c in good]) if good else F.lit(None).cast("array<string>")
+    weights = F.from_json(F.lit(json.dumps(learn(found))), "array<double>")  # folded to a literal by the optimizer
+    least = math.log(accept / (1 - accept))
+
+    def odds(c: Column) -> Column:
+        return F.aggregate(c["features"], F.lit(0.0), lambda total, f: total + F.get(weights, f))
+
+    def reported(based: Column):
+        return lambda c: c["base"] | (c["kind"].isin(EXTRA) & c["formed"] & (odds(c) >= F.lit(least)) & ~F.exists(
+            based, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+
     order = " ".join(f"when '{k}' then {i}" for i, k in enumerate(KINDS))
-    spans = (found.withColumn("accepted", accepted)
-             .withColumn("based", F.expr("filter(spans, c -> c.base)"))
-             .withColumn("spans", F.expr(
-                 "filter(spans, c -> c.base or (array_contains(accepted, c.code) and "
-                 "not exists(based, b -> b.start < c.stop and c.start < b.stop)))"))
+    spans = (found.withColumn("based", F.filter("spans", lambda c: c["base"]))
+             .withColumn("spans", F.filter("spans", reported(F.col("based"))))
              .withColumn("spans", F.expr(
                  f"transform(array_sort(transform(spans, c -> named_struct('start', c.start, 'k', case c.kind {order} end, "
                  "'stop', c.stop, 'kind', c.kind, 'base', c.base))), c -> named_struct('kind', c.kind, 'start', c.start, "
@@ -266,11 +316,14 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", acce
 
 
 def digests(detected: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts of the base spans by kind, their SHA-256, and all spans as text."""
+    """Counts of the base spans by kind, their SHA-256, all spans as text, and
+    the counts of all spans and of the added ones by kind."""
     text = "array_join(transform(filter(spans, c -> {0}), c -> concat_ws(':', c.kind, c.start, c.stop)), ',')"
     return detected.select(
         id_col, *[F.expr(f"cast(size(filter(spans, c -> c.base and c.kind = '{k}')) as long)").alias(f"n_{k}") for k in BASE],
-        F.sha2(F.expr(text.format("c.base")), 256).alias("base_sha256"), F.expr(text.format("true")).alias("spans"))
+        F.sha2(F.expr(text.format("c.base")), 256).alias("base_sha256"), F.expr(text.format("true")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        *[F.expr(f"cast(size(filter(spans, c -> c.kind = '{k}')) as long)").alias(f"n_{k}") for k in EXTRA])
 
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
