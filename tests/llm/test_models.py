@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import random
+import re
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -61,6 +63,90 @@ def test_quality_on_odd_rows(spark, odd_docs, no_docs):
     assert quality_mil.score(no_docs.drop("score"), model).count() == 0
 
 
+def test_results_replace_columns_of_their_names(spark, odd_docs):
+    docs = odd_docs.select("doc_id", "text", F.lit("x").alias("Score"), F.lit(1).alias("lang_pred"))
+    model = langid.train(odd_docs)
+    told = langid.predict(docs, model)
+    assert told.columns == ["doc_id", "text", "lang_pred", "score"] and told.filter("score > 1").count() == 0
+    scored = quality_mil.score(docs, {"share": np.array([0.25])})
+    assert scored.columns == ["doc_id", "text", "lang_pred", "score"] and {r.score for r in scored.collect()} == {0.25}
+
+
+def test_quality_sample_is_drawn_from_labels_with_documents_and_one_row_an_id(spark):
+    docs = [(i, f"Some words of document {i}. " * 5 if i % 2 else "x1 x1 x1 ## " * 9) for i in range(1, 41)]
+    docs += [(1, f"zz other text {k}") for k in range(50)]  # an id with most of the rows
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 41)] + [(i, 0) for i in range(1000, 3000)], "doc_id long, quality int")
+    found = spark.createDataFrame(docs, "doc_id long, text string")
+    few = quality_mil.train(found, labels, sample=30)
+    assert "E" in few  # both labels are among the thirty, though most labels have no document
+    same = quality_mil.train(found.filter("text not like 'zz%'"), labels, sample=30)
+    assert all(np.array_equal(few[k], same[k]) for k in few)
+
+
+def test_mil_gradient_is_that_of_differences():
+    """One step of training moves every parameter against the numeric gradient of the loss."""
+    r = np.random.RandomState(3)
+    sizes, y = np.array([2, 5, 3, 1]), np.array([1.0, 0, 1, 0])
+    x = r.normal(size=(sizes.sum(), quality_mil.FEATURES))
+    starts, of = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(4), sizes)
+    scaled = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-3)
+
+    def raw(p):  # parameters on scaled features
+        e = p["E"] * (x.std(axis=0) + 1e-3)[:, None]
+        return {**p, "E": e, "e": p["e"] + (x.mean(axis=0) / (x.std(axis=0) + 1e-3)) @ e}
+
+    def loss(p):
+        out = quality_mil.forward(p, scaled, starts, of)["y"]
+        decay = sum((v ** 2).sum() for v in p.values()) * 1e-4 / 2
+        return -(y * np.log(out) + (1 - y) * np.log(1 - out)).mean() + decay
+
+    before, after = raw(quality_mil.fit(x, sizes, y, rounds=0)), raw(quality_mil.fit(x, sizes, y, rounds=1, rate=1e-3))
+    for name in before:
+        for at in list(np.ndindex(before[name].shape))[:40]:
+            up, down = {k: v.copy() for k, v in before.items()}, {k: v.copy() for k, v in before.items()}
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            if abs(slope) > 1e-6:  # the first step of Adam is the rate against the sign
+                assert np.isclose(after[name][at] - before[name][at], -1e-3 * np.sign(slope), atol=3e-5), (name, at)
+
+
+def test_language_model_follows_plain_versions():
+    """FTRL by the formulas of one coordinate at a time, TF-IDF by dictionaries, the temperature by a fine search."""
+    r = np.random.RandomState(2)
+    model = langid.Ftrl(3)
+    z, n = {}, {}
+    for _ in range(60):
+        rows, values, label = np.sort(r.choice(12, 4, replace=False)), r.rand(4), r.randint(3)
+
+        def weight(i, k):
+            zi, ni = z.get((i, k), 0.0), n.get((i, k), 0.0)
+            if abs(zi) <= model.l1:
+                return 0.0
+            return -(zi - np.sign(zi) * model.l1) / ((model.beta + np.sqrt(ni)) / model.alpha + model.l2)
+
+        logits = [sum(v * weight(i, k) for i, v in zip(rows, values)) for k in range(3)]
+        p = np.exp(logits) / np.exp(logits).sum()
+        old = {(i, k): weight(i, k) for i in rows for k in range(3)}
+        for i, v in zip(rows, values):
+            for k in range(3):
+                g = v * (p[k] - (k == label))
+                grown = n.get((i, k), 0.0) + g * g
+                z[i, k] = z.get((i, k), 0.0) + g - (np.sqrt(grown) - np.sqrt(n.get((i, k), 0.0))) / model.alpha * old[i, k]
+                n[i, k] = grown
+        model.learn(rows, values, label)
+    for (i, k), zi in z.items():
+        assert np.isclose(model.z[i, k], zi) and np.isclose(model.n[i, k], n[i, k])
+    found, counts, idf = np.array([1, 4, 9]), np.array([1, 3, 2]), np.linspace(1, 2, 1 << langid.BITS)
+    plain = {b: (1 + np.log(c)) * idf[b] for b, c in zip(found, counts)}
+    norm = np.sqrt(sum(v * v for v in plain.values()))
+    assert np.allclose(langid.weighted(found, counts, idf), [plain[b] / norm for b in found])
+    logits = r.normal(size=(400, 4)) * 6
+    labels = np.array([r.choice(4, p=langid.softmax(row / 2.5)) for row in logits])
+    losses = {t: -np.log(langid.softmax(logits / t)[np.arange(400), labels]).mean() for t in np.linspace(0.5, 8, 400)}
+    assert abs(np.log(langid.temperature(logits, labels) / min(losses, key=losses.get))) < 0.06
+
+
 def test_mil_gradient():
     r = np.random.RandomState(1)
     x, sizes, y = r.normal(size=(40, quality_mil.FEATURES)), np.array([1, 9, 20, 10]), np.array([0.0, 1, 1, 0])
@@ -185,6 +271,27 @@ def test_license_scan_and_oracle(spark, odd_docs, no_docs):
     assert sorted(map(tuple, found)) == sorted(tuple(w) for w in want)
 
 
+def test_license_oracle_agrees_on_all_notices_with_mixed_families(spark):
+    """Every notice, alone, changed by a word, beside another one of any family, and with another version."""
+    r = random.Random(9)
+    texts = []
+    for i, (_, text) in enumerate(license_scan.NOTICES):
+        words = text.split()
+        changed = list(words)
+        changed[r.randrange(len(words))] = "otherwise"
+        other = r.choice(license_scan.NOTICES)[1]
+        texts += [f"{prose(i, 4 + i % 9)} {text} {prose(i + 80, 6)}", f"{prose(i, 3)} {' '.join(changed)} {prose(i, 8)}",
+                  f"{text} {prose(i, i % 40)} {other}", f"{text} {text}", re.sub("[0-9]", "7", text)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [tuple(x) for x in license_scan.license_scan(docs).select("doc_id", "license", "containment", "first_word", "n_windows")
+             .collect()]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": list(range(len(texts))), "text": texts}))
+    want = con.execute("select doc_id, license, containment, first_word, n_windows from (" + ORACLES["op6_license_scan"] + ")").fetchall()
+    assert len(want) > len(license_scan.NOTICES) and any("unclear" in w[1] for w in want)
+    assert sorted(found) == sorted(want)
+
+
 def test_license_scan_finds_changed_and_embedded_notices(spark):
     notice = dict(license_scan.TEMPLATES[::-1])["GPL-3.0"].split()
     long = license_scan.TEMPLATES[5][1].split()

@@ -32,10 +32,11 @@ together; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text
@@ -177,6 +178,22 @@ def _telling(words: list[str], n: int, phrases: list[str]) -> list[list[int]]:
     return found
 
 
+def _places(items: Column, known: list[int]) -> Column:
+    """Where the items that are known stand.
+
+    The known ones lie in as many bins as there are of them, by remainder, so an
+    item is compared with those of one bin, one in the mean, whatever their
+    number.  The bins are a text in the plan, which the optimizer folds to one
+    array for the task."""
+    bins: list[list[int]] = [[] for _ in known]
+    for s in known:
+        bins[s % len(bins)].append(s)
+    table = F.from_json(F.lit(json.dumps(bins)), "array<array<bigint>>")
+    found = F.filter(F.transform(items, lambda s, i: F.when(
+        F.array_contains(F.get(table, F.pmod(s, F.lit(len(bins))).cast("int")), s), i)), lambda i: i.isNotNull())
+    return F.when(F.size(items) > 0, found).otherwise(F.expr("cast(array() as array<int>)"))
+
+
 def _minima(bands: str, items: str) -> str:
     """SQL: the smallest hash under each of the hash functions."""
     return f"transform(sequence(1, {bands}), j -> array_min(transform({items}, x -> xxhash64(x, j))))"
@@ -216,10 +233,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = id_and_text(docs, id_col, text_col).select(
         "id", F.monotonically_increasing_id().alias("row"), F.expr("filter(split(lower(text), '[^a-z0-9]+', -1), w -> w <> '')").alias("words"))
     for n in lengths:
-        literal = "array(" + ", ".join(f"{s}L" if s > -(1 << 63) else "(-9223372036854775807L - 1L)" for s in known[n]) + ")"
-        texts = texts.withColumn(f"s{n}", F.expr(_shingles(n, "words"))).withColumn(
-            f"at{n}", F.expr(f"if(size(array_intersect(s{n}, {literal})) > 0, filter(sequence(0, size(s{n}) - 1), "
-                             f"i -> array_contains({literal}, s{n}[i])), cast(array() as array<int>))"))
+        texts = texts.withColumn(f"s{n}", F.expr(_shingles(n, "words")))
+        texts = texts.withColumn(f"at{n}", _places(F.col(f"s{n}"), known[n]))
     made = []
     for w in windows.values():
         # the windows that hold a place: numbers from (place - size) / step up to place / step
@@ -250,33 +265,47 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 F.countDistinct("window", "first").alias("n_windows")).withColumnRenamed("id", id_col))
 
 
-def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES) -> str:
-    """The matches of the first notices alone in DuckDB SQL, by comparing every
-    window with every template.  It knows neither the other notices nor telling
-    phrases; results are the same on texts that hold nothing but TEMPLATES."""
-    values, shingle_rows = [], []
+def oracle_sql(templates: list[tuple[str, str]] = NOTICES, telling: dict = TELLING) -> str:
+    """The scan in DuckDB SQL, by comparing every window with every template,
+    with the phrases that tell the licences of a family apart."""
+    values, shingle_rows, telling_rows = [], [], []
     for number, (name, text) in enumerate(templates):
         words = words_of(text)
         n = min(SHINGLE, len(words))
-        parts = {" ".join(words[i:i + n]) for i in range(len(words) - n + 1)}
-        w = Window(n, len(parts))
-        values.append(f"({number}, '{name}', {n}, {w.m}, {w.step}, {w.size}, '{w.name}')")
-        shingle_rows += [f"({number}, '{p}')" for p in sorted(parts)]
+        ordered = [" ".join(words[i:i + n]) for i in range(len(words) - n + 1)]
+        family, phrases = telling.get(name, (name, []))
+        told = _telling(words, n, phrases or [])
+        w = Window(n, len(set(ordered)))
+        # phrases to be found; -1: matches never name the licence
+        values.append(f"({number}, '{name}', '{family}', {-1 if phrases is None else len(told)}, {n}, {w.m}, {w.step}, {w.size}, '{w.name}')")
+        shingle_rows += [f"({number}, '{p}')" for p in sorted(set(ordered))]
+        telling_rows += [f"({number}, {k}, '{p}')" for k, starts in enumerate(told) for p in sorted({ordered[i] for i in starts})]
     places = " UNION ALL ".join(
         f"SELECT doc_id, {n} AS n, unnest(list_transform(range(0, greatest(0, len(ws) - {n - 1})), lambda i: "
         f"{{'i': i, 's': array_to_string(ws[i + 1:i + {n}], ' ')}})) AS x FROM d"
         for n in sorted({min(SHINGLE, len(words_of(text))) for _, text in templates}))
     return f"""
-WITH t(number, license, n, m, step, size, win) AS (VALUES {', '.join(values)}),
+WITH t(number, license, family, phrases, n, m, step, size, win) AS (VALUES {', '.join(values)}),
 s(number, shingle) AS (VALUES {', '.join(shingle_rows)}),
+y(number, phrase, shingle) AS (VALUES {', '.join(telling_rows or ["(-1, 0, '')"])}),
 d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS ws
       FROM documents),
 p AS ({places}),
-h AS (SELECT p.doc_id, t.number, t.license, t.m, t.step, t.size, t.win, p.x.i AS i, s.shingle
+h AS (SELECT p.doc_id, t.*, p.x.i AS i, s.shingle
       FROM p JOIN s ON s.shingle = p.x.s JOIN t ON t.number = s.number AND t.n = p.n),
 k AS (SELECT *, unnest(range(greatest(0, CASE WHEN i >= size THEN (i - size) // step + 1 ELSE 0 END), i // step + 1)) AS w FROM h),
-c AS (SELECT doc_id, license, number, win, w * step AS first, count(DISTINCT shingle) / m AS held
-      FROM k GROUP BY doc_id, license, number, win, w, step, m HAVING count(DISTINCT shingle) / m >= {CONTAINMENT})
-SELECT doc_id, license, max(held) AS containment, min(first) AS first_word, count(DISTINCT (win, first)) AS n_windows
-FROM c GROUP BY doc_id, license
+c AS (SELECT doc_id, number, license, family, phrases, win, size, w * step AS first, count(DISTINCT shingle) / m AS held
+      FROM k GROUP BY doc_id, number, license, family, phrases, win, size, w, step, m
+      HAVING count(DISTINCT shingle) / m >= {CONTAINMENT}),
+z AS (SELECT k.doc_id, k.number, k.w * k.step AS first, count(DISTINCT y.phrase) AS phrases
+      FROM k JOIN y ON y.number = k.number AND y.shingle = k.shingle GROUP BY k.doc_id, k.number, k.w * k.step),
+m AS (SELECT c.*, c.phrases = coalesce(z.phrases, 0) AS told
+      FROM c LEFT JOIN z ON z.doc_id = c.doc_id AND z.number = c.number AND z.first = c.first),
+r AS (SELECT m.*, coalesce(bool_or(o.number = m.number AND abs(o.first - m.first) < m.size), false) AS beside,
+             coalesce(bool_or(o.first < m.first + m.size AND m.first < o.first + o.size), false) AS taken
+      FROM m LEFT JOIN m AS o ON o.told AND o.doc_id = m.doc_id AND o.family = m.family
+      GROUP BY ALL)
+SELECT doc_id, CASE WHEN told OR beside THEN license ELSE family END AS license, max(held) AS containment,
+       min(first) AS first_word, count(DISTINCT (win, first)) AS n_windows
+FROM r WHERE told OR beside OR NOT taken GROUP BY ALL
 """
