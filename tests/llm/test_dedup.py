@@ -118,3 +118,19 @@ def test_connected_components_of_a_chain(spark):
     edges = spark.createDataFrame([(f"{i:04d}", f"{i + 1:04d}") for i in range(60)] + [("x", "y"), ("y", "y")], "a string, b string")
     got = {r.node: r.label for r in connected_components(edges).collect()}
     assert set(got.values()) == {"0000", "x"} and len(got) == 63
+
+
+def test_one_row_of_linked_rows_stays_whatever_their_ids(spark):
+    base = prose(11, 80)
+    near = [base + f" tail{i}" for i in range(6)]
+    rows = [(None, near[0], 1), (None, near[1], 2), (5, near[2], 3), (5, near[3], 4), (7, near[4], 5),  # one component
+            (None, prose(12, 60), 6), (None, prose(12, 60) + " more", 7),  # null ids only
+            (9, "", 8), (9, None, 9), (None, "", 10)]  # empty texts are linked with nothing
+    docs = spark.createDataFrame([(i, t, k, "c") for i, t, k in rows], "doc_id long, text string, __rid int, key string")
+    left = near_dedup.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    kept = {r[2] for r in left.collect()}
+    assert kept - {6, 7} in ({3, 8, 9, 10}, {4, 8, 9, 10}) and len(kept & {6, 7}) == 1
+    same = docs.unionByName(docs).repartition(7)
+    assert near_dedup.drop_near_copies(same.filter("__rid < 8")).count() == 2
+    assert exact_dedup.drop_copies(same).select("text").distinct().count() == exact_dedup.drop_copies(same).count()

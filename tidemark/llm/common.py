@@ -26,6 +26,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows with a number each, and the number's column (a name that no other
+    column has).  Numbers are given once and written, so whatever reads the table
+    again, on however many cores, sees the same ones."""
+    column = "__rid"
+    while column in map(str.lower, docs.columns):
+        column += "_"
+    return materialise(docs.withColumn(column, F.monotonically_increasing_id()), name), column
+
+
+def kept_beside(docs: DataFrame, *names: str) -> list[str]:
+    """The columns of ``docs`` but those that a new one of ``names`` replaces."""
+    new = {n.lower() for n in names}
+    return [c for c in docs.columns if c.lower() not in new]
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under names of its own (``id``,
     ``text``); every other column, whatever its name, is left behind.  A null

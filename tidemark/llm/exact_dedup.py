@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, materialise
+from tidemark.llm.common import materialise, numbered
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -32,19 +32,18 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, WHITE_SPACE, " ")
 
 
-def _decided(docs: DataFrame, id_col: str, text_col: str, hash_expr) -> DataFrame:
-    """One row per input row: ``id``, ``rid`` (its place in the scan), ``keep_id``,
-    ``n``, ``kept`` and ``sha``.
+def _decided(docs: DataFrame, id_col: str, text_col: str, hash_expr, rid: Column) -> DataFrame:
+    """One row per input row: ``id``, ``rid`` (its number), ``keep_id``, ``n``,
+    ``kept`` and ``sha``.
 
     ``hash_expr`` maps the normalised text to the grouping hash (MD5 unless
     given; tests pass a poor one to force collisions).
     """
     hash_expr = hash_expr or (lambda c: F.unhex(F.md5(c)))
-    texts = (id_and_text(docs, id_col, text_col)
-             .select("id", normalised(F.col("text")).alias("norm"))
+    texts = (docs.select(rid.alias("rid"), F.col(f"`{id_col}`").alias("id"),
+                         normalised(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("norm"))
              .withColumn("h", hash_expr(F.col("norm"))))
-    rows = materialise(texts.select("id", "h", F.unhex(F.sha2("norm", 256)).alias("sha"))
-                       .withColumn("rid", F.monotonically_increasing_id()), "exact-rows")
+    rows = materialise(texts.select("id", "rid", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "exact-rows")
     classes = materialise(texts.groupBy("h", "norm").agg(F.min("id").alias("keep_id"), F.count("*").alias("n"))
                           .select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "n"), "exact-classes")
     # of repeated rows with the smallest id the first one read stays
@@ -59,14 +58,13 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, hash_expr) -> DataFram
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_expr=None) -> DataFrame:
     """One row per input row: ``id_col``, ``keep_id``, ``group_size``, ``kept``
     and ``text_sha256``."""
-    return _decided(docs, id_col, text_col, hash_expr).select(
+    return _decided(docs, id_col, text_col, hash_expr, F.monotonically_increasing_id()).select(
         F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"), "kept",
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_expr=None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.  ``docs`` must
-    read the same rows in the same places twice, as tables of files do."""
-    dropped = _decided(docs, id_col, text_col, hash_expr).filter("not kept").select(F.col("rid").alias("__rid"))
-    return (docs.withColumn("__rid", F.monotonically_increasing_id())
-            .join(dropped, "__rid", "left_anti").drop("__rid").select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The rows of ``docs`` that stay, with all their columns."""
+    rows, rid = numbered(docs, "exact-numbered")
+    dropped = _decided(rows, id_col, text_col, hash_expr, F.col(rid)).filter("not kept").select(F.col("rid").alias(rid))
+    return rows.join(dropped, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,8 @@ Edge cases: null or empty texts and texts without a letter are ``und`` with
 score 0; null languages and null ids teach nothing; without training rows
 everything is ``und``; rows with repeated ids are scored as rows of their own;
 of equal scores the language first in alphabetical order wins; an empty table
-gives an empty result; other columns are ignored, whatever their names.
+gives an empty result; other columns are ignored, whatever their names; columns
+that have the names of the results are replaced by them.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import kept_beside, slices
 
 BITS = 15
 ORDERS = 3
@@ -214,17 +215,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out_cols: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The rows with the predicted language and its probability."""
+    """The rows with the predicted language and its probability (in place of columns of these names)."""
+    kept = kept_beside(docs, *out_cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             found = [model.predict(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*batch.schema.names, *out_cols])
+                [*batch.select(kept).columns, pa.array([f[0] for f in found], pa.string()),
+                 pa.array([f[1] for f in found], pa.float64())], names=[*kept, *out_cols])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept]
     return docs.mapInArrow(run, ", ".join([*fields, f"`{out_cols[0]}` string", f"`{out_cols[1]}` double"]))
 
 

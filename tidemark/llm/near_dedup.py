@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Known, id_and_text, materialise, slices
+from tidemark.llm.common import Known, id_and_text, materialise, numbered, slices
 from tidemark.llm.components import connected_components
 
 WORDS = 5
@@ -337,7 +337,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose id stays, with all their columns (rows with a null id stay)."""
-    decided = near_dedup(docs, id_col, text_col, percent)
-    dropped = decided.groupBy(id_col).agg(F.max("kept").alias("kept")).filter("not kept").select(id_col)
-    return docs.join(dropped, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that stay, with all their columns: of linked rows one,
+    that with the smallest id (null ids last; of equal ids the first one read)."""
+    rows, rid = numbered(docs, "near-numbered")
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("own"), F.col(rid).alias("rid"))
+    keyed = rows.select(key.alias("key"), F.col(f"`{text_col}`").alias("text"))
+    dropped = near_dedup(keyed, "key", "text", percent).filter("not kept").select(F.col("key.rid").alias(rid))
+    return rows.join(dropped, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

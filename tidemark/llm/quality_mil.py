@@ -16,10 +16,12 @@ documents and shuffles nothing.
 
 Edge cases: null, empty and white texts are one passage without words and get a
 score like any other; labels that are null, or of documents that are not there,
-teach nothing; a document with several labels is learned once per label; with
+teach nothing; a document with several labels is learned once per different label, documents
+that share an id as one (the smallest text); with
 no labelled rows, or labels of one kind, every score is the smoothed share of
 label 1 (0.5 without labels); rows with null or repeated ids are scored as rows
-of their own; an empty table gives an empty result; other columns are ignored.
+of their own; an empty table gives an empty result; other columns are ignored; a
+column that has the name of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import kept_beside, slices
 
 PASSAGE = 64
 SAMPLE = 6000
@@ -149,13 +151,19 @@ def held_out(id_col: str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample: int = SAMPLE) -> dict:
-    """Parameters of the model (or only ``share``, if there is nothing to tell apart)."""
+    """Parameters of the model (or only ``share``, if there is nothing to tell apart).
+
+    The sample is drawn from labels that have a document.  Of documents with one
+    id the smallest text is learned from, so that an id that many rows share is
+    one document of the sample."""
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = (labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
             .filter("id is not null and y in (0, 1)").filter(~held_out("id"))
+            .join(own.select("id"), "id", "left_semi")
             .withColumn("o", F.xxhash64(F.col("id").cast("string"), F.lit(8)))
             .orderBy("o", "id", "y").limit(sample))
     # at most ``sample`` rows of three numbers
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(rows), "id")
+    texts = own.join(F.broadcast(rows), "id").groupBy("o", "id", "y").agg(F.min("text").alias("text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -183,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """The rows with the probability of label 1."""
+    """The rows with the probability of label 1 (in place of a column of this name)."""
+    kept = kept_beside(docs, out_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -195,8 +204,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", out_col: str = "
                             np.repeat(np.arange(len(x)), sizes))["y"]
             else:
                 y = np.full(len(texts), float(model["share"][0]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(y, pa.float64())],
-                                             names=[*batch.schema.names, out_col])
+            yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(y, pa.float64())], names=[*kept, out_col])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in kept]
     return docs.mapInArrow(run, ", ".join([*fields, f"`{out_col}` double"]))
