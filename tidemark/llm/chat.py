@@ -17,6 +17,8 @@ its own path only, and position ids count along the path.
   and any other as ``<s>[INST] <<ROLE>>role<</ROLE>>text [/INST]``.  In texts and
   roles a backslash is doubled and a backslash is set into each control string
   after its first character, which :func:`unescape` takes back.
+* Positions are running sums along a path, and the tokens are read back in sorted
+  order, a turn at a time: work is linear in the turns of a conversation.
 * Marks and text are tokenised apart, so the loss mask (assistant texts) falls
   on whole tokens.
 
@@ -161,48 +163,71 @@ def build_forest(conversations: DataFrame, vocab_path: str, id_col: str = "conv_
     first = on_path.groupBy("node").agg(F.min("rank").alias("rank"), F.min("depth").alias("depth"))
     placed = materialise(first.join(tokens.select("node", "n"), "node"), "chat-first")
     starts = materialise(_addresses(placed).join(placed.select("node", "n", "depth"), "node"), "chat-starts")
-    steps = (on_path.select("leaf", "node").join(starts, "node").groupBy("leaf")
-             .agg(F.array_sort(F.collect_list(F.struct("depth", "node", "start", "n"))).alias("steps")))
-    paths = materialise(steps.select("leaf", F.expr(
-        "aggregate(steps, named_struct('at', 0L, 'out', cast(array() as "
-        "array<struct<node:string,start:bigint,stop:bigint,position:bigint>>)), (acc, s) -> named_struct('at', acc.at + s.n, "
-        "'out', array_append(acc.out, named_struct('node', s.node, 'start', s.start, 'stop', s.start + s.n, "
-        "'position', acc.at))), acc -> acc.out)").alias("steps")), "chat-intervals")
-    positions = (paths.select(F.explode("steps").alias("s")).groupBy(F.col("s.node").alias("node"))
-                 .agg(F.min("s.position").alias("position")))
+    before = W.partitionBy("leaf").orderBy("depth").rowsBetween(W.unboundedPreceding, -1)
+    steps = materialise(on_path.select("leaf", "depth", "node").join(starts.select("node", "start", "n"), "node").select(
+        "leaf", "node", "start", (F.col("start") + F.col("n")).alias("stop"),
+        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("position")), "chat-steps")
+    positions = steps.groupBy("node").agg(F.min("position").alias("position"))
     nodes = (tokens.join(starts.select("node", "start", "depth"), "node").join(positions, "node")
              .select("node", "depth", "start", "position", "ids", "loss_start", "loss_stop"))
-    intervals = F.expr("transform(steps, s -> named_struct('start', s.start, 'stop', s.stop, 'position', s.position))")
-    return Forest(nodes, paths.select("leaf", intervals.alias("intervals")),
+    # addresses grow along a path, so this is the order of the turns
+    paths = steps.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "position"))).alias("intervals"))
+    return Forest(nodes, materialise(paths, "chat-intervals"),
                   convs.select(F.col("conv").alias(id_col), "leaf"))
 
 
+class _Told:
+    """What the emitted tokens of one conversation say, a turn at a time."""
+
+    def __init__(self, token: list[bytes]):
+        self.token, self.n_turns, self.loss_chars, self.formatted_chars = token, 0, 0, 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, ids: list[int], loss_start: int, loss_stop: int) -> None:
+        pieces = [self.token[i] for i in ids]
+        formatted = b"".join(pieces).decode()
+        for role, text in parse(formatted):
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+        masked = unescape(b"".join(pieces[loss_start:loss_stop]).decode())
+        self.loss.update(masked.encode())
+        self.loss_chars += len(masked)
+        self.formatted_chars += len(formatted)
+
+    def row(self) -> tuple:
+        return self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted_chars
+
+
 def read_back(forest: Forest, vocab_path: str) -> DataFrame:
     """``leaf`` with the turns, the loss text and the formatted text that the
-    emitted tokens hold: the intervals of a path are read at their addresses."""
+    emitted tokens hold: the intervals of a path are read at their addresses, in
+    order.  A task holds one turn and two hash states, however long a
+    conversation is."""
+    schema = "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    names = [field.split()[0] for field in schema.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = vocabulary(vocab_path).token_bytes
-        for batch in batches:
+        leaf, told = None, None
+        for batch in slices(batches):
             out: list[tuple] = []
-            for leaf, steps in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                formatted, loss = [], []
-                for step in sorted(steps, key=lambda s: s["position"]):
-                    pieces = [token[i] for i in step["ids"]]
-                    formatted.extend(pieces)
-                    loss.append(unescape(b"".join(pieces[step["loss_start"]:step["loss_stop"]]).decode()))
-                whole = b"".join(formatted).decode()
-                turns = parse(whole)
-                digest = hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in turns).encode()).hexdigest()
-                masked = "".join(loss)
-                out.append((leaf, len(turns), digest, len(masked), hashlib.sha256(masked.encode()).hexdigest(), len(whole)))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)] if out else [], names=[
-                "leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"] if out else [])
-
+            columns = (batch.column(c).to_pylist() for c in ("leaf", "ids", "loss_start", "loss_stop"))
+            for new, ids, loss_start, loss_stop in zip(*columns):
+                if new != leaf:
+                    if told is not None:
+                        out.append((leaf, *told.row()))
+                    leaf, told = new, _Told(token)
+                told.add(ids, loss_start, loss_stop)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
+        if told is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (leaf, *told.row())], names=names)
+
+    parts = int(forest.nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     read = forest.paths.select("leaf", F.explode("intervals").alias("i")).select("leaf", "i.start", "i.position")
-    found = (read.join(forest.nodes.select("start", "ids", "loss_start", "loss_stop"), "start")
-             .groupBy("leaf").agg(F.collect_list(F.struct("position", "ids", "loss_start", "loss_stop")).alias("steps")))
-    return found.mapInArrow(run, "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-                                 "formatted_chars long")
+    return (read.join(forest.nodes.select("start", "ids", "loss_start", "loss_stop"), "start")
+            .repartition(parts, "leaf").sortWithinPartitions("leaf", "position")
+            .select("leaf", "ids", "loss_start", "loss_stop").mapInArrow(run, schema))
 
 
 def digests(forest: Forest, vocab_path: str) -> DataFrame:
