@@ -149,6 +149,50 @@ def test_incremental_stream_scd2_equals_batch_on_random_late_data(spark, tmp_pat
     assert got == want
 
 
+@pytest.mark.parametrize("hot_key_rows", [None, 20])
+def test_stream_scd2_moves_stored_and_logged_rows_once_a_batch(spark, tmp_path, monkeypatch, hot_key_rows):
+    """Without a hot key, a micro-batch shuffles the log and the stored rows by
+    key once; with one, ranges are used; the history is that of all changes."""
+    from tidemark.operators.cdc import scd2
+    from tidemark.streaming import cdc as scdc
+
+    plans, apply = [], BucketedState.apply
+
+    def spied(self, spark, batch_id, compute, **kw):
+        def seen():
+            out = compute()
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+        return apply(self, spark, batch_id, seen, **kw)
+
+    monkeypatch.setattr(BucketedState, "apply", spied)
+    if hot_key_rows:
+        monkeypatch.setattr(scdc, "HOT_KEY_ROWS", hot_key_rows)
+    rows = [(None if i % 7 == 6 else i % 7, i * 37 % 101, i, "xyz"[i * i % 3]) for i in range(210)]
+    schema = "k long, seq long, tb long, v string"
+    land = str(tmp_path / "land")
+    for part in (2, 0, 1):
+        spark.createDataFrame(rows[part::3], schema).coalesce(1).write.mode("append").option("header", True).csv(land)
+    s = spark.readStream.schema(schema).option("header", True).option("maxFilesPerTrigger", 1).csv(land)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        st = scdc.stream_scd2(s, str(tmp_path / "cdc"), str(tmp_path / "ck"), ["k"], "seq", tiebreak=["tb"],
+                              track_columns=["v"], n_buckets=4)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    cols = ["k", "seq", "tb", "v", "__START_AT", "__END_AT"]
+    key = lambda t: tuple((x is not None, x) for x in t)
+    got = sorted((tuple(r[c] for c in cols) for r in st.current(spark).collect()), key=key)
+    want = sorted((tuple(r[c] for c in cols) for r in
+                   scd2(spark.createDataFrame(rows, schema), ["k"], "seq", tiebreak=["tb"], track_columns=["v"]).collect()),
+                  key=key)
+    assert got == want and len(plans) == 3
+    if hot_key_rows is None:
+        # log, stored rows, and the batch's keys for either
+        assert plans[-1].count("Exchange hashpartitioning") == 4
+
+
 def test_stream_scd1_deletes_and_emptied_bucket(spark, tmp_path):
     from tidemark.streaming.cdc import stream_scd1
 

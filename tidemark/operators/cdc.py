@@ -36,6 +36,7 @@ from tidemark.session import stage
 
 START, END = "__START_AT", "__END_AT"
 TOMBSTONE = "__deleted"
+KEY = "__k"
 HOT_KEY_ROWS = 1 << 20
 
 
@@ -156,9 +157,14 @@ def scd2(
 def _ordered(changes: DataFrame, keys: list[str], cols: list[str], track: list[str], order_cols: list[str],
              *more: Column) -> DataFrame:
     """Key, tracked values and order as one struct each: a struct is never null
-    and compares null fields as equal, so null keys and values behave like others."""
+    and compares null fields as equal, so null keys and values behave like others.
+    Changes that bring the struct of the keys as ``__k`` keep it, and with it
+    the partitions of a join on it."""
+    brought = changes.schema[KEY].dataType if KEY in changes.columns and KEY not in keys else None
+    has_key = isinstance(brought, T.StructType) and brought.names == keys
+    key = F.col(KEY) if has_key else F.struct(*[F.col(k) for k in keys]).alias(KEY)
     return changes.select(
-        F.struct(*[F.col(k) for k in keys]).alias("__k"), *cols,
+        key, *cols,
         (F.struct(*[F.col(c) for c in track]) if track else F.struct(F.lit(0).alias("_"))).alias("__tv"),
         F.struct(*[F.col(c) for c in order_cols]).alias("__o"), *more)
 

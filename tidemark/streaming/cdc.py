@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.cdc import END, START, TOMBSTONE, scd1, scd2
+from tidemark.operators.cdc import END, HOT_KEY_ROWS, KEY, START, TOMBSTONE, scd1, scd2
+from tidemark.session import stage
 from tidemark.streaming.ingest import run_available
 from tidemark.streaming.state import BUCKET, BucketedState, merge_in_place, stream_writer
 
@@ -103,6 +104,8 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
     state = BucketedState(f"{root}/state", keys, out_schema, n_buckets)
     current = BucketedState(current_root, keys, out_schema, n_buckets) if current_root else None
     bronze = f"{root.rstrip('/')}/bronze"
+    log_schema = T.StructType([stream.schema[c] for c in [*keys, *cols]]
+                              + [T.StructField(BUCKET, T.IntegerType(), True), T.StructField(BATCH, T.StringType(), True)])
 
     writer = stream_writer(checkpoint)
 
@@ -120,17 +123,19 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
 
         def compute() -> DataFrame:
             # keys compared as one struct: null key fields match each other
-            kcol = F.struct(*[F.col(k) for k in keys]).alias("__key")
+            kcol = F.struct(*[F.col(k) for k in keys]).alias(KEY)
             order = F.struct(*[F.col(c) for c in order_cols])
-            log = spark.read.parquet(bronze)
+            log = spark.read.schema(log_schema).parquet(bronze)
             mine = log.filter(F.col(BATCH) == f"{writer}-{batch_id}")
             first_new = mine.groupBy(kcol).agg(F.min(order).alias("__m"))
             stored = state.read(spark, touched).select("*", kcol)
             # start of the stored version holding the earliest new change (null: none -> whole key)
-            cut = (stored.join(first_new, "__key")
-                   .groupBy("__key").agg(F.max(F.when(F.col(START_O) <= F.col("__m"), F.col(START_O))).alias("__cut"),
-                                         F.lit(True).alias("__known")))
-            affected = first_new.join(cut, "__key", "left").select("__key", "__cut", "__m", "__known")
+            cut = (stored.select(KEY, START_O).join(first_new, KEY)
+                   .groupBy(KEY).agg(F.max(F.when(F.col(START_O) <= F.col("__m"), F.col(START_O))).alias("__cut"),
+                                     F.lit(True).alias("__known")))
+            # one row per key of the batch, written once: the bound, the rows to
+            # recompute and those to keep all need it
+            affected = stage(first_new.join(cut, KEY, "left").select(KEY, "__cut", "__m", "__known"), "scd2-affected")
             # Lower bound of the rows any affected key needs: its cut, or for a
             # key never seen before its first change (all its rows are in this
             # batch).  A late change older than every stored version needs the
@@ -142,14 +147,19 @@ def stream_scd2(stream: DataFrame, root: str, checkpoint: str, keys: Sequence[st
             scan = log.filter(F.col(BUCKET).isin(touched))
             if lo["unbounded"] == 0 and lo["lo"] is not None and lo["lo"][sequence_by] is not None:
                 scan = scan.filter(F.col(sequence_by) >= F.lit(lo["lo"][sequence_by]))
-            affected = affected.select("__key", "__cut")
+            affected = affected.select(KEY, "__cut")
+            # the key column stays: the window finds the rows where the join has put them
             suffix = (scan.select("*", kcol)
-                      .join(affected, "__key")
+                      .join(affected, KEY)
                       .filter(F.col("__cut").isNull() | (order >= F.col("__cut")))
-                      .drop("__key", "__cut", BATCH))
+                      .drop("__cut", BATCH))
+            # a key is no larger than its bucket: without a bucket of a hot key's
+            # size the keys need not be counted
+            hot = scan.groupBy(BUCKET).count().filter(F.col("count") >= HOT_KEY_ROWS).limit(1).count() > 0
             rebuilt = scd2(suffix, keys, sequence_by, track_columns=track_columns, tiebreak=tiebreak,
-                           columns=[*cols, BUCKET], start_order_col=START_O)
-            kept = (stored.join(affected.withColumn("__hit", F.lit(True)), "__key", "left")
+                           columns=[*cols, BUCKET], start_order_col=START_O, hot_key_rows=HOT_KEY_ROWS,
+                           split_hot_keys=hot)
+            kept = (stored.join(affected.withColumn("__hit", F.lit(True)), KEY, "left")
                     .filter(F.col("__hit").isNull() | (F.col("__cut").isNotNull() & (F.col(START_O) < F.col("__cut")))))
             out = [*keys, *cols, START, END, START_O, BUCKET]
             return kept.select(*out).unionByName(rebuilt.select(*out))
