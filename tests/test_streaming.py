@@ -152,7 +152,7 @@ def test_incremental_stream_scd2_equals_batch_on_random_late_data(spark, tmp_pat
 @pytest.mark.parametrize("hot_key_rows", [None, 20])
 def test_stream_scd2_moves_stored_and_logged_rows_once_a_batch(spark, tmp_path, monkeypatch, hot_key_rows):
     """Without a hot key, a micro-batch shuffles the log and the stored rows by
-    key once; with one, ranges are used; the history is that of all changes."""
+    key once, with one, ranges are used; history and snapshot are those of all changes."""
     from tidemark.operators.cdc import scd2
     from tidemark.streaming import cdc as scdc
 
@@ -178,7 +178,7 @@ def test_stream_scd2_moves_stored_and_logged_rows_once_a_batch(spark, tmp_path,
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         st = scdc.stream_scd2(s, str(tmp_path / "cdc"), str(tmp_path / "ck"), ["k"], "seq", tiebreak=["tb"],
-                              track_columns=["v"], n_buckets=4)
+                              track_columns=["v"], n_buckets=4, current_root=str(tmp_path / "gold"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     cols = ["k", "seq", "tb", "v", "__START_AT", "__END_AT"]
@@ -187,10 +187,11 @@ def test_stream_scd2_moves_stored_and_logged_rows_once_a_batch(spark, tmp_path,
     want = sorted((tuple(r[c] for c in cols) for r in
                    scd2(spark.createDataFrame(rows, schema), ["k"], "seq", tiebreak=["tb"], track_columns=["v"]).collect()),
                   key=key)
-    assert got == want and len(plans) == 3
+    gold = sorted((tuple(r[c] for c in cols) for r in spark.read.parquet(str(tmp_path / "gold" / "data")).collect()), key=key)
+    assert got == want and gold == [r for r in want if r[-1] is None] and len(plans) == 6
     if hot_key_rows is None:
-        # log, stored rows, and the batch's keys for either
-        assert plans[-1].count("Exchange hashpartitioning") == 4
+        # the history: log, stored rows, and the batch's keys for either; the snapshot: nothing by key
+        assert [p.count("Exchange hashpartitioning") for p in plans[-2:]] == [4, 0]
 
 
 def test_stream_scd1_deletes_and_emptied_bucket(spark, tmp_path):
