@@ -35,6 +35,36 @@ def test_new_files_after_restart_are_picked_up_once(spark):
     assert n == spark.read.parquet(f"{SMALL}/events.parquet").count() + 5
 
 
+@pytest.mark.parametrize("file_rows,n_files", [(None, 3), (50, 6)])
+def test_landed_files_and_micro_batches_follow_rows_not_tasks(spark, tmp_path, monkeypatch, file_rows, n_files):
+    """Twelve tasks of events land as files of about ``FILE_ROWS``; the type 2
+    stream has a micro-batch for each, and its snapshot is that of all events."""
+    from tidemark.operators.cdc import scd2
+    from tidemark.plans import landing
+    from tidemark.streaming import cdc as scdc
+
+    if file_rows:
+        monkeypatch.setattr(landing, "FILE_ROWS", file_rows)
+    n = F.col("event_id")
+    ev = spark.range(300, numPartitions=12).toDF("event_id").select(
+        n, F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, event_id)").alias("ts"),
+        F.when(n % 11 != 0, n % 11).alias("user_id"), F.when(n % 7 != 0, (n % 5).cast("string")).alias("event_type"),
+        (n / 4).alias("value"), F.lit(None).cast("string").alias("props"))
+    place = landing.land(ev, str(tmp_path))
+    assert len([f for f in os.listdir(place) if f.endswith(".csv")]) == n_files
+    s = file_stream(spark, place, EVENT_SCHEMA, max_files_per_trigger=1)
+    cols = [c for c in landing.EVENT_COLS if c != "user_id"]
+    scdc.stream_scd2(s, str(tmp_path / "cdc"), str(tmp_path / "ck"), ["user_id"], "ts", track_columns=["event_type"],
+                     tiebreak=["event_id"], columns=cols, n_buckets=2, current_root=str(tmp_path / "gold"))
+    assert len([f for f in os.listdir(tmp_path / "gold" / "_commits") if not f.startswith(".")]) == n_files
+    want = scd2(ev, ["user_id"], "ts", track_columns=["event_type"], tiebreak=["event_id"], columns=cols)
+    shown = ["user_id", *cols, "__START_AT", "__END_AT"]
+    key = lambda t: tuple((x is not None, x) for x in t)
+    gold = spark.read.parquet(str(tmp_path / "gold" / "data")).select(*shown)
+    assert (sorted(map(tuple, gold.collect()), key=key)
+            == sorted(map(tuple, want.filter("__END_AT is null").select(*shown).collect()), key=key))
+
+
 def _state(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
     return BucketedState(str(tmp_path / "state"), ["k"], schema, n_buckets=4)
